@@ -40,7 +40,7 @@ def upsert_stable_id(existing: DataFrame, new: DataFrame, keys: list[str], id_co
     fresh = old.filter(F.col(id_column).isNull()).drop(id_column)
     numbered = numbered_by(fresh, keys, "_n").crossJoin(F.broadcast(top)).withColumn(id_column, (F.col("_top") + F.col("_n")).cast("bigint")).drop("_top", "_n")
     changed = old.filter(F.col(id_column).isNotNull()).unionByName(numbered)
-    return existing.join(changed.select(*keys), keys, "left_anti").unionByName(changed.select(*existing.columns))
+    return existing.join(changed.select(*keys), keys, "left_anti").select(*existing.columns).unionByName(changed.select(*existing.columns))
 
 
 def numbered_by(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
