@@ -79,7 +79,7 @@ class _Counter:
         count = np.concatenate([c for _, c in self.parts])
         order = np.argsort(key, kind="stable")
         key, count = key[order], count[order]
-        at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
         return key[at], np.add.reduceat(count, at) if len(at) else count
 
     def batches(self, **fixed: int) -> Iterator[pa.RecordBatch]:

@@ -21,15 +21,15 @@ from . import kernel, shared
 
 @dataclass(frozen=True)
 class Ratio:
-    """buckets: of hashed n-grams; smoothing: added to each bucket's count, as a share of the mean count.
+    """buckets: of hashed n-grams; prior: raw-shaped counts added to each bucket of the target, so that rare buckets say little.
 
     spare: the share of trusted documents that may fall below the threshold; grain: width of the
     steps in which scores are counted for it; least_words, repeat_percent: of the base rules.
     """
 
     buckets: int = 16384
-    smoothing: float = 0.01
-    spare: float = 0.002
+    prior: float = 20.0
+    spare: float = 0.0005
     grain: float = 0.01
     least_words: int = 50
     repeat_percent: int = 50
@@ -51,34 +51,39 @@ def grams(words: kernel.Words, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _count(conf: Ratio):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, good = np.zeros(conf.buckets, np.int64), np.zeros(conf.buckets, np.int64)
+        count = np.zeros((3, conf.buckets), np.int64)
         for batch in batches:
-            trusted = np.asarray(batch["trusted"].fill_null(False).to_numpy(zero_copy_only=False), dtype=bool)
+            fold = batch["fold"].fill_null(0).to_numpy(zero_copy_only=False)
             for lo, hi, data, offsets in kernel.blocks(batch["text"]):
                 bucket, row = grams(kernel.Words(data, offsets), conf.buckets)
-                raw += np.bincount(bucket, minlength=conf.buckets)
-                good += np.bincount(bucket[trusted[lo:hi][row]], minlength=conf.buckets)
-        at = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(raw[at]), pa.array(good[at])], names=["bucket", "raw", "good"])
+                of = fold[lo:hi][row]
+                for k in range(3):
+                    count[k] += np.bincount(bucket[of == k], minlength=conf.buckets)
+        at = np.flatnonzero(count.sum(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(count[k][at]) for k in range(3))], names=["bucket", "n0", "n1", "n2"])
 
     return run
 
 
 def weights(docs: DataFrame, conf: Ratio = Ratio()) -> np.ndarray:
-    """ln(p_target / p_raw) of each bucket, counted over every row of ``docs`` (text, trusted).
+    """ln(p_target / p_raw) of each bucket, counted over every row of ``docs`` (text, fold).
 
-    ``conf.buckets`` numbers reach the driver, whatever the input's size.
-    Without any trusted row, or without rows, all weights are 0.
+    fold: 0 for the raw corpus alone, 1 and 2 for trusted documents.  Three
+    rows: of the whole target, and of folds 1 and 2 alone.  They hold
+    ``conf.buckets`` numbers, whatever the input's size.  Without a trusted
+    row, or without rows, all weights are 0.
     """
-    counted = docs.select("text", "trusted").mapInArrow(_count(conf), "bucket long, raw long, good long")
-    rows = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).collect()
-    raw, good = np.zeros(conf.buckets), np.zeros(conf.buckets)
-    for r in rows:
-        raw[r["bucket"]], good[r["bucket"]] = r["raw"], r["good"]
-    if not good.sum():
-        return np.zeros(conf.buckets, np.float64)
-    smooth = lambda c: np.log((c + conf.smoothing * c.sum() / conf.buckets) / (c.sum() * (1 + conf.smoothing)))
-    return smooth(good) - smooth(raw)
+    counted = docs.select("text", "fold").mapInArrow(_count(conf), "bucket long, n0 long, n1 long, n2 long")
+    count = np.zeros((3, conf.buckets))
+    for r in counted.groupBy("bucket").agg(*[F.sum(f"n{k}").alias(f"n{k}") for k in range(3)]).collect():
+        count[:, r["bucket"]] = r["n0"], r["n1"], r["n2"]
+    raw = count.sum(axis=0)
+
+    def ratio(good: np.ndarray) -> np.ndarray:
+        expected = raw * (good.sum() / max(raw.sum(), 1))
+        return np.log((good + conf.prior) / (expected + conf.prior)) if good.sum() else np.zeros(conf.buckets)
+
+    return np.stack([ratio(count[1] + count[2]), ratio(count[1]), ratio(count[2])])
 
 
 def base_figures(data: np.ndarray, offsets: np.ndarray, words: kernel.Words) -> dict[str, np.ndarray]:
@@ -122,14 +127,18 @@ _FIGURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_r
 
 
 def _score(conf: Ratio, weight: np.ndarray, names: list[str]):
+    """A row of the trusted folds 1 and 2, where ``fold`` is carried, takes the other fold's weights."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts: list[list[np.ndarray]] = []
-            for _, hi, data, offsets in kernel.blocks(batch["text"]):
+            fold = batch["fold"].to_numpy() if "fold" in names else None
+            for lo, hi, data, offsets in kernel.blocks(batch["text"]):
                 words = kernel.Words(data, offsets)
                 bucket, row = grams(words, conf.buckets)
                 n = len(offsets) - 1
-                total, many = np.bincount(row, weights=weight[bucket], minlength=n), np.bincount(row, minlength=n)
+                of = weight[0][bucket] if fold is None else weight[(3 - fold[lo:hi])[row], bucket]
+                total, many = np.bincount(row, weights=of, minlength=n), np.bincount(row, minlength=n)
                 parts.append([*(x.astype(np.int64) for x in base_figures(data, offsets, words).values()), total / np.maximum(many, 1)])
             if parts:
                 yield pa.RecordBatch.from_arrays([*(batch[x] for x in names), *(pa.array(np.concatenate(x)) for x in zip(*parts, strict=True))], names=[*names, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score"])
@@ -155,6 +164,10 @@ def threshold(trusted_scores: DataFrame, conf: Ratio = Ratio()) -> float:
     return -np.inf
 
 
+def _failed(conf: Ratio):
+    return (F.col("n_words") < conf.least_words) | (100 * F.col("n_repeat_words") > conf.repeat_percent * F.col("n_words"))
+
+
 def judge(docs: DataFrame, labels: DataFrame, conf: Ratio = Ratio(), carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The ``carry`` columns of every row of ``docs`` with base figures, score, base_failed and kept.
 
@@ -167,9 +180,12 @@ def judge(docs: DataFrame, labels: DataFrame, conf: Ratio = Ratio(), carry: tupl
     """
     good = labels.select(F.col("doc_id").alias("_id"), "quality").groupBy("_id").agg((F.min("quality") == 1).alias("trusted"))
     base = shared.own_columns(docs, "doc_id", "text")
-    marked = base.join(good, F.col("doc_id") == F.col("_id"), "left").select("text", "trusted")
+    fold = F.when(F.col("trusted"), 1 + F.pmod(F.xxhash64("_id"), F.lit(2)).cast("int")).otherwise(F.lit(0))
+    marked = base.join(good, F.col("doc_id") == F.col("_id"), "left").select("text", fold.alias("fold"))
     weight = weights(marked, conf)
-    least = threshold(scored(marked.filter("trusted"), weight, [], conf), conf)
+    # Trusted documents fix the threshold by what the other half of them says of them.
+    known = scored(marked.filter("fold > 0"), weight, ["fold"], conf).filter(~_failed(conf))
+    least = threshold(known, conf)
     out = scored(docs, weight, list(carry), conf)
-    failed = (F.col("n_words") < conf.least_words) | (100 * F.col("n_repeat_words") > conf.repeat_percent * F.col("n_words"))
+    failed = _failed(conf)
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("score") >= F.lit(float(least))))
