@@ -153,7 +153,7 @@ def _cut(path: str, capacity: int, end: int, carried: bool):
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)
                 ids, piece, start, raw, source = [], [], [], [], []
-                for k, (i, x) in enumerate(zip(rows["doc_id"].to_pylist(), own.documents(rows["text"].to_pylist(), end), strict=True)):
+                for k, (i, x) in enumerate(zip(rows["doc_id"].to_pylist(), own.column(rows["text"], end), strict=True)):
                     for n, lo in enumerate(range(0, len(x), 4 * capacity)):
                         ids.append(i)
                         piece.append(n)

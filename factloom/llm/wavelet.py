@@ -163,7 +163,7 @@ def _write(path: str, end: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)
-                for i, r, x in zip(rows["doc_id"].to_pylist(), rows["range"].to_pylist(), own.documents(rows["text"].to_pylist(), end), strict=True):
+                for i, r, x in zip(rows["doc_id"].to_pylist(), rows["range"].to_pylist(), own.column(rows["text"], end), strict=True):
                     if size and size + len(x) // 4 > SHARD_TOKENS:
                         yield shard()
                         before, part, size, ids, names = before + size, part + 1, 0, [], []
