@@ -35,6 +35,9 @@ class Ratio:
     repeat_percent: int = 50
 
 
+#: Labelled ids are broadcast up to this many rows (9 bytes each).
+BROADCAST_ROWS = 1_000_000
+
 _SYMBOLS = kernel.byte_table(b"#*$%&|<>")
 _CONTINUES = np.zeros(256, dtype=bool)
 _CONTINUES[0x80:0xC0] = True
@@ -181,6 +184,9 @@ def judge(docs: DataFrame, labels: DataFrame, conf: Ratio = Ratio(), carry: tupl
     good = labels.select(F.col("doc_id").alias("_id"), "quality").groupBy("_id").agg((F.min("quality") == 1).alias("trusted"))
     base = shared.own_columns(docs, "doc_id", "text")
     fold = F.when(F.col("trusted"), 1 + F.pmod(F.xxhash64("_id"), F.lit(2)).cast("int")).otherwise(F.lit(0))
+    # Ids of trusted documents are broadcast once counted; more of them than that meet the texts in a shuffle.
+    good = good.filter("trusted")
+    good = F.broadcast(good) if good.count() <= BROADCAST_ROWS else good
     marked = base.join(good, F.col("doc_id") == F.col("_id"), "left").select("text", fold.alias("fold"))
     weight = weights(marked, conf)
     # Trusted documents fix the threshold by what the other half of them says of them.
