@@ -28,6 +28,9 @@ class Runs:
     shingle_words: int = 25
 
 
+#: The line ranges to delete are broadcast up to so many ranges and rows (8 bytes each); beyond, the texts are shuffled to them.
+BROADCAST_RANGES = 1_000_000
+
 _BASE = kernel.mix_int(0x6C696E65) | 1
 
 
@@ -172,6 +175,8 @@ def dedup(docs: DataFrame, conf: Runs = Runs()) -> DataFrame:
     column is replaced or kept out of the way.  An empty table gives no rows.
     """
     runs = repeated_runs(docs, conf).select(F.col("rid").alias("_run_of"), F.col("removed").alias("_gone"))
+    held = runs.agg(F.coalesce(F.sum(F.size("_gone") + 1), F.lit(0))).first()[0]
+    runs = F.broadcast(runs) if held <= BROADCAST_RANGES else runs
     joined = docs.withColumn("_row", _row_id()).join(runs, F.col("_row") == F.col("_run_of"), "left")
     lines = F.split("text", "\n", -1)
     left = F.filter(lines, lambda line, i: ~F.exists("_gone", lambda r: (i >= r["lo"]) & (i <= r["hi"])))
