@@ -8,15 +8,20 @@ exhaustively; a large one is branched again.  Independent trees repeat this
 to the target recall: a pair of similarity s stays together for d levels of
 one path with probability s^d, and most nodes are small after two.
 
-Nodes that stay large (thousands of near copies) are joined to a few pivots,
-and where members of such a node still are in different components after
-that, exactly those are compared with the rest of the node: nothing is capped.
+Every row carries a sketch, two bits of each minwise value; pairs whose
+sketches differ too much are no candidates.  Comparing goes in two rounds.
+The first confirms, in each small node, a spanning forest of the closest
+pairs, and in nodes that stay large (thousands of near copies) each member
+with its nearest of a few pivots, members close to the node's majority.  The second compares in all nodes exactly
+the pairs that are still in different components: the links that it leaves
+out can't change a class, and nothing is capped.
 
 Candidates are confirmed on full sets of 64-bit shingle hashes.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,9 +38,7 @@ from .components import components
 class Join:
     """shingle: words a shingle; percent: least Jaccard similarity; trees, levels, small: of the recursion.
 
-    coordinates: minwise values of a set; sketch of them (a byte each) go with
-    each row, and a pair goes to the full comparison if ``agree`` of them agree
-    (four standard deviations below the threshold); pivots: of a node that stays large.
+    pivots: of a node that stays large.
     """
 
     shingle: int = 2
@@ -43,14 +46,36 @@ class Join:
     trees: int = 10
     levels: int = 5
     small: int = 12
-    coordinates: int = 64
-    sketch: int = 32
     pivots: int = 6
 
     @property
-    def agree(self) -> int:
-        p = self.percent / 100
-        return max(0, int(np.floor(self.sketch * p - 4 * np.sqrt(self.sketch * p * (1 - p)))))
+    def apart(self) -> int:
+        """Coordinates whose two sketch bits may differ: three standard deviations above the mean at the threshold."""
+        q = (1 - self.percent / 100) * 3 / 4
+        return int(np.ceil(COORDINATES * q + 3 * np.sqrt(COORDINATES * q * (1 - q))))
+
+
+#: Minwise values of a set; the sketch holds their lowest bits in two words and the next ones in two more.
+COORDINATES = 128
+SKETCH = ("s0", "s1", "s2", "s3")
+
+
+#: Minwise values behind the one-bit sketches that members of unsettled large nodes get besides.
+FINE = 2048
+
+
+def fine_apart(percent: int) -> int:
+    q = (1 - percent / 100) / 2
+    return int(np.ceil(FINE * q + 3 * np.sqrt(FINE * q * (1 - q))))
+
+
+def _differing(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    low, high = np.bitwise_count((x[0] ^ y[0]) | (x[2] ^ y[2])), np.bitwise_count((x[1] ^ y[1]) | (x[3] ^ y[3]))
+    return low.astype(np.int64) + high
+
+
+def _words(of) -> list[np.ndarray]:
+    return [np.asarray(of(k)).view(np.uint64) for k in SKETCH]
 
 
 def _seeds(n: int, salt: int) -> np.ndarray:
@@ -60,8 +85,9 @@ def _seeds(n: int, salt: int) -> np.ndarray:
 def _minwise(values: np.ndarray, n: int) -> np.ndarray:
     a, b = (_seeds(n, 1) | np.uint64(1))[:, None], _seeds(n, 2)[:, None]
     low = np.full(n, (1 << 32) - 1, dtype=np.uint32)
-    for lo in range(0, len(values), 2048):
-        x = values[None, lo : lo + 2048] * a
+    step = max(1, (1 << 18) // n)
+    for lo in range(0, len(values), step):
+        x = values[None, lo : lo + step] * a
         x += b
         np.minimum(low, (x >> np.uint64(32)).astype(np.uint32).min(axis=1), out=low)
     return low
@@ -74,7 +100,7 @@ def _paths(low: np.ndarray, conf: Join) -> np.ndarray:
     for t, seed in enumerate(_seeds(conf.trees, 3)):
         path = np.full(len(low), seed, dtype=np.uint64)
         for level in range(conf.levels):
-            chosen = ((path >> np.uint64(17)) % np.uint64(conf.coordinates)).astype(np.int64)
+            chosen = ((path >> np.uint64(17)) % np.uint64(COORDINATES)).astype(np.int64)
             path = kernel.mix(path ^ (low[rows, chosen].astype(np.uint64) + (chosen.astype(np.uint64) << np.uint64(40))))
             out[:, t, level] = path
     return out
@@ -94,12 +120,12 @@ def _summaries(conf: Join):
         for batch in batches:
             n = batch.num_rows
             size, digest = np.zeros(n, np.int64), np.zeros((n, 2), np.uint64)
-            low = np.zeros((n, conf.coordinates), np.uint32)
+            low = np.zeros((n, COORDINATES), np.uint32)
             for row, members in sets_of(batch["text"], conf.shingle):
                 size[row] = len(members)
                 if len(members):
                     digest[row] = kernel.mix(members * np.uint64(0xA24BAED4963EE407)).sum(), kernel.mix(members ^ np.uint64(0x9FB21C651E98DF25)).sum()
-                    low[row] = _minwise(members, conf.coordinates)
+                    low[row] = _minwise(members, COORDINATES)
             low_bytes = pa.array([x.tobytes() for x in low], pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [batch["rid"], pa.array(size), pa.array(digest[:, 0].view(np.int64)), pa.array(digest[:, 1].view(np.int64)), low_bytes],
@@ -115,43 +141,80 @@ def _branches(conf: Join):
             for at in range(0, whole.num_rows, 2000):
                 batch = whole.slice(at, 2000)
                 n = batch.num_rows
-                low = np.frombuffer(b"".join(batch["low"].to_pylist()), dtype=np.uint32).reshape(n, conf.coordinates)
+                low = np.frombuffer(b"".join(batch["low"].to_pylist()), dtype=np.uint32).reshape(n, COORDINATES)
                 nodes = _paths(low, conf)
-                sketch = (low[:, : conf.sketch] & 255).astype(np.uint8)
-                sketches = pa.FixedSizeBinaryArray.from_buffers(pa.binary(conf.sketch), n, [None, pa.py_buffer(sketch.tobytes())]).cast(pa.binary())
+                place = np.arange(64, dtype=np.uint64)
+                packed = lambda part, bit: pa.array(np.bitwise_or.reduce((low[:, part] >> np.uint32(bit) & np.uint32(1)).astype(np.uint64) << place, axis=1).view(np.int64))  # noqa: E731, B023
+                sketches = [packed(half, bit) for bit in (0, 1) for half in (slice(0, 64), slice(64, 128))]
                 ids = batch["rid"]
                 for t in range(conf.trees):
-                    yield pa.RecordBatch.from_arrays([ids, sketches, *[pa.array(nodes[:, t, v].view(np.int64)) for v in range(conf.levels)]], names=["rid", "sketch", *[f"p{v}" for v in range(conf.levels)]])
+                    yield pa.RecordBatch.from_arrays([ids, *sketches, *[pa.array(nodes[:, t, v].view(np.int64)) for v in range(conf.levels)]], names=["rid", *SKETCH, *[f"p{v}" for v in range(conf.levels)]])
 
     return run
 
 
-def _exhaustive(conf: Join):
-    """All pairs of a small node whose sketches agree enough; rows are nodes with their members."""
+def _close_pairs(members: pa.ListArray, conf: Join) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.StructArray]:
+    """All pairs of each node's members whose sketches are close: positions, distances, and the members."""
+    size = np.diff(np.asarray(members.offsets))
+    flat = members.flatten()
+    sketch = _words(flat.field)
+    node = np.repeat(np.arange(len(size)), size)
+    left, right, far = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for step in range(1, int(size.max(initial=1))):
+        at = np.flatnonzero(node[step:] == node[:-step])
+        apart = _differing([w[at] for w in sketch], [w[at + step] for w in sketch])
+        near = apart <= conf.apart
+        left.append(at[near])
+        right.append(at[near] + step)
+        far.append(apart[near])
+    return np.concatenate(left), np.concatenate(right), np.concatenate(far), flat
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def _spanning(conf: Join):
+    """Of each small node, a spanning forest of its close pairs, the closest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            members = batch["members"]
-            size = np.diff(np.asarray(members.offsets))
-            flat = members.flatten()
+            left, right, far, flat = _close_pairs(batch["members"], conf)
             ids = np.asarray(flat.field("rid"))
-            data, offsets = kernel.text_buffers(flat.field("sketch"))
-            sketch = data.reshape(len(ids), -1) if len(ids) else np.zeros((0, conf.sketch), np.uint8)
-            node = np.repeat(np.arange(len(size)), size)
-            found = [np.zeros((0, 2), np.int64)]
-            for step in range(1, int(size.max(initial=1))):
-                at = np.flatnonzero(node[step:] == node[:-step])
-                at = at[(sketch[at] == sketch[at + step]).sum(axis=1) >= conf.agree]
-                found.append(np.stack([ids[at], ids[at + step]], axis=1))
-            pairs = np.concatenate(found)
-            pairs.sort(axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            parent: dict[int, int] = {}
+
+            def find(x: int) -> int:
+                while (p := parent.setdefault(x, x)) != x:
+                    parent[x] = x = parent[p]
+                return x
+
+            taken = []
+            order = np.argsort(far, kind="stable")
+            for k, x, y in zip(order.tolist(), left[order].tolist(), right[order].tolist(), strict=True):
+                x, y = find(x), find(y)
+                if x != y:
+                    parent[x] = y
+                    taken.append(k)
+            yield _pairs(ids[left[taken]], ids[right[taken]])
+
+    return run
+
+
+def _across(conf: Join):
+    """Of each small node, all close pairs of members in different components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right, _, flat = _close_pairs(batch["members"], conf)
+            ids, of = np.asarray(flat.field("rid")), np.asarray(flat.field("component"))
+            cross = of[left] != of[right]
+            yield _pairs(ids[left[cross]], ids[right[cross]])
 
     return run
 
 
 def _near_pivots(conf: Join):
-    """Of each row of a large node, the two pivots that its sketch agrees with most; pivots go with each other too."""
+    """Each row of a large node with its nearest pivot; a pivot goes with all others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,19 +222,15 @@ def _near_pivots(conf: Join):
             size = np.diff(np.asarray(pivots.offsets))
             flat = pivots.flatten()
             ids, own = np.asarray(flat.field("rid")), np.asarray(batch["rid"])
-            sketch = kernel.text_buffers(flat.field("sketch"))[0].reshape(len(ids), -1) if len(ids) else np.zeros((0, conf.sketch), np.uint8)
-            mine = kernel.text_buffers(batch["sketch"])[0].reshape(len(own), -1) if len(own) else np.zeros((0, conf.sketch), np.uint8)
             row = np.repeat(np.arange(len(size)), size)
-            same = (sketch == mine[row]).sum(axis=1)
+            apart = _differing(_words(flat.field), [w[row] for w in _words(batch.column)])
             is_pivot = np.zeros(len(own), bool)
-            np.logical_or.at(is_pivot, row, ids == own[row])
-            order = np.lexsort((-same, row))
+            is_pivot[row[ids == own[row]]] = True
+            order = np.lexsort((apart, row))
             rank = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-            take = order[(rank < 3) | is_pivot[row[order]]]
-            take = take[(ids[take] != own[row[take]]) & (same[take] >= conf.agree)]
-            pairs = np.stack([own[row[take]], ids[take]], axis=1)
-            pairs.sort(axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            take = order[(rank == 0) | is_pivot[row[order]]]
+            take = take[(ids[take] != own[row[take]]) & (apart[take] <= conf.apart)]
+            yield _pairs(own[row[take]], ids[take])
 
     return run
 
@@ -186,6 +245,18 @@ def _full_sets(conf: Join):
     return run
 
 
+def _fine_sketches(conf: Join):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                bits = np.array([_minwise(x, FINE) & 1 for _, x in sets_of(part["text"], conf.shingle)], dtype=np.uint8).reshape(-1, FINE)
+                words = np.packbits(bits, axis=1).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part["rid"], *(pa.array(np.ascontiguousarray(words[:, i])) for i in range(FINE // 64))], names=["rid", *(f"f{i}" for i in range(FINE // 64))])
+
+    return run
+
+
 def _confirm(conf: Join):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,30 +281,32 @@ def _confirm(conf: Join):
 BROADCAST_ROWS = 500_000
 
 
-def _confirmed(candidates: DataFrame, texts: DataFrame, conf: Join) -> DataFrame:
-    """Stored edges (a, b) of the distinct candidates whose full sets are similar enough."""
-    pairs = shared.stored(candidates.distinct(), "candidates")
+def _confirmed(pairs: DataFrame, texts: DataFrame, conf: Join) -> DataFrame:
+    """Stored edges (a, b) of the stored distinct candidates whose full sets are similar enough."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
-    few = ids.count() <= BROADCAST_ROWS
-    sets = shared.stored(texts.join(F.broadcast(ids) if few else ids, "rid", "left_semi").dropDuplicates(["rid"]).mapInArrow(_full_sets(conf), "rid long, members binary"), "sets")
+    sets = shared.stored(_of_ids(texts, ids).mapInArrow(_full_sets(conf), "rid long, members binary"), "sets")
     x = sets.select(F.col("rid").alias("a"), F.col("members").alias("x"))
     y = sets.select(F.col("rid").alias("b"), F.col("members").alias("y"))
     out = shared.stored(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_confirm(conf), "a long, b long"), "links")
-    shared.drop(pairs, sets)
+    shared.drop(sets)
     return out
 
 
+def _bit(i: int) -> int:
+    """Bit i of a signed 64-bit word."""
+    return 1 << i if i < 63 else -(1 << 63)
+
+
 def _row_id():
     """A key of the row's content: repeated rows are one document, and null ids can be joined."""
     return F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit("")))
 
 
 def similarity_classes(docs: DataFrame, conf: Join = Join()) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept, links) for every row of ``docs`` (doc_id, text, ...).
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text, ...).
 
     component_id: smallest doc_id reachable over links of at least
-    ``conf.percent`` Jaccard similarity; links: how many distinct other sets
-    a row's set was linked with directly.  Null text and text without words:
+    ``conf.percent`` Jaccard similarity.  Null text and text without words:
     empty set, linked with nothing.  Equal sets are linked.  Rows with a null
     doc_id join a class by their text; a class without any id has a null
     component_id; kept is true for the row that carries the class's smallest
@@ -245,17 +318,16 @@ def similarity_classes(docs: DataFrame, conf: Join = Join()) -> DataFrame:
     classes = every.filter("n_shingles > 0").groupBy("d1", "d2").agg(F.min("rid").alias("cid"), F.min("doc_id").alias("least"))
     classes = shared.stored(classes, "classes")
     heads = every.join(classes.select(F.col("cid").alias("rid")), "rid", "left_semi").select("rid", "low").dropDuplicates(["rid"])
-    rows = shared.stored(heads.mapInArrow(_branches(conf), "rid long, sketch binary, " + ", ".join(f"p{v} long" for v in range(conf.levels))), "branches")
+    rows = shared.stored(heads.mapInArrow(_branches(conf), "rid long, s0 long, s1 long, s2 long, s3 long, " + ", ".join(f"p{v} long" for v in range(conf.levels))), "branches")
 
-    candidates, stay, made, now = None, None, [rows], rows
+    candidates, stay, made, small, now = None, None, [rows], [], rows
     for level in range(conf.levels):
         node = F.col(f"p{level}")
         sizes = now.groupBy(node.alias("node")).agg(F.count("*").alias("n")).filter("n > 1")
-        joined = now.withColumn("node", node).join(sizes, "node")
-        joined = shared.stored(joined, f"level{level}")
+        joined = shared.stored(now.withColumn("node", node).join(sizes, "node"), f"level{level}")
         made.append(joined)
-        small = joined.filter(F.col("n") <= conf.small).groupBy("node").agg(F.collect_list(F.struct("rid", "sketch")).alias("members")).select("members")
-        found = small.mapInArrow(_exhaustive(conf), "a long, b long")
+        small.append(joined.filter(F.col("n") <= conf.small).select("node", "rid", *SKETCH))
+        found = small[-1].groupBy("node").agg(F.collect_list(F.struct("rid", *SKETCH)).alias("members")).select("members").mapInArrow(_spanning(conf), "a long, b long")
         candidates = found if candidates is None else candidates.unionByName(found)
         stay = joined.filter(F.col("n") > conf.small)
         now = stay.drop("node", "n")
@@ -263,33 +335,33 @@ def similarity_classes(docs: DataFrame, conf: Join = Join()) -> DataFrame:
             stay = None
             break
     if stay is not None:
-        # Pivots of a node: its smallest rows by a hash, one for each of a few slices, so no node is gathered.
-        slices = stay.withColumn("slice", F.pmod(F.xxhash64("rid", "node"), F.lit(conf.pivots)))
-        pivots = slices.groupBy("node", "slice").agg(F.min_by(F.struct("rid", "sketch"), F.xxhash64("rid")).alias("pivot"))
+        # A node's pivots: in each of a few slices the row closest to the majority of the node's first sketch word.  No node is gathered.
+        ones = stay.groupBy("node").agg(F.count("*").alias("n"), *[F.sum(F.shiftright("s0", i).bitwiseAND(F.lit(1))).alias(f"o{i}") for i in range(64)])
+        middle = ones.select("node", functools.reduce(lambda x, y: x.bitwiseOR(y), [F.when(2 * F.col(f"o{i}") > F.col("n"), F.lit(_bit(i))).otherwise(F.lit(0).cast("long")) for i in range(64)]).alias("middle"))
+        slices = stay.select("node", "rid", *SKETCH).join(middle, "node").withColumn("far", F.bit_count(F.col("s0").bitwiseXOR(F.col("middle")))).withColumn("slice", F.pmod(F.xxhash64("rid"), F.lit(conf.pivots)))
+        pivots = slices.groupBy("node", "slice").agg(F.min(F.struct("far", "rid", *SKETCH)).alias("pivot"))
         pivots = pivots.groupBy("node").agg(F.collect_list("pivot").alias("pivots"))
-        near = stay.join(pivots, "node").select("rid", "sketch", "pivots").mapInArrow(_near_pivots(conf), "a long, b long")
+        near = stay.join(pivots, "node").select("rid", *SKETCH, "pivots").mapInArrow(_near_pivots(conf), "a long, b long")
         candidates = candidates.unionByName(near)
 
     texts = base.select("rid", "text")
-    edges = _confirmed(candidates, texts, conf)
+    tested = shared.stored(candidates.distinct(), "candidates")
+    edges = _confirmed(tested, texts, conf)
     labels = shared.stored(components(edges), "labels")
-    if stay is not None:
-        rest = _residue(stay, labels, conf)
-        if not rest.isEmpty():
-            more = _confirmed(rest, texts, conf)
-            edges = edges.unionByName(more)
-            labels = shared.stored(components(edges), "labels")
-    shared.drop(*made)
-
-    degree = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().groupBy(F.col("a").alias("cid")).agg(F.count("*").alias("links"))
-    found = classes.join(labels.withColumnRenamed("id", "cid"), "cid", "left").join(degree, "cid", "left")
-    found = found.withColumn("component", F.coalesce("component", "cid"))
+    left = _left(small, stay, labels, texts, conf).distinct().join(tested, ["a", "b"], "left_anti")
+    left = shared.stored(left, "candidates")
+    if not left.isEmpty():
+        edges = edges.unionByName(_confirmed(left, texts, conf))
+        labels = shared.stored(components(edges), "labels")
+    shared.drop(*made, tested, left)
+
+    found = classes.join(labels.withColumnRenamed("id", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     least = found.groupBy("component").agg(F.min("least").alias("component_id"))
-    found = shared.stored(found.join(least, "component").select("d1", "d2", "component_id", F.coalesce("links", F.lit(0)).alias("links")), "members")
+    found = shared.stored(found.join(least, "component").select("d1", "d2", "component_id"), "members")
     narrow = every.select("doc_id", "n_shingles", "d1", "d2")
-    out = narrow.filter("n_shingles > 0").join(found, ["d1", "d2"]).select("doc_id", "n_shingles", "component_id", "links")
-    alone = narrow.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("links"))
-    return out.unionByName(alone).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "links")
+    out = narrow.filter("n_shingles > 0").join(found, ["d1", "d2"]).select("doc_id", "n_shingles", "component_id")
+    alone = narrow.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return out.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def _with_id(conf: Join):
@@ -305,20 +377,42 @@ def _with_id(conf: Join):
     return run
 
 
-def _residue(stay: DataFrame, labels: DataFrame, conf: Join) -> DataFrame:
-    """Pairs in nodes that stayed large, of members that are still in different components.
+def _of_ids(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts of distinct ids, each once; the ids are broadcast only after they were counted."""
+    few = ids.count() <= BROADCAST_ROWS
+    return texts.join(F.broadcast(ids) if few else ids, "rid", "left_semi").dropDuplicates(["rid"])
+
+
+def _left(small: list[DataFrame], stay: DataFrame | None, labels: DataFrame, texts: DataFrame, conf: Join) -> DataFrame:
+    """Close pairs that share a node and are still in different components.
 
-    The members outside the node's largest component meet all members of other
-    components; their sketches are compared inside the join, so only pairs that
-    agree enough come out of it.
+    In a node that stayed large, members outside its largest component meet
+    those of other components inside a join that compares sketches, the usual
+    and finer ones of their own, so only close pairs come out of it.
     """
-    tagged = stay.select("node", "rid", "sketch").join(labels.withColumnRenamed("id", "rid"), "rid", "left").withColumn("component", F.coalesce("component", "rid"))
+    tag = lambda df: df.join(labels.withColumnRenamed("id", "rid"), "rid", "left").withColumn("component", F.coalesce("component", "rid"))
+    leaves = small[0]
+    for x in small[1:]:
+        leaves = leaves.unionByName(x)
+    nodes = tag(leaves).groupBy("node").agg(F.collect_list(F.struct("rid", *SKETCH, "component")).alias("members")).select("members")
+    pairs = nodes.mapInArrow(_across(conf), "a long, b long")
+    if stay is None:
+        return pairs
+    tagged = tag(stay.select("node", "rid", *SKETCH))
     per = tagged.groupBy("node", "component").agg(F.count("*").alias("n"))
     split = per.groupBy("node").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.count("*").alias("kinds")).filter("kinds > 1")
     mixed = shared.stored(tagged.join(split, "node"), "mixed")
-    left = mixed.filter("component <> main").select("node", F.col("rid").alias("a"), F.col("component").alias("ca"), F.col("sketch").alias("sa"))
-    right = mixed.select("node", F.col("rid").alias("b"), F.col("component").alias("cb"), F.col("sketch").alias("sb"))
-    bytes_of = lambda c: F.transform(F.sequence(F.lit(0), F.lit(conf.sketch - 1)), lambda i: F.substring(F.hex(c), 2 * i + 1, F.lit(2)))
-    agree = F.size(F.filter(F.zip_with(bytes_of(F.col("sa")), bytes_of(F.col("sb")), lambda x, y: x == y), lambda same: same))
-    pairs = left.join(right, (left["node"] == right["node"]) & (F.col("ca") != F.col("cb")) & (agree >= conf.agree))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    if mixed.isEmpty():
+        return pairs
+    words = [f"f{i}" for i in range(FINE // 64)]
+    fine = shared.stored(_of_ids(texts, mixed.select("rid").distinct()).mapInArrow(_fine_sketches(conf), "rid long, " + ", ".join(f"{w} long" for w in words)), "fine")
+    # A pair that shares nodes in several trees comes out of one of them.
+    nodes = mixed.groupBy("rid").agg(F.collect_set("node").alias("nodes"))
+    mixed = mixed.join(fine, "rid").join(nodes, "rid")
+    side = lambda df, rid, of, mark: df.select("node", F.col("rid").alias(rid), F.col("component").alias(of), *[F.col(k).alias(mark + k) for k in ("nodes", *SKETCH, *words)])
+    x, y = side(mixed.filter("component <> main"), "a", "ca", "x"), side(mixed, "b", "cb", "y")
+    other = lambda k: F.col(f"xs{k}").bitwiseXOR(F.col(f"ys{k}"))
+    differing = F.bit_count(other(0).bitwiseOR(other(2))) + F.bit_count(other(1).bitwiseOR(other(3)))
+    finely = sum((F.bit_count(F.col(f"x{w}").bitwiseXOR(F.col(f"y{w}"))) for w in words), F.lit(0))
+    near = x.join(y, (x["node"] == y["node"]) & (F.col("ca") != F.col("cb")) & (differing <= conf.apart) & (finely <= fine_apart(conf.percent)) & (x["node"] == F.array_min(F.array_intersect("xnodes", "ynodes"))))
+    return pairs.unionByName(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
