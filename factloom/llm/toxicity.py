@@ -77,7 +77,7 @@ def _bags(conf: Bags):
 
 
 def fit_bags(toxic: np.ndarray, bags: list[tuple[np.ndarray, np.ndarray]], conf: Bags = Bags()) -> Model:
-    """Weights from documents: bags[i] are the buckets and their sentences of document i."""
+    """Weights from documents: bags[i] are the buckets and their sentences of document i; the list is used up."""
     n = len(toxic)
     weight, bias = np.zeros(conf.buckets), conf.rest
     if n == 0 or not toxic.any():
@@ -95,13 +95,17 @@ def fit_bags(toxic: np.ndarray, bags: list[tuple[np.ndarray, np.ndarray]], conf:
         if len(sentence):
             _, dense = np.unique(sentence, return_inverse=True)
             column.append(bucket)
-            row.append(dense + at)
-            doc_of.append(np.full(dense[-1] + 1, i))
-            at += dense[-1] + 1
+            row.append((dense + at).astype(np.int32))
+            doc_of.append(np.full(dense[-1] + 1, i, np.int32))
+            at += int(dense[-1]) + 1
+    bags.clear()
     if not column:
         return Model(weight.astype(np.float32), bias, float(np.clip(toxic.mean(), 1e-3, 0.5)))
     column, row, doc_of = np.concatenate(column), np.concatenate(row), np.concatenate(doc_of)
-    names, column = np.unique(column, return_inverse=True)
+    names = np.flatnonzero(np.bincount(column, minlength=conf.buckets))
+    place = np.zeros(conf.buckets, np.int32)
+    place[names] = np.arange(len(names))
+    column = place[column]
     y = toxic.astype(float)
     p1, p0 = (hurt[names] + 0.1) / (y.sum() + 1), (seen[names] - hurt[names] + 0.1) / (n - y.sum() + 1)
     sure = (hurt[names] >= 5) & (p1 > 3 * p0)
@@ -132,8 +136,10 @@ def fit(docs: DataFrame, labels: DataFrame, conf: Bags = Bags()) -> Model:
     some = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share)
     rows = shared.own_columns(docs, "doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "toxic").mapInArrow(_bags(conf), "toxic int, bucket binary, sentence binary").collect()
     rows.sort(key=lambda r: (r["toxic"], bytes(r["bucket"])))
-    as_ids = lambda x: np.frombuffer(x, np.uint32).astype(np.int64)
-    return fit_bags(np.array([r["toxic"] for r in rows], dtype=np.int64), [(as_ids(r["bucket"]), as_ids(r["sentence"])) for r in rows], conf)
+    toxic = np.array([r["toxic"] for r in rows], dtype=np.int64)
+    bags = [(np.frombuffer(r["bucket"], np.uint32), np.frombuffer(r["sentence"], np.uint32)) for r in rows]
+    del rows
+    return fit_bags(toxic, bags, conf)
 
 
 _RESULT = "score double, predicted int, n_sentences long, offending array<struct<start:long,end:long,p:double>>"
