@@ -23,7 +23,7 @@ from . import kernel
 #: Words of more parts than this take the heap.
 SHORT = 96
 #: Chunks that a worker remembers, twice at most; longer chunks are never remembered.
-REMEMBERED = 250_000
+REMEMBERED = 500_000
 LONGEST = 48
 _NONE = 1 << 60
 
