@@ -38,21 +38,29 @@ from .components import components
 class Join:
     """shingle: words a shingle; percent: least Jaccard similarity; trees, levels, small: of the recursion.
 
-    pivots: of a node that stays large.
+    pivots: of a node that stays large; deviations: standard ones above the mean that a sketch of a pair at the threshold may differ by.
     """
 
     shingle: int = 2
     percent: int = 80
-    trees: int = 10
-    levels: int = 5
-    small: int = 12
+    trees: int = 14
+    levels: int = 4
+    small: int = 48
     pivots: int = 6
+    deviations: float = 4.0
+
+    def _most(self, n: int, q: float) -> int:
+        return int(np.ceil(n * q + self.deviations * np.sqrt(n * q * (1 - q))))
 
     @property
     def apart(self) -> int:
-        """Coordinates whose two sketch bits may differ: three standard deviations above the mean at the threshold."""
-        q = (1 - self.percent / 100) * 3 / 4
-        return int(np.ceil(COORDINATES * q + 3 * np.sqrt(COORDINATES * q * (1 - q))))
+        """Coordinates whose two sketch bits may differ."""
+        return self._most(COORDINATES, (1 - self.percent / 100) * 3 / 4)
+
+    @property
+    def fine_apart(self) -> int:
+        """Bits of the fine sketches that may differ."""
+        return self._most(FINE, (1 - self.percent / 100) / 2)
 
 
 #: Minwise values of a set; the sketch holds their lowest bits in two words and the next ones in two more.
@@ -64,11 +72,6 @@ SKETCH = ("s0", "s1", "s2", "s3")
 FINE = 2048
 
 
-def fine_apart(percent: int) -> int:
-    q = (1 - percent / 100) / 2
-    return int(np.ceil(FINE * q + 3 * np.sqrt(FINE * q * (1 - q))))
-
-
 def _differing(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     low, high = np.bitwise_count((x[0] ^ y[0]) | (x[2] ^ y[2])), np.bitwise_count((x[1] ^ y[1]) | (x[3] ^ y[3]))
     return low.astype(np.int64) + high
@@ -414,5 +417,5 @@ def _left(small: list[DataFrame], stay: DataFrame | None, labels: DataFrame, tex
     other = lambda k: F.col(f"xs{k}").bitwiseXOR(F.col(f"ys{k}"))
     differing = F.bit_count(other(0).bitwiseOR(other(2))) + F.bit_count(other(1).bitwiseOR(other(3)))
     finely = sum((F.bit_count(F.col(f"x{w}").bitwiseXOR(F.col(f"y{w}"))) for w in words), F.lit(0))
-    near = x.join(y, (x["node"] == y["node"]) & (F.col("ca") != F.col("cb")) & (differing <= conf.apart) & (finely <= fine_apart(conf.percent)) & (x["node"] == F.array_min(F.array_intersect("xnodes", "ynodes"))))
+    near = x.join(y, (x["node"] == y["node"]) & (F.col("ca") != F.col("cb")) & (differing <= conf.apart) & (finely <= conf.fine_apart) & (x["node"] == F.array_min(F.array_intersect("xnodes", "ynodes"))))
     return pairs.unionByName(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
