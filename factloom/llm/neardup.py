@@ -173,6 +173,21 @@ def _close_pairs(members: pa.ListArray, conf: Join) -> tuple[np.ndarray, np.ndar
     return np.concatenate(left), np.concatenate(right), np.concatenate(far), flat
 
 
+#: Pairs of a node's members that are compared at once.
+PAIRS_AT_ONCE = 400_000
+
+
+def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.ListArray]:
+    """The nodes' members in parts with about so many pairs each, and unused memory given back after the last."""
+    for batch in batches:
+        size = np.diff(np.asarray(batch["members"].offsets)).astype(np.int64)
+        part = np.cumsum(size * size) // (2 * PAIRS_AT_ONCE)
+        cuts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(size)]]).tolist()
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            yield batch["members"].slice(lo, hi - lo)
+    pa.default_memory_pool().release_unused()
+
+
 def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
@@ -181,8 +196,8 @@ def _spanning(conf: Join):
     """Of each small node, a spanning forest of its close pairs, the closest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right, far, flat = _close_pairs(batch["members"], conf)
+        for members in _bounded(batches):
+            left, right, far, flat = _close_pairs(members, conf)
             ids = np.asarray(flat.field("rid"))
             parent: dict[int, int] = {}
 
@@ -207,8 +222,8 @@ def _across(conf: Join):
     """Of each small node, all close pairs of members in different components."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right, _, flat = _close_pairs(batch["members"], conf)
+        for members in _bounded(batches):
+            left, right, _, flat = _close_pairs(members, conf)
             ids, of = np.asarray(flat.field("rid")), np.asarray(flat.field("component"))
             cross = of[left] != of[right]
             yield _pairs(ids[left[cross]], ids[right[cross]])

@@ -122,6 +122,31 @@ def test_large_group_of_near_copies(spark):
     assert got == {i: c for i, (_, c) in brute_classes(texts, 2, 80).items()}
 
 
+def test_members_on_the_edge_of_a_group(spark):
+    """Texts just above the threshold to members of mid-sized groups stay linked."""
+    rng = np.random.default_rng(9)
+    made = []
+    for g in range(6):
+        base = [f"g{g}w{x}" for x in range(150)]
+        for i in range(60):
+            w = list(base)
+            for at in rng.choice(150, 12 if i % 15 == 0 else 3, replace=False):
+                w[at] = f"e{rng.integers(1 << 30)}"
+            made.append((g * 100 + i, " ".join(w)))
+    got = {r["doc_id"]: r["component_id"] for r in neardup.similarity_classes(table(spark, made)).collect()}
+    assert got == {i: c for i, (_, c) in brute_classes(dict(made), 2, 80).items()}
+
+
+def test_nodes_are_compared_in_parts():
+    import pyarrow as pa
+
+    sizes = [900, 2, 3, 900, 48, 48, 0, 1]
+    lists = pa.array([list(range(n)) for n in sizes], pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays([lists], names=["members"])
+    parts = list(neardup._bounded(iter([batch, batch.slice(0, 0)])))
+    assert [len(x) for p in parts for x in p.to_pylist()] == sizes and len(parts) > 2
+
+
 def test_quality_figures(docs, texts, spark, sf):
     out = quality.judge(docs, spark.read.parquet(f"{sf}/labels.parquet")).collect()
     for r in out:
