@@ -4,11 +4,11 @@ Smoothed 1- to 3-grams become states with failure arcs.  One left-to-right
 traversal of a text carries the state, follows failure arcs until the next
 word has an arc, and adds up log10 probabilities.
 
-Words are known by 64-bit hashes.  Counts cover every training document; the
-table of all word counts stays distributed.  The automaton that tasks hold is
-bounded by parameters: its n-grams are those of the most frequent words, cut
-at the count where they fit.  A word outside it leads to the root, and its
-unigram weight comes from the full table by a join.
+Words and n-grams are known by 64-bit hashes.  Counts cover every training
+document; the model holds all words, and all 2- and 3-grams from a fixed count
+on, in distributed tables.  Tasks hold a hot part of the automaton, bounded by
+parameters, with the whole model's backoff weights.  What a word or n-gram
+outside it adds to the traversal comes from the tables by a join.
 """
 
 from __future__ import annotations
@@ -26,8 +26,9 @@ from . import kernel, shared
 
 @dataclass(frozen=True)
 class Orders:
-    """head: words whose counts tasks hold; pairs, triples: words that may be in 2- and 3-grams;
-    grams: of each order that the automaton may hold; discount: of 2- and 3-grams; smoothing: of the base score.
+    """head: words whose counts tasks hold; pairs, triples: words of the 2- and 3-grams that tasks hold;
+    grams: of each order that tasks may hold; discount: of 2- and 3-grams; smoothing: of the base score;
+    least: the count from which a 2- or 3-gram is in the model.
     """
 
     head: int = 1 << 17
@@ -36,6 +37,7 @@ class Orders:
     grams: int = 1 << 18
     discount: float = 0.6
     smoothing: float = 0.1
+    least: int = 2
 
 
 END = kernel.mix_int(0x656E64)
@@ -103,29 +105,71 @@ def _ids(hashes: np.ndarray, sorted_head: np.ndarray) -> np.ndarray:
     return np.where(sorted_head[at] == hashes, at, -1) if len(sorted_head) else np.full(len(hashes), -1)
 
 
-def _count_grams(head: np.ndarray, rank: np.ndarray, conf: Orders):
-    """2- and 3-grams by frequency ranks of their words; the end token also opens each document."""
+def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return kernel.mix(kernel.mix(before + np.uint64(2)) * np.uint64(0x2545F4914F6CDD1D) + word)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        two, three = _Counter(), _Counter()
-        end = int(rank[_ids(np.array([END], np.uint64), head)[0]])
-        for batch in batches:
-            for _, _, data, offsets in kernel.blocks(batch["text"]):
-                stream, first = token_stream(data, offsets)
-                ids = _ids(stream, head)
-                word = np.where(ids >= 0, rank[ids], 1 << 30).astype(np.int64)
-                before = np.concatenate([[end], word[:-1]])
-                before[first[:-1]] = end
-                earlier = np.concatenate([[1 << 30], before[:-1]])
-                earlier[first[:-1]] = 1 << 30
-                at = (word < conf.pairs) & (before < conf.pairs)
-                two.add((before[at] * conf.pairs + word[at]).astype(np.uint64))
-                at = (word < conf.triples) & (before < conf.triples) & (earlier < conf.triples)
-                three.add(((earlier[at] * conf.triples + before[at]) * conf.triples + word[at]).astype(np.uint64))
-        yield from two.batches(order=2)
-        yield from three.batches(order=3)
 
-    return run
+def triple_keys(pre: np.ndarray, suf: np.ndarray) -> np.ndarray:
+    """Of the keys of the first and the last two words."""
+    return kernel.mix(kernel.mix(pre + np.uint64(3)) * np.uint64(0x9FB21C651E98DF25) + suf)
+
+
+def _contexts(stream: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The word before each one (the end token opens each document), the pairs' keys, and where a 3-gram ends."""
+    before = np.concatenate([np.array([END], np.uint64), stream[:-1]])
+    before[first[:-1]] = END
+    third = np.ones(len(stream), bool)
+    third[first[:-1]] = False
+    return before, pair_keys(before, stream), np.flatnonzero(third)
+
+
+class _Grams:
+    """Counts of n-grams in one task; what doesn't fit is given out and combined later."""
+
+    def __init__(self, order: int, most: int = 1 << 20):
+        self.order, self.most, self.size = order, most, 0
+        self.parts: list[tuple[np.ndarray, ...]] = []
+
+    def add(self, key: np.ndarray, pre: np.ndarray, suf: np.ndarray) -> Iterator[pa.RecordBatch]:
+        _, at, count = np.unique(key, return_index=True, return_counts=True)
+        self.parts.append((key[at], pre[at], suf[at], count.astype(np.int64)))
+        self.size += len(at)
+        if self.size > self.most:
+            yield from self.batches()
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        if not self.parts:
+            return
+        key, pre, suf, count = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        self.parts, self.size = [], 0
+        order = np.argsort(key, kind="stable")
+        at = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]])[: len(key)])
+        n, kept = np.add.reduceat(count[order], at) if len(at) else count, order[at]
+        pre, suf = pre[kept].view(np.int64), suf[kept].view(np.int64)
+        for lo in range(0, len(n), 1 << 17):
+            part = slice(lo, lo + (1 << 17))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n[part]), self.order, np.int32)), pa.array(pre[part]), pa.array(suf[part]), pa.array(n[part])], names=["order", "pre", "suf", "n"])
+
+
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All 2-grams as (word, word) and all 3-grams as (pair, pair)."""
+    two, three = _Grams(2), _Grams(3)
+    for batch in batches:
+        for _, _, data, offsets in kernel.blocks(batch["text"]):
+            stream, first = token_stream(data, offsets)
+            before, pair, third = _contexts(stream, first)
+            yield from two.add(pair, before, stream)
+            yield from three.add(triple_keys(pair[third - 1], pair[third]), pair[third - 1], pair[third])
+    yield from two.batches()
+    yield from three.batches()
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        order, pre, suf = (batch[c].to_numpy(zero_copy_only=False) for c in ("order", "pre", "suf"))
+        pre, suf = pre.view(np.uint64), suf.view(np.uint64)
+        key = np.where(order == 2, pair_keys(pre, suf), triple_keys(pre, suf))
+        yield pa.RecordBatch.from_arrays([batch["order"], pa.array(key.view(np.int64)), batch["pre"], batch["suf"], batch["n"]], names=["order", "key", "pre", "suf", "n"])
 
 
 @dataclass
@@ -159,8 +203,11 @@ class Automaton:
         return total
 
 
-def build(unigram: np.ndarray, two: dict[int, int], three: dict[int, int], total: int, d1: float, conf: Orders) -> Automaton:
-    """unigram: counts by rank of the words that n-grams may hold; two, three: kept n-grams' counts."""
+def build(unigram: np.ndarray, two: dict[int, int], three: dict[int, int], total: int, d1: float, conf: Orders, backs: tuple[np.ndarray, dict[int, float]] | None = None) -> Automaton:
+    """unigram: counts by rank of the words that n-grams may hold; two, three: kept n-grams' counts.
+
+    backs: backoff weights by word and by pair, if these n-grams are a part of a larger model.
+    """
     width = conf.pairs
     p1 = (unigram - d1) / total
     arcs: dict[int, tuple[float, int]] = {w: (float(np.log10(p)), 1 + w) for w, p in enumerate(p1)}
@@ -197,6 +244,10 @@ def build(unigram: np.ndarray, two: dict[int, int], three: dict[int, int], total
         arcs[state_of[pair] * width + w] = (float(np.log10(p)), state_of.get(v * width + w, 1 + w))
     for pair, p in kept2.items():
         back[state_of[pair]] = float(np.log10(max(1 - p, 1e-9) / max(1 - below2[pair], 1e-9)))
+    if backs:
+        back[1 : n + 1] = backs[0][:n].tolist()
+        for pair, state in state_of.items():
+            back[state] = backs[1].get(pair, 0.0)
     down = [0.0] * len(fail)
     for s in range(1, len(fail)):
         down[s] = back[s] + down[fail[s]]
@@ -205,15 +256,18 @@ def build(unigram: np.ndarray, two: dict[int, int], three: dict[int, int], total
 
 @dataclass
 class Model:
-    words: DataFrame  # key, n: every training word's count, stored
+    words: DataFrame  # key, n, value: every training word's count and weight, stored
+    grams: DataFrame | None  # key, value: the weight that each kept 2- and 3-gram adds, stored
     total: int
     distinct: int
     d1: float
     head: np.ndarray  # sorted hashes
     count: np.ndarray  # their counts
     rank: np.ndarray  # their ranks by falling count
-    two: dict[int, int]
+    back: np.ndarray  # their backoff weights
+    two: dict[int, int]  # the hot n-grams
     three: dict[int, int]
+    back2: dict[int, float]  # backoff weights of hot pairs
 
 
 def _cutoff(counts: DataFrame, most: int) -> int:
@@ -227,46 +281,109 @@ def _cutoff(counts: DataFrame, most: int) -> int:
     return cut
 
 
+def _log_ratio(kept: str, below: str):
+    rest = lambda c: F.greatest(1 - F.sum(c), F.lit(1e-9))
+    return F.log10(rest(kept) / rest(below))
+
+
+def _weighed(words: DataFrame, grams: DataFrame, total: int, d1: float, conf: Orders) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(words with back and value, 2-grams and 3-grams with back and value), stored.
+
+    A word adds its own weight and its backoff weight.  A 2- or 3-gram adds
+    what it changes against backing off at its place, and a pair its backoff
+    weight as well.  The sum over a text is the whole automaton's traversal.
+    """
+    col, order = F.col, lambda k: grams.filter(F.col("order") == k).drop("order")
+    p1 = words.select("key", "n", ((col("n") - d1) / float(max(total, 1))).alias("p1"))
+    two = order(2).join(p1.select(col("key").alias("pre"), col("n").alias("n_pre")), "pre").join(p1.select(col("key").alias("suf"), "p1"), "suf")
+    two = shared.stored(two.withColumn("p", (col("n") - conf.discount) / col("n_pre")).drop("n_pre"), "two")
+    back1 = two.groupBy("pre").agg(_log_ratio("p", "p1").alias("back"))
+    one = p1.join(back1.withColumnRenamed("pre", "key"), "key", "left").withColumn("back", F.coalesce("back", F.lit(0.0)))
+    one = shared.stored(one.select("key", "n", "back", (F.log10("p1") + col("back")).alias("value")), "words")
+    three = order(3).join(two.select(col("key").alias("pre"), col("n").alias("n_pre")), "pre").join(two.select(col("key").alias("suf"), col("p").alias("p2")), "suf")
+    three = shared.stored(three.withColumn("p", (col("n") - conf.discount) / col("n_pre")).drop("n_pre"), "three")
+    back2 = shared.stored(three.groupBy("pre").agg(_log_ratio("p", "p2").alias("back")), "back2")
+    pairs = two.join(back2.withColumnRenamed("pre", "key"), "key", "left").withColumn("back", F.coalesce("back", F.lit(0.0))).join(one.select(col("key").alias("pre"), col("back").alias("back1")), "pre")
+    pairs = shared.stored(pairs.select("key", "pre", "suf", "n", "back", (F.log10("p") - col("back1") - F.log10("p1") + col("back")).alias("value")), "pairs")
+    triples = shared.stored(three.join(back2, "pre").select("key", "pre", "suf", "n", (F.log10("p") - col("back") - F.log10("p2")).alias("value")), "triples")
+    shared.drop(two, three, back2)
+    return one, pairs, triples
+
+
+def _hot(pairs: DataFrame, triples: DataFrame, head: np.ndarray, rank: np.ndarray, conf: Orders) -> tuple[dict[int, int], dict[int, int], dict[int, float]]:
+    """The n-grams that tasks hold, by ranks; a 3-gram only beside both of its pairs."""
+    spark, col = pairs.sparkSession, F.col
+    at = np.flatnonzero(rank < conf.pairs)
+    ranks = F.broadcast(spark.createDataFrame(list(zip(head[at].view(np.int64).tolist(), rank[at].tolist(), strict=True)), "key long, rank long"))
+    named = lambda c, r: ranks.select(col("key").alias(c), col("rank").alias(r))
+    own = pairs.join(named("pre", "u"), "pre").join(named("suf", "w"), "suf").select("key", "u", "w", "n", "back")
+    rows = (own := own.filter(col("n") >= _cutoff(own, conf.grams))).collect()
+    two = {r["u"] * conf.pairs + r["w"]: r["n"] for r in rows}
+    back2 = {r["u"] * conf.pairs + r["w"]: r["back"] for r in rows}
+    near = F.broadcast(own.filter((col("u") < conf.triples) & (col("w") < conf.triples)))
+    both = triples.join(near.select(col("key").alias("pre"), "u", col("w").alias("v")), "pre").join(near.select(col("key").alias("suf"), "w"), "suf").select("u", "v", "w", "n")
+    rows = both.filter(col("n") >= _cutoff(both, conf.grams)).collect()
+    return two, {(r["u"] * conf.triples + r["v"]) * conf.triples + r["w"]: r["n"] for r in rows}, back2
+
+
 def fit(train: DataFrame, conf: Orders = Orders()) -> Model:
-    """Count every word of every training text, and all 2- and 3-grams of the frequent ones."""
+    """Count every word, 2- and 3-gram of every training text; n-grams are kept from ``least`` times on."""
     texts = train.select("text")
-    words = shared.stored(texts.mapInArrow(_count_words, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "words")
-    s = words.agg(F.sum("n").alias("total"), F.count("*").alias("v"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")).first()
+    counted = shared.stored(texts.mapInArrow(_count_words, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "counted")
+    s = counted.agg(F.sum("n").alias("total"), F.count("*").alias("v"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")).first()
     total, distinct = s["total"] or 0, s["v"]
     d1 = float(np.clip(s["n1"] / max(1, s["n1"] + 2 * s["n2"]), 0.1, 0.95))
-    rows = words.filter((F.col("n") >= _cutoff(words, conf.head)) | (F.col("key") == _signed(END))).select("key", "n").collect()
+    counts = texts.mapInArrow(_count_grams, "order int, pre long, suf long, n long").groupBy("order", "pre", "suf").agg(F.sum("n").alias("n"))
+    grams = shared.stored(counts.filter(F.col("n") >= conf.least).mapInArrow(_keyed, "order int, key long, pre long, suf long, n long"), "grams")
+    words, pairs, triples = _weighed(counted, grams, total, d1, conf)
+    rows = words.filter((F.col("n") >= _cutoff(words, conf.head)) | (F.col("key") == _signed(END))).select("key", "n", "back").collect()
     head = np.array([r["key"] for r in rows], np.int64).view(np.uint64)
-    count = np.array([r["n"] for r in rows], np.int64)
+    count, back = np.array([r["n"] for r in rows], np.int64), np.array([r["back"] for r in rows], float)
     order = np.argsort(head)
-    head, count = head[order], count[order]
+    head, count, back = head[order], count[order], back[order]
     rank = np.empty(len(head), np.int64)
     rank[np.lexsort((head, -count))] = np.arange(len(head))
-    two: dict[int, int] = {}
-    three: dict[int, int] = {}
-    if len(head):
-        grams = shared.stored(texts.mapInArrow(_count_grams(head, rank, conf), "order int, key long, n long").groupBy("order", "key").agg(F.sum("n").alias("n")), "grams")
-        for order_, held in ((2, two), (3, three)):
-            own = grams.filter(F.col("order") == order_)
-            least = max(2, _cutoff(own, conf.grams))
-            held.update((r["key"], r["n"]) for r in own.filter(F.col("n") >= least).select("key", "n").collect())
-        shared.drop(grams)
-    return Model(words, total, distinct, d1, head, count, rank, two, three)
-
-
-_PARTIAL = "rid long, doc_id long, n_tokens long, n_known long, base double, part double, tail array<long>"
-
-
-def _traverse(head: np.ndarray, count: np.ndarray, rank: np.ndarray, packed: tuple, total: int, distinct: int, d1: float, conf: Orders):
+    two, three, back2 = _hot(pairs, triples, head, rank, conf) if len(head) else ({}, {}, {})
+    values = pairs.select("key", "value").unionByName(triples.select("key", "value"))
+    shared.drop(counted, grams)
+    return Model(words, values, total, distinct, d1, head, count, rank, back, two, three, back2)
+
+
+def _cold(stream: np.ndarray, first: np.ndarray, word: np.ndarray, keys2: np.ndarray, keys3: np.ndarray, end: int, conf: Orders) -> pa.ListArray:
+    """Keys of each row's 2- and 3-grams that the automaton doesn't hold."""
+    held = lambda x, keys: keys[np.minimum(np.searchsorted(keys, x), len(keys) - 1)] == x if len(keys) else np.zeros(len(x), bool)
+    _, pair, third = _contexts(stream, first)
+    before = np.concatenate([[end], word[:-1]])
+    before[first[:-1]] = end
+    hot2 = (word < conf.pairs) & (before < conf.pairs)
+    hot2[hot2] = held(before[hot2] * conf.pairs + word[hot2], keys2)
+    u, v, w = before[third - 1], before[third], word[third]
+    hot3 = (u < conf.triples) & (v < conf.triples) & (w < conf.triples)
+    hot3[hot3] = held((u[hot3] * conf.triples + v[hot3]) * conf.triples + w[hot3], keys3)
+    third = third[~hot3]
+    at = np.concatenate([np.flatnonzero(~hot2), third])
+    key = np.concatenate([pair[~hot2], triple_keys(pair[third - 1], pair[third])])
+    row = np.searchsorted(first, at, "right") - 1
+    order = np.argsort(row, kind="stable")
+    ends = np.searchsorted(row[order], np.arange(len(first)), "left")
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(key[order].view(np.int64)))
+
+
+_PARTIAL = "rid long, doc_id long, n_tokens long, n_known long, base double, part double, tail array<long>, cold array<long>"
+
+
+def _traverse(head: np.ndarray, count: np.ndarray, rank: np.ndarray, back: np.ndarray, packed: tuple, total: int, distinct: int, d1: float, conf: Orders):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         at = TaskContext.get().partitionId() << 40
-        keys2, n2, keys3, n3 = packed
+        keys2, n2, keys3, n3, back2 = packed
         by_rank = np.sort(count)[::-1][: conf.pairs]
-        automaton = build(by_rank.astype(float), dict(zip(keys2.tolist(), n2.tolist(), strict=True)), dict(zip(keys3.tolist(), n3.tolist(), strict=True)), max(total, 1), d1, conf)
+        automaton = build(by_rank.astype(float), dict(zip(keys2.tolist(), n2.tolist(), strict=True)), dict(zip(keys3.tolist(), n3.tolist(), strict=True)), max(total, 1), d1, conf, (back[np.argsort(rank)], dict(zip(keys2.tolist(), back2.tolist(), strict=True))))
         base_of = np.log10((count + conf.smoothing) / (total + conf.smoothing * (distinct + 1)))
-        rest_of = np.where(rank < conf.pairs, 0.0, np.log10((count - d1) / max(total, 1)))
+        rest_of = np.where(rank < conf.pairs, 0.0, np.log10((count - d1) / max(total, 1)) + back)
         opens = 1 + int(rank[np.searchsorted(head, np.uint64(END))]) if len(head) and by_rank.size and rank[np.searchsorted(head, np.uint64(END))] < conf.pairs else 0
+        end = int(rank[np.searchsorted(head, np.uint64(END))]) if len(head) else 1 << 30
         per = lambda x, first: np.diff(np.concatenate([[0], np.cumsum(x)])[first])
         for batch in batches:
             for lo, hi, data, offsets in kernel.blocks(batch["text"]):
@@ -278,9 +395,10 @@ def _traverse(head: np.ndarray, count: np.ndarray, rank: np.ndarray, packed: tup
                 words = np.where(known, rank[ids] if len(head) else 0, 1 << 30).tolist()
                 score = [automaton.traverse(words[a:b], opens) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
                 tail = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per(~known, first))]).astype(np.int32)), pa.array(stream[~known].view(np.int64)))
+                cold = _cold(stream, first, np.where(known, rank[ids] if len(head) else 0, 1 << 30), keys2, keys3, end, conf)
                 rid = np.arange(at, at + hi - lo)
                 at += hi - lo
-                yield pa.RecordBatch.from_arrays([pa.array(rid), batch["doc_id"].slice(lo, hi - lo).cast(pa.int64()), pa.array(np.diff(first)), pa.array(per(known, first)), pa.array(base), pa.array(part + np.array(score)), tail], names=["rid", "doc_id", "n_tokens", "n_known", "base", "part", "tail"])
+                yield pa.RecordBatch.from_arrays([pa.array(rid), batch["doc_id"].slice(lo, hi - lo).cast(pa.int64()), pa.array(np.diff(first)), pa.array(per(known, first)), pa.array(base), pa.array(part + np.array(score)), tail, cold], names=["rid", "doc_id", "n_tokens", "n_known", "base", "part", "tail", "cold"])
 
     return run
 
@@ -294,15 +412,17 @@ def scored(docs: DataFrame, model: Model, conf: Orders = Orders()) -> DataFrame:
     unknown word.
     """
     as_arrays = lambda d: (np.array(sorted(d), np.int64), np.array([d[k] for k in sorted(d)], np.int64))
-    packed = (*as_arrays(model.two), *as_arrays(model.three))
-    run = _traverse(model.head, model.count, model.rank, packed, model.total, model.distinct, model.d1, conf)
+    packed = (*as_arrays(model.two), *as_arrays(model.three), np.array([model.back2[k] for k in sorted(model.two)], float))
+    run = _traverse(model.head, model.count, model.rank, model.back, packed, model.total, model.distinct, model.d1, conf)
     partial = shared.stored(docs.select(docs["doc_id"], docs["text"]).mapInArrow(run, _PARTIAL), "partial")
     whole = float(model.total + conf.smoothing * (model.distinct + 1))
     unknown = model.d1 * model.distinct / model.total if model.total else 1.0
     tail = partial.select("rid", F.explode("tail").alias("key")).join(model.words, "key", "left")
     c = F.coalesce("n", F.lit(0))
-    weight = F.log10(F.when(c > 0, (c - F.lit(model.d1)) / F.lit(float(max(model.total, 1)))).otherwise(F.lit(float(unknown))))
+    weight = F.log10(F.lit(float(unknown)))
+    weight = F.coalesce("value", weight)
     sums = tail.groupBy("rid").agg(F.sum(F.log10((c + F.lit(conf.smoothing)) / F.lit(whole))).alias("b"), F.sum(weight).alias("s"), F.count_if(c > 0).alias("k"))
+    grams = partial.select("rid", F.explode("cold").alias("key")).join(model.grams, "key").groupBy("rid").agg(F.sum("value").alias("g"))
     zero = lambda x: F.coalesce(x, F.lit(0))
-    out = partial.drop("tail").join(sums, "rid", "left")
-    return out.select("doc_id", "n_tokens", (F.col("n_known") + zero("k")).alias("n_known"), F.lit(int(model.total)).cast("long").alias("train_tokens"), (F.col("base") + zero("b")).alias("base_score"), (F.col("part") + zero("s")).alias("score"))
+    out = partial.drop("tail", "cold").join(sums, "rid", "left").join(grams, "rid", "left")
+    return out.select("doc_id", "n_tokens", (F.col("n_known") + zero("k")).alias("n_known"), F.lit(int(model.total)).cast("long").alias("train_tokens"), (F.col("base") + zero("b")).alias("base_score"), (F.col("part") + zero("s") + zero("g")).alias("score"))

@@ -246,6 +246,38 @@ def test_lm(docs, texts, spark):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+@pytest.mark.parametrize("conf", [lm.Orders(head=512, pairs=128, triples=32, grams=4096), lm.Orders(head=64, pairs=16, triples=4, grams=8), lm.Orders()])
+def test_lm_holds_every_gram_whatever_is_hot(docs, texts, conf):
+    tok = lambda t: [*words(t.translate(str.maketrans(urlfilter.UPPER, urlfilter.LOWER))), None]
+    train = [tok(t) for i, t in texts.items() if zlib.crc32(str(i).encode()) % 10]
+    one = collections.Counter(w for t in train for w in t)
+    two = collections.Counter(g for t in train for g in zip([None, *t], t))
+    three = collections.Counter(g for t in train for g in zip([None, *t], t, t[1:]))
+    two, three = ({g: c for g, c in x.items() if c > 1} for x in (two, three))
+    total, n1, n2 = sum(one.values()), *(sum(c == k for c in one.values()) for k in (1, 2))
+    d = min(max(n1 / max(1, n1 + 2 * n2), 0.1), 0.95)
+    p1, p2 = {w: (c - d) / total for w, c in one.items()}, {(u, w): (c - 0.6) / one[u] for (u, w), c in two.items()}
+    p3 = {g: (c - 0.6) / two[g[:2]] for g, c in three.items()}
+    kept, below = collections.Counter(), collections.Counter()
+    for (u, w), p in p2.items():
+        kept[u] += p
+        below[u] += p1[w]
+    for g, p in p3.items():
+        kept[g[:2]] += p
+        below[g[:2]] += p2[g[1:]]
+    back = {h: max(1 - kept[h], 1e-9) / max(1 - below[h], 1e-9) for h in kept}
+
+    def weight(u, v, w):
+        pair = p2.get((v, w)) or back.get(v, 1) * p1.get(w, d * len(one) / total)
+        return math.log10(pair if u == "" else p3.get((u, v, w)) or back.get((u, v), 1) * pair)
+
+    model = lm.fit(docs.filter(kernel.crc32_mod("doc_id", 10) != 0), conf)
+    assert len(three) > len(model.three) or conf == lm.Orders()
+    for r in lm.scored(docs, model, conf).collect():
+        t = tok(texts[r["doc_id"]])
+        assert r["score"] == pytest.approx(sum(weight(*g) for g in zip(["", None, *t], [None, *t], t)), rel=1e-9, abs=1e-6)
+
+
 def test_automaton_is_a_distribution(docs):
     conf = lm.Orders(head=4096, pairs=64, triples=16, grams=512)
     model = lm.fit(docs, conf)
