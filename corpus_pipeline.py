@@ -39,8 +39,8 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, later repeated runs of lines deleted; n_chars follows the text."""
-    out = linededup.dedup(docs).select(*docs.columns)
+    """Every document, later repeated passages deleted; n_chars follows the text."""
+    out = linededup.dedup_passages(docs).select(*docs.columns)
     return out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 

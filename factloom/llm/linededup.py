@@ -7,6 +7,9 @@ it, so any run of at least ``words`` words that repeats holds a whole window
 in both places, with the same selection: a guaranteed fingerprint.  Positions
 are joined on the fingerprint together with the window's own hash, matches
 are extended both ways, and later repeated runs are deleted.
+
+``dedup_passages`` does the same with words as units, so that passages that
+begin or end inside a line go too: the queries use it.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -182,3 +186,133 @@ def dedup(docs: DataFrame, conf: Runs = Runs()) -> DataFrame:
     left = F.filter(lines, lambda line, i: ~F.exists("_gone", lambda r: (i >= r["lo"]) & (i <= r["hi"])))
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
     return joined.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns if c != "removed"], F.coalesce("_gone", F.array().cast("array<struct<lo:int,hi:int>>")).alias("removed"))
+
+
+class Passages:
+    """The windows of ``words`` words of a block, wherever they begin: first word, hash, and the place of the shingle that each selects."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, conf: Runs):
+        self.of = kernel.Words(data, offsets)
+        n, row = len(self.of.hash), self.of.row
+        left = self.of.first[1:][row] - np.arange(n) if n else np.zeros(0, np.int64)
+        power, inverse = kernel._powers(_BASE, n + 1), kernel._powers(pow(_BASE, -1, 1 << 64), n + 1)
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.of.hash * power[:n], dtype=np.uint64)])
+        run = lambda at, k: kernel.mix((total[at + k] - total[at]) * inverse[at] + np.uint64(k))
+        self.at = np.flatnonzero(left >= conf.words)
+        self.hash = run(self.at, conf.words)
+        self.row = row[self.at]
+        inside = conf.words - conf.shingle_words + 1
+        self.shingle = run(np.arange(max(0, n - conf.shingle_words + 1)), conf.shingle_words)
+        least, place, width = self.shingle, np.arange(len(self.shingle)), 1
+        while width < inside:  # the least of ``width`` shingles from each one on, the earliest of equal ones
+            step = min(width, inside - width)
+            other = least[step:] < least[: len(least) - step]
+            least, place = np.where(other, least[step:], least[: len(least) - step]), np.where(other, place[step:], place[: len(place) - step])
+            width += step
+        self.chosen = place[self.at]
+
+
+def _shingles(conf: Runs):
+    """One row a selected shingle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, _, data, offsets in kernel.blocks(batch["text"]):
+                x = Passages(data, offsets, conf)
+                place, at = np.unique(x.chosen, return_index=True)
+                row = x.row[at]
+                yield pa.RecordBatch.from_arrays([batch["rid"].take(pa.array(row + lo)), pa.array((place - x.of.first[row]).astype(np.int32)), pa.array(x.shingle[place].view(np.int64))], names=["rid", "place", "s"])
+
+    return run
+
+
+def _candidates(conf: Runs):
+    """One row a window whose selected shingle is at a given place of its text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            given = batch["places"]
+            for lo, hi, data, offsets in kernel.blocks(batch["text"]):
+                x = Passages(data, offsets, conf)
+                part = given.slice(lo, hi - lo)
+                marked = np.zeros(len(x.of.hash) + 1, bool)
+                marked[np.repeat(x.of.first[:-1], part.value_lengths().to_numpy()) + part.flatten().to_numpy()] = True
+                keep = marked[x.chosen]
+                row = x.row[keep]
+                taken = pa.array(row + lo)
+                yield pa.RecordBatch.from_arrays([batch["rid"].take(taken), batch["ord"].take(taken), pa.array((x.at[keep] - x.of.first[row]).astype(np.int32)), pa.array(x.hash[keep].view(np.int64))], names=["rid", "ord", "place", "h"])
+
+    return run
+
+
+def _joined_spans(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for places in batch["places"]:
+                at = np.sort(places.values.to_numpy(zero_copy_only=False))
+                new = np.flatnonzero(np.diff(at) > words)
+                out.append([{"lo": int(a), "hi": int(b) + words - 1} for a, b in zip(at[np.concatenate([[0], new + 1])], at[np.concatenate([new, [len(at) - 1]])], strict=True)])
+            yield pa.RecordBatch.from_arrays([batch["rid"], pa.array(out, pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())])))], names=["rid", "removed"])
+
+    return run
+
+
+def _beside(runs: DataFrame, size: str) -> DataFrame:
+    """Runs by their text, broadcast if they are few."""
+    held = runs.agg(F.coalesce(F.sum(F.size(size) + 1), F.lit(0))).first()[0]
+    return F.broadcast(runs) if held <= BROADCAST_RANGES else runs
+
+
+def repeated_passages(docs: DataFrame, conf: Runs = Runs()) -> DataFrame:
+    """(rid, removed): for each text, the merged ranges of the words in windows that occur at an earlier place.
+
+    Two equal windows select equal shingles, so only windows whose shingle is
+    selected at two places are compared.  Earlier is by (doc_id, row, word),
+    null ids last; a passage may repeat inside one text.
+    """
+    base = shared.own_columns(docs, "doc_id", "text").select(_row_id().alias("rid"), F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("ord"), "text")
+    chosen = shared.stored(base.select("rid", "text").mapInArrow(_shingles(conf), "rid long, place int, s long"), "shingles")
+    place = F.struct("rid", "place")
+    twice = chosen.groupBy("s").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a <> b").select("s")
+    places = shared.stored(chosen.join(twice, "s").groupBy("rid").agg(F.collect_set("place").alias("places")), "places")
+    table = shared.stored(base.join(_beside(places, "places"), "rid").mapInArrow(_candidates(conf), "rid long, ord long, place int, h long"), "windows")
+    at = F.struct("ord", "rid", "place")
+    firsts = table.groupBy("h").agg(F.min(at).alias("first"), F.max(at).alias("latest")).filter("first <> latest").select("h", "first")
+    later = table.join(firsts, "h").filter(at != F.col("first")).groupBy("rid").agg(F.collect_set("place").alias("places"))
+    out = shared.stored(later.mapInArrow(_joined_spans(conf.words), "rid long, removed array<struct<lo:int,hi:int>>"), "removed")
+    shared.drop(chosen, places, table)
+    return out
+
+
+def _without(text: bytes, gone: list[dict[str, int]]) -> bytes:
+    """A text without ranges of its words; of the white space at both ends of a range, the side with a line break stays."""
+    at = kernel.Words(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    starts, ends, out, done = at.starts.tolist(), at.ends.tolist(), [], 0
+    for r in gone:
+        a, b = r["lo"], r["hi"]
+        before = text[ends[a - 1] if a else 0 : starts[a]]
+        lo, hi = starts[a], starts[b + 1] if b + 1 < len(starts) else len(text)
+        if b + 1 == len(starts) or (b"\n" not in before and b"\n" in text[ends[b] : hi]):
+            lo, hi = lo - len(before), len(text) if b + 1 == len(starts) else ends[b]
+        out.append(text[done:lo])
+        done = max(done, hi)
+    return b"".join([*out, text[done:]])
+
+
+def dedup_passages(docs: DataFrame, conf: Runs = Runs()) -> DataFrame:
+    """Every row of ``docs`` with later repeated passages deleted from ``text``, and ``removed``, their word ranges.
+
+    A passage may begin and end inside a line.  Words are parted by ASCII white
+    space and compared byte for byte; of the window size on, every word in a
+    repeat goes.  Else as :func:`dedup`.
+    """
+    runs = repeated_passages(docs, conf).select(F.col("rid").alias("_run_of"), F.col("removed").alias("_gone"))
+    joined = docs.withColumn("_row", _row_id()).join(_beside(runs, "_gone"), F.col("_row") == F.col("_run_of"), "left")
+
+    @F.pandas_udf("string")
+    def left(text: pd.Series, gone: pd.Series) -> pd.Series:
+        return pd.Series([_without((t or "").encode(), g).decode() for t, g in zip(text, gone, strict=True)], dtype=object)
+
+    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left("text", F.coalesce("_gone", F.array().cast("array<struct<lo:int,hi:int>>"))))
+    return joined.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns if c != "removed"], F.coalesce("_gone", F.array().cast("array<struct<lo:int,hi:int>>")).alias("removed"))

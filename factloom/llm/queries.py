@@ -57,7 +57,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = linededup.dedup(_table(spark, sf_dir, "documents"))
+    out = linededup.dedup_passages(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "text", "removed")
 
 

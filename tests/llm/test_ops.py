@@ -231,6 +231,26 @@ def test_passage_goes_and_short_lines_stay(spark):
     assert got == {1: made[0][1], 2: "two two\nother end", 3: made[2][1], 4: ""} or got == {1: made[0][1], 2: "two two\nother end", 3: made[2][1], 4: "shared line"}
 
 
+def test_passages_inside_lines(docs, texts, spark, sf):
+    seen, gone = set(), {}
+    for i, t in sorted(texts.items()):
+        w = words(t)
+        gone[i] = set()
+        for a in range(len(w) - 49):
+            key = tuple(w[a : a + 50])
+            gone[i] |= set(range(a, a + 50)) if key in seen else set()
+            seen.add(key)
+    got = queries.op7_line_dedup(spark, sf).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert {k for s in r["removed"] for k in range(s["lo"], s["hi"] + 1)} == gone[r["doc_id"]]
+        assert words(r["text"]) == [x for k, x in enumerate(words(texts[r["doc_id"]])) if k not in gone[r["doc_id"]]]
+    passage = " ".join(f"p{i}" for i in range(55))
+    y = " ".join(f"y{i}" for i in range(40))
+    made = [(1, f"one {passage} two"), (2, f"start {passage} same line\nend"), (3, f"x\n{passage} y\n{y}"), (4, f"a {passage}\nnext"), (5, f"z {passage} y\n{y}"), (6, None), (7, passage)]
+    assert {r["doc_id"]: r["text"] for r in linededup.dedup_passages(table(spark, made)).collect()} == {1: made[0][1], 2: "start same line\nend", 3: f"x\ny\n{y}", 4: "a\nnext", 5: "z", 6: None, 7: ""}
+
+
 def test_lm(docs, texts, spark):
     tok = lambda t: [*words(t.translate(str.maketrans(urlfilter.UPPER, urlfilter.LOWER))), None]
     train = {i: t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 10}
