@@ -36,9 +36,28 @@ def contributors(features: tuple[str, ...], means: dict[str, float], stds: dict[
     return F.transform(ranked, lambda s: F.struct(s["feature"].alias("feature"), s["z"].alias("z")))
 
 
+def exact_quantile(rows: DataFrame, column: str, q: float, most: int = 100_000) -> float:
+    """The q-quantile of all values, linear between ranks; sketches narrow the range until about ``most`` rows are left."""
+    rows = rows.select(F.col(column).alias("v"))
+    n = rows.count()
+    at, skipped = q * (n - 1), 0
+    low, high = int(np.floor(at)), int(np.ceil(at))
+    while n > most:
+        shares = [max(0.0, (low - skipped) / n - 1e-3), min(1.0, (high + 1 - skipped) / n + 1e-3)]
+        a, b = rows.agg(F.percentile_approx("v", shares, 10_000)).first()[0]
+        below, inside = rows.agg(F.count_if(F.col("v") < a), F.count_if(F.col("v").between(a, b))).first()
+        if inside == n:
+            break
+        rows, n, skipped = rows.filter(F.col("v").between(a, b)), inside, skipped + below
+    held = rows.groupBy("v").agg(F.count("*").alias("n")).orderBy("v").collect()
+    ends = skipped + np.cumsum([r["n"] for r in held])
+    x, y = (held[int(np.searchsorted(ends, k, "right"))]["v"] for k in (low, high))
+    return float(x + (y - x) * (at - low))
+
+
 @dataclass
 class Detector:
-    """Fitted on the driver from a bounded sample of rows; scoring is distributed."""
+    """Trees grow from a bounded sample of rows on the driver; marks, means and deviations are of all rows; scoring is distributed."""
 
     features: tuple[str, ...] = FEATURES
     contamination: float = CONTAMINATION
@@ -52,27 +71,33 @@ class Detector:
     stds: dict[str, float] = field(default_factory=dict)
 
     def fit(self, matrix: DataFrame, key: str = "accession_number") -> Detector:
-        """``sample`` bounds the rows that reach the driver; they are chosen by a hash of the key and sorted by it."""
+        """``sample`` bounds the rows that trees grow from; they are chosen by a hash of the key and sorted by it."""
         n = matrix.count()
         share = 1 << 20 if n <= self.sample else self.sample * (1 << 20) // n
         some = matrix.filter(F.pmod(F.xxhash64(key), F.lit(1 << 20)) < share).select(key, *self.features).toPandas().sort_values(key)
-        x = some[list(self.features)].to_numpy(float)
-        self.forest = Forest.fit(x, self.trees, seed=self.seed)
-        d = self.forest.decision(x)
-        self.marks = {"low": float(d.min()), "cut": float(np.quantile(d, self.contamination)), "high": float(d.max())}
-        self.means, self.stds = dict(zip(self.features, x.mean(axis=0).tolist())), dict(zip(self.features, x.std(axis=0).tolist()))
+        self.forest = Forest.fit(some[list(self.features)].to_numpy(float), self.trees, seed=self.seed)
+        whole = matrix.select(*[F.col(c).cast("double").alias(c) for c in self.features])
+        s = whole.agg(*[f(c).alias(f"{f.__name__}_{i}") for i, c in enumerate(self.features) for f in (F.avg, F.stddev_pop)]).first()
+        self.means, self.stds = ({c: s[f"{f}_{i}"] for i, c in enumerate(self.features)} for f in ("avg", "stddev_pop"))
+        d = whole.select(self._decision().alias("d")).persist()
+        low, high = d.agg(F.min("d"), F.max("d")).first()
+        self.marks = {"low": low, "cut": exact_quantile(d, "d", self.contamination), "high": high}
+        d.unpersist()
         return self
 
-    def score(self, matrix: DataFrame, rule_set: list[rules.Rule] | None = None) -> DataFrame:
-        """``matrix`` with raw_decision, model_score, rule_score, score, is_anomaly, triggered_by, violations, top_contributors."""
-        forest, names = self.forest, list(self.features)
+    def _decision(self) -> Column:
+        forest = self.forest
 
         @F.pandas_udf("double")
         def decide(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
             for part in parts:
                 yield pd.Series(forest.decision(np.column_stack([s.to_numpy(float) for s in part])))
 
-        out = rules.evaluate(matrix, rule_set).withColumn("raw_decision", decide(*[F.col(c) for c in names]))
+        return decide(*[F.col(c) for c in self.features])
+
+    def score(self, matrix: DataFrame, rule_set: list[rules.Rule] | None = None) -> DataFrame:
+        """``matrix`` with raw_decision, model_score, rule_score, score, is_anomaly, triggered_by, violations, top_contributors."""
+        out = rules.evaluate(matrix, rule_set).withColumn("raw_decision", self._decision())
         out = out.withColumn("model_score", normalised(F.col("raw_decision"), **self.marks)).withColumn("score", F.greatest("model_score", "rule_score"))
         out = out.withColumn("is_anomaly", F.col("score") >= self.threshold).withColumn("triggered_by", triggered_by(F.col("model_score"), F.col("rule_score")))
         return out.withColumn("top_contributors", contributors(self.features, self.means, self.stds))

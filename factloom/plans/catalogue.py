@@ -490,7 +490,7 @@ def ixbrl_facts(spark, sf_dir):
 @query()
 def forest_scores(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("accession_number"), "l_quantity", "l_extendedprice", "l_discount", "l_tax")
-    own = detector.Detector(features=("l_quantity", "l_extendedprice", "l_discount", "l_tax"), trees=50, sample=5000).fit(li)
+    own = detector.Detector(features=("l_quantity", "l_extendedprice", "l_discount", "l_tax")).fit(li)
     return own.score(li, []).select("accession_number", "raw_decision", "score", "is_anomaly", "triggered_by", "top_contributors")
 
 

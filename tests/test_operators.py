@@ -105,6 +105,19 @@ def test_hybrid_detector(spark):
     assert scored.select(detector.explain()).first()[0].startswith("score")
 
 
+def test_marks_are_of_all_rows(spark):
+    x = np.random.default_rng(1).normal(size=(3000, 2))
+    x[:60] *= 8
+    made = spark.createDataFrame([(str(i), *map(float, v)) for i, v in enumerate(x)], "accession_number string, a double, b double")
+    fitted = detector.Detector(features=("a", "b"), trees=20, sample=400).fit(made)
+    d = fitted.forest.decision(x)
+    assert (fitted.marks["low"], fitted.marks["high"]) == (d.min(), d.max()) and fitted.marks["cut"] == pytest.approx(np.quantile(d, 0.05), rel=1e-12)
+    assert [*fitted.means.values(), *fitted.stds.values()] == pytest.approx([*x.mean(axis=0), *x.std(axis=0)], rel=1e-9)
+    v = spark.createDataFrame([(float(k),) for k in [*x[:, 0], *[0.25] * 900]], "v double")
+    for q in (0.0, 0.05, 0.5, 0.6, 1.0):
+        assert detector.exact_quantile(v, "v", q, 50) == pytest.approx(np.quantile([*x[:, 0], *[0.25] * 900], q), rel=1e-12)
+
+
 def test_forest_finds_the_far_point():
     x = np.vstack([np.random.default_rng(0).normal(size=(300, 2)), [[9, 9]]])
     assert forest.Forest.fit(x, 50).decision(x).argmin() == 300
