@@ -453,7 +453,7 @@ def best_sentence(spark, sf_dir):
 
 
 def _answered(spark, sf_dir):
-    docs = _english(spark, sf_dir)
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
     cut = chunks.chunked(docs, "doc_id", "text").withColumn("chunk_id", F.concat_ws("#", "doc_id", "chunk_index"))
     post = retrieve.postings(cut, "chunk_id", "text")
     idfs = retrieve.idf(post, "chunk_id")

@@ -51,3 +51,20 @@ def test_entry_module_imports():
 
     assert set(catalogue.queries()) <= set(e.queries())
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+@pytest.fixture
+def asked(spark, tmp_path):
+    """Documents and questions in any script; of each question but the last, one document holds the terms."""
+    docs = [(1, "Die Übernahme der Mühle wurde geprüft. Ärger blieb aus."), (2, "Le café naïf était fermé."), (3, "Plain words about harbour cranes."), (4, "Harbour cranes: 5 € each."), (5, "Other plain matter.")]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "Übernahme der Mühle. Mehr"), (2, "café naïf"), (3, "zebra migrations")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return str(tmp_path)
+
+
+def test_answers_from_documents_in_any_script(spark, asked):
+    got = {r["item_id"]: r for r in catalogue.queries()["grounded_answers"](spark, asked).collect()}
+    assert {i: [c["accession_number"] for c in r["citations"]] for i, r in got.items()} == {1: ["1"], 2: ["2"]}
+    assert all(r["grounded"] for r in got.values())
+    r = catalogue.queries()["rag_eval"](spark, asked).first()
+    assert r["recall_at_k"] == pytest.approx(2 / 3) and r["grounding_accuracy"] == pytest.approx(2 / 3)
