@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import audit, chunks, detector, facts, features, marts, merge, metrics, quality, retrieve, rules, serve
+from ..schema import GROUNDING_FLOOR
 from ..sources import ixbrl, payloads, synthetic
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -460,7 +461,7 @@ def _answered(spark, sf_dir):
     asked = _t(spark, sf_dir, "benchmark").select("item_id", F.substring_index("text", ".", 1).alias("question"))
     top = retrieve.cosine_topk(retrieve.weights(post, idfs, "chunk_id"), retrieve.weights(retrieve.postings(asked, "item_id", "question"), idfs, "item_id"), "chunk_id", "item_id", 5)
     rich = top.join(cut.select("chunk_id", F.col("doc_id").cast("string").alias("accession_number"), "section", "text"), "chunk_id").join(asked, "item_id").withColumn("form_type", F.lit("10-K"))
-    return retrieve.answers(rich, "item_id"), asked
+    return retrieve.answers(rich, "item_id"), asked, rich
 
 
 @query()
@@ -470,9 +471,13 @@ def grounded_answers(spark, sf_dir):
 
 @query()
 def rag_eval(spark, sf_dir):
-    got, asked = _answered(spark, sf_dir)
-    hit = F.exists("citations", lambda c: F.contains(F.lower(c["snippet"]), F.lower(F.substring("question", 1, 12))))
-    cases = asked.join(got, "item_id", "left").select((F.length("question") > 0).alias("expect_grounded"), F.coalesce("grounded", F.lit(False)).alias("grounded"), F.coalesce(hit, F.lit(False)).alias("hit"), F.coalesce(F.exists("citations", lambda c: c["score"] > 0), F.lit(False)).alias("valid"))
+    """A hit: the text of a cited chunk has all terms of the question."""
+    got, asked, rich = _answered(spark, sf_dir)
+    wanted = retrieve.terms(F.col("question"), bigrams=False)
+    cited = rich.filter((F.col("score") >= GROUNDING_FLOOR) | (F.col("rank") == 1))
+    hits = cited.groupBy("item_id").agg(F.max((F.size(wanted) > 0) & (F.size(F.array_except(wanted, retrieve.terms(F.col("text"), bigrams=False))) == 0)).alias("hit"))
+    hit = F.col("hit")
+    cases = asked.join(got, "item_id", "left").join(hits, "item_id", "left").select((F.length("question") > 0).alias("expect_grounded"), F.coalesce("grounded", F.lit(False)).alias("grounded"), F.coalesce(hit, F.lit(False)).alias("hit"), F.coalesce(F.exists("citations", lambda c: c["score"] > 0), F.lit(False)).alias("valid"))
     return retrieve.evaluation(cases)
 
 

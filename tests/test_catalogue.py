@@ -68,3 +68,17 @@ def test_answers_from_documents_in_any_script(spark, asked):
     assert all(r["grounded"] for r in got.values())
     r = catalogue.queries()["rag_eval"](spark, asked).first()
     assert r["recall_at_k"] == pytest.approx(2 / 3) and r["grounding_accuracy"] == pytest.approx(2 / 3)
+
+
+def test_a_hit_has_all_terms_of_the_question(spark, tmp_path):
+    docs = [(1, "The harbour cranes were painted blue."), (2, "Granite quarries reopened. In spring, the owners said so.")]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    cases = [(1, "The harbour cranes sank in fog."), (2, "Owners said spring quarries reopened.")]
+    spark.createDataFrame(cases, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert catalogue.queries()["rag_eval"](spark, str(tmp_path)).first()["recall_at_k"] == pytest.approx(0.5)
+
+
+def test_questions_that_share_only_a_prefix_are_no_hits(spark, tmp_path):
+    spark.createDataFrame([(1, "The harbour cranes were painted blue.")], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "The harbour cranes sank in fog.")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert catalogue.queries()["rag_eval"](spark, str(tmp_path)).first()["recall_at_k"] == 0
