@@ -293,7 +293,7 @@ def _without(text: bytes, gone: list[dict[str, int]]) -> bytes:
         a, b = r["lo"], r["hi"]
         before = text[ends[a - 1] if a else 0 : starts[a]]
         lo, hi = starts[a], starts[b + 1] if b + 1 < len(starts) else len(text)
-        if b + 1 == len(starts) or (b"\n" not in before and b"\n" in text[ends[b] : hi]):
+        if b + 1 == len(starts) or (a and b"\n" not in before and b"\n" in text[ends[b] : hi]):
             lo, hi = lo - len(before), len(text) if b + 1 == len(starts) else ends[b]
         out.append(text[done:lo])
         done = max(done, hi)

@@ -251,6 +251,12 @@ def test_passages_inside_lines(docs, texts, spark, sf):
     assert {r["doc_id"]: r["text"] for r in linededup.dedup_passages(table(spark, made)).collect()} == {1: made[0][1], 2: "start same line\nend", 3: f"x\ny\n{y}", 4: "a\nnext", 5: "z", 6: None, 7: ""}
 
 
+def test_tail_of_a_run_is_matched_with_any_earlier_place(spark, sf, tmp_path):
+    w, y = " ".join(f"w{i}" for i in range(60)), " ".join(f"y{i}" for i in range(40))
+    table(spark, [(1, w), (2, f"{w}\n{y}"), (3, f"{w}\n{y}")]).write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r["doc_id"]: r["text"] for r in queries.op7_line_dedup(spark, str(tmp_path)).collect()} == {1: w, 2: y, 3: ""}
+
+
 def test_lm(docs, texts, spark):
     tok = lambda t: [*words(t.translate(str.maketrans(urlfilter.UPPER, urlfilter.LOWER))), None]
     train = {i: t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 10}
