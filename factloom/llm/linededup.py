@@ -1,20 +1,30 @@
-"""Line dedup by winnowing over line hashes.
-
-Lines with a word are the units.  A shingle is the shortest run of lines from
-one line on that has ``shingle_words`` words; a window is the shortest run
-that has ``words`` words.  Each window selects the least shingle hash inside
-it, so any run of at least ``words`` words that repeats holds a whole window
-in both places, with the same selection: a guaranteed fingerprint.  Positions
-are joined on the fingerprint together with the window's own hash, matches
-are extended both ways, and later repeated runs are deleted.
-
-``dedup_passages`` does the same with words as units, so that passages that
-begin or end inside a line go too: the queries use it.
+"""Line dedup by winnowing.
+
+Units are words (``dedup_passages``, which the queries use) or lines with a
+word (``dedup``).  A shingle is the shortest run of units from one unit on
+that has ``shingle_words`` words; a window is the shortest run that has
+``words`` words.  Each window selects the least shingle hash inside it, so any
+run of at least ``words`` words that repeats holds a whole window in both
+places, with the same selection: a guaranteed fingerprint.
+
+Neighbouring windows that select the shingle at one place make one position:
+a row with the fingerprint and the hash of the whole neighbourhood, all units
+of these windows.  There are about two positions for every
+``words - shingle_words + 2`` windows, and only positions are joined:
+
+* A position whose neighbourhood occurs at an earlier place is a repeat as far
+  as its windows reach, both ways.  Only the first one of each goes on.
+* Where one fingerprint has several neighbourhoods, the match ends somewhere
+  inside them: it is extended unit by unit, by the hashes of their windows.
+
+Each task first combines what it has: of equal neighbourhoods it gives out
+the earliest one, so a passage in a third of all texts is a row a task.
+Adjacent and overlapping repeats become one run, and later runs are deleted.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,257 +42,254 @@ class Runs:
     shingle_words: int = 25
 
 
-#: The line ranges to delete are broadcast up to so many ranges and rows (8 bytes each); beyond, the texts are shuffled to them.
-BROADCAST_RANGES = 1_000_000
-
-_BASE = kernel.mix_int(0x6C696E65) | 1
+#: What is to be deleted is broadcast up to this size; beyond, the texts are shuffled to it.  A row and a range take so many bytes in a broadcast.
+BROADCAST_BYTES, ROW_BYTES, RANGE_BYTES = 32_000_000, 96, 40
 
+#: Positions that a task holds before it combines them.
+HELD = 1 << 20
 
-def _reach(words: np.ndarray, last: np.ndarray, least: int) -> np.ndarray:
-    """For each line, the last line of the shortest run from it with ``least`` words; -1 if its text ends before."""
-    total = np.cumsum(words)
-    end = np.searchsorted(total, total - words + least, "left")
-    return np.where(end <= last, end, -1)
-
-
-class Lines:
-    """The worded lines of a block: hash, words, number in the text, and their windows."""
-
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, conf: Runs):
-        starts, ends, first = kernel.spans(data != 10, offsets)
-        row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-        words = kernel.Words(data, offsets)
-        count = np.searchsorted(words.starts, ends) - np.searchsorted(words.starts, starts)
-        broken = np.concatenate([[0], np.cumsum(data == 10)])
-        keep = count > 0
-        self.row, self.words = row[keep], count[keep]
-        self.hash = kernel.hash_spans(data, starts[keep], ends[keep])
-        self.number = broken[starts[keep]] - broken[offsets[:-1]][self.row]
-        n = len(self.row)
-        self.last = np.searchsorted(self.row, self.row, "right") - 1
-        window, shingle = _reach(self.words, self.last, conf.words), _reach(self.words, self.last, conf.shingle_words)
-        power, inverse = kernel._powers(_BASE, n + 1), kernel._powers(pow(_BASE, -1, 1 << 64), n + 1)
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.hash * power[:n], dtype=np.uint64)])
-        self._run = lambda a, b: kernel.mix((total[b + 1] - total[a]) * inverse[a] + (b - a).astype(np.uint64))
-        self.at = np.flatnonzero(window >= 0)
-        self.end = window[self.at]
-        self.content = self._run(self.at, self.end)
-        hashed = self._run(np.arange(n), np.maximum(shingle, np.arange(n))) if n else np.zeros(0, np.uint64)
-        self.chosen = np.full(len(self.at), (1 << 64) - 1, np.uint64)
-        step, left = 0, np.arange(len(self.at))
-        while len(left):
-            inside = self.at[left] + step
-            left, inside = left[inside <= self.end[left]], inside[inside <= self.end[left]]
-            fits = (shingle[inside] >= 0) & (shingle[inside] <= self.end[left])
-            self.chosen[left[fits]] = np.minimum(self.chosen[left[fits]], hashed[inside[fits]])
-            left, step = left[fits], step + 1
+_BASE = kernel.mix_int(0x6C696E65) | 1
+_RANGES = "array<struct<lo:int,hi:int>>"
+_ROWS = "rid long, ord long, lo int, hi int, s long, h long, later boolean"
+_NAMES = ("rid", "ord", "lo", "hi", "s", "h")
 
 
-_WINDOW = "s long, h long, place int, n_lines int, before binary, after binary, numbers binary"
+class Windows:
+    """The windows of a block's units: ``at`` and ``end``, the first and last unit of each; ``chosen``, the place of its shingle.
 
+    hashes, row, number: of each unit, the last in its text; shingle_end: the last unit of the shingle from each unit, -1 without one.
+    """
 
-def _windows(conf: Runs):
-    """One row a window: its fingerprint, and the hashes of the lines around it that hold fewer than ``words`` words."""
+    def __init__(self, hashes: np.ndarray, row: np.ndarray, number: np.ndarray, window_end: np.ndarray, shingle_end: np.ndarray):
+        n = len(hashes)
+        self.row, self.number = row, number
+        power, inverse = kernel._powers(_BASE, n + 1), kernel._powers(pow(_BASE, -1, 1 << 64), n + 1)
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * power[:n], dtype=np.uint64)])
+        self.run = lambda a, b: kernel.mix((total[b + 1] - total[a]) * inverse[a] + (b - a).astype(np.uint64))
+        self.at = np.flatnonzero(window_end >= 0)
+        self.end = window_end[self.at]
+        have = np.flatnonzero(shingle_end >= 0)
+        self.shingle = np.full(n, (1 << 64) - 1, np.uint64)
+        self.shingle[have] = self.run(have, shingle_end[have])
+        # A window's shingles begin in its first unit up to the last place from which one still ends inside.
+        last = np.searchsorted(_ascending(shingle_end), self.end, "right") - 1
+        self.chosen = _earliest_least(self.shingle, self.at, np.minimum(last, self.end))
+
+    def positions(self) -> tuple[np.ndarray, ...]:
+        """(row, lo, hi, s, h) of each run of windows that select one place; lo and hi number the units."""
+        new = np.ones(len(self.at), bool)
+        new[1:] = self.chosen[1:] != self.chosen[:-1]
+        i = np.flatnonzero(new)
+        j = np.concatenate([i[1:], [len(self.at)]])[: len(i)] - 1
+        a, b = self.at[i], self.end[j]
+        return self.row[a], self.number[a], self.number[b], self.shingle[self.chosen[i]], self.run(a, b)
+
+    def inside(self, marked: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(row, lo, hi, s, h) of each window in the positions that begin at marked units."""
+        new = np.ones(len(self.at), bool)
+        new[1:] = self.chosen[1:] != self.chosen[:-1]
+        keep = marked[self.at[np.flatnonzero(new)]][np.cumsum(new) - 1] if len(self.at) else new
+        a, b = self.at[keep], self.end[keep]
+        return self.row[a], self.number[a], self.number[b], self.shingle[self.chosen[keep]], self.run(a, b)
+
+
+def _ascending(end: np.ndarray) -> np.ndarray:
+    """Shingle ends that never fall: a unit without a shingle has the next one's, so that none of its own row is taken."""
+    filled = np.where(end >= 0, end, len(end) + 1)
+    return np.minimum.accumulate(filled[::-1])[::-1]
+
+
+def _earliest_least(x: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """For each range, the earliest place of its least value, from minima over ranges of powers of two."""
+    span = last - first + 1
+    out = np.zeros(len(first), np.int64)
+    if not len(first):
+        return out
+    least, place, width = x, np.arange(len(x)), 1
+    level = np.int64(1) << np.floor(np.log2(span)).astype(np.int64)
+    while True:
+        here = np.flatnonzero(level == width)
+        a, b = first[here], last[here] - width + 1
+        out[here] = np.where(least[b] < least[a], place[b], place[a])
+        if width >= int(level.max()):
+            return out
+        other = least[width:] < least[:-width]
+        least, place = np.where(other, least[width:], least[:-width]), np.where(other, place[width:], place[:-width])
+        width *= 2
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray, conf: Runs) -> Windows:
+    """Windows whose units are words."""
+    of = kernel.Words(data, offsets)
+    n, row = len(of.hash), of.row
+    place = np.arange(n)
+    last = of.first[1:][row] - 1 if n else place
+    reach = lambda k: np.where(place + k - 1 <= last, place + k - 1, -1)
+    return Windows(of.hash, row, place - of.first[row], reach(conf.words), reach(conf.shingle_words))
+
+
+def lines_of(data: np.ndarray, offsets: np.ndarray, conf: Runs) -> Windows:
+    """Windows whose units are the lines with a word."""
+    starts, ends, first = kernel.spans(data != 10, offsets)
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+    words = kernel.Words(data, offsets)
+    count = np.searchsorted(words.starts, ends) - np.searchsorted(words.starts, starts)
+    broken = np.concatenate([[0], np.cumsum(data == 10)])
+    keep = count > 0
+    row, count = row[keep], count[keep]
+    last, total = np.searchsorted(row, row, "right") - 1, np.cumsum(count)
+
+    def reach(least: int) -> np.ndarray:
+        end = np.searchsorted(total, total - count + least, "left")
+        return np.where(end <= last, end, -1)
+
+    return Windows(kernel.hash_spans(data, starts[keep], ends[keep]), row, broken[starts[keep]] - broken[offsets[:-1]][row], reach(conf.words), reach(conf.shingle_words))
+
+
+Units = Callable[[np.ndarray, np.ndarray, Runs], Windows]
+
+
+def _combined(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    """Of equal neighbourhoods the earliest by (ord, rid, lo); the others are repeats, ``later``, joined where they touch."""
+    if not parts:
+        return
+    rid, order, lo, hi, s, h = (np.concatenate(x) for x in zip(*parts, strict=True))
+    by = np.lexsort((lo, rid, order, h))
+    new = np.ones(len(by), bool)
+    new[1:] = h[by[1:]] != h[by[:-1]]
+    head = by[np.flatnonzero(new)][np.cumsum(new) - 1]
+    again = (order[head] != order[by]) | (rid[head] != rid[by]) | (lo[head] != lo[by])
+    yield _rows(*(x[by[new]] for x in (rid, order, lo, hi, s, h)), later=False)
+    late = by[again]
+    late = late[np.lexsort((hi[late], lo[late], rid[late]))]
+    if len(late):
+        yield _rows(*_touching(rid[late], lo[late], hi[late]), later=True)
+
+
+def _touching(rid: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Ranges in ascending order, those that touch in one."""
+    change = np.ones(len(rid), bool)
+    change[1:] = rid[1:] != rid[:-1]
+    group = np.cumsum(change) - 1
+    wide = np.int64(1) << np.int64(33)
+    reach = np.maximum.accumulate(hi.astype(np.int64) + group * wide) - group * wide
+    new = change.copy()
+    new[1:] |= lo[1:] > reach[:-1] + 1
+    at = np.flatnonzero(new)
+    end = np.concatenate([at[1:], [len(rid)]]) - 1
+    none = np.zeros(len(at), np.int64)
+    return rid[at], none, lo[at], reach[end], none, none.view(np.uint64)
+
+
+def _rows(rid, order, lo, hi, s, h, later: bool) -> pa.RecordBatch:
+    cols = [pa.array(rid), pa.array(order), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array(s.view(np.int64)), pa.array(h.view(np.int64)), pa.array(np.full(len(rid), later))]
+    return pa.RecordBatch.from_arrays(cols, names=[*_NAMES, "later"])
+
+
+def _positions(units: Units, conf: Runs, marked: bool):
+    """Positions of each text, or the windows in those of its positions that begin at ``places``; combined a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
         for batch in batches:
-            for lo, _, data, offsets in kernel.blocks(batch["text"]):
-                x = Lines(data, offsets, conf)
-                total = np.cumsum(x.words)
-                first = np.searchsorted(x.row, x.row, "left")
-                # Lines that may follow or precede a window before another window begins there.
-                follow = np.minimum(np.searchsorted(total, total[x.end] + conf.words, "left"), x.last[x.at] + 1)
-                came = total - x.words
-                precede = np.maximum(np.searchsorted(came, came[x.at] - conf.words, "right"), first[x.at])
-                raw, numbers = x.hash.tobytes(), x.number.astype(np.int32).tobytes()
-                a, e, p, f = x.at.tolist(), x.end.tolist(), precede.tolist(), follow.tolist()
-                rows = x.row[x.at] + lo
-                cols = [
-                    pa.array(x.chosen.view(np.int64)),
-                    pa.array(x.content.view(np.int64)),
-                    pa.array((x.at - first[x.at]).astype(np.int32)),
-                    pa.array((x.end - x.at + 1).astype(np.int32)),
-                    pa.array([raw[8 * i : 8 * j] for i, j in zip(p, a, strict=True)], pa.binary()),
-                    pa.array([raw[8 * (i + 1) : 8 * j] for i, j in zip(e, f, strict=True)], pa.binary()),
-                    pa.array([numbers[4 * i : 4 * j] for i, j in zip(p, f, strict=True)], pa.binary()),
-                ]
-                taken = pa.array(rows)
-                yield pa.RecordBatch.from_arrays([batch["rid"].take(taken), batch["ord"].take(taken), *cols], names=["rid", "ord", "s", "h", "place", "n_lines", "before", "after", "numbers"])
+            for at, to, data, offsets in kernel.blocks(batch["text"]):
+                x = units(data, offsets, conf)
+                if marked:
+                    given = batch["places"].slice(at, to - at)
+                    # A unit by (text, number): numbers ascend within a text.
+                    wanted = np.repeat(np.arange(to - at), given.value_lengths().to_numpy()) << np.int64(32) | given.flatten().to_numpy().astype(np.int64)
+                    row, lo, hi, s, h = x.inside(np.isin(x.row.astype(np.int64) << np.int64(32) | x.number, wanted))
+                else:
+                    row, lo, hi, s, h = x.positions()
+                of = lambda c: batch[c].to_numpy(zero_copy_only=False)[at:to][row]  # noqa: E731, B023
+                parts.append((of("rid"), of("ord"), lo, hi, s, h))
+                held += len(row)
+                if held > HELD:
+                    yield from _combined(parts)
+                    parts, held = [], 0
+        yield from _combined(parts)
 
     return run
 
 
-def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The line numbers of each later match, extended both ways as far as the lines equal the first one's."""
+def _first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts = []
     for batch in batches:
-        lo, hi = [], []
-        for before, after, first_before, first_after, numbers, n in zip(*(batch[x].to_pylist() for x in ("before", "after", "first_before", "first_after", "numbers", "n_lines")), strict=True):
-            place = np.frombuffer(numbers, np.int32)
-            mine, other = np.frombuffer(before, np.uint64)[::-1], np.frombuffer(first_before, np.uint64)[::-1]
-            left = _equal(mine, other)
-            right = _equal(np.frombuffer(after, np.uint64), np.frombuffer(first_after, np.uint64))
-            lo.append(int(place[len(mine) - left]))
-            hi.append(int(place[len(mine) + n - 1 + right]))
-        yield pa.RecordBatch.from_arrays([batch["rid"], pa.array(lo, pa.int32()), pa.array(hi, pa.int32())], names=["rid", "lo", "hi"])
-
-
-def _equal(x: np.ndarray, y: np.ndarray) -> int:
-    n = min(len(x), len(y))
-    other = np.flatnonzero(x[:n] != y[:n])
-    return int(other[0]) if len(other) else n
+        rid, order, lo, hi, s, h = (batch[c].to_numpy() for c in _NAMES)
+        parts.append((rid, order, lo, hi, s.view(np.uint64), h.view(np.uint64)))
+    yield from _combined(parts)
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for spans in batch["spans"].to_pylist():
-            held: list[dict[str, int]] = []
-            for s in sorted(spans, key=lambda s: (s["lo"], s["hi"])):
-                if held and s["lo"] <= held[-1]["hi"] + 1:
-                    held[-1]["hi"] = max(held[-1]["hi"], s["hi"])
-                else:
-                    held.append(s)
-            out.append(held)
-        yield pa.RecordBatch.from_arrays([batch["rid"], pa.array(out, pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())])))], names=["rid", "removed"])
+        spans = batch["spans"]
+        rid = np.repeat(batch["rid"].to_numpy(), spans.value_lengths().to_numpy())
+        flat = spans.flatten()
+        lo, hi = flat.field("lo").to_numpy(), flat.field("hi").to_numpy()
+        by = np.lexsort((hi, lo, rid))
+        rid, _, lo, hi, _, _ = _touching(rid[by], lo[by], hi[by])
+        at = np.flatnonzero(np.concatenate([[True], rid[1:] != rid[:-1]])[: len(rid)])
+        ranges = pa.StructArray.from_arrays([pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], names=["lo", "hi"])
+        yield pa.RecordBatch.from_arrays([pa.array(rid[at]), pa.ListArray.from_arrays(pa.array(np.concatenate([at, [len(rid)]]).astype(np.int32)), ranges)], names=["rid", "removed"])
 
 
 def _row_id():
     return F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit("")))
 
 
-def repeated_runs(docs: DataFrame, conf: Runs = Runs()) -> DataFrame:
-    """(rid, removed): for each text that repeats a run of an earlier place, the merged line ranges to delete.
+def _beside(runs: DataFrame, size: str) -> DataFrame:
+    """Runs by their text, broadcast if they are small."""
+    rows, ranges = runs.agg(F.count("*"), F.coalesce(F.sum(F.size(size)), F.lit(0))).first()
+    return F.broadcast(runs) if rows * ROW_BYTES + ranges * RANGE_BYTES <= BROADCAST_BYTES else runs
 
-    Earlier is by (doc_id, row, line), null ids last; a run may repeat inside one text.
+
+def repeated(docs: DataFrame, units: Units, conf: Runs = Runs()) -> DataFrame:
+    """(rid, removed): for each text, the merged ranges of the units in windows that occur at an earlier place.
+
+    Earlier is by (doc_id, row, unit), null ids last; a run may repeat inside one text.
     """
     base = shared.own_columns(docs, "doc_id", "text").select(_row_id().alias("rid"), F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("ord"), "text")
-    table = shared.stored(base.mapInArrow(_windows(conf), "rid long, ord long, " + _WINDOW), "windows")
-    at = F.struct("ord", "rid", "place")
-    firsts = table.groupBy("s", "h").agg(F.min(at).alias("first"), F.max(at).alias("latest")).filter("first <> latest").select("s", "h", "first")
-    hits = shared.stored(table.join(firsts, ["s", "h"]).withColumn("is_first", at == F.col("first")).drop("first"), "hits")
-    anchors = hits.filter("is_first").dropDuplicates(["s", "h"]).select("s", "h", F.col("before").alias("first_before"), F.col("after").alias("first_after"))
-    later = hits.filter("not is_first").join(anchors, ["s", "h"])
-    spans = later.select("rid", "before", "after", "first_before", "first_after", "numbers", "n_lines").mapInArrow(_extended, "rid long, lo int, hi int")
-    out = shared.stored(spans.groupBy("rid").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")).mapInArrow(_merged, "rid long, removed array<struct<lo:int,hi:int>>"), "removed")
-    shared.drop(table, hits)
+    own = shared.stored(base.mapInArrow(_positions(units, conf, False), _ROWS), "positions")
+    firsts = shared.stored(own.filter("not later").repartition("h").mapInArrow(_first_of_each, _ROWS), "firsts")
+    heads = firsts.filter("not later")
+    several = heads.groupBy("s").agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a <> b").select("s")
+    places = shared.stored(heads.join(several, "s", "left_semi").groupBy("rid").agg(F.collect_set("lo").alias("places")), "places")
+    fine = shared.stored(base.join(_beside(places, "places"), "rid").mapInArrow(_positions(units, conf, True), _ROWS), "windows")
+    ends = fine.filter("not later").repartition("h").mapInArrow(_first_of_each, _ROWS)
+    late = [x.filter("later").select("rid", "lo", "hi") for x in (own, firsts, fine, ends)]
+    every = late[0].unionByName(late[1]).unionByName(late[2]).unionByName(late[3])
+    out = shared.stored(every.groupBy("rid").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")).mapInArrow(_merged, f"rid long, removed {_RANGES}"), "removed")
+    shared.drop(own, firsts, places, fine)
     return out
 
 
+def _applied(docs: DataFrame, runs: DataFrame, cut: Callable) -> DataFrame:
+    """Every row with what is left of its text; the row travels as one column, so no column of it can clash."""
+    rows = docs.select(_row_id().alias("rid"), F.struct(*docs.columns).alias("row"))
+    none = F.array().cast(_RANGES)
+    joined = rows.join(_beside(runs, "removed"), "rid", "left").select("row", F.coalesce("removed", none).alias("removed"))
+    text = F.when(F.size("removed") == 0, F.col("row.text")).otherwise(cut(F.when(F.size("removed") > 0, F.col("row.text")), F.col("removed")))
+    return joined.select(*[text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns if c != "removed"], "removed")
+
+
 def dedup(docs: DataFrame, conf: Runs = Runs()) -> DataFrame:
-    """Every row of ``docs`` with later repeated runs deleted from ``text``, and ``removed``, their line ranges.
+    """Every row of ``docs`` with later repeated runs of lines deleted from ``text``, and ``removed``, their line ranges.
 
     Lines are cut at \\n and compared byte for byte; lines without a word are no
     units and go only with a run around them.  A run counts from ``conf.words``
     words on; shorter repeats stay.  Null text stays null; a text that is all
     repeats becomes empty.  Repeated rows are one document and keep their first
-    runs alike.  Extra columns are carried; an existing ``removed`` or ``rid``
-    column is replaced or kept out of the way.  An empty table gives no rows.
+    runs alike; texts with equal ids, and those with null ids, go in the order
+    of a hash of id and text.  A text of any length is one row of work.  Extra
+    columns are carried, whatever their names; only an existing ``removed`` is
+    replaced.  An empty table gives no rows.
     """
-    runs = repeated_runs(docs, conf).select(F.col("rid").alias("_run_of"), F.col("removed").alias("_gone"))
-    held = runs.agg(F.coalesce(F.sum(F.size("_gone") + 1), F.lit(0))).first()[0]
-    runs = F.broadcast(runs) if held <= BROADCAST_RANGES else runs
-    joined = docs.withColumn("_row", _row_id()).join(runs, F.col("_row") == F.col("_run_of"), "left")
-    lines = F.split("text", "\n", -1)
-    left = F.filter(lines, lambda line, i: ~F.exists("_gone", lambda r: (i >= r["lo"]) & (i <= r["hi"])))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    return joined.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns if c != "removed"], F.coalesce("_gone", F.array().cast("array<struct<lo:int,hi:int>>")).alias("removed"))
-
-
-class Passages:
-    """The windows of ``words`` words of a block, wherever they begin: first word, hash, and the place of the shingle that each selects."""
-
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, conf: Runs):
-        self.of = kernel.Words(data, offsets)
-        n, row = len(self.of.hash), self.of.row
-        left = self.of.first[1:][row] - np.arange(n) if n else np.zeros(0, np.int64)
-        power, inverse = kernel._powers(_BASE, n + 1), kernel._powers(pow(_BASE, -1, 1 << 64), n + 1)
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.of.hash * power[:n], dtype=np.uint64)])
-        run = lambda at, k: kernel.mix((total[at + k] - total[at]) * inverse[at] + np.uint64(k))
-        self.at = np.flatnonzero(left >= conf.words)
-        self.hash = run(self.at, conf.words)
-        self.row = row[self.at]
-        inside = conf.words - conf.shingle_words + 1
-        self.shingle = run(np.arange(max(0, n - conf.shingle_words + 1)), conf.shingle_words)
-        least, place, width = self.shingle, np.arange(len(self.shingle)), 1
-        while width < inside:  # the least of ``width`` shingles from each one on, the earliest of equal ones
-            step = min(width, inside - width)
-            other = least[step:] < least[: len(least) - step]
-            least, place = np.where(other, least[step:], least[: len(least) - step]), np.where(other, place[step:], place[: len(place) - step])
-            width += step
-        self.chosen = place[self.at]
-
-
-def _shingles(conf: Runs):
-    """One row a selected shingle."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, _, data, offsets in kernel.blocks(batch["text"]):
-                x = Passages(data, offsets, conf)
-                place, at = np.unique(x.chosen, return_index=True)
-                row = x.row[at]
-                yield pa.RecordBatch.from_arrays([batch["rid"].take(pa.array(row + lo)), pa.array((place - x.of.first[row]).astype(np.int32)), pa.array(x.shingle[place].view(np.int64))], names=["rid", "place", "s"])
-
-    return run
 
+    def cut(text, gone):
+        left = F.filter(F.split(text, "\n", -1), lambda line, i: ~F.exists(gone, lambda r: (i >= r["lo"]) & (i <= r["hi"])))
+        return F.array_join(left, "\n")
 
-def _candidates(conf: Runs):
-    """One row a window whose selected shingle is at a given place of its text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            given = batch["places"]
-            for lo, hi, data, offsets in kernel.blocks(batch["text"]):
-                x = Passages(data, offsets, conf)
-                part = given.slice(lo, hi - lo)
-                marked = np.zeros(len(x.of.hash) + 1, bool)
-                marked[np.repeat(x.of.first[:-1], part.value_lengths().to_numpy()) + part.flatten().to_numpy()] = True
-                keep = marked[x.chosen]
-                row = x.row[keep]
-                taken = pa.array(row + lo)
-                yield pa.RecordBatch.from_arrays([batch["rid"].take(taken), batch["ord"].take(taken), pa.array((x.at[keep] - x.of.first[row]).astype(np.int32)), pa.array(x.hash[keep].view(np.int64))], names=["rid", "ord", "place", "h"])
-
-    return run
-
-
-def _joined_spans(words: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for places in batch["places"]:
-                at = np.sort(places.values.to_numpy(zero_copy_only=False))
-                new = np.flatnonzero(np.diff(at) > words)
-                out.append([{"lo": int(a), "hi": int(b) + words - 1} for a, b in zip(at[np.concatenate([[0], new + 1])], at[np.concatenate([new, [len(at) - 1]])], strict=True)])
-            yield pa.RecordBatch.from_arrays([batch["rid"], pa.array(out, pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())])))], names=["rid", "removed"])
-
-    return run
-
-
-def _beside(runs: DataFrame, size: str) -> DataFrame:
-    """Runs by their text, broadcast if they are few."""
-    held = runs.agg(F.coalesce(F.sum(F.size(size) + 1), F.lit(0))).first()[0]
-    return F.broadcast(runs) if held <= BROADCAST_RANGES else runs
-
-
-def repeated_passages(docs: DataFrame, conf: Runs = Runs()) -> DataFrame:
-    """(rid, removed): for each text, the merged ranges of the words in windows that occur at an earlier place.
-
-    Two equal windows select equal shingles, so only windows whose shingle is
-    selected at two places are compared.  Earlier is by (doc_id, row, word),
-    null ids last; a passage may repeat inside one text.
-    """
-    base = shared.own_columns(docs, "doc_id", "text").select(_row_id().alias("rid"), F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("ord"), "text")
-    chosen = shared.stored(base.select("rid", "text").mapInArrow(_shingles(conf), "rid long, place int, s long"), "shingles")
-    place = F.struct("rid", "place")
-    twice = chosen.groupBy("s").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a <> b").select("s")
-    places = shared.stored(chosen.join(twice, "s").groupBy("rid").agg(F.collect_set("place").alias("places")), "places")
-    table = shared.stored(base.join(_beside(places, "places"), "rid").mapInArrow(_candidates(conf), "rid long, ord long, place int, h long"), "windows")
-    at = F.struct("ord", "rid", "place")
-    firsts = table.groupBy("h").agg(F.min(at).alias("first"), F.max(at).alias("latest")).filter("first <> latest").select("h", "first")
-    later = table.join(firsts, "h").filter(at != F.col("first")).groupBy("rid").agg(F.collect_set("place").alias("places"))
-    out = shared.stored(later.mapInArrow(_joined_spans(conf.words), "rid long, removed array<struct<lo:int,hi:int>>"), "removed")
-    shared.drop(chosen, places, table)
-    return out
+    return _applied(docs, repeated(docs, lines_of, conf), cut)
 
 
 def _without(text: bytes, gone: list[dict[str, int]]) -> bytes:
@@ -307,12 +314,9 @@ def dedup_passages(docs: DataFrame, conf: Runs = Runs()) -> DataFrame:
     space and compared byte for byte; of the window size on, every word in a
     repeat goes.  Else as :func:`dedup`.
     """
-    runs = repeated_passages(docs, conf).select(F.col("rid").alias("_run_of"), F.col("removed").alias("_gone"))
-    joined = docs.withColumn("_row", _row_id()).join(_beside(runs, "_gone"), F.col("_row") == F.col("_run_of"), "left")
 
     @F.pandas_udf("string")
     def left(text: pd.Series, gone: pd.Series) -> pd.Series:
-        return pd.Series([_without((t or "").encode(), g).decode() for t, g in zip(text, gone, strict=True)], dtype=object)
+        return pd.Series([t if t is None else _without(t.encode(), g).decode() for t, g in zip(text, gone, strict=True)], dtype=object)
 
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left("text", F.coalesce("_gone", F.array().cast("array<struct<lo:int,hi:int>>"))))
-    return joined.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns if c != "removed"], F.coalesce("_gone", F.array().cast("array<struct<lo:int,hi:int>>")).alias("removed"))
+    return _applied(docs, repeated(docs, words_of, conf), left)
