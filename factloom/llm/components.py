@@ -32,7 +32,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
-    """(id, component) for every id in ``edges`` (long columns a, b); component is the smallest id reachable.
+    """(id, component) for every id in ``edges`` (long columns a, b), stored; component is the smallest id reachable.
 
     No vertex set is ever held by one task: steps are grouped minima (combined
     before the shuffle) and joins whose second side has one row per vertex, so
@@ -57,4 +57,7 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         before = mark
     else:
         raise RuntimeError(f"components: not settled after {rounds} rounds")
-    return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+    out = now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+    out = shared.stored(out, "components")
+    shared.drop(now)
+    return out

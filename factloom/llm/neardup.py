@@ -329,8 +329,42 @@ def similarity_classes(docs: DataFrame, conf: Join = Join()) -> DataFrame:
     doc_id join a class by their text; a class without any id has a null
     component_id; kept is true for the row that carries the class's smallest
     id, and for null ids only where the class has no other id.  Repeated rows
-    get equal results.  An empty table gives no rows.
+    get equal results; two texts with one id are two members.  A text of any
+    length is one row of work.  Extra columns are not read.  An empty table
+    gives no rows.
     """
+    every, found = _classes(docs, conf)
+    narrow = every.select("doc_id", "n_shingles", "d1", "d2")
+    out = narrow.filter("n_shingles > 0").join(found, ["d1", "d2"]).select("doc_id", "n_shingles", "component_id")
+    alone = narrow.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return out.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame, conf: Join = Join()) -> DataFrame:
+    """The rows of ``docs``, whole, of which one of each class stays.
+
+    It is the row with the smallest doc_id, null ids last; of several texts
+    with that id, the one whose hash of id and text is the smallest; of
+    repeated rows, the one whose columns come first as JSON text.  Null texts
+    and texts without words belong to no class: all of them stay.  Columns
+    keep their names, order and values.  An empty table gives no rows.
+    """
+    every, found = _classes(docs, conf)
+    members = shared.stored(every.filter("n_shingles > 0").join(found, ["d1", "d2"]).groupBy("component", "rid").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("rows")), "rows")
+    chosen = members.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "rid"))["rid"].alias("rid"))
+    gone = shared.stored(members.join(chosen, "rid", "left_anti").select("rid"), "gone")
+    again = shared.stored(members.filter("rows > 1").join(gone, "rid", "left_anti").select("rid"), "again")
+    rows = docs.select(_row_id().alias("rid"), F.struct(*docs.columns).alias("row"))
+    beside = lambda ids: F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+    once = rows.join(beside(gone), "rid", "left_anti")
+    if again.isEmpty():
+        return once.select("row.*")
+    twice = once.join(beside(again), "rid", "left_semi").groupBy("rid").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return once.join(beside(again), "rid", "left_anti").select("row.*").unionByName(twice.select("row.*"))
+
+
+def _classes(docs: DataFrame, conf: Join) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, rid, n_shingles, d1, d2, low) of every row, and (d1, d2, component, component_id) of each set with shingles; both stored."""
     base = shared.own_columns(docs, "doc_id", "text").withColumn("rid", _row_id())
     every = shared.stored(base.select("doc_id", "rid", "text").mapInArrow(_with_id(conf), "doc_id long, rid long, n_shingles long, d1 long, d2 long, low binary"), "summaries")
     classes = every.filter("n_shingles > 0").groupBy("d1", "d2").agg(F.min("rid").alias("cid"), F.min("doc_id").alias("least"))
@@ -365,21 +399,20 @@ def similarity_classes(docs: DataFrame, conf: Join = Join()) -> DataFrame:
     texts = base.select("rid", "text")
     tested = shared.stored(candidates.distinct(), "candidates")
     edges = _confirmed(tested, texts, conf)
-    labels = shared.stored(components(edges), "labels")
-    left = _left(small, stay, labels, texts, conf).distinct().join(tested, ["a", "b"], "left_anti")
+    labels = components(edges)
+    left = _left(small, stay, labels, texts, conf, made).distinct().join(tested, ["a", "b"], "left_anti")
     left = shared.stored(left, "candidates")
+    made += [tested, left, edges, labels]
     if not left.isEmpty():
-        edges = edges.unionByName(_confirmed(left, texts, conf))
-        labels = shared.stored(components(edges), "labels")
-    shared.drop(*made, tested, left)
+        more = _confirmed(left, texts, conf)
+        labels = components(edges.unionByName(more))
+        made += [more, labels]
 
     found = classes.join(labels.withColumnRenamed("id", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     least = found.groupBy("component").agg(F.min("least").alias("component_id"))
-    found = shared.stored(found.join(least, "component").select("d1", "d2", "component_id"), "members")
-    narrow = every.select("doc_id", "n_shingles", "d1", "d2")
-    out = narrow.filter("n_shingles > 0").join(found, ["d1", "d2"]).select("doc_id", "n_shingles", "component_id")
-    alone = narrow.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return out.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = shared.stored(found.join(least, "component").select("d1", "d2", "component", "component_id"), "members")
+    shared.drop(classes, *made)
+    return every, found
 
 
 def _with_id(conf: Join):
@@ -401,12 +434,13 @@ def _of_ids(texts: DataFrame, ids: DataFrame) -> DataFrame:
     return texts.join(F.broadcast(ids) if few else ids, "rid", "left_semi").dropDuplicates(["rid"])
 
 
-def _left(small: list[DataFrame], stay: DataFrame | None, labels: DataFrame, texts: DataFrame, conf: Join) -> DataFrame:
+def _left(small: list[DataFrame], stay: DataFrame | None, labels: DataFrame, texts: DataFrame, conf: Join, made: list[DataFrame]) -> DataFrame:
     """Close pairs that share a node and are still in different components.
 
     In a node that stayed large, members outside its largest component meet
     those of other components inside a join that compares sketches, the usual
     and finer ones of their own, so only close pairs come out of it.
+    made: gets the tables that are stored on the way.
     """
     tag = lambda df: df.join(labels.withColumnRenamed("id", "rid"), "rid", "left").withColumn("component", F.coalesce("component", "rid"))
     leaves = small[0]
@@ -420,10 +454,12 @@ def _left(small: list[DataFrame], stay: DataFrame | None, labels: DataFrame, tex
     per = tagged.groupBy("node", "component").agg(F.count("*").alias("n"))
     split = per.groupBy("node").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.count("*").alias("kinds")).filter("kinds > 1")
     mixed = shared.stored(tagged.join(split, "node"), "mixed")
+    made.append(mixed)
     if mixed.isEmpty():
         return pairs
     words = [f"f{i}" for i in range(FINE // 64)]
     fine = shared.stored(_of_ids(texts, mixed.select("rid").distinct()).mapInArrow(_fine_sketches(conf), "rid long, " + ", ".join(f"{w} long" for w in words)), "fine")
+    made.append(fine)
     # A pair that shares nodes in several trees comes out of one of them.
     nodes = mixed.groupBy("rid").agg(F.collect_set("node").alias("nodes"))
     mixed = mixed.join(fine, "rid").join(nodes, "rid")

@@ -468,3 +468,103 @@ def test_pipeline_stages(spark, sf, docs):
         now = out
     assert counts[0] >= counts[1] >= counts[2] == counts[3] >= counts[4] > 0
     assert now.select("doc_id").distinct().count() == counts[4]
+
+
+def brute_rows(rows, k=5):
+    """Indexes of the rows that near-dedup keeps; of equal rows the first."""
+    sets = []
+    for _, t in rows:
+        w = words((t or "").translate(str.maketrans(urlfilter.UPPER, urlfilter.LOWER)))
+        sets.append(set(zip(*[w[j:] for j in range(k)])) if len(w) >= k else ({tuple(w)} if w else set()))
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                group = [group[i] if g == group[j] else g for g in group]
+    kept = []
+    for g in sorted(set(group)):
+        own = [i for i in range(len(rows)) if group[i] == g]
+        kept.append(own[0] if not sets[own[0]] else min(own, key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i)))
+    return kept
+
+
+CLASHING = ("_gone", "_row", "_run_of", "removed", "row", "rid", "fold", "kept", "score", "_id", "component", "range", "places", "h")
+
+
+def test_near_dedup_goes_by_row(spark, sf):
+    import corpus_pipeline as p
+
+    rng = np.random.default_rng(3)
+    a, b, c, z = (" ".join(f"{x}{n}" for n in rng.integers(0, 10**6, 60)) for x in "abcz")
+    near = c + " one"
+    rows = [(2, b), (5, a), (5, b), (None, c), (None, c + ""), (9, near), (7, z), (7, z), (None, None), (1, None), (1, None), (3, " \n"), (None, "x y")]
+    frame = spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t)) for i, t in rows], SCHEMA).select("*", *[F.lit(n).alias(x) for n, x in enumerate(CLASHING)])
+    got = p.near_dedup(spark, frame, sf)
+    assert got.columns == frame.columns
+    key = lambda r: (str(r[0]), str(r[1]))
+    assert sorted(map(key, got.select("doc_id", "text").collect())) == sorted(key(rows[i]) for i in brute_rows(rows))
+    assert all(tuple(r[x] for x in CLASHING) == tuple(range(len(CLASHING))) for r in got.collect())
+    assert p.near_dedup(spark, frame.limit(0), sf).count() == 0
+
+
+def test_one_row_of_repeated_rows_with_other_columns(spark, sf):
+    import corpus_pipeline as p
+
+    frame = spark.createDataFrame([(7, "a b c d e f", x, "s", 1) for x in ("en", "de", "de", "fr")] + [(8, "a b c d e f", "aa", "s", 1)], SCHEMA)
+    assert [tuple(r) for r in p.near_dedup(spark, frame, sf).collect()] == [(7, "a b c d e f", "de", "s", 1)]
+
+
+def test_stages_carry_clashing_columns(spark, sf, docs):
+    import corpus_pipeline as p
+
+    now = docs.select("*", *[F.concat(F.lit(x), F.col("doc_id").cast("string")).alias(x) for x in CLASHING])
+    for name, stage in p.STAGES:
+        out = shared.stored(stage(spark, now, sf), name)
+        if name != p.STAGES[-1][0]:
+            assert out.columns == now.columns
+            assert out.filter(" or ".join(f"`{x}` <> concat('{x}', doc_id)" for x in CLASHING)).count() == 0
+        now = out
+    assert now.count() > 0
+
+
+def test_positions_are_few_and_hot_passages_are_combined(spark, docs, texts):
+    base = docs.select(F.xxhash64("doc_id").alias("rid"), F.col("doc_id").alias("ord"), "text")
+    run = linededup._positions(linededup.words_of, linededup.Runs(), False)
+    rows = base.coalesce(1).mapInArrow(run, linededup._ROWS)
+    windows = sum(max(0, len(words(t)) - 49) for t in texts.values())
+    assert rows.filter("not later").count() < windows / 8
+    passage = " ".join(f"p{i}" for i in range(80))
+    hot = table(spark, [(i, f"{passage} end{i}") for i in range(300)]).select(F.xxhash64("doc_id").alias("rid"), F.col("doc_id").alias("ord"), "text").coalesce(1)
+    got = hot.mapInArrow(run, linededup._ROWS).filter("not later").groupBy("h").count()
+    assert got.agg(F.max("count")).first()[0] == 1
+
+
+@pytest.mark.parametrize("vocabulary", [2, 4, 40])
+def test_line_dedup_of_periodic_texts(spark, vocabulary):
+    """Runs that overlap themselves, equal ids, null ids and repeated rows, against brute force."""
+    rng = np.random.default_rng(vocabulary)
+    made = []
+    for i in range(30):
+        unit = [f"u{x}" for x in rng.integers(0, vocabulary, rng.integers(1, 40))]
+        made.append((i, " ".join((unit * 200)[: int(rng.integers(30, 260))])))
+    for i in range(30, 45):
+        a, b = made[int(rng.integers(30))][1].split(), made[int(rng.integers(30))][1].split()
+        made.append((i, " ".join([*a[: len(a) // 2], f"x{i}", *b[len(b) // 3 :]])))
+    seen, gone = set(), {}
+    for i, t in made:
+        w = t.split()
+        gone[i] = set()
+        for k in range(len(w) - 49):
+            key = tuple(w[k : k + 50])
+            gone[i] |= set(range(k, k + 50)) if key in seen else set()
+            seen.add(key)
+    frame = table(spark, [*made, made[3], made[40]]).repartition(5)
+    for r in linededup.dedup_passages(frame).collect():
+        assert {k for s in r["removed"] for k in range(s["lo"], s["hi"] + 1)} == gone[r["doc_id"]]
+
+
+def test_lines_are_removed_exactly(docs, texts):
+    brute = brute_dedup(texts.items())
+    for r in linededup.dedup(docs).collect():
+        worded = {k for k, x in enumerate(brute[r["doc_id"]][0]) if words(x)}
+        assert {k for s in r["removed"] for k in range(s["lo"], s["hi"] + 1)} & worded == brute[r["doc_id"]][1]
