@@ -3,11 +3,19 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written
 as Parquet and read back as the next one's docs.  All but the last return the
 columns of documents.
+
+In every stage: a null text is an empty text, and texts of any length are
+worked on whole.  Rows with null or equal ids are rows of their own: filters
+judge each row by its text, line dedup takes equal ids in the order of a hash
+of id and text, near-dedup keeps one row of each group by (doc_id, null last,
+then that hash).  Repeated rows get equal verdicts; near-dedup keeps one.  An
+empty table gives an empty table.  Extra columns travel inside one column, so
+their names can't clash with an operator's.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.llm import linededup, neardup, packing, quality, shared, toxicity
@@ -40,15 +48,22 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, later repeated passages deleted; n_chars follows the text."""
-    out = linededup.dedup_passages(docs).select(*docs.columns)
-    return out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    out = linededup.dedup_passages(_carrying(docs))
+
+    def column(name: str) -> Column:
+        own = F.col("row").getField(name)
+        if name == "text":
+            own = F.col("text")
+        elif name == "n_chars":
+            own = F.when(F.col("text").isNotNull(), F.length("text")).otherwise(own).cast(docs.schema["n_chars"].dataType)
+        return own.alias(name)
+
+    return out.select(*map(column, docs.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: five-word shingles, similarity 0.8."""
-    classes = neardup.similarity_classes(docs, neardup.Join(shingle=5, percent=80))
-    gone = classes.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """One row of each near-duplicate group stays, and all rows without words: five-word shingles, similarity 0.8."""
+    return neardup.one_of_each(docs, neardup.Join(shingle=5, percent=80))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
