@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,11 +31,27 @@ def path(spark: SparkSession, name: str) -> str:
     return f"{root(spark)}/factloom-{name}-{uuid.uuid4().hex}"
 
 
+#: With it, Spark removes an execution's shuffle files when the execution ends; without, some time after the driver's next garbage collection.
+_CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def releasing(spark: SparkSession) -> Iterator[None]:
+    """Executions inside leave no shuffle files behind.  For those whose frames nothing reads again."""
+    before = spark.conf.get(_CLEANED, "false")
+    spark.conf.set(_CLEANED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANED, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: lineage is cut, and lost executors lose nothing."""
     spark = df.sparkSession
     to = path(spark, name)
-    df.write.option("compression", "zstd").parquet(to)
+    with releasing(spark):
+        df.write.option("compression", "zstd").parquet(to)
     out = spark.read.schema(df.schema).parquet(to)
     out.stored_at = to
     return out
