@@ -1,14 +1,22 @@
 """Language-model scoring by a weighted backoff automaton.
 
-Smoothed 1- to 3-grams become states with failure arcs.  One left-to-right
-traversal of a text carries the state, follows failure arcs until the next
-word has an arc, and adds up log10 probabilities.
+Smoothed 1- to 3-grams become states with failure arcs: a state without an arc
+for the next word adds its backoff weight and goes on at a shorter history.
+The state before a word is known from the two words before it, so a block's
+words are traversed together, each from the state that the words to its left
+have led to.
 
 Words and n-grams are known by 64-bit hashes.  Counts cover every training
 document; the model holds all words, and all 2- and 3-grams from a fixed count
 on, in distributed tables.  Tasks hold a hot part of the automaton, bounded by
 parameters, with the whole model's backoff weights.  What a word or n-gram
-outside it adds to the traversal comes from the tables by a join.
+outside it adds to the traversal comes from the tables: tasks send what they
+don't hold to the shards of the tables, and get back a sum for each document.
+
+Counting and asking go through shards by hash.  A task combines its n-grams
+first and sends each shard one packed message, so a hot n-gram is one entry a
+task; where rows of one history have to meet, hot histories are dealt by the
+whole n-gram, as tasks hold their counts.
 """
 
 from __future__ import annotations
@@ -18,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +51,9 @@ class Orders:
 
 END = kernel.mix_int(0x656E64)
 
+#: Tokens for each shard, about; entries that a task holds before it sends them.
+SHARD_TOKENS, HELD = 1 << 21, 1 << 20
+
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
@@ -77,18 +89,21 @@ class _Counter:
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
         if not self.parts:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        key = np.concatenate([k for k, _ in self.parts])
-        count = np.concatenate([c for _, c in self.parts])
-        order = np.argsort(key, kind="stable")
-        key, count = key[order], count[order]
-        at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
-        return key[at], np.add.reduceat(count, at) if len(at) else count
-
-    def batches(self, **fixed: int) -> Iterator[pa.RecordBatch]:
+        key, at, count = _grouped(np.concatenate([k for k, _ in self.parts]), np.concatenate([c for _, c in self.parts]))
+        return key[at], count
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
         key, count = self.merged()
         for lo in range(0, len(key), 1 << 17):
-            k = pa.array(key[lo : lo + (1 << 17)].view(np.int64))
-            yield pa.RecordBatch.from_arrays([*(pa.array(np.full(len(k), v, np.int32)) for v in fixed.values()), k, pa.array(count[lo : lo + (1 << 17)])], names=[*fixed, "key", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(key[lo : lo + (1 << 17)].view(np.int64)), pa.array(count[lo : lo + (1 << 17)])], names=["key", "n"])
+
+
+def _grouped(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, one place of each distinct key in ascending order, its summed n)."""
+    order = np.argsort(key, kind="stable")
+    ascending = key[order]
+    at = np.flatnonzero(np.concatenate([[True], ascending[1:] != ascending[:-1]])[: len(key)])
+    return key, order[at], np.add.reduceat(n[order], at) if len(at) else n[:0]
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,175 +114,415 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from counter.batches()
 
 
-def _ids(hashes: np.ndarray, sorted_head: np.ndarray) -> np.ndarray:
-    at = np.searchsorted(sorted_head, hashes)
-    at[at == len(sorted_head)] = 0
-    return np.where(sorted_head[at] == hashes, at, -1) if len(sorted_head) else np.full(len(hashes), -1)
+class Finder:
+    """Places of 64-bit hashes in a sorted array: their top bits give the place to look at first."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.bits = max(1, int(np.ceil(np.log2(len(keys) + 1))))
+        self.start = np.searchsorted(keys, np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits))
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        """The place of each, or -1."""
+        out = np.full(len(x), -1, np.int64)
+        if not len(self.keys):
+            return out
+        at, left = self.start[(x >> np.uint64(64 - self.bits)).astype(np.int64)], np.arange(len(x))
+        while len(left):
+            inside = at < len(self.keys)
+            at, left = at[inside], left[inside]
+            held = self.keys[at]
+            same = held == x[left]
+            out[left[same]] = at[same]
+            more = held < x[left]
+            at, left = at[more] + 1, left[more]
+        return out
 
 
 def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return kernel.mix(kernel.mix(before + np.uint64(2)) * np.uint64(0x2545F4914F6CDD1D) + word)
 
 
-def triple_keys(pre: np.ndarray, suf: np.ndarray) -> np.ndarray:
-    """Of the keys of the first and the last two words."""
-    return kernel.mix(kernel.mix(pre + np.uint64(3)) * np.uint64(0x9FB21C651E98DF25) + suf)
+def triple_keys(first: np.ndarray, suf: np.ndarray) -> np.ndarray:
+    """Of the first word and the key of the last two."""
+    return kernel.mix(kernel.mix(first + np.uint64(3)) * np.uint64(0x9FB21C651E98DF25) + suf)
 
 
-def _contexts(stream: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The word before each one (the end token opens each document), the pairs' keys, and where a 3-gram ends."""
-    before = np.concatenate([np.array([END], np.uint64), stream[:-1]])
-    before[first[:-1]] = END
+def _before(stream: np.ndarray, first: np.ndarray, of: np.ndarray, end) -> np.ndarray:
+    """What ``of`` has for the word before each one; the end token opens each document."""
+    out = np.empty_like(of)
+    out[1:] = of[:-1]
+    out[first[:-1]] = end
+    return out
+
+
+def _thirds(stream: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where 3-grams end: everywhere but at a document's first word."""
     third = np.ones(len(stream), bool)
     third[first[:-1]] = False
-    return before, pair_keys(before, stream), np.flatnonzero(third)
+    return np.flatnonzero(third)
 
 
-class _Grams:
-    """Counts of n-grams in one task; what doesn't fit is given out and combined later."""
+# Messages: arrays of one length, written by byte planes and compressed.
 
-    def __init__(self, order: int, most: int = 1 << 20):
-        self.order, self.most, self.size = order, most, 0
-        self.parts: list[tuple[np.ndarray, ...]] = []
 
-    def add(self, key: np.ndarray, pre: np.ndarray, suf: np.ndarray) -> Iterator[pa.RecordBatch]:
-        _, at, count = np.unique(key, return_index=True, return_counts=True)
-        self.parts.append((key[at], pre[at], suf[at], count.astype(np.int64)))
-        self.size += len(at)
-        if self.size > self.most:
-            yield from self.batches()
+def _message(*arrays: np.ndarray) -> bytes:
+    raw = b"".join(np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T).tobytes() for a in arrays)
+    return zstandard.ZstdCompressor(level=1).compress(raw)
 
-    def batches(self) -> Iterator[pa.RecordBatch]:
-        if not self.parts:
-            return
-        key, pre, suf, count = (np.concatenate(x) for x in zip(*self.parts, strict=True))
-        self.parts, self.size = [], 0
-        order = np.argsort(key, kind="stable")
-        at = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]])[: len(key)])
-        n, kept = np.add.reduceat(count[order], at) if len(at) else count, order[at]
-        pre, suf = pre[kept].view(np.int64), suf[kept].view(np.int64)
-        for lo in range(0, len(n), 1 << 17):
-            part = slice(lo, lo + (1 << 17))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n[part]), self.order, np.int32)), pa.array(pre[part]), pa.array(suf[part]), pa.array(n[part])], names=["order", "pre", "suf", "n"])
-
-
-def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All 2-grams as (word, word) and all 3-grams as (pair, pair)."""
-    two, three = _Grams(2), _Grams(3)
-    for batch in batches:
-        for _, _, data, offsets in kernel.blocks(batch["text"]):
-            stream, first = token_stream(data, offsets)
-            before, pair, third = _contexts(stream, first)
-            yield from two.add(pair, before, stream)
-            yield from three.add(triple_keys(pair[third - 1], pair[third]), pair[third - 1], pair[third])
-    yield from two.batches()
-    yield from three.batches()
+
+def _received(raw: bytes, *types: type) -> list[np.ndarray]:
+    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    sizes = [np.dtype(t).itemsize for t in types]
+    n, at, out = len(data) // sum(sizes), 0, []
+    for t, k in zip(types, sizes, strict=True):
+        out.append(np.ascontiguousarray(data[at : at + n * k].reshape(k, n).T).reshape(-1).view(t) if n else np.zeros(0, t))
+        at += n * k
+    return out
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_MESSAGE = "shard int, kind int, block long, data binary"
+
+
+def _sent(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
+    shard, kind, block, data = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), pa.array(kind, pa.int32()), pa.array(block, pa.int64()), pa.array(data, pa.binary())], names=["shard", "kind", "block", "data"])
+
+
+def _by_shard(shard: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, places of its entries in their order) of each shard that has entries."""
+    order = np.argsort(shard.astype(np.uint16) if shards <= 1 << 16 else shard, kind="stable")
+    ends = np.searchsorted(shard[order], np.arange(shards + 1))
+    for k in range(shards):
+        if ends[k + 1] > ends[k]:
+            yield k, order[ends[k] : ends[k + 1]]
+
+
+def _dealt(df: DataFrame, shards: int) -> DataFrame:
+    return df.repartitionById(shards, F.col("shard"))
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> dict[tuple[int, int], list[tuple[int, bytes]]]:
+    """A partition's messages, (block, data), by shard and kind."""
+    out: dict[tuple[int, int], list[tuple[int, bytes]]] = {}
     for batch in batches:
-        order, pre, suf = (batch[c].to_numpy(zero_copy_only=False) for c in ("order", "pre", "suf"))
-        pre, suf = pre.view(np.uint64), suf.view(np.uint64)
-        key = np.where(order == 2, pair_keys(pre, suf), triple_keys(pre, suf))
-        yield pa.RecordBatch.from_arrays([batch["order"], pa.array(key.view(np.int64)), batch["pre"], batch["suf"], batch["n"]], names=["order", "key", "pre", "suf", "n"])
+        for shard, kind, block, data in zip(batch["shard"].to_pylist(), batch["kind"].to_pylist(), batch["block"].to_pylist(), batch["data"].to_pylist(), strict=True):
+            out.setdefault((shard, kind), []).append((block, data))
+    return out
 
 
 @dataclass
-class Automaton:
-    """State 0 is the root, 1 + w the word of rank w, then kept pairs.  arcs: (state, word) to (weight, next state);
-    a state without an arc for a word adds ``back`` and goes on at ``fail``; ``down`` is all of it to the root.
+class Head:
+    """The most frequent words and the end token, sorted by hash: hashes, counts, ranks by falling count."""
+
+    words: np.ndarray
+    count: np.ndarray
+    rank: np.ndarray
+    find: Finder | None = None
+
+    def __post_init__(self):
+        self.by_rank = np.empty(len(self.rank), np.int64)
+        self.by_rank[self.rank] = np.arange(len(self.rank))
+
+    def ready(self) -> Head:
+        """With its finder, which a task makes for itself."""
+        return Head(self.words, self.count, self.rank, Finder(self.words))
+
+    def ranks(self, stream: np.ndarray) -> np.ndarray:
+        """The rank of each word, or -1."""
+        at = self.find(stream)
+        return np.where(at >= 0, self.rank[at] if len(self.rank) else 0, -1)
+
+    def coded(self, rank: np.ndarray, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ranks as 32-bit numbers, the number of words for one outside; the hashes of those outside, in order)."""
+        return np.where(rank >= 0, rank, len(self.rank)).astype(np.uint32), stream[rank < 0]
+
+    def decoded(self, code: np.ndarray, outside: np.ndarray) -> np.ndarray:
+        out = np.empty(len(code), np.uint64)
+        known = code < len(self.rank)
+        out[known] = self.words[self.by_rank[code[known]]]
+        out[~known] = outside
+        return out
+
+
+def _grams(order: int, head: Head, shards: int, hot: np.ndarray):
+    """Messages with a task's distinct 2- or 3-grams and their counts; hot: sorted keys of the hot pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, held = head.ready(), Finder(hot)
+        parts: list[tuple[np.ndarray, ...]] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if not parts:
+                return
+            n, key, *columns = (np.concatenate(x) for x in zip(*parts, strict=True))
+            parts.clear()
+            _, at, n = _grouped(key, n)
+            key, columns = key[at], [c[at] for c in columns]
+            words, ranks = columns[:order], columns[order:]
+            if order == 3:
+                pre = pair_keys(words[0], words[1])
+                key = np.where(held(pre) >= 0, key, pre)
+            rows = []
+            for shard, at in _by_shard((key % np.uint64(shards)).astype(np.int64), shards):
+                coded = [own.coded(r[at], w[at]) for w, r in zip(words, ranks, strict=True)]
+                rows.append((shard, 0, len(at), b"".join(_framed(_message(n[at].astype(np.uint32), *(c for c, _ in coded)), *(_message(x) for _, x in coded)))))
+            if rows:
+                yield _sent(rows)
+
+        size = 0
+        for batch in batches:
+            for _, _, data, offsets in kernel.blocks(batch["text"]):
+                stream, first = token_stream(data, offsets)
+                rank = own.ranks(stream)
+                last = int(own.ranks(np.array([END], np.uint64))[0])
+                before, before_rank = _before(stream, first, stream, END), _before(stream, first, rank, last)
+                key = pair_keys(before, stream)
+                columns = [before, stream, before_rank, rank]
+                if order == 3:
+                    at = _thirds(stream, first)
+                    key = triple_keys(before[at - 1], key[at])
+                    columns = [before[at - 1], before[at], stream[at], before_rank[at - 1], before_rank[at], rank[at]]
+                key, at, n = np.unique(key, return_index=True, return_counts=True)
+                parts.append((n.astype(np.int64), key, *(c[at] for c in columns)))
+                size += len(n)
+                if size > HELD:
+                    yield from flush()
+                    size = 0
+        yield from flush()
+
+    return run
+
+
+def _framed(*parts: bytes) -> Iterator[bytes]:
+    for p in parts:
+        yield len(p).to_bytes(8, "little")
+        yield p
+
+
+def _unframed(raw: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(raw):
+        n = int.from_bytes(raw[at : at + 8], "little")
+        out.append(raw[at + 8 : at + 8 + n])
+        at += 8 + n
+    return out
+
+
+def _gathered(order: int, head: Head, got: list[tuple[int, bytes]]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(n, the words) of the distinct n-grams in messages."""
+    ns, columns = [np.zeros(0, np.uint32)], [[np.zeros(0, np.uint64)] for _ in range(order)]
+    for _, raw in got:
+        body, *outside = _unframed(raw)
+        n, *codes = _received(body, *[np.uint32] * (order + 1))
+        ns.append(n)
+        for k, (code, x) in enumerate(zip(codes, outside, strict=True)):
+            columns[k].append(head.decoded(code, *_received(x, np.uint64)))
+    n, words = np.concatenate(ns).astype(np.int64), [np.concatenate(c) for c in columns]
+    suf = pair_keys(words[-2], words[-1])
+    _, at, n = _grouped(suf if order == 2 else triple_keys(words[0], suf), n)
+    return n, [w[at] for w in words]
+
+
+_TWO = "key long, pre long, suf long, n long, n_pre long, n_suf long, u int, w int"
+
+
+def _counted_pairs(head: Head, conf: Orders):
+    """The pairs that the model keeps; n_pre, n_suf: their words' counts, null outside the head; u, w: their ranks where both are hot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = head.ready()
+        for _, got in sorted(_held(batches).items()):
+            n, (u, w) = _gathered(2, own, got)
+            keep = n >= conf.least
+            n, u, w = n[keep], u[keep], w[keep]
+            ranks = [own.ranks(u), own.ranks(w)]
+            counts = [pa.array(own.count[own.by_rank[r]] if len(own.rank) else r, mask=r < 0) for r in ranks]
+            hot = (ranks[0] >= 0) & (ranks[1] >= 0) & (ranks[0] < conf.pairs) & (ranks[1] < conf.pairs)
+            cols = [pa.array(x.view(np.int64)) for x in (pair_keys(u, w), u, w)] + [pa.array(n), *counts, *(pa.array(r.astype(np.int32), mask=~hot) for r in ranks)]
+            yield pa.RecordBatch.from_arrays(cols, names=["key", "pre", "suf", "n", "n_pre", "n_suf", "u", "w"])
+
+    return run
+
+
+_THREE = "key long, pre long, suf long, n long, p double, p2 double, u int, v int, w int"
+
+
+@dataclass
+class Pairs:
+    """The hot pairs, sorted by key: keys, words' ranks, counts, probabilities."""
+
+    keys: np.ndarray
+    u: np.ndarray
+    w: np.ndarray
+    n: np.ndarray
+    p: np.ndarray
+
+
+def _counted_triples(head: Head, pairs: Pairs, conf: Orders):
+    """The triples that the model keeps, with p; p2: of their last two words, null unless these are hot.
+
+    Every occurrence of a pair but at a text's end is in a triple, and an end
+    is no history: so a history's count is the sum over its triples.
     """
 
-    pairs: int
-    arcs: dict[int, tuple[float, int]]
-    back: list[float]
-    fail: list[int]
-    down: list[float]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, find = head.ready(), Finder(pairs.keys)
+        for _, got in sorted(_held(batches).items()):
+            n, (u, v, w) = _gathered(3, own, got)
+            pre, suf = pair_keys(u, v), pair_keys(v, w)
+            hot = find(pre)
+            _, of = np.unique(pre, return_inverse=True)
+            total = np.bincount(of, weights=n, minlength=1)[of] if len(of) else n
+            total = np.where(hot >= 0, pairs.n[hot] if len(pairs.n) else 0, total)
+            keep = n >= conf.least
+            u, v, w, n, pre, suf, total = (x[keep] for x in (u, v, w, n, pre, suf, total))
+            last = find(suf)
+            ranks = [own.ranks(x) for x in (u, v, w)]
+            inside = np.all([(r >= 0) & (r < conf.triples) for r in ranks], axis=0)
+            p2 = pa.array(pairs.p[last] if len(pairs.p) else np.zeros(len(last)), mask=last < 0)
+            cols = [pa.array(x.view(np.int64)) for x in (triple_keys(u, suf), pre, suf)] + [pa.array(n), pa.array((n - conf.discount) / total), p2, *(pa.array(r.astype(np.int32), mask=~inside) for r in ranks)]
+            yield pa.RecordBatch.from_arrays(cols, names=["key", "pre", "suf", "n", "p", "p2", "u", "v", "w"])
+
+    return run
+
+
+class Automaton:
+    """State 0 is the root, 1 + w the word of rank w, then the kept pairs in the order of their keys (rank * width + rank).
 
-    def traverse(self, words: list[int], start: int) -> float:
-        """log10 weight of a sequence of ranks; a word outside counts only the way down to the root."""
-        arcs, back, fail, down, width = self.arcs, self.back, self.fail, self.down, self.pairs
-        state, total = start, 0.0
+    A state without an arc for a word adds ``back`` and goes on at ``fail``; ``down`` is all of it to the root.
+    """
+
+    def __init__(self, width: int, one: np.ndarray, two: np.ndarray, log2: np.ndarray, three: np.ndarray, log3: np.ndarray, back: np.ndarray):
+        """one: words' log weights by rank; two: pairs' keys, ascending; three: (place of the pair) * width + rank, ascending."""
+        self.width, self.one, self.two, self.log2, self.three, self.log3, self.back = width, one, two, log2, three, log3, back
+        self.fail = np.concatenate([np.zeros(len(one) + 1, np.int64), 1 + two % width])
+        self.down = self.back + np.where(self.fail > 0, self.back[self.fail], 0.0)
+        self.down[0] = 0.0
+        spread = lambda x: kernel.mix(x.astype(np.uint64))
+        self._spread = spread
+        self._order2, self._order3 = np.argsort(spread(two)), np.argsort(spread(three))
+        self._find2, self._find3 = Finder(spread(two)[self._order2]), Finder(spread(three)[self._order3])
+
+    def _pair(self, x: np.ndarray) -> np.ndarray:
+        at = self._find2(self._spread(x))
+        return np.where(at >= 0, self._order2[at] if len(self.two) else 0, -1)
+
+    def _triple(self, x: np.ndarray) -> np.ndarray:
+        at = self._find3(self._spread(x))
+        return np.where(at >= 0, self._order3[at] if len(self.three) else 0, -1)
+
+    def traverse(self, words: list[int], state: int) -> float:
+        """log10 weight of a sequence of ranks from a state; a word outside counts only the way down to the root."""
+        total = 0.0
         for w in words:
-            if w >= width:
-                total += down[state]
-                state = 0
+            if w >= self.width:
+                total, state = total + float(self.down[state]), 0
                 continue
-            found = arcs.get(state * width + w)
-            while found is None:
-                total += back[state]
-                state = fail[state]
-                found = arcs.get(state * width + w)
-            total += found[0]
-            state = found[1]
+            while True:
+                if state == 0:
+                    total, state = total + float(self.one[w]), 1 + w
+                    break
+                if state <= len(self.one):
+                    at = int(self._pair(np.array([(state - 1) * self.width + w]))[0])
+                    weight, after = (float(self.log2[at]), 1 + len(self.one) + at) if at >= 0 else (None, 0)
+                else:
+                    at = int(self._triple(np.array([(state - 1 - len(self.one)) * self.width + w]))[0])
+                    pair = int(self._pair(np.array([int(self.fail[state] - 1) * self.width + w]))[0]) if at >= 0 else -1
+                    weight, after = (float(self.log3[at]), 1 + len(self.one) + pair if pair >= 0 else 1 + w) if at >= 0 else (None, 0)
+                if weight is not None:
+                    total, state = total + weight, after
+                    break
+                total, state = total + float(self.back[state]), int(self.fail[state])
         return total
 
-
-def build(unigram: np.ndarray, two: dict[int, int], three: dict[int, int], total: int, d1: float, conf: Orders, backs: tuple[np.ndarray, dict[int, float]] | None = None) -> Automaton:
+    def weights(self, rank: np.ndarray, first: np.ndarray, opens: int) -> tuple[np.ndarray, np.ndarray]:
+        """(log10 weight, length of the n-gram whose arc was taken) of every word of texts of ranks; ``width`` and more: outside.
+
+        opens: the rank that stands before each text.
+        """
+        n1 = len(self.one)
+        inside = rank < self.width
+        before = _before(rank, first, rank, opens)
+        both = inside & (before < self.width)
+        pair = np.full(len(rank), -1, np.int64)
+        pair[both] = self._pair(before[both] * self.width + rank[both])
+        # The state before a word: the pair of the two words before it, else the word before it, else the root.
+        came = _before(rank, first, pair, -1)
+        state = np.where(came >= 0, 1 + n1 + came, np.where(before < self.width, 1 + before, 0))
+        triple = np.full(len(rank), -1, np.int64)
+        ask = np.flatnonzero(inside & (came >= 0))
+        triple[ask] = self._triple(came[ask] * self.width + rank[ask])
+        third, second = triple >= 0, pair >= 0
+        own = np.where(third, self.log3[triple] if len(self.log3) else 0.0, np.where(second, self.log2[pair] if len(self.log2) else 0.0, np.where(inside, self.one[np.where(inside, rank, 0)] if n1 else 0.0, 0.0)))
+        fell = np.where(third, 0.0, np.where(second, np.where(came >= 0, self.back[state], 0.0), self.down[state]))
+        return own + fell, np.where(third, 3, np.where(second, 2, np.where(inside, 1, 0)))
+
+
+def build(unigram: np.ndarray, two: dict[int, int], three: dict[int, int], total: int, d1: float, conf: Orders, backs: tuple[np.ndarray, np.ndarray] | None = None) -> Automaton:
     """unigram: counts by rank of the words that n-grams may hold; two, three: kept n-grams' counts.
 
-    backs: backoff weights by word and by pair, if these n-grams are a part of a larger model.
+    backs: backoff weights by word and by ascending pair, if these n-grams are a part of a larger model.
     """
-    width = conf.pairs
+    arrays = lambda d: (np.array(sorted(d), np.int64), np.array([d[k] for k in sorted(d)], float))
+    return _built(unigram, *arrays(two), *arrays(three), total, d1, conf, backs)
+
+
+def _built(unigram: np.ndarray, two: np.ndarray, n2: np.ndarray, three: np.ndarray, n3: np.ndarray, total: int, d1: float, conf: Orders, backs: tuple[np.ndarray, np.ndarray] | None) -> Automaton:
+    width, n = conf.pairs, len(unigram)
     p1 = (unigram - d1) / total
-    arcs: dict[int, tuple[float, int]] = {w: (float(np.log10(p)), 1 + w) for w, p in enumerate(p1)}
-    n = len(unigram)
-    fail, back = [0] * (n + 1), [0.0] * (n + 1)
-    state_of = {}
-    for k in sorted(two):
-        state_of[k] = len(fail)
-        fail.append(1 + k % width)
-        back.append(0.0)
-    p2: dict[int, float] = {}
-    kept, below = np.zeros(n), np.zeros(n)
-    for k, c in two.items():
-        h, w = divmod(k, width)
-        p2[k] = (c - conf.discount) / unigram[h]
-        kept[h] += p2[k]
-        below[h] += p1[w]
-    alpha1 = np.maximum(1 - kept, 1e-9) / np.maximum(1 - below, 1e-9)
-    for w in range(n):
-        back[1 + w] = float(np.log10(alpha1[w])) if kept[w] else 0.0
-    for k, p in p2.items():
-        arcs[(1 + k // width) * width + k % width] = (float(np.log10(p)), state_of[k])
-    backed = lambda h, w: p2.get(h * width + w) or alpha1[h] * p1[w]
-    kept2: dict[int, float] = {}
-    below2: dict[int, float] = {}
-    for k, c in three.items():
-        uv, w = divmod(k, conf.triples)
-        u, v = divmod(uv, conf.triples)
-        if (pair := u * width + v) not in state_of:
-            continue
-        p = (c - conf.discount) / two[pair]
-        kept2[pair] = kept2.get(pair, 0.0) + p
-        below2[pair] = below2.get(pair, 0.0) + backed(v, w)
-        arcs[state_of[pair] * width + w] = (float(np.log10(p)), state_of.get(v * width + w, 1 + w))
-    for pair, p in kept2.items():
-        back[state_of[pair]] = float(np.log10(max(1 - p, 1e-9) / max(1 - below2[pair], 1e-9)))
+    h, w = two // width, two % width
+    p2 = (n2 - conf.discount) / unigram[h] if len(two) else np.zeros(0)
+    place = lambda keys: np.minimum(np.searchsorted(two, keys), max(len(two) - 1, 0))
+    uv, x = three // conf.triples, three % conf.triples
+    pre = uv // conf.triples * width + uv % conf.triples
+    held = two[place(pre)] == pre if len(two) else np.zeros(len(three), bool)
+    x, pre, v, n3 = x[held], place(pre[held]), (uv % conf.triples)[held], n3[held]
+    p3 = (n3 - conf.discount) / n2[pre] if len(pre) else np.zeros(0)
+    back = np.zeros(1 + n + len(two))
+    rest = lambda kept, below: np.log10(np.maximum(1 - kept, 1e-9) / np.maximum(1 - below, 1e-9))
+    kept = np.bincount(h, weights=p2, minlength=n)[:n]
+    back1 = np.where(kept > 0, rest(kept, np.bincount(h, weights=p1[w], minlength=n)[:n]), 0.0) if len(two) else np.zeros(n)
     if backs:
-        back[1 : n + 1] = backs[0][:n].tolist()
-        for pair, state in state_of.items():
-            back[state] = backs[1].get(pair, 0.0)
-    down = [0.0] * len(fail)
-    for s in range(1, len(fail)):
-        down[s] = back[s] + down[fail[s]]
-    return Automaton(width, arcs, back, fail, down)
+        back[1 : n + 1], back[n + 1 :] = backs[0][:n], backs[1]
+    else:
+        back[1 : n + 1] = back1
+        if len(pre):
+            suf = v * width + x
+            known = two[place(suf)] == suf
+            below = np.where(known, p2[place(suf)], 10 ** back1[v] * p1[x])
+            kept2 = np.bincount(pre, weights=p3, minlength=len(two))
+            back[n + 1 :] = np.where(kept2 > 0, rest(kept2, np.bincount(pre, weights=below, minlength=len(two))), 0.0)
+    arcs = pre * width + x
+    order = np.argsort(arcs)
+    with np.errstate(divide="ignore"):
+        return Automaton(width, np.log10(p1), two, np.log10(p2), arcs[order], np.log10(p3)[order], back)
 
 
 @dataclass
 class Model:
     words: DataFrame  # key, n, value: every training word's count and weight, stored
-    grams: DataFrame | None  # key, value: the weight that each kept 2- and 3-gram adds, stored
+    pairs: DataFrame  # key, value: the weight that each kept 2-gram adds, stored
+    triples: DataFrame  # key, suf, value: the same of each kept 3-gram, stored
     total: int
     distinct: int
     d1: float
-    head: np.ndarray  # sorted hashes
-    count: np.ndarray  # their counts
-    rank: np.ndarray  # their ranks by falling count
-    back: np.ndarray  # their backoff weights
-    two: dict[int, int]  # the hot n-grams
-    three: dict[int, int]
-    back2: dict[int, float]  # backoff weights of hot pairs
+    shards: int
+    head: Head
+    back: np.ndarray  # the head's backoff weights, by rank
+    hot: Pairs  # the 2-grams that tasks hold
+    back2: np.ndarray  # their backoff weights
+    three: dict[int, int]  # the 3-grams that tasks hold
+
+    @property
+    def count(self) -> np.ndarray:
+        return self.head.count
+
+    @property
+    def two(self) -> dict[int, int]:
+        return dict(zip((self.hot.u * self.width + self.hot.w).tolist(), self.hot.n.tolist(), strict=True))
+
+    width: int = 0
 
 
 def _cutoff(counts: DataFrame, most: int) -> int:
@@ -286,143 +541,335 @@ def _log_ratio(kept: str, below: str):
     return F.log10(rest(kept) / rest(below))
 
 
-def _weighed(words: DataFrame, grams: DataFrame, total: int, d1: float, conf: Orders) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(words with back and value, 2-grams and 3-grams with back and value), stored.
-
-    A word adds its own weight and its backoff weight.  A 2- or 3-gram adds
-    what it changes against backing off at its place, and a pair its backoff
-    weight as well.  The sum over a text is the whole automaton's traversal.
-    """
-    col, order = F.col, lambda k: grams.filter(F.col("order") == k).drop("order")
-    p1 = words.select("key", "n", ((col("n") - d1) / float(max(total, 1))).alias("p1"))
-    two = order(2).join(p1.select(col("key").alias("pre"), col("n").alias("n_pre")), "pre").join(p1.select(col("key").alias("suf"), "p1"), "suf")
-    two = shared.stored(two.withColumn("p", (col("n") - conf.discount) / col("n_pre")).drop("n_pre"), "two")
-    back1 = two.groupBy("pre").agg(_log_ratio("p", "p1").alias("back"))
-    one = p1.join(back1.withColumnRenamed("pre", "key"), "key", "left").withColumn("back", F.coalesce("back", F.lit(0.0)))
-    one = shared.stored(one.select("key", "n", "back", (F.log10("p1") + col("back")).alias("value")), "words")
-    three = order(3).join(two.select(col("key").alias("pre"), col("n").alias("n_pre")), "pre").join(two.select(col("key").alias("suf"), col("p").alias("p2")), "suf")
-    three = shared.stored(three.withColumn("p", (col("n") - conf.discount) / col("n_pre")).drop("n_pre"), "three")
-    back2 = shared.stored(three.groupBy("pre").agg(_log_ratio("p", "p2").alias("back")), "back2")
-    pairs = two.join(back2.withColumnRenamed("pre", "key"), "key", "left").withColumn("back", F.coalesce("back", F.lit(0.0))).join(one.select(col("key").alias("pre"), col("back").alias("back1")), "pre")
-    pairs = shared.stored(pairs.select("key", "pre", "suf", "n", "back", (F.log10("p") - col("back1") - F.log10("p1") + col("back")).alias("value")), "pairs")
-    triples = shared.stored(three.join(back2, "pre").select("key", "pre", "suf", "n", (F.log10("p") - col("back") - F.log10("p2")).alias("value")), "triples")
-    shared.drop(two, three, back2)
-    return one, pairs, triples
-
-
-def _hot(pairs: DataFrame, triples: DataFrame, head: np.ndarray, rank: np.ndarray, conf: Orders) -> tuple[dict[int, int], dict[int, int], dict[int, float]]:
-    """The n-grams that tasks hold, by ranks; a 3-gram only beside both of its pairs."""
-    spark, col = pairs.sparkSession, F.col
-    at = np.flatnonzero(rank < conf.pairs)
-    ranks = F.broadcast(spark.createDataFrame(list(zip(head[at].view(np.int64).tolist(), rank[at].tolist(), strict=True)), "key long, rank long"))
-    named = lambda c, r: ranks.select(col("key").alias(c), col("rank").alias(r))
-    own = pairs.join(named("pre", "u"), "pre").join(named("suf", "w"), "suf").select("key", "u", "w", "n", "back")
-    rows = (own := own.filter(col("n") >= _cutoff(own, conf.grams))).collect()
-    two = {r["u"] * conf.pairs + r["w"]: r["n"] for r in rows}
-    back2 = {r["u"] * conf.pairs + r["w"]: r["back"] for r in rows}
-    near = F.broadcast(own.filter((col("u") < conf.triples) & (col("w") < conf.triples)))
-    both = triples.join(near.select(col("key").alias("pre"), "u", col("w").alias("v")), "pre").join(near.select(col("key").alias("suf"), "w"), "suf").select("u", "v", "w", "n")
-    rows = both.filter(col("n") >= _cutoff(both, conf.grams)).collect()
-    return two, {(r["u"] * conf.triples + r["v"]) * conf.triples + r["w"]: r["n"] for r in rows}, back2
+def _columns(df: DataFrame) -> dict[str, np.ndarray]:
+    """A bounded table's columns in the driver, by ascending unsigned key."""
+    got = df.toArrow()
+    out = {c: got[c].to_numpy() for c in got.column_names}
+    order = np.argsort(out["key"].view(np.uint64))
+    return {c: x[order] for c, x in out.items()}
 
 
 def fit(train: DataFrame, conf: Orders = Orders()) -> Model:
-    """Count every word, 2- and 3-gram of every training text; n-grams are kept from ``least`` times on."""
-    texts = train.select("text")
+    """Count every word, 2- and 3-gram of every training text; n-grams are kept from ``least`` times on.
+
+    Null texts are empty ones, repeated rows count as often as they occur, ids
+    and further columns are not read, texts of any length are counted whole.
+    Without rows the model knows no word.
+    """
+    spark, col, texts = train.sparkSession, F.col, train.select("text")
     counted = shared.stored(texts.mapInArrow(_count_words, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "counted")
     s = counted.agg(F.sum("n").alias("total"), F.count("*").alias("v"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")).first()
     total, distinct = s["total"] or 0, s["v"]
     d1 = float(np.clip(s["n1"] / max(1, s["n1"] + 2 * s["n2"]), 0.1, 0.95))
-    counts = texts.mapInArrow(_count_grams, "order int, pre long, suf long, n long").groupBy("order", "pre", "suf").agg(F.sum("n").alias("n"))
-    grams = shared.stored(counts.filter(F.col("n") >= conf.least).mapInArrow(_keyed, "order int, key long, pre long, suf long, n long"), "grams")
-    words, pairs, triples = _weighed(counted, grams, total, d1, conf)
-    rows = words.filter((F.col("n") >= _cutoff(words, conf.head)) | (F.col("key") == _signed(END))).select("key", "n", "back").collect()
-    head = np.array([r["key"] for r in rows], np.int64).view(np.uint64)
-    count, back = np.array([r["n"] for r in rows], np.int64), np.array([r["back"] for r in rows], float)
-    order = np.argsort(head)
-    head, count, back = head[order], count[order], back[order]
-    rank = np.empty(len(head), np.int64)
-    rank[np.lexsort((head, -count))] = np.arange(len(head))
-    two, three, back2 = _hot(pairs, triples, head, rank, conf) if len(head) else ({}, {}, {})
-    values = pairs.select("key", "value").unionByName(triples.select("key", "value"))
-    shared.drop(counted, grams)
-    return Model(words, values, total, distinct, d1, head, count, rank, back, two, three, back2)
-
-
-def _cold(stream: np.ndarray, first: np.ndarray, word: np.ndarray, keys2: np.ndarray, keys3: np.ndarray, end: int, conf: Orders) -> pa.ListArray:
-    """Keys of each row's 2- and 3-grams that the automaton doesn't hold."""
-    held = lambda x, keys: keys[np.minimum(np.searchsorted(keys, x), len(keys) - 1)] == x if len(keys) else np.zeros(len(x), bool)
-    _, pair, third = _contexts(stream, first)
-    before = np.concatenate([[end], word[:-1]])
-    before[first[:-1]] = end
-    hot2 = (word < conf.pairs) & (before < conf.pairs)
-    hot2[hot2] = held(before[hot2] * conf.pairs + word[hot2], keys2)
-    u, v, w = before[third - 1], before[third], word[third]
-    hot3 = (u < conf.triples) & (v < conf.triples) & (w < conf.triples)
-    hot3[hot3] = held((u[hot3] * conf.triples + v[hot3]) * conf.triples + w[hot3], keys3)
-    third = third[~hot3]
-    at = np.concatenate([np.flatnonzero(~hot2), third])
-    key = np.concatenate([pair[~hot2], triple_keys(pair[third - 1], pair[third])])
-    row = np.searchsorted(first, at, "right") - 1
-    order = np.argsort(row, kind="stable")
-    ends = np.searchsorted(row[order], np.arange(len(first)), "left")
-    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(key[order].view(np.int64)))
-
-
-_PARTIAL = "rid long, doc_id long, n_tokens long, n_known long, base double, part double, tail array<long>, cold array<long>"
-
-
-def _traverse(head: np.ndarray, count: np.ndarray, rank: np.ndarray, back: np.ndarray, packed: tuple, total: int, distinct: int, d1: float, conf: Orders):
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SHARD_TOKENS))
+    got = _columns(counted.filter((col("n") >= _cutoff(counted, conf.head)) | (col("key") == _signed(END))))
+    words, count = got["key"].view(np.uint64), got["n"]
+    rank = np.empty(len(words), np.int64)
+    rank[np.lexsort((words, -count))] = np.arange(len(words))
+    head, none = Head(words, count, rank), np.zeros(0, np.uint64)
+
+    # Pairs, their probabilities p and those of their last words p1.
+    counts = _dealt(texts.mapInArrow(_grams(2, head, shards, none), _MESSAGE), shards).mapInArrow(_counted_pairs(head, conf), _TWO)
+    first = shared.stored(counts, "two")
+    apart = first.filter("n_pre is null or n_suf is null").drop("n_pre", "n_suf")
+    n_of = lambda c: counted.select(col("key").alias(c), col("n").alias(f"n_{c}"))
+    apart = shared.stored(apart.join(n_of("pre"), "pre").join(n_of("suf"), "suf").select(*first.columns), "apart")
+    two = first.filter("n_pre is not null and n_suf is not null").unionByName(apart)
+    two = two.select("*", ((col("n") - conf.discount) / col("n_pre")).alias("p"), ((col("n_suf") - d1) / float(max(total, 1))).alias("p1"))
+    hot = two.filter("u is not null").select("key", "u", "w", "n", "p")
+    got = _columns(hot.filter(col("n") >= _cutoff(hot, conf.grams)))
+    pairs = Pairs(got["key"].view(np.uint64), got["u"].astype(np.int64), got["w"].astype(np.int64), got["n"], got["p"])
+
+    # Words: their weight and their backoff weight.
+    back1 = two.groupBy("pre").agg(_log_ratio("p", "p1").alias("back"))
+    one = counted.join(back1.withColumnRenamed("pre", "key"), "key", "left").withColumn("back", F.coalesce("back", F.lit(0.0)))
+    one = shared.stored(one.select("key", "n", "back", (F.log10((col("n") - d1) / float(max(total, 1))) + col("back")).alias("value")), "words")
+    shared.drop(counted)
+    inside = spark.createDataFrame(pa.table({"key": pa.array(words.view(np.int64))}))
+    of_head = _columns(one.join(F.broadcast(inside), "key").select("key", "back"))["back"]
+
+    # Triples, and the backoff weights of pairs.
+    counts = _dealt(texts.mapInArrow(_grams(3, head, shards, pairs.keys), _MESSAGE), shards).mapInArrow(_counted_triples(head, pairs, conf), _THREE)
+    first3 = shared.stored(counts, "three")
+    rest = shared.stored(first3.filter("p2 is null").drop("p2").join(two.select(col("key").alias("suf"), col("p").alias("p2")), "suf").select(*first3.columns), "rest")
+    three = first3.filter("p2 is not null").unionByName(rest)
+    back2 = shared.stored(three.groupBy("pre").agg(_log_ratio("p", "p2").alias("back")), "back2")
+
+    # What a pair or triple changes against backing off at its place; a pair's backoff weight as well.
+    near = F.broadcast(spark.createDataFrame(pa.table({"pre": pa.array(words.view(np.int64)), "back1": pa.array(of_head)})))
+    with_back1 = two.filter("n_pre is not null").join(near, "pre", "left")
+    known = with_back1.filter("back1 is not null")
+    other = with_back1.filter("back1 is null").drop("back1").join(one.select(col("key").alias("pre"), col("back").alias("back1")), "pre")
+    valued = known.unionByName(other.select(*known.columns)).join(back2.withColumnRenamed("pre", "key"), "key", "left").withColumn("back", F.coalesce("back", F.lit(0.0)))
+    valued = shared.stored(valued.select("key", "u", "w", "n", "back", (F.log10("p") - col("back1") - F.log10("p1") + col("back")).alias("value")), "pairs")
+    triples = shared.stored(three.join(back2, "pre").select("key", "suf", "n", "u", "v", "w", (F.log10("p") - col("back") - F.log10("p2")).alias("value")), "triples")
+    shared.drop(first, apart, first3, rest, back2)
+
+    held = spark.createDataFrame(pa.table({"key": pa.array(pairs.keys.view(np.int64))}))
+    back_of = _columns(valued.join(F.broadcast(held), "key").select("key", "back"))["back"]
+    three_hot = _hot_triples(triples, pairs, conf)
+    by_rank = np.zeros(len(words))
+    by_rank[rank] = of_head
+    return Model(one, valued, triples, total, distinct, d1, shards, head, by_rank, pairs, back_of, three_hot, conf.pairs)
+
+
+def _hot_triples(triples: DataFrame, pairs: Pairs, conf: Orders) -> dict[int, int]:
+    """The 3-grams that tasks hold, by ranks; only beside both of their pairs."""
+    near = (pairs.u < conf.triples) & (pairs.w < conf.triples)
+    table = pa.table({"u": pa.array(pairs.u[near].astype(np.int32)), "v": pa.array(pairs.w[near].astype(np.int32))})
+    known = F.broadcast(triples.sparkSession.createDataFrame(table))
+    both = triples.filter("u is not null").join(known, ["u", "v"]).join(known.select(F.col("u").alias("v"), F.col("v").alias("w")), ["v", "w"]).select("u", "v", "w", "n")
+    got = both.filter(F.col("n") >= _cutoff(both, conf.grams)).toArrow()
+    u, v, w = (got[c].to_numpy().astype(np.int64) for c in "uvw")
+    return dict(zip(((u * conf.triples + v) * conf.triples + w).tolist(), got["n"].to_pylist(), strict=True))
+
+
+# Kinds of messages while scoring: the model's words, pairs and triples; asked: words, pairs with the word before them, triples; and documents.
+_WORDS, _PAIRS, _TRIPLES, _ASK_WORDS, _ASK_PAIRS, _ASK_TRIPLES, _DOCUMENTS = range(7)
+
+
+def _table_messages(kind: int, shards: int, hot: np.ndarray):
+    """The model's rows to their shards: words and pairs by their key, triples by their last two words, or by themselves where these are hot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, parts, size = Finder(hot), [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if parts:
+                of, *columns = (np.concatenate(x) for x in zip(*parts, strict=True))
+                parts.clear()
+                yield _sent([(shard, kind, 0, _message(*(c[at] for c in columns))) for shard, at in _by_shard((of % np.uint64(shards)).astype(np.int64), shards)])
+
+        for batch in batches:
+            key = batch["key"].to_numpy().view(np.uint64)
+            of = key
+            if kind == _TRIPLES:
+                suf = batch["suf"].to_numpy().view(np.uint64)
+                of = np.where(held(suf) >= 0, key, suf)
+            more = [batch["n"].to_numpy()] if kind == _WORDS else []
+            if len(key):
+                parts.append((of, key, batch["value"].to_numpy(), *more))
+                size += len(key)
+            if size > HELD:
+                yield from flush()
+                size = 0
+        yield from flush()
+
+    return run
+
+
+@dataclass
+class _Part:
+    """What every task needs of a model."""
+
+    head: Head
+    back: np.ndarray
+    hot: Pairs
+    back2: np.ndarray
+    three: np.ndarray
+    n3: np.ndarray
+    total: int
+    distinct: int
+    d1: float
+    shards: int
+    conf: Orders
+
+    def automaton(self) -> Automaton:
+        """Of the hot part; its words are those of the least ranks, its pairs in the order of their ranks."""
+        n = min(self.conf.pairs, len(self.head.rank))
+        unigram = self.head.count[self.head.by_rank[:n]].astype(float)
+        key = self.hot.u * self.conf.pairs + self.hot.w
+        order = np.argsort(key)
+        return _built(unigram, key[order], self.hot.n[order].astype(float), self.three, self.n3, max(self.total, 1), self.d1, self.conf, (self.back, self.back2[order]))
+
+    @property
+    def unknown(self) -> tuple[float, float]:
+        """log10 of an unknown word's base share and of its weight."""
+        share = self.d1 * self.distinct / self.total if self.total else 1.0
+        return float(np.log10(self.conf.smoothing / self.whole)), float(np.log10(share))
+
+    @property
+    def whole(self) -> float:
+        return self.total + self.conf.smoothing * (self.distinct + 1)
+
+
+def _traversed(part: _Part):
+    """Messages of a task's documents: what the automaton gives them, and what it has to ask for."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        at = TaskContext.get().partitionId() << 40
-        keys2, n2, keys3, n3, back2 = packed
-        by_rank = np.sort(count)[::-1][: conf.pairs]
-        automaton = build(by_rank.astype(float), dict(zip(keys2.tolist(), n2.tolist(), strict=True)), dict(zip(keys3.tolist(), n3.tolist(), strict=True)), max(total, 1), d1, conf, (back[np.argsort(rank)], dict(zip(keys2.tolist(), back2.tolist(), strict=True))))
-        base_of = np.log10((count + conf.smoothing) / (total + conf.smoothing * (distinct + 1)))
-        rest_of = np.where(rank < conf.pairs, 0.0, np.log10((count - d1) / max(total, 1)) + back)
-        opens = 1 + int(rank[np.searchsorted(head, np.uint64(END))]) if len(head) and by_rank.size and rank[np.searchsorted(head, np.uint64(END))] < conf.pairs else 0
-        end = int(rank[np.searchsorted(head, np.uint64(END))]) if len(head) else 1 << 30
-        per = lambda x, first: np.diff(np.concatenate([[0], np.cumsum(x)])[first])
+        block, conf, shards = TaskContext.get().partitionId() << 32, part.conf, part.shards
+        automaton, head = part.automaton(), part.head.ready()
+        count = head.count[head.by_rank]
+        base_of = np.log10((count + conf.smoothing) / part.whole)
+        rest_of = np.where(np.arange(len(count)) < conf.pairs, 0.0, np.log10((count - part.d1) / max(part.total, 1)) + part.back)
+        end = int(head.ranks(np.array([END], np.uint64))[0]) if len(count) else -1
+        outside_base, outside = part.unknown
+        far = 1 << 30
+        docs: list[tuple[np.ndarray, ...]] = []
+        asked: list[list[tuple[np.ndarray, ...]]] = [[], [], []]
+        size, rows = 0, 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal block
+            out = []
+            if docs:
+                out.append((((block >> 32) + block) % (1 << 32) % shards, _DOCUMENTS, block, _message(*(np.concatenate(x) for x in zip(*docs, strict=True)))))
+            if asked[0]:
+                word, doc = (np.concatenate(x) for x in zip(*asked[0], strict=True))
+                for shard, at in _by_shard((word % np.uint64(shards)).astype(np.int64), shards):
+                    out.append((shard, _ASK_WORDS, block, _ascending_message(word[at], doc[at])))
+            if asked[1]:
+                key, doc, before, rank = (np.concatenate(x) for x in zip(*asked[1], strict=True))
+                for shard, at in _by_shard((key % np.uint64(shards)).astype(np.int64), shards):
+                    at = at[np.argsort(key[at])]
+                    code, other = head.coded(rank[at], before[at])
+                    step = np.diff(key[at], prepend=np.uint64(0))
+                    out.append((shard, _ASK_PAIRS, block, b"".join(_framed(_message(step, doc[at], code), _message(other)))))
+            if asked[2]:
+                key, doc = (np.concatenate(x) for x in zip(*asked[2], strict=True))
+                for shard, at in _by_shard((key % np.uint64(shards)).astype(np.int64), shards):
+                    out.append((shard, _ASK_TRIPLES, block, _ascending_message(key[at], doc[at])))
+            for x in (docs, *asked):
+                x.clear()
+            block += 1
+            if out:
+                yield _sent(out)
+
         for batch in batches:
+            ids, given = batch["doc_id"].cast(pa.int64()), np.asarray(batch["doc_id"].is_valid())
+            ids = ids.fill_null(0).to_numpy()
             for lo, hi, data, offsets in kernel.blocks(batch["text"]):
                 stream, first = token_stream(data, offsets)
-                ids = _ids(stream, head)
-                known = ids >= 0
-                base = np.add.reduceat(np.where(known, base_of[ids] if len(head) else 0.0, 0.0), first[:-1])
-                part = np.add.reduceat(np.where(known, rest_of[ids] if len(head) else 0.0, 0.0), first[:-1])
-                words = np.where(known, rank[ids] if len(head) else 0, 1 << 30).tolist()
-                score = [automaton.traverse(words[a:b], opens) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
-                tail = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per(~known, first))]).astype(np.int32)), pa.array(stream[~known].view(np.int64)))
-                cold = _cold(stream, first, np.where(known, rank[ids] if len(head) else 0, 1 << 30), keys2, keys3, end, conf)
-                rid = np.arange(at, at + hi - lo)
-                at += hi - lo
-                yield pa.RecordBatch.from_arrays([pa.array(rid), batch["doc_id"].slice(lo, hi - lo).cast(pa.int64()), pa.array(np.diff(first)), pa.array(per(known, first)), pa.array(base), pa.array(part + np.array(score)), tail, cold], names=["rid", "doc_id", "n_tokens", "n_known", "base", "part", "tail", "cold"])
+                rank = head.ranks(stream)
+                known = rank >= 0
+                weight, arc = automaton.weights(np.where(known, rank, far), first, end if end >= 0 else far)
+                per = lambda x: np.add.reduceat(x, first[:-1])  # noqa: E731, B023
+                at = np.where(known, rank, 0)
+                base = per(np.where(known, base_of[at] if len(count) else 0.0, outside_base))
+                score = per(weight + np.where(known, rest_of[at] if len(count) else 0.0, outside))
+                docs.append((ids[lo:hi], given[lo:hi], np.diff(first), per(known.astype(np.int64)), base, score))
+                doc = np.repeat(np.arange(rows, rows + hi - lo, dtype=np.uint32), np.diff(first))
+                rows += hi - lo
+                asked[0].append((stream[~known], doc[~known]))
+                before, before_rank = _before(stream, first, stream, END), _before(stream, first, rank, end)
+                key = pair_keys(before, stream)
+                # The word before a pair, by its rank; the end token also stands before the opening one, where no triple is.
+                two_before, two_rank = _before(stream, first, before, END), _before(stream, first, before_rank, end)
+                cold = np.flatnonzero(arc < 2)
+                asked[1].append((key[cold], doc[cold], two_before[cold], two_rank[cold]))
+                third = _thirds(stream, first)
+                third = third[arc[third] == 2]
+                asked[2].append((triple_keys(two_before[third], key[third]), doc[third]))
+                size += len(cold) + len(third)
+                if size > 2 * HELD:
+                    yield from flush()
+                    size, rows = 0, 0
+        yield from flush()
 
     return run
 
 
+def _ascending_message(key: np.ndarray, doc: np.ndarray) -> bytes:
+    order = np.argsort(key)
+    return _message(np.diff(key[order], prepend=np.uint64(0)), doc[order])
+
+
+def _merged(kind: int, got: dict, shard: int, *types: type) -> list[np.ndarray]:
+    parts = [_received(raw, *types) for _, raw in got.get((shard, kind), [])]
+    out = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, t) for t in types]
+    order = np.argsort(out[0])
+    return [x[order] for x in out]
+
+
+def _answers(part: _Part):
+    """For each block, the documents that a shard of the model adds something to, and how much; documents pass through."""
+
+    def found(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(keys, x)
+        at[at == len(keys)] = 0
+        hit = np.flatnonzero(keys[at] == x) if len(keys) else np.zeros(0, np.int64)
+        return hit, at[hit]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got, head = _held(batches), part.head.ready()
+        for shard in sorted({s for s, _ in got}):
+            words, word_value, word_n = _merged(_WORDS, got, shard, np.uint64, np.float64, np.int64)
+            pairs, pair_value = _merged(_PAIRS, got, shard, np.uint64, np.float64)
+            triples, triple_value = _merged(_TRIPLES, got, shard, np.uint64, np.float64)
+            outside_base, outside = part.unknown
+            base_of = np.log10((word_n + part.conf.smoothing) / part.whole) - outside_base
+            for block, raw in got.get((shard, _DOCUMENTS), []):
+                yield _sent([(0, _DOCUMENTS, block, raw)])
+            sums: dict[int, list[tuple[np.ndarray, ...]]] = {}
+            for block, raw in got.get((shard, _ASK_WORDS), []):
+                step, doc = _received(raw, np.uint64, np.uint32)
+                hit, at = found(words, np.cumsum(step, dtype=np.uint64))
+                sums.setdefault(block, []).append((doc[hit], word_value[at] - outside, base_of[at], np.ones(len(hit))))
+            for block, raw in got.get((shard, _ASK_PAIRS), []):
+                body, other = _unframed(raw)
+                step, doc, code = _received(body, np.uint64, np.uint32, np.uint32)
+                key = np.cumsum(step, dtype=np.uint64)
+                hit, at = found(pairs, key)
+                # A triple is kept only if its last two words are.
+                before = head.decoded(code, *_received(other, np.uint64))
+                three, at3 = found(triples, triple_keys(before[hit], key[hit]))
+                for d, v in ((doc[hit], pair_value[at]), (doc[hit][three], triple_value[at3])):
+                    sums.setdefault(block, []).append((d, v, np.zeros(len(d)), np.zeros(len(d))))
+            for block, raw in got.get((shard, _ASK_TRIPLES), []):
+                step, doc = _received(raw, np.uint64, np.uint32)
+                hit, at = found(triples, np.cumsum(step, dtype=np.uint64))
+                sums.setdefault(block, []).append((doc[hit], triple_value[at], np.zeros(len(hit)), np.zeros(len(hit))))
+            out = []
+            for block, parts in sums.items():
+                doc, *values = (np.concatenate(x) for x in zip(*parts, strict=True))
+                if len(doc):
+                    named, of = np.unique(doc, return_inverse=True)
+                    out.append((0, _WORDS, block, _message(named, *(np.bincount(of, weights=v) for v in values))))
+            if out:
+                yield _sent(out)
+
+    return run
+
+
+_RESULT = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    blocks: dict[int, list[tuple[int, bytes]]] = {}
+    for batch in batches:
+        for kind, block, data in zip(batch["kind"].to_pylist(), batch["block"].to_pylist(), batch["data"].to_pylist(), strict=True):
+            blocks.setdefault(block, []).append((kind, data))
+    for block in sorted(blocks):
+        held = sorted(blocks.pop(block), key=lambda x: -x[0])  # the documents first
+        ids, given, tokens, known, base, score = _received(held[0][1], np.int64, bool, np.int64, np.int64, np.float64, np.float64)
+        known, base, score = known.copy(), base.copy(), score.copy()
+        for _, raw in held[1:]:
+            doc, g, b, k = _received(raw, np.uint32, np.float64, np.float64, np.float64)
+            score[doc] += g
+            base[doc] += b
+            known[doc] += k.astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, mask=~given), pa.array(tokens), pa.array(known), pa.array(base), pa.array(score)], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+
 def scored(docs: DataFrame, model: Model, conf: Orders = Orders()) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every whole text.
 
     Null or empty text: the end token alone.  Null ids are kept, repeated rows
-    get equal results, an empty table gives no rows.  Without training text
-    every token is unknown, and both scores take the smoothed share of one
-    unknown word.
+    and equal ids get results of their own, an empty table gives no rows; no
+    further column is read.  Texts of any length are scored whole.  Without
+    training text every token is unknown, and both scores take the smoothed
+    share of one unknown word.  ``docs`` is to give the same rows in the same
+    order when a part of it is computed anew, as a table does.
     """
-    as_arrays = lambda d: (np.array(sorted(d), np.int64), np.array([d[k] for k in sorted(d)], np.int64))
-    packed = (*as_arrays(model.two), *as_arrays(model.three), np.array([model.back2[k] for k in sorted(model.two)], float))
-    run = _traverse(model.head, model.count, model.rank, model.back, packed, model.total, model.distinct, model.d1, conf)
-    partial = shared.stored(docs.select(docs["doc_id"], docs["text"]).mapInArrow(run, _PARTIAL), "partial")
-    whole = float(model.total + conf.smoothing * (model.distinct + 1))
-    unknown = model.d1 * model.distinct / model.total if model.total else 1.0
-    tail = partial.select("rid", F.explode("tail").alias("key")).join(model.words, "key", "left")
-    c = F.coalesce("n", F.lit(0))
-    weight = F.log10(F.lit(float(unknown)))
-    weight = F.coalesce("value", weight)
-    sums = tail.groupBy("rid").agg(F.sum(F.log10((c + F.lit(conf.smoothing)) / F.lit(whole))).alias("b"), F.sum(weight).alias("s"), F.count_if(c > 0).alias("k"))
-    grams = partial.select("rid", F.explode("cold").alias("key")).join(model.grams, "key").groupBy("rid").agg(F.sum("value").alias("g"))
-    zero = lambda x: F.coalesce(x, F.lit(0))
-    out = partial.drop("tail", "cold").join(sums, "rid", "left").join(grams, "rid", "left")
-    return out.select("doc_id", "n_tokens", (F.col("n_known") + zero("k")).alias("n_known"), F.lit(int(model.total)).cast("long").alias("train_tokens"), (F.col("base") + zero("b")).alias("base_score"), (F.col("part") + zero("s") + zero("g")).alias("score"))
+    three = np.array(sorted(model.three), np.int64)
+    part = _Part(model.head, model.back, model.hot, model.back2, three, np.array([model.three[k] for k in three.tolist()], float), model.total, model.distinct, model.d1, model.shards, conf)
+    shards, hot = model.shards, model.hot.keys
+    # The head's words are held by the tasks; the rest of the model goes to its shards.
+    messages = docs.select(docs["doc_id"], docs["text"]).mapInArrow(_traversed(part), _MESSAGE)
+    for kind, table in ((_WORDS, model.words.select("key", "value", "n")), (_PAIRS, model.pairs.select("key", "value")), (_TRIPLES, model.triples.select("key", "suf", "value"))):
+        messages = messages.unionByName(table.mapInArrow(_table_messages(kind, shards, hot), _MESSAGE))
+    answers = _dealt(messages, shards).mapInArrow(_answers(part), _MESSAGE)
+    out = answers.repartition("block").mapInArrow(_summed, _RESULT)
+    return out.select("doc_id", "n_tokens", "n_known", F.lit(int(model.total)).cast("long").alias("train_tokens"), "base_score", "score")
