@@ -37,7 +37,8 @@ from . import kernel, shared
 class Orders:
     """head: words whose counts tasks hold; pairs, triples: words of the 2- and 3-grams that tasks hold;
     grams: of each order that tasks may hold; discount: of 2- and 3-grams; smoothing: of the base score;
-    least: the count from which a 2- or 3-gram is in the model.
+    least: the count from which a 2- or 3-gram is in the model; rounds: parts of the texts that are scored
+    one after the other, so that what is asked for one of them is all that disks hold at a time.
     """
 
     head: int = 1 << 17
@@ -47,6 +48,7 @@ class Orders:
     discount: float = 0.6
     smoothing: float = 0.1
     least: int = 2
+    rounds: int = 2
 
 
 END = kernel.mix_int(0x656E64)
@@ -100,7 +102,7 @@ class _Counter:
 
 def _grouped(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(key, one place of each distinct key in ascending order, its summed n)."""
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     ascending = key[order]
     at = np.flatnonzero(np.concatenate([[True], ascending[1:] != ascending[:-1]])[: len(key)])
     return key, order[at], np.add.reduceat(n[order], at) if len(at) else n[:0]
@@ -119,15 +121,19 @@ class Finder:
 
     def __init__(self, keys: np.ndarray):
         self.keys = keys
-        self.bits = max(1, int(np.ceil(np.log2(len(keys) + 1))))
-        self.start = np.searchsorted(keys, np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits))
+        self.bits = 1 + max(1, int(np.ceil(np.log2(len(keys) + 1))))
+        self.start = np.searchsorted(keys, np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)).astype(np.int32)
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
         """The place of each, or -1."""
         out = np.full(len(x), -1, np.int64)
         if not len(self.keys):
             return out
-        at, left = self.start[(x >> np.uint64(64 - self.bits)).astype(np.int64)], np.arange(len(x))
+        at = self.start[(x >> np.uint64(64 - self.bits)).astype(np.int64)]
+        held = self.keys[np.minimum(at, len(self.keys) - 1)]
+        np.copyto(out, at, where=(held == x))
+        left = np.flatnonzero((held < x) & (at < len(self.keys)))
+        at = at[left] + 1
         while len(left):
             inside = at < len(self.keys)
             at, left = at[inside], left[inside]
@@ -156,13 +162,6 @@ def _before(stream: np.ndarray, first: np.ndarray, of: np.ndarray, end) -> np.nd
     return out
 
 
-def _thirds(stream: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Where 3-grams end: everywhere but at a document's first word."""
-    third = np.ones(len(stream), bool)
-    third[first[:-1]] = False
-    return np.flatnonzero(third)
-
-
 # Messages: arrays of one length, written by byte planes and compressed.
 
 
@@ -223,6 +222,7 @@ class Head:
     def __post_init__(self):
         self.by_rank = np.empty(len(self.rank), np.int64)
         self.by_rank[self.rank] = np.arange(len(self.rank))
+        self.named = np.concatenate([self.words[self.by_rank], np.zeros(1, np.uint64)])
 
     def ready(self) -> Head:
         """With its finder, which a task makes for itself."""
@@ -233,62 +233,91 @@ class Head:
         at = self.find(stream)
         return np.where(at >= 0, self.rank[at] if len(self.rank) else 0, -1)
 
-    def coded(self, rank: np.ndarray, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ranks as 32-bit numbers, the number of words for one outside; the hashes of those outside, in order)."""
-        return np.where(rank >= 0, rank, len(self.rank)).astype(np.uint32), stream[rank < 0]
-
-    def decoded(self, code: np.ndarray, outside: np.ndarray) -> np.ndarray:
-        out = np.empty(len(code), np.uint64)
-        known = code < len(self.rank)
-        out[known] = self.words[self.by_rank[code[known]]]
-        out[~known] = outside
+    def coded(self, stream: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(a number for each word: its rank, or for one outside a number of this stream's own; the hashes by number)."""
+        outside = rank < 0
+        own, of = np.unique(stream[outside], return_inverse=True)
+        code = rank.astype(np.int64)
+        code[outside] = len(self.rank) + of
+        return code, np.concatenate([self.named[:-1], own])
+
+    def sent(self, code: np.ndarray, named: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers for a message, where all words outside have one; the hashes of those outside, in order)."""
+        return np.minimum(code, len(self.rank)).astype(np.uint32), named[code[code >= len(self.rank)]]
+
+    def received(self, code: np.ndarray, outside: np.ndarray) -> np.ndarray:
+        out = self.named[code]
+        out[code == len(self.rank)] = outside
         return out
 
 
+#: Bits of a word's number in one task's stream: the head's ranks and the words outside it.
+_CODE = 21
+
+
+class _Stream:
+    """The tokens of several texts in a row, each text after an end token: hashes, ranks, and where texts begin."""
+
+    def __init__(self, head: Head):
+        self.head, self.size = head, 0
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.end = head.ranks(np.array([END], np.uint64))
+
+    def add(self, stream: np.ndarray, first: np.ndarray, rank: np.ndarray) -> None:
+        opens = first[:-1] + np.arange(len(first) - 1)
+        inside = np.ones(len(stream) + len(opens), bool)
+        inside[opens] = False
+        words, ranks = np.full(len(inside), END, np.uint64), np.full(len(inside), self.end[0], np.int64)
+        words[inside], ranks[inside] = stream, rank
+        self.parts.append((words, ranks, inside))
+        self.size += len(words)
+
+    def taken(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(numbers of the tokens, hashes by number, whether a token is a text's own), and an empty stream again."""
+        words, rank, inside = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        self.parts, self.size = [], 0
+        code, named = self.head.coded(words, rank)
+        return code, named, inside
+
+
 def _grams(order: int, head: Head, shards: int, hot: np.ndarray):
     """Messages with a task's distinct 2- or 3-grams and their counts; hot: sorted keys of the hot pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, held = head.ready(), Finder(hot)
-        parts: list[tuple[np.ndarray, ...]] = []
+        tokens = _Stream(own)
 
         def flush() -> Iterator[pa.RecordBatch]:
-            if not parts:
+            if not tokens.size:
                 return
-            n, key, *columns = (np.concatenate(x) for x in zip(*parts, strict=True))
-            parts.clear()
-            _, at, n = _grouped(key, n)
-            key, columns = key[at], [c[at] for c in columns]
-            words, ranks = columns[:order], columns[order:]
+            code, named, inside = tokens.taken()
+            ends = np.flatnonzero(inside)
+            if order == 3:
+                ends = ends[inside[ends - 1]]
+            gram = np.zeros(len(ends), np.int64)
+            for k in range(order - 1, -1, -1):
+                gram = gram << _CODE | code[ends - k]
+            gram, n = np.unique(gram, return_counts=True)
+            mask = (1 << _CODE) - 1
+            words = [gram >> (_CODE * k) & mask for k in range(order - 1, -1, -1)]
+            last = pair_keys(named[words[-2]], named[words[-1]])
             if order == 3:
-                pre = pair_keys(words[0], words[1])
-                key = np.where(held(pre) >= 0, key, pre)
+                pre = pair_keys(named[words[0]], named[words[1]])
+                last = np.where(held(pre) >= 0, triple_keys(named[words[0]], last), pre)
             rows = []
-            for shard, at in _by_shard((key % np.uint64(shards)).astype(np.int64), shards):
-                coded = [own.coded(r[at], w[at]) for w, r in zip(words, ranks, strict=True)]
-                rows.append((shard, 0, len(at), b"".join(_framed(_message(n[at].astype(np.uint32), *(c for c, _ in coded)), *(_message(x) for _, x in coded)))))
+            for shard, at in _by_shard((last % np.uint64(shards)).astype(np.int64), shards):
+                sent = [own.sent(w[at], named) for w in words]
+                steps = np.diff(sent[0][0], prepend=np.uint32(0))
+                rows.append((shard, 0, len(at), b"".join(_framed(_message(n[at].astype(np.uint32), steps, *(c for c, _ in sent[1:])), *(_message(x) for _, x in sent)))))
             if rows:
                 yield _sent(rows)
 
-        size = 0
         for batch in batches:
             for _, _, data, offsets in kernel.blocks(batch["text"]):
                 stream, first = token_stream(data, offsets)
-                rank = own.ranks(stream)
-                last = int(own.ranks(np.array([END], np.uint64))[0])
-                before, before_rank = _before(stream, first, stream, END), _before(stream, first, rank, last)
-                key = pair_keys(before, stream)
-                columns = [before, stream, before_rank, rank]
-                if order == 3:
-                    at = _thirds(stream, first)
-                    key = triple_keys(before[at - 1], key[at])
-                    columns = [before[at - 1], before[at], stream[at], before_rank[at - 1], before_rank[at], rank[at]]
-                key, at, n = np.unique(key, return_index=True, return_counts=True)
-                parts.append((n.astype(np.int64), key, *(c[at] for c in columns)))
-                size += len(n)
-                if size > HELD:
+                tokens.add(stream, first, own.ranks(stream))
+                if tokens.size > HELD:
                     yield from flush()
-                    size = 0
         yield from flush()
 
     return run
@@ -315,9 +344,10 @@ def _gathered(order: int, head: Head, got: list[tuple[int, bytes]]) -> tuple[np.
     for _, raw in got:
         body, *outside = _unframed(raw)
         n, *codes = _received(body, *[np.uint32] * (order + 1))
+        codes[0] = np.cumsum(codes[0], dtype=np.uint32)
         ns.append(n)
         for k, (code, x) in enumerate(zip(codes, outside, strict=True)):
-            columns[k].append(head.decoded(code, *_received(x, np.uint64)))
+            columns[k].append(head.received(code, *_received(x, np.uint64)))
     n, words = np.concatenate(ns).astype(np.int64), [np.concatenate(c) for c in columns]
     suf = pair_keys(words[-2], words[-1])
     _, at, n = _grouped(suf if order == 2 else triple_keys(words[0], suf), n)
@@ -372,8 +402,10 @@ def _counted_triples(head: Head, pairs: Pairs, conf: Orders):
             n, (u, v, w) = _gathered(3, own, got)
             pre, suf = pair_keys(u, v), pair_keys(v, w)
             hot = find(pre)
-            _, of = np.unique(pre, return_inverse=True)
-            total = np.bincount(of, weights=n, minlength=1)[of] if len(of) else n
+            by = np.argsort(pre)
+            new = np.concatenate([[True], pre[by][1:] != pre[by][:-1]])[: len(by)]
+            total = np.empty(len(n), np.int64)
+            total[by] = np.add.reduceat(n[by], np.flatnonzero(new))[np.cumsum(new) - 1] if len(by) else n
             total = np.where(hot >= 0, pairs.n[hot] if len(pairs.n) else 0, total)
             keep = n >= conf.least
             u, v, w, n, pre, suf, total = (x[keep] for x in (u, v, w, n, pre, suf, total))
@@ -638,7 +670,9 @@ def _table_messages(kind: int, shards: int, hot: np.ndarray):
             if parts:
                 of, *columns = (np.concatenate(x) for x in zip(*parts, strict=True))
                 parts.clear()
-                yield _sent([(shard, kind, 0, _message(*(c[at] for c in columns))) for shard, at in _by_shard((of % np.uint64(shards)).astype(np.int64), shards)])
+                order = np.argsort(columns[0])
+                of, columns = of[order], [c[order] for c in columns]
+                yield _sent([(shard, kind, 0, _message(np.diff(columns[0][at], prepend=np.uint64(0)), *(c[at] for c in columns[1:]))) for shard, at in _by_shard((of % np.uint64(shards)).astype(np.int64), shards)])
 
         for batch in batches:
             key = batch["key"].to_numpy().view(np.uint64)
@@ -708,30 +742,42 @@ def _traversed(part: _Part):
         outside_base, outside = part.unknown
         far = 1 << 30
         docs: list[tuple[np.ndarray, ...]] = []
-        asked: list[list[tuple[np.ndarray, ...]]] = [[], [], []]
-        size, rows = 0, 0
+        words: list[tuple[np.ndarray, ...]] = []
+        tokens, grams = _Stream(head), []
+        rows = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal block
             out = []
             if docs:
                 out.append((((block >> 32) + block) % (1 << 32) % shards, _DOCUMENTS, block, _message(*(np.concatenate(x) for x in zip(*docs, strict=True)))))
-            if asked[0]:
-                word, doc = (np.concatenate(x) for x in zip(*asked[0], strict=True))
+            if words:
+                word, doc = (np.concatenate(x) for x in zip(*words, strict=True))
                 for shard, at in _by_shard((word % np.uint64(shards)).astype(np.int64), shards):
-                    out.append((shard, _ASK_WORDS, block, _ascending_message(word[at], doc[at])))
-            if asked[1]:
-                key, doc, before, rank = (np.concatenate(x) for x in zip(*asked[1], strict=True))
-                for shard, at in _by_shard((key % np.uint64(shards)).astype(np.int64), shards):
-                    at = at[np.argsort(key[at])]
-                    code, other = head.coded(rank[at], before[at])
-                    step = np.diff(key[at], prepend=np.uint64(0))
-                    out.append((shard, _ASK_PAIRS, block, b"".join(_framed(_message(step, doc[at], code), _message(other)))))
-            if asked[2]:
-                key, doc = (np.concatenate(x) for x in zip(*asked[2], strict=True))
-                for shard, at in _by_shard((key % np.uint64(shards)).astype(np.int64), shards):
-                    out.append((shard, _ASK_TRIPLES, block, _ascending_message(key[at], doc[at])))
-            for x in (docs, *asked):
+                    order = at[np.argsort(word[at])]
+                    out.append((shard, _ASK_WORDS, block, _message(np.diff(word[order], prepend=np.uint64(0)), doc[order])))
+            if tokens.size:
+                code, named, inside = tokens.taken()
+                doc, arc = (np.concatenate(x) for x in zip(*grams, strict=True))
+                at = np.flatnonzero(inside)
+                # A cold pair is asked for with the word before it: a triple is kept only beside its pairs.  Before an opening word there is none; the end token stands for it.
+                third = inside[at - 1]
+                for kind, ask in ((_ASK_PAIRS, arc < 2), (_ASK_TRIPLES, (arc == 2) & third)):
+                    ends, of = at[ask], doc[ask]
+                    before = np.where(third[ask], code[ends - 2], code[ends - 1])
+                    v, w = code[ends - 1], code[ends]
+                    key = pair_keys(named[v], named[w])
+                    if kind == _ASK_TRIPLES:
+                        key = triple_keys(named[before], key)
+                    shard = (key % np.uint64(shards)).astype(np.int64)
+                    order = np.argsort(shard << (2 * _CODE) | v << _CODE | w)
+                    cuts = np.searchsorted(shard[order], np.arange(shards + 1))
+                    for k in np.flatnonzero(np.diff(cuts)).tolist():
+                        o = order[cuts[k] : cuts[k + 1]]
+                        sent = [own for own in (head.sent(x[o], named) for x in (v, w, before))]
+                        steps = np.diff(sent[0][0], prepend=np.uint32(0))
+                        out.append((k, kind, block, b"".join(_framed(_message(steps, sent[1][0], sent[2][0], of[o]), *(_message(x) for _, x in sent)))))
+            for x in (docs, words, grams):
                 x.clear()
             block += 1
             if out:
@@ -752,32 +798,21 @@ def _traversed(part: _Part):
                 docs.append((ids[lo:hi], given[lo:hi], np.diff(first), per(known.astype(np.int64)), base, score))
                 doc = np.repeat(np.arange(rows, rows + hi - lo, dtype=np.uint32), np.diff(first))
                 rows += hi - lo
-                asked[0].append((stream[~known], doc[~known]))
-                before, before_rank = _before(stream, first, stream, END), _before(stream, first, rank, end)
-                key = pair_keys(before, stream)
-                # The word before a pair, by its rank; the end token also stands before the opening one, where no triple is.
-                two_before, two_rank = _before(stream, first, before, END), _before(stream, first, before_rank, end)
-                cold = np.flatnonzero(arc < 2)
-                asked[1].append((key[cold], doc[cold], two_before[cold], two_rank[cold]))
-                third = _thirds(stream, first)
-                third = third[arc[third] == 2]
-                asked[2].append((triple_keys(two_before[third], key[third]), doc[third]))
-                size += len(cold) + len(third)
-                if size > 2 * HELD:
+                words.append((stream[~known], doc[~known]))
+                tokens.add(stream, first, rank)
+                grams.append((doc, arc.astype(np.int8)))
+                if tokens.size > HELD:
                     yield from flush()
-                    size, rows = 0, 0
+                    rows = 0
         yield from flush()
 
     return run
 
 
-def _ascending_message(key: np.ndarray, doc: np.ndarray) -> bytes:
-    order = np.argsort(key)
-    return _message(np.diff(key[order], prepend=np.uint64(0)), doc[order])
-
-
 def _merged(kind: int, got: dict, shard: int, *types: type) -> list[np.ndarray]:
     parts = [_received(raw, *types) for _, raw in got.get((shard, kind), [])]
+    for x in parts:
+        x[0] = np.cumsum(x[0], dtype=np.uint64)
     out = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, t) for t in types]
     order = np.argsort(out[0])
     return [x[order] for x in out]
@@ -786,11 +821,15 @@ def _merged(kind: int, got: dict, shard: int, *types: type) -> list[np.ndarray]:
 def _answers(part: _Part):
     """For each block, the documents that a shard of the model adds something to, and how much; documents pass through."""
 
-    def found(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.searchsorted(keys, x)
-        at[at == len(keys)] = 0
-        hit = np.flatnonzero(keys[at] == x) if len(keys) else np.zeros(0, np.int64)
-        return hit, at[hit]
+    def finder(keys: np.ndarray):
+        find = Finder(keys)
+
+        def found(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            at = find(x)
+            hit = np.flatnonzero(at >= 0)
+            return hit, at[hit]
+
+        return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got, head = _held(batches), part.head.ready()
@@ -798,6 +837,7 @@ def _answers(part: _Part):
             words, word_value, word_n = _merged(_WORDS, got, shard, np.uint64, np.float64, np.int64)
             pairs, pair_value = _merged(_PAIRS, got, shard, np.uint64, np.float64)
             triples, triple_value = _merged(_TRIPLES, got, shard, np.uint64, np.float64)
+            found_words, found_pairs, found_triples = finder(words), finder(pairs), finder(triples)
             outside_base, outside = part.unknown
             base_of = np.log10((word_n + part.conf.smoothing) / part.whole) - outside_base
             for block, raw in got.get((shard, _DOCUMENTS), []):
@@ -805,22 +845,21 @@ def _answers(part: _Part):
             sums: dict[int, list[tuple[np.ndarray, ...]]] = {}
             for block, raw in got.get((shard, _ASK_WORDS), []):
                 step, doc = _received(raw, np.uint64, np.uint32)
-                hit, at = found(words, np.cumsum(step, dtype=np.uint64))
+                hit, at = found_words(np.cumsum(step, dtype=np.uint64))
                 sums.setdefault(block, []).append((doc[hit], word_value[at] - outside, base_of[at], np.ones(len(hit))))
-            for block, raw in got.get((shard, _ASK_PAIRS), []):
-                body, other = _unframed(raw)
-                step, doc, code = _received(body, np.uint64, np.uint32, np.uint32)
-                key = np.cumsum(step, dtype=np.uint64)
-                hit, at = found(pairs, key)
-                # A triple is kept only if its last two words are.
-                before = head.decoded(code, *_received(other, np.uint64))
-                three, at3 = found(triples, triple_keys(before[hit], key[hit]))
-                for d, v in ((doc[hit], pair_value[at]), (doc[hit][three], triple_value[at3])):
-                    sums.setdefault(block, []).append((d, v, np.zeros(len(d)), np.zeros(len(d))))
-            for block, raw in got.get((shard, _ASK_TRIPLES), []):
-                step, doc = _received(raw, np.uint64, np.uint32)
-                hit, at = found(triples, np.cumsum(step, dtype=np.uint64))
-                sums.setdefault(block, []).append((doc[hit], triple_value[at], np.zeros(len(hit)), np.zeros(len(hit))))
+            for kind in (_ASK_PAIRS, _ASK_TRIPLES):
+                for block, raw in got.get((shard, kind), []):
+                    body, *outside_of = _unframed(raw)
+                    *codes, doc = _received(body, np.uint32, np.uint32, np.uint32, np.uint32)
+                    codes[0] = np.cumsum(codes[0], dtype=np.uint32)
+                    v, w, before = (head.received(c, *_received(x, np.uint64)) for c, x in zip(codes, outside_of, strict=True))
+                    key = pair_keys(v, w)
+                    if kind == _ASK_PAIRS:
+                        hit, at = found_pairs(key)
+                        sums.setdefault(block, []).append((doc[hit], pair_value[at], np.zeros(len(hit)), np.zeros(len(hit))))
+                        before, key, doc = before[hit], key[hit], doc[hit]
+                    hit, at = found_triples(triple_keys(before, key))
+                    sums.setdefault(block, []).append((doc[hit], triple_value[at], np.zeros(len(hit)), np.zeros(len(hit))))
             out = []
             for block, parts in sums.items():
                 doc, *values = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -866,10 +905,14 @@ def scored(docs: DataFrame, model: Model, conf: Orders = Orders()) -> DataFrame:
     three = np.array(sorted(model.three), np.int64)
     part = _Part(model.head, model.back, model.hot, model.back2, three, np.array([model.three[k] for k in three.tolist()], float), model.total, model.distinct, model.d1, model.shards, conf)
     shards, hot = model.shards, model.hot.keys
-    # The head's words are held by the tasks; the rest of the model goes to its shards.
-    messages = docs.select(docs["doc_id"], docs["text"]).mapInArrow(_traversed(part), _MESSAGE)
-    for kind, table in ((_WORDS, model.words.select("key", "value", "n")), (_PAIRS, model.pairs.select("key", "value")), (_TRIPLES, model.triples.select("key", "suf", "value"))):
-        messages = messages.unionByName(table.mapInArrow(_table_messages(kind, shards, hot), _MESSAGE))
-    answers = _dealt(messages, shards).mapInArrow(_answers(part), _MESSAGE)
-    out = answers.repartition("block").mapInArrow(_summed, _RESULT)
+    tables = [table.mapInArrow(_table_messages(kind, shards, hot), _MESSAGE) for kind, table in ((_WORDS, model.words.select("key", "value", "n")), (_PAIRS, model.pairs.select("key", "value")), (_TRIPLES, model.triples.select("key", "suf", "value")))]
+    own, out = shared.own_columns(docs, "doc_id", "text"), None
+    for k in range(conf.rounds):
+        some = own.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(conf.rounds)) == k)
+        messages = some.mapInArrow(_traversed(part), _MESSAGE)
+        for x in tables:
+            messages = messages.unionByName(x)
+        answers = _dealt(messages, shards).mapInArrow(_answers(part), _MESSAGE)
+        done = shared.stored(answers.repartition("block").mapInArrow(_summed, _RESULT), "scores")
+        out = done if out is None else out.unionByName(done)
     return out.select("doc_id", "n_tokens", "n_known", F.lit(int(model.total)).cast("long").alias("train_tokens"), "base_score", "score")

@@ -1,72 +1,12 @@
-"""Shared storage for intermediate tables: the folder that ``spark.checkpoint.dir`` names."""
+"""Shared storage for intermediate tables, and what else the operators have in common."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
+from ..storage import drop, path, releasing, remove, root, stored
 
-
-def root(spark: SparkSession) -> str:
-    """The cluster's shared folder; a folder of our own only where none is set (tests, local mode)."""
-    there = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not there:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        there = tempfile.mkdtemp(prefix="factloom-")
-        spark.conf.set("spark.checkpoint.dir", there)
-        import shutil
-
-        atexit.register(shutil.rmtree, there, True)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(there)
-    return there.rstrip("/")
-
-
-def path(spark: SparkSession, name: str) -> str:
-    return f"{root(spark)}/factloom-{name}-{uuid.uuid4().hex}"
-
-
-#: With it, Spark removes an execution's shuffle files when the execution ends; without, some time after the driver's next garbage collection.
-_CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-@contextmanager
-def releasing(spark: SparkSession) -> Iterator[None]:
-    """Executions inside leave no shuffle files behind.  For those whose frames nothing reads again."""
-    before = spark.conf.get(_CLEANED, "false")
-    spark.conf.set(_CLEANED, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(_CLEANED, before)
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: lineage is cut, and lost executors lose nothing."""
-    spark = df.sparkSession
-    to = path(spark, name)
-    with releasing(spark):
-        df.write.option("compression", "zstd").parquet(to)
-    out = spark.read.schema(df.schema).parquet(to)
-    out.stored_at = to
-    return out
-
-
-def drop(*frames: DataFrame) -> None:
-    """Remove tables made by :func:`stored` that nothing reads any more."""
-    for df in frames:
-        remove(df.sparkSession, df.stored_at)
-
-
-def remove(spark: SparkSession, where: str) -> None:
-    jvm = spark._jvm
-    there = jvm.org.apache.hadoop.fs.Path(where)
-    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+__all__ = ["drop", "own_columns", "path", "releasing", "remove", "root", "stored"]
 
 
 def own_columns(df: DataFrame, *names: str) -> DataFrame:
