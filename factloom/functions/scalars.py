@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import CLIP
@@ -41,10 +41,51 @@ def iso_date(text: Column) -> Column:
     return F.try_to_date(F.substring(F.trim(text), 1, 10), "yyyy-MM-dd")
 
 
+def as_date(value: Column) -> Column:
+    """A date, a timestamp's date, or what the first ten characters of a text say; null for anything else."""
+    return F.try_to_date(F.substring(F.trim(value.cast("string")), 1, 10), "yyyy-MM-dd")
+
+
 def padded_id(text: Column) -> Column:
     return F.lpad(text, 10, "0")
 
 
+def undashed(accession: Column) -> Column:
+    """An accession number as paths have it: without dashes."""
+    return F.replace(accession, F.lit("-"), F.lit(""))
+
+
+def percent_text(share: Column, places: int = 0, plus: bool = False) -> Column:
+    """A share as percent text; of two equally near, the even last place."""
+    text = F.format_string(f"%{'+' if plus else ''}.{places}f%%", F.bround((share * 100).cast("decimal(38,12)"), places).cast("double"))
+    return F.when(share.isNotNull(), text)
+
+
+def fixed_text(x: Column, places: int) -> Column:
+    """A number with a fixed count of places; of two equally near, the even last one."""
+    return F.when(x.isNotNull(), F.format_string(f"%.{places}f", F.bround(x.cast("decimal(38,12)"), places).cast("double")))
+
+
+def plain(df: DataFrame, zone: str = "Z") -> DataFrame:
+    """Decimals as doubles, dates and times as ISO text: what a JSON answer can hold."""
+    def one(f) -> Column:
+        kind = f.dataType.simpleString()
+        if kind.startswith("decimal"):
+            return F.col(f.name).cast("double").alias(f.name)
+        if kind == "date":
+            return F.date_format(f.name, "yyyy-MM-dd").alias(f.name)
+        if kind.startswith("timestamp"):
+            return F.concat(iso_instant(F.col(f.name)), F.lit(zone)).alias(f.name)
+        return F.col(f.name)
+
+    return df.select(*map(one, df.schema))
+
+
+def as_json(df: DataFrame) -> Column:
+    """A row as JSON text, nulls kept."""
+    return F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+
+
 def bare_id(text: Column) -> Column:
     """Without leading zeros; all zeros give "0"."""
     return F.coalesce(F.nullif(F.regexp_replace(text, "^0+", ""), F.lit("")), F.lit("0"))

@@ -8,12 +8,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import CONTAMINATION, FEATURES, FLOORS, MAX_FLAG_RATE, REGRESSION_TOLERANCE, SEED, THRESHOLD, TOP_CONTRIBUTORS, TREES
 from . import quality, rules
 from .forest import Forest
+from .ranks import running_total
 
 
 def normalised(decision: Column, low: float, cut: float, high: float) -> Column:
@@ -123,14 +124,14 @@ def explain(threshold: float = THRESHOLD) -> Column:
 def roc_auc(rows: DataFrame, label: str, score: str) -> DataFrame:
     """(roc_auc): rank sum with average ties over counts per distinct score; 0.5 with one class only."""
     per = rows.groupBy(score).agg(F.count("*").alias("n"), F.count_if(F.col(label) == 1).alias("p"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    s = per.withColumn("rank", before + (F.col("n") + 1) / 2.0).agg(F.sum(F.col("rank") * F.col("p")).alias("r"), F.sum("p").alias("p"), F.sum("n").alias("n"))
+    ranked = running_total(per, [], score, "n", "upto")
+    s = ranked.withColumn("rank", F.col("upto") - F.col("n") + (F.col("n") + 1) / 2.0).agg(F.sum(F.col("rank") * F.col("p")).alias("r"), F.sum("p").alias("p"), F.sum("n").alias("n"))
     p, q = F.col("p").cast("double"), (F.col("n") - F.col("p")).cast("double")
     return s.select(F.coalesce(F.try_divide(F.col("r") - p * (p + 1) / 2.0, p * q), F.lit(0.5)).alias("roc_auc"))
 
 
 def confusion(rows: DataFrame, label: str, flag: str) -> DataFrame:
-    """tp, fp, fn, tn, recall, precision, f1, flag_rate of one pass."""
+    """tp, fp, fn, tn, recall, precision, f1, flag_rate of one pass; a ratio without cases is 0."""
     hit, said = F.col(label) == 1, F.col(flag)
     s = rows.agg(F.count_if(hit & said).alias("tp"), F.count_if(~hit & said).alias("fp"), F.count_if(hit & ~said).alias("fn"), F.count_if(~hit & ~said).alias("tn"))
     ratio = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
@@ -139,29 +140,40 @@ def confusion(rows: DataFrame, label: str, flag: str) -> DataFrame:
     return out.withColumn("f1", ratio(2 * c("tp"), 2 * c("tp") + c("fp") + c("fn"))).withColumn("flag_rate", ratio(c("tp") + c("fp"), c("tp") + c("fp") + c("fn") + c("tn")))
 
 
-def corrupted(facts: DataFrame, rate: float = 0.2, seed: int = 7) -> tuple[DataFrame, list[str]]:
-    """Facts with one corruption in a share of the filings, and those filings.
+# Kinds of corruption, the concepts they hit, and their factors.
+KINDS = ("scale", "sign", "drop", "eps")
+TARGETS = ("Revenues", "NetIncomeLoss", "OperatingIncomeLoss", "Assets", "Liabilities")
+FACTORS = {"scale": (1e-6, 1e-3, 1e3, 1e6), "sign": (-1.0,), "drop": (0.0,), "eps": (50.0, 100.0, 0.01)}
+
 
-    Which filing gets which of scale error, sign flip, dropped fact and EPS
-    mismatch is drawn on the driver from the sorted accession list; the edits
-    are a join against the plan.
+def corruption(accession: Column, rate: float, seed: int) -> Column:
+    """(kind, fact_name, factor) of a filing's corruption, null for a filing left alone: drawn from hashes of its number.
+
+    A filing's lot depends on its number and the seed alone, so no list of filings is gathered anywhere.
     """
     if not 0 < rate < 1:
         raise ValueError(f"rate {rate} is not between 0 and 1")
-    names = sorted(r[0] for r in facts.select("accession_number").filter("accession_number is not null").distinct().collect())
-    rng = np.random.default_rng(seed)
-    chosen = sorted(rng.choice(names, min(len(names), max(1, round(len(names) * rate))), replace=False).tolist())
-    targets = ("Revenues", "NetIncomeLoss", "OperatingIncomeLoss", "Assets", "Liabilities")
-    plan = []
-    for a in chosen:
-        kind = ("scale", "sign", "drop", "eps")[rng.integers(4)]
-        concept = "EarningsPerShareBasic" if kind == "eps" else targets[rng.integers(len(targets))]
-        factor = {"scale": 10.0 ** int(rng.choice([-6, -3, 3, 6])), "sign": -1.0, "drop": 0.0, "eps": float(rng.choice([50.0, 100.0, 0.01]))}[kind]
-        plan.append((a, "us-gaap:" + concept, kind, factor))
-    edits = facts.sparkSession.createDataFrame(plan, "accession_number string, fact_name string, kind string, factor double")
-    joined = facts.join(edits, ["accession_number", "fact_name"], "left").filter("kind is null or kind <> 'drop'")
-    value = F.when(F.col("factor").isNotNull(), (F.col("fact_value").cast("double") * F.col("factor"))).otherwise(F.col("fact_value").cast("double"))
-    return joined.withColumn("fact_value", value).select(*facts.columns), chosen
+    draw = lambda salt, n: F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), accession), F.lit(n)).cast("int")
+    pick = lambda salt, values: F.element_at(F.array(*[F.lit(v) for v in values]), draw(salt, len(values)) + 1)
+    kind = pick("kind", KINDS)
+    concept = F.when(kind == "eps", "EarningsPerShareBasic").otherwise(pick("concept", TARGETS))
+    factor = F.coalesce(*[F.when(kind == k, pick("factor", v)) for k, v in FACTORS.items()])
+    hit = accession.isNotNull() & (draw("filing", 1 << 20) < int(rate * (1 << 20)))
+    return F.when(hit, F.struct(kind.alias("kind"), F.concat(F.lit("us-gaap:"), concept).alias("fact_name"), factor.alias("factor")))
+
+
+def with_corruption(facts: DataFrame, rate: float = 0.2, seed: int = 7) -> DataFrame:
+    """Facts with one scale error, sign flip, dropped fact or EPS mismatch in about ``rate`` of the filings, values as double."""
+    own = corruption(F.col("accession_number"), rate, seed)
+    tagged = facts.withColumn("_edit", F.when(own["fact_name"] == F.col("fact_name"), own))
+    value = F.col("fact_value").cast("double") * F.coalesce("_edit.factor", F.lit(1.0))
+    return tagged.filter("_edit is null or _edit.kind <> 'drop'").withColumn("fact_value", value).select(*facts.columns)
+
+
+def corrupted(facts: DataFrame, rate: float = 0.2, seed: int = 7) -> tuple[DataFrame, list[str]]:
+    """:func:`with_corruption`, and the filings that it hit: for evaluation corpora, whose filings the driver can hold."""
+    hit = facts.select("accession_number").filter(corruption(F.col("accession_number"), rate, seed).isNotNull()).distinct()
+    return with_corruption(facts, rate, seed), sorted(r[0] for r in hit.collect())
 
 
 def holdout(filings: DataFrame, fraction: float, seed: int) -> tuple[DataFrame, DataFrame]:
@@ -193,6 +205,29 @@ def gate(metrics: dict[str, float], before: dict[str, float] | None = None) -> l
     return why + [f"{k} fell by {before[k] - metrics[k]:.3f}" for k in FLOORS if before and before[k] - metrics[k] > REGRESSION_TOLERANCE]
 
 
+def evaluated(rows: DataFrame, label: str, score: str, flag: str, rate: float, threshold: float = THRESHOLD, seed: int = SEED) -> DataFrame:
+    """One row: the counts and ratios of :func:`confusion`, the AUC, both classes' mean scores, and what the figures were made with."""
+    means = rows.agg(*[F.coalesce(F.avg(F.when((F.col(label) == 1) == F.lit(c), F.col(score))), F.lit(0.0)).alias(n) for n, c in (("mean_score_corrupted", True), ("mean_score_clean", False))])
+    one = confusion(rows, label, flag).crossJoin(roc_auc(rows, label, score)).crossJoin(means)
+    return one.withColumns({"corruption_rate": F.lit(rate), "threshold": F.lit(threshold), "seed": F.lit(seed)})
+
+
+def by_score(scored: DataFrame) -> DataFrame:
+    """Score rows, highest first; equal scores by accession."""
+    return scored.orderBy(F.col("score").desc(), "accession_number")
+
+
+def flagged(scored: DataFrame) -> DataFrame:
+    """(scored, flagged, violating): how many filings there are, are anomalies, break a rule."""
+    return scored.agg(F.count("*").alias("scored"), F.count_if("is_anomaly").alias("flagged"), F.count_if(F.size("violations") > 0).alias("violating"))
+
+
+def nonzero_shares(matrix: DataFrame, features: tuple[str, ...] = FEATURES) -> DataFrame:
+    """(feature, share): the share of rows in which a feature isn't 0; no rows give no shares."""
+    one = matrix.agg(*[F.avg((F.col(c) != 0).cast("double")).alias(c) for c in features])
+    return one.unpivot([], list(features), "feature", "share").filter("share is not null")
+
+
 def psi_of_scores(baseline: DataFrame, current: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     both = baseline.select(F.col("score").alias("value"), F.lit(True).alias("is_base")).unionByName(current.select(F.col("score").alias("value"), F.lit(False).alias("is_base")))
     return quality.prediction_drift(both, threshold)

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import ranks
+
 
 def last_per_key(new: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The last row of each key by the given order."""
-    w = Window.partitionBy(*keys).orderBy(*[c.desc() for c in order])
-    return new.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    """The last row of each key by the given order, then by all columns in turn: one maximum a key, combined before the shuffle."""
+    last = F.max(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], *[F.col(c).alias(f"c{i}") for i, c in enumerate(new.columns)]))
+    kept = new.groupBy(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]).agg(last.alias("r"))
+    return kept.select(*[F.col(f"r.c{i}").alias(c) for i, c in enumerate(new.columns)])
 
 
 def _null_safe(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
@@ -31,37 +34,28 @@ def upsert(existing: DataFrame, new: DataFrame, keys: list[str], order: list[Col
 def upsert_stable_id(existing: DataFrame, new: DataFrame, keys: list[str], id_column: str = "id") -> DataFrame:
     """As upsert, but a key keeps the id it has; new keys get ids after the largest, in key order.
 
-    Only new keys are numbered, and their order is found by ranges: ids come
-    from a count per sorted partition, not from one task over all rows.
+    Only new keys are numbered, and their order is found by sorted ranges.
     """
     known = existing.select(*keys, id_column)
     old = new.drop(id_column).join(known, keys, "left") if id_column in new.columns else new.join(known, keys, "left")
     top = existing.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("_top"))
     fresh = old.filter(F.col(id_column).isNull()).drop(id_column)
-    numbered = numbered_by(fresh, keys, "_n").crossJoin(F.broadcast(top)).withColumn(id_column, (F.col("_top") + F.col("_n")).cast("bigint")).drop("_top", "_n")
+    numbered = ranks.numbered(fresh, keys, "_n").crossJoin(F.broadcast(top)).withColumn(id_column, (F.col("_top") + F.col("_n")).cast("bigint")).drop("_top", "_n")
     changed = old.filter(F.col(id_column).isNotNull()).unionByName(numbered)
     return existing.join(changed.select(*keys), keys, "left_anti").select(*existing.columns).unionByName(changed.select(*existing.columns))
 
 
-def numbered_by(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """1, 2, ... in key order: rows are counted per hash slice of sorted ranges, then offset by the slices before."""
-    spread = rows.repartitionByRange(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
-    tagged = spread.withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id())
-    w = Window.partitionBy("_p").orderBy("_m")
-    local = tagged.withColumn("_r", F.row_number().over(w))
-    per = local.groupBy("_p").agg(F.max("_r").alias("_c"))
-    before = per.withColumn("_b", F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_p", "_b")
-    return local.join(F.broadcast(before), "_p").withColumn(name, F.col("_r") + F.col("_b")).drop("_p", "_m", "_r", "_b")
-
-
 def insert_if_absent(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``new`` whose key is not there yet are added, one for each key."""
-    return existing.unionByName(new.dropDuplicates(keys).join(existing.select(*keys), keys, "left_anti").select(*existing.columns))
+    """Rows of ``new`` whose key is not there yet are added, the first by all columns for each key; null keys are equal."""
+    absent = new.join(existing, _null_safe(new, existing, keys), "left_anti").select(*existing.columns)
+    first = F.min(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(existing.columns)]))
+    kept = absent.groupBy(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]).agg(first.alias("r"))
+    return existing.unionByName(kept.select(*[F.col(f"r.c{i}").alias(c) for i, c in enumerate(existing.columns)]))
 
 
 def keep_newest(rows: DataFrame, keys: list[str], newest: str) -> DataFrame:
-    """One row a key: that with the largest ``newest``."""
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rows.columns), newest).alias("_r")).select("_r.*")
+    """One row a key: that with the largest ``newest``, of equals the last by all columns in turn."""
+    return last_per_key(rows, keys, [F.col(newest)])
 
 
 def pruned_children(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:

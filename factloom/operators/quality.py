@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import DRIFT_MIN_SAMPLES, FLAG_RATE_TOLERANCE, PSI_ALERT, PSI_EPSILON, PSI_WARN
+from ..storage import stored
+from .ranks import running_total
 
 
 class QualityError(RuntimeError):
@@ -20,7 +22,7 @@ def completeness(facts: DataFrame, key: str, name: str, required: list[str]) ->
 
 
 def completeness_summary(per_key: DataFrame, threshold: float) -> DataFrame:
-    """(total, complete, ratio, passed); without keys the ratio is 1."""
+    """(total, complete, ratio, passed) over all keys; without keys the ratio is 1."""
     s = per_key.agg(F.count("*").alias("total"), F.count_if("is_complete").alias("complete"))
     ratio = F.when(F.col("total") == 0, F.lit(1.0)).otherwise(F.col("complete") / F.when(F.col("total") == 0, 1).otherwise(F.col("total")))
     return s.withColumn("ratio", ratio).withColumn("passed", F.col("ratio") >= threshold)
@@ -44,18 +46,17 @@ def uniform_edges(values: DataFrame, by: list[str], value: str, bins: int) -> Da
     return s.select(*by, F.when(F.col("hi") > F.col("lo"), edges).alias("edges"))
 
 
-def quantile_edges(values: DataFrame, by: list[str], value: str, bins: int) -> DataFrame:
-    """(by, edges) by nearest rank with half-even rounding over the side ``is_base``; ends open, equal edges once.
+def quantile_edges(counts: DataFrame, by: list[str], value: str, bins: int) -> DataFrame:
+    """(by, edges) by nearest rank with half-even rounding; ends open, equal edges once.
 
-    Ranks come from counts of distinct values, so no group of values is gathered into one row.
+    ``counts``: (by, value, n), a row for each distinct value of the baseline.
+    Ranks are running sums of n by sorted ranges: no group of values is
+    gathered into one row or one task.
     """
-    from pyspark.sql import Window
-
-    counts = values.filter("is_base").groupBy(*by, value).agg(F.count("*").alias("n"))
-    w = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0) if by else Window.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("upto", F.sum("n").over(w))
+    counts = counts.filter("n > 0")
+    ranked = running_total(counts, by, value, "n", "upto")
     total = counts.groupBy(*by).agg(F.sum("n").alias("total"))
-    joined = ranked.join(F.broadcast(total), by) if by else ranked.crossJoin(F.broadcast(total))
+    joined = ranked.join(total, by) if by else ranked.crossJoin(total)
     position = F.transform(F.sequence(F.lit(0), F.lit(bins)), lambda q: F.least(F.bround(q * F.col("total") / F.lit(float(bins)), 0).cast("bigint"), F.col("total") - 1))
     hit = joined.withColumn("q", F.explode(F.filter(position, lambda p: (p >= F.col("upto") - F.col("n")) & (p < F.col("upto")))))
     edges = hit.groupBy(*by).agg(F.sort_array(F.collect_set(value)).alias("e"))
@@ -72,13 +73,15 @@ def psi(values: DataFrame, by: list[str], value: str = "value", bins: int = 10,
     """
     if strategy not in ("uniform", "quantile"):
         raise ValueError(f"no strategy {strategy}")
-    edges = uniform_edges(values, by, value, bins) if strategy == "uniform" else quantile_edges(values, by, value, bins)
+    # Equal values fall into one bin: all that follows reads their counts.
+    counts = stored(values.groupBy(*by, value).agg(F.count_if("is_base").alias("n"), F.count_if(~F.col("is_base")).alias("m")), "values")
+    edges = uniform_edges(counts, by, value, bins) if strategy == "uniform" else quantile_edges(counts.select(*by, value, "n"), by, value, bins)
     inner = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
-    placed = (values.join(F.broadcast(edges), by) if by else values.crossJoin(F.broadcast(edges))).withColumn("bin", F.size(F.filter(inner, lambda e: F.col(value) >= e)))
+    placed = (counts.join(edges, by) if by else counts.crossJoin(edges)).withColumn("bin", F.size(F.filter(inner, lambda e: F.col(value) >= e)))
     # The edges of a group are one value; the bin count follows from them.
-    per = placed.groupBy(*by, "bin").agg(F.count_if("is_base").alias("b"), F.count_if(~F.col("is_base")).alias("c"), F.first(F.size("edges") - 1).alias("n_bins"))
-    totals = values.groupBy(*by).agg(F.count_if("is_base").alias("baseline_count"), F.count_if(~F.col("is_base")).alias("current_count"))
-    shares = per.join(F.broadcast(totals), by) if by else per.crossJoin(F.broadcast(totals))
+    per = placed.groupBy(*by, "bin").agg(F.sum("n").alias("b"), F.sum("m").alias("c"), F.first(F.size("edges") - 1).alias("n_bins"))
+    totals = counts.groupBy(*by).agg(F.sum("n").alias("baseline_count"), F.sum("m").alias("current_count"))
+    shares = per.join(totals, by) if by else per.crossJoin(totals)
     floor = lambda n, total: F.greatest(F.try_divide(n, total), F.lit(PSI_EPSILON))
     e, a = floor(F.col("b"), F.col("baseline_count")), floor(F.col("c"), F.col("current_count"))
     out = shares.withColumn("term", F.when(F.col("n_bins") > 0, (a - e) * F.ln(a / e)).otherwise(F.lit(0.0))).groupBy(*by).agg(F.round(F.sum("term"), 9).alias("psi"), F.first("baseline_count").alias("baseline_count"), F.first("current_count").alias("current_count"))

@@ -6,6 +6,7 @@ import hashlib
 import json
 import os
 import shutil
+import subprocess
 from datetime import datetime, timezone
 
 
@@ -16,6 +17,9 @@ class Registry:
     def versions(self) -> list[str]:
         return sorted(d for d in os.listdir(self.root) if d.startswith("v")) if os.path.isdir(self.root) else []
 
+    def folder(self, version: str) -> str:
+        return os.path.join(self.root, version)
+
     def latest(self) -> str | None:
         return (self.versions() or [None])[-1]
 
@@ -76,6 +80,45 @@ class Registry:
         shutil.rmtree(os.path.join(self.root, version))
 
 
+def file_sha256(path: str, block: int = 1 << 20) -> str:
+    """SHA-256 of a file, read block by block."""
+    h = hashlib.sha256()
+    with open(path, "rb") as f:
+        while part := f.read(block):
+            h.update(part)
+    return h.hexdigest()
+
+
+def provenance(libraries: tuple[str, ...] = ("pyspark", "numpy", "pandas", "pyarrow"), cwd: str | None = None) -> dict:
+    """The commit that is checked out, "unknown" where there is none, and the versions of libraries."""
+    from importlib.metadata import PackageNotFoundError, version
+
+    def of(name: str) -> str:
+        try:
+            return version(name)
+        except PackageNotFoundError:
+            return "absent"
+
+    try:
+        sha = subprocess.run(["git", "rev-parse", "HEAD"], cwd=cwd, capture_output=True, text=True, timeout=10, check=True).stdout.strip()
+    except (OSError, subprocess.SubprocessError):
+        sha = "unknown"
+    return {"git_sha": sha, "libraries": {n: of(n) for n in libraries}}
+
+
+def gate_summary(candidate: dict[str, float], before: dict[str, float] | None, why: list[str]) -> str:
+    """The gate's verdict in Markdown, each figure beside the one of the model in production."""
+    rows = "".join(f"| {k} | {v:.3f} | {'-' if before is None or k not in before else format(before[k], '.3f')} |\n" for k, v in sorted(candidate.items()))
+    said = "".join(f"- {w}\n" for w in why) or "- none\n"
+    return f"# Gate: {'failed' if why else 'passed'}\n\n| figure | candidate | production |\n|-|-|-|\n{rows}\nReasons:\n{said}"
+
+
+def figures(text: str, names: tuple[str, ...] = ("recall", "precision", "f1", "flag_rate", "roc_auc")) -> dict[str, float]:
+    """The gated figures of a metrics document; KeyError names one that isn't there."""
+    found = json.loads(text)
+    return {n: float(found[n]) for n in names}
+
+
 def card(meta: dict) -> str:
     """A model card in Markdown."""
     rows = "".join(f"| {k} | {v} |\n" for k, v in sorted(meta.items()) if not isinstance(v, dict))

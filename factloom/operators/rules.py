@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import fixed_text, percent_text
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -25,16 +27,16 @@ def standard_rules() -> list[Rule]:
     wide = lambda x, most: F.abs(c(x)) > most
     jump = lambda x: (c(x) != 0) & (F.abs(c(x)) > 0.7)
     return [
-        Rule("missing_required_fact", 0.95, c("required_coverage") < 1, say("%.0f%% of the required facts are present", c("required_coverage") * 100)),
-        Rule("eps_reconciliation_failed", 0.95, wide("eps_consistency", 0.25), say("net income and shares miss reported EPS by %+.1f%%", c("eps_consistency") * 100)),
-        Rule("non_positive_scale", 0.90, (c("log_assets") <= 0) | (c("log_revenue") <= 0), say("scale is not positive: assets %.2f, revenue %.2f (log10)", c("log_assets"), c("log_revenue"))),
-        Rule("implausible_leverage", 0.90, (c("leverage") < 0) | (c("leverage") > 1.5), say("liabilities are %.2f of assets", c("leverage"))),
-        Rule("implausible_net_margin", 0.85, wide("net_margin", 1.5), say("net margin %.2f", c("net_margin"))),
-        Rule("implausible_operating_margin", 0.85, wide("operating_margin", 1.5), say("operating margin %.2f", c("operating_margin"))),
-        Rule("implausible_asset_turnover", 0.85, (c("asset_turnover") < 0) | (c("asset_turnover") > 5), say("asset turnover %.2f", c("asset_turnover"))),
-        Rule("revenue_discontinuity", 0.80, jump("revenue_yoy"), say("revenue is %.1f times the year before", F.pow(F.lit(10.0), c("revenue_yoy")))),
-        Rule("assets_discontinuity", 0.80, jump("assets_yoy"), say("assets are %.1f times the year before", F.pow(F.lit(10.0), c("assets_yoy")))),
-        Rule("incomplete_fact_set", 0.50, c("fact_coverage") < 1, say("%.0f%% of the expected facts are present", c("fact_coverage") * 100)),
+        Rule("missing_required_fact", 0.95, c("required_coverage") < 1, say("%s of the required facts are present", percent_text(c("required_coverage")))),
+        Rule("eps_reconciliation_failed", 0.95, wide("eps_consistency", 0.25), say("net income and shares miss reported EPS by %s", percent_text(c("eps_consistency"), 1, plus=True))),
+        Rule("non_positive_scale", 0.90, (c("log_assets") <= 0) | (c("log_revenue") <= 0), say("scale is not positive: assets %s, revenue %s (log10)", fixed_text(c("log_assets"), 2), fixed_text(c("log_revenue"), 2))),
+        Rule("implausible_leverage", 0.90, (c("leverage") < 0) | (c("leverage") > 1.5), say("liabilities are %s of assets", fixed_text(c("leverage"), 2))),
+        Rule("implausible_net_margin", 0.85, wide("net_margin", 1.5), say("net margin %s", fixed_text(c("net_margin"), 2))),
+        Rule("implausible_operating_margin", 0.85, wide("operating_margin", 1.5), say("operating margin %s", fixed_text(c("operating_margin"), 2))),
+        Rule("implausible_asset_turnover", 0.85, (c("asset_turnover") < 0) | (c("asset_turnover") > 5), say("asset turnover %s", fixed_text(c("asset_turnover"), 2))),
+        Rule("revenue_discontinuity", 0.80, jump("revenue_yoy"), say("revenue is %s times the year before", fixed_text(F.pow(F.lit(10.0), c("revenue_yoy")), 1))),
+        Rule("assets_discontinuity", 0.80, jump("assets_yoy"), say("assets are %s times the year before", fixed_text(F.pow(F.lit(10.0), c("assets_yoy")), 1))),
+        Rule("incomplete_fact_set", 0.50, c("fact_coverage") < 1, say("%s of the expected facts are present", percent_text(c("fact_coverage")))),
     ]
 
 

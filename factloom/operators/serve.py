@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import checked, ticker_is
+from .merge import keep_newest
 
 
 class NotFound(LookupError):
@@ -32,7 +33,10 @@ def filings_page(filings: DataFrame, ticker: str, limit: int = 50, offset: int =
     return page(own.crossJoin(F.broadcast(total)), [F.col("filing_date").desc(), F.col("accession_number")], checked("limit", limit, 1, 200), offset)
 
 
-def facts_of_filing(facts: DataFrame, accession: str) -> DataFrame:
+def facts_of_filing(facts: DataFrame, accession: str, filings: DataFrame | None = None) -> DataFrame:
+    """The facts of one filing; NotFound if ``filings`` doesn't have it."""
+    if filings is not None and filings.filter(F.col("accession_number") == accession).isEmpty():
+        raise NotFound(accession)
     return facts.filter(F.col("accession_number") == accession).orderBy("fact_name", F.col("period_end").asc_nulls_last(), "ord")
 
 
@@ -44,19 +48,28 @@ def time_series(facts: DataFrame, filings: DataFrame, ticker: str, fact_name: st
 
 
 def latest_scores(scores: DataFrame, key: str, newest: str) -> DataFrame:
-    """The newest score of each key: chosen before any filter on scores."""
-    w = Window.partitionBy(key).orderBy(F.col(newest).desc())
-    return scores.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    """The newest score of each key: chosen before any filter on scores.  One maximum a key, combined before the shuffle."""
+    return keep_newest(scores, [key], newest)
 
 
-def anomaly_queue(anomalies: DataFrame, filings: DataFrame, runs: DataFrame, ticker: str, min_score: float = 0.0, flagged_only: bool = False, limit: int = 50, offset: int = 0) -> DataFrame:
-    """The review queue of a company, highest score first."""
+def latest_by_id(scores: DataFrame, key: str, newest: str) -> DataFrame:
+    """The rows whose id is the largest of their key: a semi-join against the maxima."""
+    top = scores.groupBy(key).agg(F.max(newest).alias(newest)).select(newest)
+    return scores.join(top, newest, "left_semi")
+
+
+def anomaly_matches(anomalies: DataFrame, filings: DataFrame, runs: DataFrame, ticker: str, min_score: float = 0.0, flagged_only: bool = False) -> DataFrame:
+    """The newest scores of a company's filings that a review asks for, with their model's version."""
     mine = filings.filter(ticker_is("ticker", ticker)).select("accession_number", "ticker", "filing_date")
     latest = latest_scores(anomalies.join(mine, "accession_number"), "accession_number", "id")
     kept = latest.filter(F.col("score") >= checked("min_score", min_score, 0, 1))
     kept = kept.filter("is_anomaly") if flagged_only else kept
-    joined = kept.join(runs.select(F.col("id").alias("model_run_id"), "model_version"), "model_run_id")
-    return page(joined, [F.col("score").desc(), F.col("accession_number")], checked("limit", limit, 1, 200), offset)
+    return kept.join(runs.select(F.col("id").alias("model_run_id"), "model_version"), "model_run_id")
+
+
+def anomaly_queue(anomalies: DataFrame, filings: DataFrame, runs: DataFrame, ticker: str, min_score: float = 0.0, flagged_only: bool = False, limit: int = 50, offset: int = 0) -> DataFrame:
+    """The review queue of a company, highest score first."""
+    return page(anomaly_matches(anomalies, filings, runs, ticker, min_score, flagged_only), [F.col("score").desc(), F.col("accession_number")], checked("limit", limit, 1, 200), offset)
 
 
 def audit_history(log: DataFrame, accession: str, limit: int = 100) -> DataFrame:

@@ -7,14 +7,18 @@ are filings, line items are facts, return flags are concepts.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import audit, chunks, detector, facts, features, marts, merge, metrics, quality, retrieve, rules, serve
+from ..operators import audit, chunks, detector, facts, features, marts, merge, metrics, quality, ranks, retrieve, rules, runs, serve
 from ..schema import GROUNDING_FLOOR
-from ..sources import ixbrl, payloads, synthetic
+from ..sources import ixbrl, payloads, synthetic, warehouse
+from ..storage import path
+from ..streaming import ingest
+from . import batch
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -64,32 +68,37 @@ def mart_pivot(spark, sf_dir):
 
 @query(f"""
 with m as ({_MART_SQL}),
-y as (select *, lag(revenue) over (partition by cik order by fiscal_year) as prior_year_revenue, lag(net_income) over (partition by cik order by fiscal_year) as prior_year_net_income from m)
-select *, cast(round(cast((revenue - prior_year_revenue) * 100 as double) / nullif(cast(prior_year_revenue as double), 0), 1) as double) as revenue_yoy_growth_pct,
-  cast(round(cast((net_income - prior_year_net_income) * 100 as double) / nullif(cast(prior_year_net_income as double), 0), 1) as double) as net_income_yoy_growth_pct from y""")
+y as (select *, lag(revenue) over (partition by cik order by fiscal_year) as prior_year_revenue, lag(net_income) over (partition by cik order by fiscal_year) as prior_year_net_income from m),
+g as (select *, {", ".join(f"cast((({x} - prior_year_{x}) * 100)::decimal(38,0) as hugeint) as n_{x}, cast((prior_year_{x} * 100)::decimal(38,0) as hugeint) as d_{x}" for x in ("revenue", "net_income"))} from y)
+select cik, fiscal_year, revenue, net_income, total_assets, prior_year_revenue, prior_year_net_income,
+  {", ".join(f"case when d_{x} <> 0 then (sign(n_{x}) * sign(d_{x}) * ((abs(n_{x}) * 20000 + abs(d_{x})) // (2 * abs(d_{x})))::decimal(20,0) / 100)::double end as {x}_yoy_growth_pct" for x in ("revenue", "net_income"))} from g""")
 def mart_yoy(spark, sf_dir):
+    """The change to two places, of two equally near the one further from 0; here as double."""
     out = marts.year_over_year(_mart(spark, sf_dir))
-    exact = lambda m: F.round(((F.col(m) - F.col(f"prior_year_{m}")) * 100).cast("double") / F.nullif(F.col(f"prior_year_{m}").cast("double"), F.lit(0.0)), 1)
-    return out.withColumns({f"{m}_yoy_growth_pct": exact(m) for m in ("revenue", "net_income")})
+    return out.withColumns({f"{m}_yoy_growth_pct": F.col(f"{m}_yoy_growth_pct").cast("double") for m in ("revenue", "net_income")})
 
 
 @query("select l_orderkey, l_linenumber, cast(l_shipdate as date) as period_end, l_returnflag, cast(l_extendedprice as decimal(18,2)) as fact_value from lineitem join orders on l_orderkey = o_orderkey where o_custkey = 7 and l_linestatus = 'O' order by period_end, l_orderkey, l_linenumber limit 20 offset 5")
 def timeseries_page(spark, sf_dir):
-    own = _t(spark, sf_dir, "orders").filter("o_custkey = 7").select(F.col("o_orderkey").alias("l_orderkey"))
-    rows = _t(spark, sf_dir, "lineitem").filter("l_linestatus = 'O'").join(own, "l_orderkey")
-    rows = rows.select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("period_end"), "l_returnflag", _money("l_extendedprice").alias("fact_value"))
-    return serve.page(rows, [F.col("period_end").asc_nulls_last(), "l_orderkey", "l_linenumber"], 20, 5)
+    facts = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("accession_number"), F.col("l_linenumber").alias("ord"), "l_linestatus", F.col("l_shipdate").cast("date").alias("period_end"), F.col("l_returnflag").alias("flag"), _money("l_extendedprice").alias("fact_value"), F.lit(None).cast("string").alias("segment")).withColumnRenamed("l_linestatus", "fact_name")
+    filings = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("accession_number"), F.col("o_custkey").cast("string").alias("ticker"), F.col("o_orderdate").alias("filing_date"))
+    out = serve.time_series(facts, filings, "7", "O", None, 20, 5)
+    return out.select(F.col("accession_number").alias("l_orderkey"), F.col("ord").alias("l_linenumber"), "period_end", F.col("flag").alias("l_returnflag"), "fact_value")
 
 
 @query("select o_orderkey, o_orderstatus, o_orderdate, count(*) over () as total from orders where o_custkey = 7 order by o_orderdate desc, o_orderkey limit 10")
 def filings_page(spark, sf_dir):
-    own = _t(spark, sf_dir, "orders").filter("o_custkey = 7").select("o_orderkey", "o_orderstatus", "o_orderdate")
-    return serve.page(own.crossJoin(F.broadcast(own.agg(F.count("*").alias("total")))), [F.col("o_orderdate").desc(), "o_orderkey"], 10, 0)
+    filings = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("accession_number"), F.col("o_custkey").cast("string").alias("ticker"), F.col("o_orderdate").alias("filing_date"), "o_orderstatus", F.lit("").alias("raw_html"))
+    out = serve.filings_page(filings, "7", 10)
+    return out.select(F.col("accession_number").alias("o_orderkey"), "o_orderstatus", F.col("filing_date").alias("o_orderdate"), "total")
 
 
 @query("select l_linenumber, l_returnflag, l_quantity, l_shipdate from lineitem where l_orderkey = 33")
 def facts_of_filing(spark, sf_dir):
-    return _t(spark, sf_dir, "lineitem").filter("l_orderkey = 33").select("l_linenumber", "l_returnflag", "l_quantity", "l_shipdate").orderBy("l_returnflag", F.col("l_shipdate").asc_nulls_last(), "l_linenumber")
+    facts = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("accession_number"), F.col("l_linenumber").alias("ord"), F.col("l_returnflag").alias("fact_name"), "l_quantity", F.col("l_shipdate").alias("period_end"))
+    filings = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("accession_number"))
+    out = serve.facts_of_filing(facts, 33, filings)
+    return out.select(F.col("ord").alias("l_linenumber"), F.col("fact_name").alias("l_returnflag"), "l_quantity", F.col("period_end").alias("l_shipdate"))
 
 
 _LATEST = "select * from (select *, row_number() over (partition by user_id order by event_id desc) as n from events) where n = 1"
@@ -104,13 +113,13 @@ def latest_score_queue(spark, sf_dir):
 
 @query("select user_id, event_id, event_type from events where event_id in (select max(event_id) from events group by user_id)")
 def latest_semi_join(spark, sf_dir):
-    e = _t(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
-    return e.join(e.groupBy("user_id").agg(F.max("event_id").alias("event_id")).select("event_id"), "event_id", "left_semi")
+    return serve.latest_by_id(_t(spark, sf_dir, "events").select("user_id", "event_id", "event_type"), "user_id", "event_id")
 
 
 @query("select event_id, ts, event_type from events where user_id = 11 order by event_id desc limit 25")
 def audit_history(spark, sf_dir):
-    return serve.page(_t(spark, sf_dir, "events").filter("user_id = 11").select("event_id", "ts", "event_type"), [F.col("event_id").desc()], 25, 0)
+    log = _t(spark, sf_dir, "events").select(F.col("user_id").alias("accession_number"), F.col("event_id").alias("id"), "ts", "event_type")
+    return serve.audit_history(log, 11, 25).select(F.col("id").alias("event_id"), "ts", "event_type")
 
 
 _NEED = "select l_orderkey, max(case when l_returnflag = 'A' then 1 end) as a, max(case when l_returnflag = 'N' then 1 end) as n, max(case when l_returnflag = 'R' then 1 end) as r from lineitem group by l_orderkey"
@@ -181,7 +190,7 @@ def prediction_drift(spark, sf_dir):
     return out.select(F.round("baseline_flag_rate", 9).alias("baseline_flag_rate"), F.round("current_flag_rate", 9).alias("current_flag_rate"))
 
 
-@query("select l_orderkey, l_returnflag, l_linenumber, l_quantity, l_shipdate from (select *, row_number() over (partition by l_orderkey, l_returnflag order by l_shipdate desc nulls last, l_linenumber) as n from lineitem) where n = 1")
+@query("select l_orderkey, l_returnflag, l_linenumber, l_quantity, l_shipdate from (select *, row_number() over (partition by l_orderkey, l_returnflag order by l_shipdate::date desc nulls last, l_linenumber, l_quantity, l_shipdate) as n from lineitem) where n = 1")
 def fact_latest_period(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_linenumber", "l_quantity", "l_shipdate")
     return facts.latest_period(li, ["l_orderkey", "l_returnflag"], "l_shipdate", "l_linenumber")
@@ -209,15 +218,14 @@ def safe_ratio_signed_log(spark, sf_dir):
 
 @query("select o_orderkey, lag(o_orderkey) over w as prior_orderkey, lag(o_totalprice) over w as prior_price from orders window w as (partition by o_custkey order by o_orderdate, o_orderkey)")
 def prior_filing(spark, sf_dir):
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    prior = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice").withColumn("p", F.lag(F.struct("o_orderkey", "o_totalprice")).over(w))
+    prior = features.with_prior(_t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"), "o_custkey", ["o_orderdate", "o_orderkey"], ["o_orderkey", "o_totalprice"], "p")
     return prior.select("o_orderkey", F.col("p.o_orderkey").alias("prior_orderkey"), F.col("p.o_totalprice").alias("prior_price"))
 
 
 @query(f"select l_orderkey, (coalesce(a, 0) + coalesce(n, 0) + coalesce(r, 0)) / 3.0::double as coverage from ({_NEED})")
 def coverage(spark, sf_dir):
     flags = marts.pivot(_t(spark, sf_dir, "lineitem").withColumn("one", F.lit(1)), ["l_orderkey"], "l_returnflag", "one", {"a": ("A",), "n": ("N",), "r": ("R",)})
-    return flags.select("l_orderkey", (sum((F.col(c).isNotNull().cast("int") for c in "anr"), F.lit(0)) / F.lit(3.0)).alias("coverage"))
+    return flags.select("l_orderkey", features.coverage(("a", "n", "r")).alias("coverage"))
 
 
 _FEATS = "select c_custkey, (c_acctbal - 3000) / 1000 as leverage, (c_acctbal - 5000) / 2000 as net_margin, c_nationkey / 20.0::double as required_coverage from customer"
@@ -299,9 +307,9 @@ def cascade_prune(spark, sf_dir):
     return merge.pruned_children(_t(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey"), parents, "s_nationkey").drop("s_nationkey")
 
 
-@query("select coalesce(c_custkey, n_nationkey) as k, coalesce(n_name, c_name) as name from (select c_custkey, c_name from customer where c_custkey between 10 and 40) full join (select n_nationkey::bigint as n_nationkey, n_name from nation) on c_custkey = n_nationkey")
+@query("select coalesce(c_custkey, n_nationkey) as k, coalesce(n_name, c_name) as name from (select c_custkey, c_name from customer) full join (select n_nationkey::bigint as n_nationkey, n_name from nation) on c_custkey = n_nationkey")
 def metadata_overlay(spark, sf_dir):
-    base = _t(spark, sf_dir, "customer").filter("c_custkey between 10 and 40").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"))
+    base = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"))
     return merge.overlay(base, _t(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("bigint").alias("k"), F.col("n_name").alias("name")), "k")
 
 
@@ -325,7 +333,7 @@ def chain_verify(spark, sf_dir):
     log = _chain(spark, sf_dir).join(e, "event_id").withColumn("event_type", F.when(F.col("event_id") % 1000 == 7, "changed").otherwise(F.col("event_type")))
     log = log.withColumn("prev_row_hash", F.lag("row_hash").over(Window.partitionBy("user_id").orderBy("event_id")))
     expected = F.sha2(F.concat_ws(S.SEPARATOR, F.col("event_id").cast("string"), "event_type", F.coalesce("prev_row_hash", F.lit(""))), 256)
-    return audit.verify(log, expected, "event_id", "user_id")
+    return audit.verify(log, expected, "event_id", "user_id").drop("checked")
 
 
 @query("select user_id, event_type, arg_max(value, event_id) as records from events group by user_id, event_type")
@@ -408,39 +416,32 @@ def index_links(spark, sf_dir):
     return payloads.index_links(wrapped, "page_id", "html").groupBy("page_id").agg(F.count("*").alias("n_links"))
 
 
-_STOP = ", ".join(f"'{w}'" for w in (*retrieve.STOP_WORDS, *retrieve.DOMAIN_WORDS))
-_POST = rf"select doc_id, term, count(*) as tf from (select doc_id, unnest(regexp_extract_all(lower(text), '\b([a-z0-9_][a-z0-9_]+)\b', 1)) as term from english) where term not in ({_STOP}) group by doc_id, term"
-_ENGLISH = "english as (select doc_id, text from documents where regexp_full_match(text, '[\\x00-\\x7F]*'))"
-
-
-def _english(spark, sf_dir):
-    return _t(spark, sf_dir, "documents").select("doc_id", "text").filter(F.col("text").rlike(r"^[\x00-\x7F]*$"))
+def _documents(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").select("doc_id", "text")
 
 
-@query(f"with {_ENGLISH} {_POST}")
+@query()
 def tokens(spark, sf_dir):
-    return retrieve.postings(_english(spark, sf_dir), "doc_id", "text", bigrams=False)
-
-
-_WEIGHTS = f"{_ENGLISH}, post as ({_POST}), n as (select count(distinct doc_id) as n from post), i as (select term, ln((1.0 + n) / (1.0 + count(*))) + 1.0 as idf from post, n group by term, n), raw as (select doc_id, term, tf * idf as w from post join i using (term)), nrm as (select doc_id, sqrt(sum(w * w)) as norm from raw group by doc_id), wts as (select doc_id, term, w / norm as weight from raw join nrm using (doc_id))"
+    """Every document's words and pairs with their counts.  No SQL: another engine's word boundaries aren't Unicode's; tested against brute force."""
+    return retrieve.postings(_documents(spark, sf_dir), "doc_id", "text")
 
 
 def _weighted(spark, sf_dir):
-    post = retrieve.postings(_english(spark, sf_dir), "doc_id", "text", bigrams=False)
+    post = retrieve.postings(_documents(spark, sf_dir), "doc_id", "text")
     return post, retrieve.weights(post, retrieve.idf(post, "doc_id"), "doc_id")
 
 
-@query(f"with {_WEIGHTS} select doc_id, term, round(weight, 9) as weight from wts")
+@query()
 def tfidf_weights(spark, sf_dir):
     return _weighted(spark, sf_dir)[1].withColumn("weight", F.round("weight", 9))
 
 
-@query(f"with {_WEIGHTS}, q as (select item_id, term, count(*) as tf from (select item_id, unnest(regexp_extract_all(lower(text), '\\b([a-z0-9_][a-z0-9_]+)\\b', 1)) as term from benchmark where regexp_full_match(text, '[\\x00-\\x7F]*')) where term not in ({_STOP}) group by all), qr as (select item_id, term, tf * idf as w from q join i using (term)), qn as (select item_id, sqrt(sum(w * w)) as norm from qr group by item_id), s as (select item_id, doc_id, round(sum(weight * (qr.w / norm)), 6) as score from wts join qr using (term) join qn using (item_id) group by item_id, doc_id) select item_id, score from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rk from s) where rk <= 5")
+@query()
 def cosine_topk(spark, sf_dir):
     post, index = _weighted(spark, sf_dir)
-    asked = _t(spark, sf_dir, "benchmark").select("item_id", "text").filter(F.col("text").rlike(r"^[\x00-\x7F]*$"))
-    wanted = retrieve.weights(retrieve.postings(asked, "item_id", "text", bigrams=False), retrieve.idf(post, "doc_id"), "item_id")
-    return retrieve.cosine_topk(index, wanted, "doc_id", "item_id", 5).select("item_id", F.round("score", 6).alias("score"))
+    asked = _t(spark, sf_dir, "benchmark").select("item_id", "text")
+    wanted = retrieve.weights(retrieve.postings(asked, "item_id", "text"), retrieve.idf(post, "doc_id"), "item_id")
+    return retrieve.cosine_topk(index, wanted, "doc_id", "item_id", 5).select("item_id", "doc_id", F.round("score", 6).alias("score"), "rank")
 
 
 @query(r"select doc_id, case when length(flat) <= 280 then flat else rtrim(substring(flat, 1, 280)) || '…' end as snippet from (select doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) as flat from documents)")
@@ -508,11 +509,165 @@ def synthetic_features(spark, sf_dir):
 @query()
 def corruption(spark, sf_dir):
     rows, filings = synthetic.corpus(spark, 40, 4)
-    broken, chosen = detector.corrupted(rows)
-    marked = features.build(broken, filings).withColumn("corrupted", F.col("accession_number").isin(*chosen))
+    broken = detector.with_corruption(rows)
+    marked = features.build(broken, filings).withColumn("corrupted", detector.corruption(F.col("accession_number"), 0.2, 7).isNotNull())
     return rules.evaluate(marked).select("accession_number", "corrupted", "rule_score", F.size("violations").alias("n_violations"))
 
 
+# Runs, metrics and the warehouse: orders are filings, line items facts, events the stage audit.
+
+
+def _audit(spark, sf_dir):
+    kinds = {"view": "ingest", "click": "parse", "purchase": "load"}
+    stage = F.coalesce(*[F.when(F.col("event_type") == k, v) for k, v in kinds.items()], F.lit("validate"))
+    status = F.when(F.col("event_id") % 2 == 0, "started").otherwise("completed")
+    return _t(spark, sf_dir, "events").select(F.col("event_id").alias("id"), (F.col("user_id") % 40).cast("string").alias("run_id"), stage.alias("stage"), status.alias("status"), F.floor("value").cast("int").alias("records_processed"), F.col("ts").alias("created_at"))
+
+
+_AUDIT = "select event_id as id, (user_id % 40)::varchar as run_id, case event_type when 'view' then 'ingest' when 'click' then 'parse' when 'purchase' then 'load' else 'validate' end as stage, case when event_id % 2 = 0 then 'started' else 'completed' end as status, floor(value)::int as records_processed, ts as created_at from events"
+
+
+@query(f"select run_id, stage, status, coalesce(records_processed, 0) as records_processed, created_at, id from ({_AUDIT}) order by created_at desc, id desc limit 40")
+def recent_runs(spark, sf_dir):
+    return runs.recent(_audit(spark, sf_dir))
+
+
+@query(f"select coalesce(arg_max(records_processed, id) filter (stage = 'ingest'), 0) as filings_ingested, coalesce(arg_max(records_processed, id) filter (stage = 'ingest'), 0) as filings_downloaded, coalesce(arg_max(records_processed, id) filter (stage = 'parse'), 0) as filings_parsed, coalesce(arg_max(records_processed, id) filter (stage = 'validate'), 0) as filings_validated, coalesce(arg_max(records_processed, id) filter (stage = 'load'), 0) as filings_loaded from ({_AUDIT}) where run_id = '7'")
+def run_counts(spark, sf_dir):
+    return metrics.run_counts(_audit(spark, sf_dir), "7")
+
+
+def _outcomes(spark, sf_dir):
+    return _audit(spark, sf_dir).withColumn("extraction_status", F.when(F.col("id") % 5 == 0, "failed").otherwise("success"))
+
+
+@query(f"select case when count(*) = 0 then 1.0 else round((count(*) filter (id % 5 <> 0))::double / count(*), 3) end::double as parsing_success_rate, count(*) filter (id % 5 = 0) as parsing_failure_count, 1.0::double as validation_success_rate from ({_AUDIT}) where run_id = '7' and stage = 'parse'")
+def run_rates(spark, sf_dir):
+    return metrics.run_rates(_outcomes(spark, sf_dir), "7")
+
+
+def _model_runs(spark, sf_dir):
+    return _t(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).cast("string").alias("run_id"), F.col("o_orderkey").alias("id"), (F.col("o_orderkey") % 90 + 10).cast("int").alias("filings_scored"), (F.col("o_orderkey") % 10).cast("int").alias("anomalies_flagged"), F.concat(F.date_format("o_orderdate", "yyyyMMdd"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("created_at"))
+
+
+@query("select (o_orderkey % 10)::int as anomalies_flagged, round((o_orderkey % 10)::double / (o_orderkey % 90 + 10), 3)::double as anomaly_rate from (select *, row_number() over (order by o_orderdate::date desc, o_orderkey desc) as n from orders where o_custkey % 50 = 7) where n = 1")
+def anomaly_rate(spark, sf_dir):
+    return metrics.anomaly_rate(_model_runs(spark, sf_dir), "7")
+
+
+_SPANS = f"select stage, arg_max(created_at, (created_at, id)) filter (status = 'started') as s, arg_max(created_at, (created_at, id)) filter (status = 'completed') as e from ({_AUDIT}) where run_id = '7' group by stage"
+
+
+@query(f"with t as ({_SPANS}) select case stage when 'ingest' then 'fetch_new_filings' when 'parse' then 'parse_xbrl_facts' when 'validate' then 'validate_quality_gates' else 'load_to_warehouse' end as stage, round(greatest(epoch_us(e) - epoch_us(s), 0) / 1e6, 3) as seconds from t where s is not null and e is not null union all select 'total', round(greatest(epoch_us(max(e)) - epoch_us(min(s)), 0) / 1e6, 3) from t")
+def run_durations(spark, sf_dir):
+    return metrics.run_durations(_audit(spark, sf_dir), "7").select(F.explode("durations_seconds").alias("stage", "seconds"))
+
+
+def _facts(spark, sf_dir):
+    return _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("accession_number"), F.col("l_returnflag").alias("fact_name"), F.col("l_extendedprice").alias("fact_value"), F.col("l_shipdate").cast("date").alias("period_end"), F.when(F.col("l_linestatus") == "F", "part").alias("segment"), F.col("l_linenumber").alias("ord"))
+
+
+def _filings(spark, sf_dir):
+    return _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("accession_number"), F.col("o_custkey").cast("string").alias("cik"), F.lit("T").alias("ticker"), F.lit("10-K").alias("filing_type"), F.col("o_orderdate").cast("date").alias("filing_date"), F.col("o_orderdate").cast("date").alias("period_of_report"), F.col("o_orderpriority").alias("pipeline_run_id"))
+
+
+@query("select l_orderkey as accession_number, string_agg(distinct l_returnflag, ',' order by l_returnflag) as names from lineitem join orders on l_orderkey = o_orderkey where o_orderpriority = '1-URGENT' and l_linestatus <> 'F' group by l_orderkey")
+def facts_of_run(spark, sf_dir):
+    rows = runs.facts_of_run(_facts(spark, sf_dir), _filings(spark, sf_dir), "1-URGENT")
+    return runs.names_by_filing(rows).withColumn("names", F.array_join("names", ","))
+
+
+_WINDOWS = "select l_returnflag as fact_name, l_extendedprice::double as value, l_shipdate::date < date '1998-08-01' - 365 as is_base from lineitem where l_linestatus <> 'F' and l_returnflag in ('N', 'R') and l_shipdate::date >= date '1998-08-01' - 730"
+
+
+@query(f"select fact_name, is_base, count(*) as n, round(sum(value), 2) as total from ({_WINDOWS}) group by all")
+def psi_windows(spark, sf_dir):
+    rows = runs.windows(_facts(spark, sf_dir), ["N", "R"], date(1998, 8, 1), 730)
+    return rows.groupBy("fact_name", "is_base").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
+
+
+@query("select distinct l_orderkey as accession_number from lineitem order by 1")
+def distinct_accessions(spark, sf_dir):
+    return runs.accessions(_facts(spark, sf_dir))
+
+
+@query("select page_id as accession_number, html as raw_html from pages where length(html) > 0 and page_id in (select doc_id from labels)")
+def raw_html_scan(spark, sf_dir):
+    filings = _t(spark, sf_dir, "pages").select(F.col("page_id").alias("accession_number"), F.col("html").alias("raw_html"))
+    return warehouse.raw_html(filings, _t(spark, sf_dir, "labels").select(F.col("doc_id").alias("accession_number")))
+
+
+@query("select o_orderkey as accession_number, o_custkey::varchar as cik, o_orderdate::date as filing_date from orders where o_orderkey in (select l_orderkey from lineitem where l_returnflag = 'R')")
+def metadata_scan(spark, sf_dir):
+    wanted = _facts(spark, sf_dir).filter("fact_name = 'R'")
+    return warehouse.metadata(_filings(spark, sf_dir), wanted).select("accession_number", "cik", "filing_date")
+
+
+@query("with f as (select o_orderkey from orders where o_orderdate::date >= date '1995-01-01' order by o_orderdate::date desc, o_orderkey limit 1000) select l_orderkey as accession_number, count(*) as n from lineitem join f on l_orderkey = o_orderkey group by l_orderkey")
+def training_scan(spark, sf_dir):
+    rows, _ = warehouse.training(_filings(spark, sf_dir), _facts(spark, sf_dir), date(1995, 1, 1), 1000)
+    return rows.groupBy("accession_number").agg(F.count("*").alias("n"))
+
+
+@query("select l_orderkey as accession_number, 'load' as stage, case when bool_or(l_linestatus = 'F') then 'failed' else 'success' end as extraction_status from lineitem group by l_orderkey")
+def stage_outcomes(spark, sf_dir):
+    rows = _facts(spark, sf_dir).select("accession_number", F.when(F.col("segment").isNotNull(), "failed").otherwise("success").alias("status"), F.lit(None).cast("string").alias("detail"))
+    return batch.outcomes(rows, "load", "r").select("accession_number", "stage", "extraction_status")
+
+
+@query("select max(event_id) as last_id, arg_max(event_type, event_id) as last from events")
+def chain_tail(spark, sf_dir):
+    last, what = audit.tail(_t(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("event_type").alias("row_hash")))
+    return spark.createDataFrame([(last, what)], "last_id bigint, last string")
+
+
+@query("select o_orderkey, '{\"o_orderkey\":' || o_orderkey || ',\"o_orderstatus\":\"' || o_orderstatus || '\",\"o_orderdate\":\"' || strftime(o_orderdate::date, '%Y-%m-%d') || '\",\"none\":null}' as j from orders")
+def json_rows(spark, sf_dir):
+    rows = S.plain(_t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("o_orderdate"), F.lit(None).cast("string").alias("none")))
+    return rows.select("o_orderkey", S.as_json(rows).alias("j"))
+
+
+@query("select event_id, case when event_id % 3 = 0 then 0 else 1 end::int as n, case when event_id % 3 <> 0 then event_type end as first_rule from events")
+def violations_decode(spark, sf_dir):
+    raw = F.when(F.col("event_id") % 3 == 0, "{broken").otherwise(F.concat(F.lit('[{"rule_id":"'), "event_type", F.lit('","severity":0.5,"message":"m"}]')))
+    v = S.violations(raw)
+    return _t(spark, sf_dir, "events").select("event_id", F.size(v).alias("n"), F.get(v, F.lit(0))["rule_id"].alias("first_rule"))
+
+
+@query("select p_partkey, round_even(p_retailprice::decimal(18,2) / 1000, 0)::int::varchar || '%' as share, printf('%.1f', round_even(p_retailprice::decimal(18,2), 1)) as price from part")
+def half_even_text(spark, sf_dir):
+    price = _money("p_retailprice")
+    return _t(spark, sf_dir, "part").select("p_partkey", S.percent_text(price.cast("decimal(28,8)") / 100_000).alias("share"), S.fixed_text(price, 1).alias("price"))
+
+
+@query("select o_orderkey, replace(strftime(o_orderdate::date, '%Y-%m-%d'), '-', '') as bare, o_orderdate::date as day from orders")
+def dashes_and_dates(spark, sf_dir):
+    stamp = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
+    return _t(spark, sf_dir, "orders").select("o_orderkey", S.undashed(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("bare"), S.as_date(stamp).alias("day"))
+
+
+@query("select feature, round(share, 9) as share from (select avg((c_acctbal <> 0)::int)::double as c_acctbal, avg((c_nationkey <> 0)::int)::double as c_nationkey from customer) unpivot (share for feature in (c_acctbal, c_nationkey))")
+def nonzero_shares(spark, sf_dir):
+    return detector.nonzero_shares(_t(spark, sf_dir, "customer"), ("c_acctbal", "c_nationkey")).withColumn("share", F.round("share", 9))
+
+
+@query(f"with s as ({_LAB}) select coalesce(round(avg(score) filter (toxic = 1), 6), 0)::double as mean_score_corrupted, coalesce(round(avg(score) filter (toxic <> 1), 6), 0)::double as mean_score_clean, count(*) filter (toxic = 1 and flag) as tp, 0.2::double as corruption_rate from s")
+def evaluated(spark, sf_dir):
+    out = detector.evaluated(_labelled(spark, sf_dir), "toxic", "score", "flag", 0.2)
+    return out.select(F.round("mean_score_corrupted", 6).alias("mean_score_corrupted"), F.round("mean_score_clean", 6).alias("mean_score_clean"), "tp", "corruption_rate")
+
+
+@query("select * from (select o_orderkey, o_custkey, row_number() over (order by o_orderdate::date, o_orderkey) as n from orders)")
+def numbered(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("day"))
+    return ranks.numbered(o, ["day", "o_orderkey"], "n").drop("day")
+
+
+@query("select event_id, lag(event_type) over (order by event_id) as before from events")
+def previous_row(spark, sf_dir):
+    return ranks.previous(_t(spark, sf_dir, "events").select("event_id", "event_type"), "event_id", "event_type", "before").select("event_id", "before")
+
+
 @query("select o_orderkey from orders where o_custkey % 3 <> 0 union all select o_orderkey from orders where o_custkey % 3 <> 1")
 def union_all(spark, sf_dir):
     a, b = _slices(spark, sf_dir)
@@ -533,14 +688,14 @@ def intersection(spark, sf_dir):
 
 @query("select user_id, max(ts) as high_water, count(distinct event_id) as n from events group by user_id")
 def stream_ingest(spark, sf_dir):
-    """Events as a file stream, each file once, deduplicated on their id."""
-    import tempfile
-    import uuid
-
-    root = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='factloom-stream-')}/stream-{uuid.uuid4().hex}"
+    """Events as a file stream, each file once, deduplicated on their id within the watermark."""
+    root = path(spark, "stream")
     schema = _t(spark, sf_dir, "events").schema
     # A pattern, as the table is one file at small scales and a folder at large ones.
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
-    run = stream.dropDuplicates(["event_id"]).writeStream.format("parquet").option("path", f"{root}/rows").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+    source = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]").withColumn("at", F.col("ts").cast("timestamp"))
+    stream = ingest.deduplicated(source, ["event_id"], "at", "1 hour").drop("at")
+    run = stream.writeStream.format("parquet").option("path", f"{root}/rows").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     run.awaitTermination()
-    return spark.read.schema(schema).parquet(f"{root}/rows").groupBy("user_id").agg(F.max("ts").alias("high_water"), F.count("*").alias("n"))
+    done = spark.read.schema(schema).parquet(f"{root}/rows")
+    water = ingest.high_water(done, "user_id", "ts")
+    return water.join(done.groupBy("user_id").agg(F.count("*").alias("n")), "user_id")

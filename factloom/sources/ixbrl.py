@@ -18,12 +18,15 @@ TARGETS = tuple(PREFIX + c for c in (*CONCEPTS, REVENUE_ALIAS))
 class _Node:
     def __init__(self, tag: str, attrs: dict[str, str | None]):
         self.tag, self.attrs, self.children, self.text = tag, attrs, [], ""
+        self.local = tag.rpartition(":")[2]
 
     def all(self, local: str) -> Iterator[_Node]:
-        for c in self.children:
-            if c.tag.rpartition(":")[2] == local:
-                yield c
-            yield from c.all(local)
+        left = self.children[::-1]
+        while left:
+            node = left.pop()
+            if node.local == local:
+                yield node
+            left.extend(node.children[::-1])
 
     def first(self, local: str) -> _Node | None:
         return next(self.all(local), None)
@@ -121,6 +124,9 @@ def parse(html: str | None, targets: tuple[str, ...] = TARGETS, segments: bool =
     return rows
 
 
+#: Facts that a task gathers before it gives them out.
+ROWS_A_BATCH = 10_000
+
 _OUT = "accession_number string, status string, detail string, fact_name string, fact_value decimal(38,10), unit string, period_start date, period_end date, segment string, ord int"
 _KINDS = pa.schema([("accession_number", pa.string()), ("status", pa.string()), ("detail", pa.string()), ("fact_name", pa.string()), ("fact_value", pa.decimal128(38, 10)), ("unit", pa.string()), ("period_start", pa.date32()), ("period_end", pa.date32()), ("segment", pa.string()), ("ord", pa.int32())])
 
@@ -128,14 +134,25 @@ _KINDS = pa.schema([("accession_number", pa.string()), ("status", pa.string()),
 def facts(docs: DataFrame, targets: tuple[str, ...] = TARGETS, segments: bool = True) -> DataFrame:
     """Facts of (accession_number, raw_html); a document that fails gives one row with its status, never an exception."""
 
+    def one(accession: str, html: str | None) -> list[dict]:
+        try:
+            rows = [{"accession_number": accession, "status": "success"} | r for r in parse(html, targets, segments)] or [{"accession_number": accession, "status": "empty"}]
+            for r in rows:
+                if r.get("fact_value") is not None:
+                    r["fact_value"] = pa.scalar(r["fact_value"], _KINDS.field("fact_value").type).as_py()
+            return rows
+        except Exception as e:  # noqa: BLE001  one bad document must not end the batch
+            return [{"accession_number": accession, "status": "failed", "detail": str(e)[:500]}]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            rows: list[dict] = []
             for accession, html in zip(batch["accession_number"].to_pylist(), batch["raw_html"], strict=True):
-                try:
-                    rows = [{"status": "success"} | r for r in parse(html.as_py(), targets, segments)] or [{"status": "empty"}]
-                    made = pa.RecordBatch.from_pylist([{"accession_number": accession} | r for r in rows], schema=_KINDS)
-                except Exception as e:  # noqa: BLE001  one bad document must not end the batch
-                    made = pa.RecordBatch.from_pylist([{"accession_number": accession, "status": "failed", "detail": str(e)[:500]}], schema=_KINDS)
-                yield made
+                rows += one(accession, html.as_py())
+                if len(rows) >= ROWS_A_BATCH:
+                    yield pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in rows], f.type) for f in _KINDS], schema=_KINDS)
+                    rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in rows], f.type) for f in _KINDS], schema=_KINDS)
 
     return docs.select("accession_number", "raw_html").mapInArrow(run, _OUT)

@@ -50,6 +50,16 @@ def index_links(html: DataFrame, key: str, column: str) -> DataFrame:
     return html.select(key, F.explode(links).alias("href")).filter(~F.col("href").startswith("?"))
 
 
+def search_url(base: str, query: str, form: str | None = None, start: str | None = None, end: str | None = None) -> str:
+    """Where to ask for a full-text search: a phrase, a form, and a range of dates if both ends are named."""
+    from urllib.parse import quote, urlencode
+
+    asked = {"q": f'"{query}"'} | ({"forms": form} if form else {})
+    if start and end:
+        asked |= {"dateRange": "custom", "startdt": start, "enddt": end}
+    return f"{base}?{urlencode(asked, quote_via=quote)}"
+
+
 def search_hits(payload: DataFrame) -> DataFrame:
     """Accessions of full-text search hits (``_id``, ``_source``), the id itself where the source names none."""
     return payload.select(F.coalesce("_source.accession_no", F.substring_index("_id", ":", 1)).alias("accession_number"))

@@ -2,36 +2,34 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.merge import upsert
+from ..storage import read_text, write_text
 
 
 class Snapshot:
     """A Parquet table as numbered snapshots with a pointer that is swapped whole.  One writer at a time."""
 
     def __init__(self, spark: SparkSession, root: str, schema: str):
-        self.spark, self.root, self.schema = spark, root, schema
+        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
 
     def _pointer(self) -> str:
-        return os.path.join(self.root, "CURRENT")
+        return f"{self.root}/CURRENT"
 
     def read(self) -> DataFrame:
-        if not os.path.exists(self._pointer()):
+        name = read_text(self.spark, self._pointer())
+        if name is None:
             return self.spark.createDataFrame([], self.schema)
-        with open(self._pointer()) as f:
-            return self.spark.read.schema(self.schema).parquet(os.path.join(self.root, f.read()))
+        return self.spark.read.schema(self.schema).parquet(f"{self.root}/{name}")
 
     def replace(self, rows: DataFrame) -> None:
         name = f"snapshot-{uuid.uuid4().hex}"
-        rows.write.parquet(os.path.join(self.root, name))
-        with open(self._pointer() + ".tmp", "w") as f:
-            f.write(name)
-        os.replace(self._pointer() + ".tmp", self._pointer())
+        rows.write.parquet(f"{self.root}/{name}")
+        write_text(self.spark, self._pointer(), name)
 
     def merge(self, new: DataFrame, keys: list[str], order: list[Column]) -> None:
         self.replace(upsert(self.read(), new, keys, order))
