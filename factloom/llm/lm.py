@@ -210,44 +210,72 @@ def _held(batches: Iterator[pa.RecordBatch]) -> dict[tuple[int, int], list[tuple
     return out
 
 
-@dataclass
+def _small(x: np.ndarray) -> np.ndarray:
+    """Whole numbers in the narrowest type that holds them: what goes to tasks is kept small."""
+    return x.astype(np.min_scalar_type(int(x.max()))) if len(x) else x.astype(np.uint8)
+
+
 class Head:
-    """The most frequent words and the end token, sorted by hash: hashes, counts, ranks by falling count."""
+    """The most frequent words and the end token, by falling count: hashes and counts.  A word's place is its rank."""
 
-    words: np.ndarray
-    count: np.ndarray
-    rank: np.ndarray
-    find: Finder | None = None
+    def __init__(self, words: np.ndarray, count: np.ndarray):
+        self.words, self.small = words, _small(count)
+
+    @property
+    def count(self) -> np.ndarray:
+        return self.small.astype(np.int64)
 
-    def __post_init__(self):
-        self.by_rank = np.empty(len(self.rank), np.int64)
-        self.by_rank[self.rank] = np.arange(len(self.rank))
-        self.named = np.concatenate([self.words[self.by_rank], np.zeros(1, np.uint64)])
+    def __len__(self) -> int:
+        return len(self.words)
 
     def ready(self) -> Head:
         """With its finder, which a task makes for itself."""
-        return Head(self.words, self.count, self.rank, Finder(self.words))
+        out = Head(self.words, self.small)
+        out.order = np.argsort(self.words)
+        out.find = Finder(self.words[out.order])
+        out.named = np.concatenate([self.words, np.zeros(1, np.uint64)])
+        return out
 
     def ranks(self, stream: np.ndarray) -> np.ndarray:
         """The rank of each word, or -1."""
         at = self.find(stream)
-        return np.where(at >= 0, self.rank[at] if len(self.rank) else 0, -1)
+        return np.where(at >= 0, self.order[at] if len(self) else 0, -1)
 
     def coded(self, stream: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(a number for each word: its rank, or for one outside a number of this stream's own; the hashes by number)."""
         outside = rank < 0
         own, of = np.unique(stream[outside], return_inverse=True)
         code = rank.astype(np.int64)
-        code[outside] = len(self.rank) + of
+        code[outside] = len(self) + of
         return code, np.concatenate([self.named[:-1], own])
 
     def sent(self, code: np.ndarray, named: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(numbers for a message, where all words outside have one; the hashes of those outside, in order)."""
-        return np.minimum(code, len(self.rank)).astype(np.uint32), named[code[code >= len(self.rank)]]
+        return np.minimum(code, len(self)).astype(np.uint32), named[code[code >= len(self)]]
 
     def received(self, code: np.ndarray, outside: np.ndarray) -> np.ndarray:
         out = self.named[code]
-        out[code == len(self.rank)] = outside
+        out[code == len(self)] = outside
+        return out
+
+
+class Pairs:
+    """The hot pairs: their words' ranks as one number each (rank * width + rank), and counts."""
+
+    def __init__(self, width: int, code: np.ndarray, n: np.ndarray):
+        self.width, self.small, self.small_n = width, _small(code), _small(n)
+
+    code = property(lambda self: self.small.astype(np.int64))
+    n = property(lambda self: self.small_n.astype(np.int64))
+    u = property(lambda self: self.code // self.width)
+    w = property(lambda self: self.code % self.width)
+
+    def ready(self, head: Head) -> Pairs:
+        """By ascending key, with the keys, which a task makes for itself."""
+        keys = pair_keys(head.named[self.u], head.named[self.w])
+        order = np.argsort(keys)
+        out = Pairs(self.width, self.small[order], self.small_n[order])
+        out.keys = keys[order]
         return out
 
 
@@ -280,11 +308,12 @@ class _Stream:
         return code, named, inside
 
 
-def _grams(order: int, head: Head, shards: int, hot: np.ndarray):
-    """Messages with a task's distinct 2- or 3-grams and their counts; hot: sorted keys of the hot pairs."""
+def _grams(order: int, head: Head, shards: int, pairs: Pairs | None = None):
+    """Messages with a task's distinct 2- or 3-grams and their counts; pairs: the hot ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, held = head.ready(), Finder(hot)
+        own = head.ready()
+        held = Finder(pairs.ready(own).keys) if pairs else None
         tokens = _Stream(own)
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -367,7 +396,7 @@ def _counted_pairs(head: Head, conf: Orders):
             keep = n >= conf.least
             n, u, w = n[keep], u[keep], w[keep]
             ranks = [own.ranks(u), own.ranks(w)]
-            counts = [pa.array(own.count[own.by_rank[r]] if len(own.rank) else r, mask=r < 0) for r in ranks]
+            counts = [pa.array(own.count[r] if len(own) else r, mask=r < 0) for r in ranks]
             hot = (ranks[0] >= 0) & (ranks[1] >= 0) & (ranks[0] < conf.pairs) & (ranks[1] < conf.pairs)
             cols = [pa.array(x.view(np.int64)) for x in (pair_keys(u, w), u, w)] + [pa.array(n), *counts, *(pa.array(r.astype(np.int32), mask=~hot) for r in ranks)]
             yield pa.RecordBatch.from_arrays(cols, names=["key", "pre", "suf", "n", "n_pre", "n_suf", "u", "w"])
@@ -378,17 +407,6 @@ def _counted_pairs(head: Head, conf: Orders):
 _THREE = "key long, pre long, suf long, n long, p double, p2 double, u int, v int, w int"
 
 
-@dataclass
-class Pairs:
-    """The hot pairs, sorted by key: keys, words' ranks, counts, probabilities."""
-
-    keys: np.ndarray
-    u: np.ndarray
-    w: np.ndarray
-    n: np.ndarray
-    p: np.ndarray
-
-
 def _counted_triples(head: Head, pairs: Pairs, conf: Orders):
     """The triples that the model keeps, with p; p2: of their last two words, null unless these are hot.
 
@@ -397,7 +415,9 @@ def _counted_triples(head: Head, pairs: Pairs, conf: Orders):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, find = head.ready(), Finder(pairs.keys)
+        own = head.ready()
+        hot_pairs = pairs.ready(own)
+        find = Finder(hot_pairs.keys)
         for _, got in sorted(_held(batches).items()):
             n, (u, v, w) = _gathered(3, own, got)
             pre, suf = pair_keys(u, v), pair_keys(v, w)
@@ -406,13 +426,14 @@ def _counted_triples(head: Head, pairs: Pairs, conf: Orders):
             new = np.concatenate([[True], pre[by][1:] != pre[by][:-1]])[: len(by)]
             total = np.empty(len(n), np.int64)
             total[by] = np.add.reduceat(n[by], np.flatnonzero(new))[np.cumsum(new) - 1] if len(by) else n
-            total = np.where(hot >= 0, pairs.n[hot] if len(pairs.n) else 0, total)
+            total = np.where(hot >= 0, hot_pairs.n[hot] if len(hot_pairs.n) else 0, total)
             keep = n >= conf.least
             u, v, w, n, pre, suf, total = (x[keep] for x in (u, v, w, n, pre, suf, total))
             last = find(suf)
             ranks = [own.ranks(x) for x in (u, v, w)]
             inside = np.all([(r >= 0) & (r < conf.triples) for r in ranks], axis=0)
-            p2 = pa.array(pairs.p[last] if len(pairs.p) else np.zeros(len(last)), mask=last < 0)
+            p_hot = (hot_pairs.n - conf.discount) / own.count[hot_pairs.u] if len(hot_pairs.n) else np.zeros(1)
+            p2 = pa.array(p_hot[last], mask=last < 0)
             cols = [pa.array(x.view(np.int64)) for x in (triple_keys(u, suf), pre, suf)] + [pa.array(n), pa.array((n - conf.discount) / total), p2, *(pa.array(r.astype(np.int32), mask=~inside) for r in ranks)]
             yield pa.RecordBatch.from_arrays(cols, names=["key", "pre", "suf", "n", "p", "p2", "u", "v", "w"])
 
@@ -552,9 +573,7 @@ class Model:
 
     @property
     def two(self) -> dict[int, int]:
-        return dict(zip((self.hot.u * self.width + self.hot.w).tolist(), self.hot.n.tolist(), strict=True))
-
-    width: int = 0
+        return dict(zip(self.hot.code.tolist(), self.hot.n.tolist(), strict=True))
 
 
 def _cutoff(counts: DataFrame, most: int) -> int:
@@ -596,21 +615,21 @@ def fit(train: DataFrame, conf: Orders = Orders()) -> Model:
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SHARD_TOKENS))
     got = _columns(counted.filter((col("n") >= _cutoff(counted, conf.head)) | (col("key") == _signed(END))))
     words, count = got["key"].view(np.uint64), got["n"]
-    rank = np.empty(len(words), np.int64)
-    rank[np.lexsort((words, -count))] = np.arange(len(words))
-    head, none = Head(words, count, rank), np.zeros(0, np.uint64)
+    by_rank = np.lexsort((words, -count))
+    head = Head(words[by_rank], count[by_rank])
+    ready = head.ready()
 
     # Pairs, their probabilities p and those of their last words p1.
-    counts = _dealt(texts.mapInArrow(_grams(2, head, shards, none), _MESSAGE), shards).mapInArrow(_counted_pairs(head, conf), _TWO)
+    counts = _dealt(texts.mapInArrow(_grams(2, head, shards), _MESSAGE), shards).mapInArrow(_counted_pairs(head, conf), _TWO)
     first = shared.stored(counts, "two")
     apart = first.filter("n_pre is null or n_suf is null").drop("n_pre", "n_suf")
     n_of = lambda c: counted.select(col("key").alias(c), col("n").alias(f"n_{c}"))
     apart = shared.stored(apart.join(n_of("pre"), "pre").join(n_of("suf"), "suf").select(*first.columns), "apart")
     two = first.filter("n_pre is not null and n_suf is not null").unionByName(apart)
     two = two.select("*", ((col("n") - conf.discount) / col("n_pre")).alias("p"), ((col("n_suf") - d1) / float(max(total, 1))).alias("p1"))
-    hot = two.filter("u is not null").select("key", "u", "w", "n", "p")
+    hot = two.filter("u is not null").select("key", "u", "w", "n")
     got = _columns(hot.filter(col("n") >= _cutoff(hot, conf.grams)))
-    pairs = Pairs(got["key"].view(np.uint64), got["u"].astype(np.int64), got["w"].astype(np.int64), got["n"], got["p"])
+    pairs = Pairs(conf.pairs, got["u"].astype(np.int64) * conf.pairs + got["w"], got["n"])
 
     # Words: their weight and their backoff weight.
     back1 = two.groupBy("pre").agg(_log_ratio("p", "p1").alias("back"))
@@ -621,34 +640,34 @@ def fit(train: DataFrame, conf: Orders = Orders()) -> Model:
     of_head = _columns(one.join(F.broadcast(inside), "key").select("key", "back"))["back"]
 
     # Triples, and the backoff weights of pairs.
-    counts = _dealt(texts.mapInArrow(_grams(3, head, shards, pairs.keys), _MESSAGE), shards).mapInArrow(_counted_triples(head, pairs, conf), _THREE)
+    counts = _dealt(texts.mapInArrow(_grams(3, head, shards, pairs), _MESSAGE), shards).mapInArrow(_counted_triples(head, pairs, conf), _THREE)
     first3 = shared.stored(counts, "three")
     rest = shared.stored(first3.filter("p2 is null").drop("p2").join(two.select(col("key").alias("suf"), col("p").alias("p2")), "suf").select(*first3.columns), "rest")
     three = first3.filter("p2 is not null").unionByName(rest)
     back2 = shared.stored(three.groupBy("pre").agg(_log_ratio("p", "p2").alias("back")), "back2")
 
     # What a pair or triple changes against backing off at its place; a pair's backoff weight as well.
+    triples = shared.stored(three.join(back2, "pre").select("key", "suf", "n", "u", "v", "w", (F.log10("p") - col("back") - F.log10("p2")).alias("value")), "triples")
+    shared.drop(first3, rest)
     near = F.broadcast(spark.createDataFrame(pa.table({"pre": pa.array(words.view(np.int64)), "back1": pa.array(of_head)})))
     with_back1 = two.filter("n_pre is not null").join(near, "pre", "left")
     known = with_back1.filter("back1 is not null")
     other = with_back1.filter("back1 is null").drop("back1").join(one.select(col("key").alias("pre"), col("back").alias("back1")), "pre")
     valued = known.unionByName(other.select(*known.columns)).join(back2.withColumnRenamed("pre", "key"), "key", "left").withColumn("back", F.coalesce("back", F.lit(0.0)))
     valued = shared.stored(valued.select("key", "u", "w", "n", "back", (F.log10("p") - col("back1") - F.log10("p1") + col("back")).alias("value")), "pairs")
-    triples = shared.stored(three.join(back2, "pre").select("key", "suf", "n", "u", "v", "w", (F.log10("p") - col("back") - F.log10("p2")).alias("value")), "triples")
-    shared.drop(first, apart, first3, rest, back2)
+    shared.drop(first, apart, back2)
 
-    held = spark.createDataFrame(pa.table({"key": pa.array(pairs.keys.view(np.int64))}))
+    held = spark.createDataFrame(pa.table({"key": pa.array(pairs.ready(ready).keys.view(np.int64))}))
     back_of = _columns(valued.join(F.broadcast(held), "key").select("key", "back"))["back"]
     three_hot = _hot_triples(triples, pairs, conf)
-    by_rank = np.zeros(len(words))
-    by_rank[rank] = of_head
-    return Model(one, valued, triples, total, distinct, d1, shards, head, by_rank, pairs, back_of, three_hot, conf.pairs)
+    return Model(one, valued, triples, total, distinct, d1, shards, head, of_head[by_rank], pairs, back_of, three_hot)
 
 
 def _hot_triples(triples: DataFrame, pairs: Pairs, conf: Orders) -> dict[int, int]:
     """The 3-grams that tasks hold, by ranks; only beside both of their pairs."""
-    near = (pairs.u < conf.triples) & (pairs.w < conf.triples)
-    table = pa.table({"u": pa.array(pairs.u[near].astype(np.int32)), "v": pa.array(pairs.w[near].astype(np.int32))})
+    u, w = pairs.u, pairs.w
+    near = (u < conf.triples) & (w < conf.triples)
+    table = pa.table({"u": pa.array(u[near].astype(np.int32)), "v": pa.array(w[near].astype(np.int32))})
     known = F.broadcast(triples.sparkSession.createDataFrame(table))
     both = triples.filter("u is not null").join(known, ["u", "v"]).join(known.select(F.col("u").alias("v"), F.col("v").alias("w")), ["v", "w"]).select("u", "v", "w", "n")
     got = both.filter(F.col("n") >= _cutoff(both, conf.grams)).toArrow()
@@ -660,11 +679,12 @@ def _hot_triples(triples: DataFrame, pairs: Pairs, conf: Orders) -> dict[int, in
 _WORDS, _PAIRS, _TRIPLES, _ASK_WORDS, _ASK_PAIRS, _ASK_TRIPLES, _DOCUMENTS = range(7)
 
 
-def _table_messages(kind: int, shards: int, hot: np.ndarray):
+def _table_messages(kind: int, shards: int, head: Head | None, pairs: Pairs | None):
     """The model's rows to their shards: words and pairs by their key, triples by their last two words, or by themselves where these are hot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, parts, size = Finder(hot), [], 0
+        held = Finder(pairs.ready(head.ready()).keys) if pairs else None
+        parts, size = [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             if parts:
@@ -692,6 +712,26 @@ def _table_messages(kind: int, shards: int, hot: np.ndarray):
     return run
 
 
+@dataclass
+class _Scale:
+    """Tokens and distinct words of the training texts, what is taken off a word's count, and what is added for the base score."""
+
+    total: int
+    distinct: int
+    d1: float
+    smoothing: float
+
+    @property
+    def unknown(self) -> tuple[float, float]:
+        """log10 of an unknown word's base share and of its weight."""
+        share = self.d1 * self.distinct / self.total if self.total else 1.0
+        return float(np.log10(self.smoothing / self.whole)), float(np.log10(share))
+
+    @property
+    def whole(self) -> float:
+        return self.total + self.smoothing * (self.distinct + 1)
+
+
 @dataclass
 class _Part:
     """What every task needs of a model."""
@@ -702,29 +742,18 @@ class _Part:
     back2: np.ndarray
     three: np.ndarray
     n3: np.ndarray
-    total: int
-    distinct: int
-    d1: float
+    scale: _Scale
     shards: int
     conf: Orders
 
     def automaton(self) -> Automaton:
         """Of the hot part; its words are those of the least ranks, its pairs in the order of their ranks."""
-        n = min(self.conf.pairs, len(self.head.rank))
-        unigram = self.head.count[self.head.by_rank[:n]].astype(float)
-        key = self.hot.u * self.conf.pairs + self.hot.w
+        n = min(self.conf.pairs, len(self.head))
+        unigram = self.head.count[:n].astype(float)
+        hot = self.hot.ready(self.head.ready())
+        key = hot.code
         order = np.argsort(key)
-        return _built(unigram, key[order], self.hot.n[order].astype(float), self.three, self.n3, max(self.total, 1), self.d1, self.conf, (self.back, self.back2[order]))
-
-    @property
-    def unknown(self) -> tuple[float, float]:
-        """log10 of an unknown word's base share and of its weight."""
-        share = self.d1 * self.distinct / self.total if self.total else 1.0
-        return float(np.log10(self.conf.smoothing / self.whole)), float(np.log10(share))
-
-    @property
-    def whole(self) -> float:
-        return self.total + self.conf.smoothing * (self.distinct + 1)
+        return _built(unigram, key[order], hot.n[order].astype(float), self.three.astype(np.int64), self.n3.astype(float), max(self.scale.total, 1), self.scale.d1, self.conf, (self.back, self.back2[order]))
 
 
 def _traversed(part: _Part):
@@ -735,11 +764,11 @@ def _traversed(part: _Part):
 
         block, conf, shards = TaskContext.get().partitionId() << 32, part.conf, part.shards
         automaton, head = part.automaton(), part.head.ready()
-        count = head.count[head.by_rank]
-        base_of = np.log10((count + conf.smoothing) / part.whole)
-        rest_of = np.where(np.arange(len(count)) < conf.pairs, 0.0, np.log10((count - part.d1) / max(part.total, 1)) + part.back)
+        count = head.count
+        base_of = np.log10((count + conf.smoothing) / part.scale.whole)
+        rest_of = np.where(np.arange(len(count)) < conf.pairs, 0.0, np.log10((count - part.scale.d1) / max(part.scale.total, 1)) + part.back)
         end = int(head.ranks(np.array([END], np.uint64))[0]) if len(count) else -1
-        outside_base, outside = part.unknown
+        outside_base, outside = part.scale.unknown
         far = 1 << 30
         docs: list[tuple[np.ndarray, ...]] = []
         words: list[tuple[np.ndarray, ...]] = []
@@ -818,7 +847,7 @@ def _merged(kind: int, got: dict, shard: int, *types: type) -> list[np.ndarray]:
     return [x[order] for x in out]
 
 
-def _answers(part: _Part):
+def _answers(head: Head, scale: _Scale):
     """For each block, the documents that a shard of the model adds something to, and how much; documents pass through."""
 
     def finder(keys: np.ndarray):
@@ -832,14 +861,14 @@ def _answers(part: _Part):
         return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got, head = _held(batches), part.head.ready()
+        got, own = _held(batches), head.ready()
         for shard in sorted({s for s, _ in got}):
             words, word_value, word_n = _merged(_WORDS, got, shard, np.uint64, np.float64, np.int64)
             pairs, pair_value = _merged(_PAIRS, got, shard, np.uint64, np.float64)
             triples, triple_value = _merged(_TRIPLES, got, shard, np.uint64, np.float64)
             found_words, found_pairs, found_triples = finder(words), finder(pairs), finder(triples)
-            outside_base, outside = part.unknown
-            base_of = np.log10((word_n + part.conf.smoothing) / part.whole) - outside_base
+            outside_base, outside = scale.unknown
+            base_of = np.log10((word_n + scale.smoothing) / scale.whole) - outside_base
             for block, raw in got.get((shard, _DOCUMENTS), []):
                 yield _sent([(0, _DOCUMENTS, block, raw)])
             sums: dict[int, list[tuple[np.ndarray, ...]]] = {}
@@ -852,7 +881,7 @@ def _answers(part: _Part):
                     body, *outside_of = _unframed(raw)
                     *codes, doc = _received(body, np.uint32, np.uint32, np.uint32, np.uint32)
                     codes[0] = np.cumsum(codes[0], dtype=np.uint32)
-                    v, w, before = (head.received(c, *_received(x, np.uint64)) for c, x in zip(codes, outside_of, strict=True))
+                    v, w, before = (own.received(c, *_received(x, np.uint64)) for c, x in zip(codes, outside_of, strict=True))
                     key = pair_keys(v, w)
                     if kind == _ASK_PAIRS:
                         hit, at = found_pairs(key)
@@ -903,16 +932,16 @@ def scored(docs: DataFrame, model: Model, conf: Orders = Orders()) -> DataFrame:
     order when a part of it is computed anew, as a table does.
     """
     three = np.array(sorted(model.three), np.int64)
-    part = _Part(model.head, model.back, model.hot, model.back2, three, np.array([model.three[k] for k in three.tolist()], float), model.total, model.distinct, model.d1, model.shards, conf)
-    shards, hot = model.shards, model.hot.keys
-    tables = [table.mapInArrow(_table_messages(kind, shards, hot), _MESSAGE) for kind, table in ((_WORDS, model.words.select("key", "value", "n")), (_PAIRS, model.pairs.select("key", "value")), (_TRIPLES, model.triples.select("key", "suf", "value")))]
+    scale, shards = _Scale(model.total, model.distinct, model.d1, conf.smoothing), model.shards
+    part = _Part(model.head, model.back, model.hot, model.back2, _small(three), _small(np.array([model.three[k] for k in three.tolist()], np.int64)), scale, shards, conf)
+    tables = [table.mapInArrow(_table_messages(kind, shards, *((model.head, model.hot) if kind == _TRIPLES else (None, None))), _MESSAGE) for kind, table in ((_WORDS, model.words.select("key", "value", "n")), (_PAIRS, model.pairs.select("key", "value")), (_TRIPLES, model.triples.select("key", "suf", "value")))]
     own, out = shared.own_columns(docs, "doc_id", "text"), None
     for k in range(conf.rounds):
         some = own.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(conf.rounds)) == k)
         messages = some.mapInArrow(_traversed(part), _MESSAGE)
         for x in tables:
             messages = messages.unionByName(x)
-        answers = _dealt(messages, shards).mapInArrow(_answers(part), _MESSAGE)
+        answers = _dealt(messages, shards).mapInArrow(_answers(model.head, scale), _MESSAGE)
         done = shared.stored(answers.repartition("block").mapInArrow(_summed, _RESULT), "scores")
         out = done if out is None else out.unionByName(done)
     return out.select("doc_id", "n_tokens", "n_known", F.lit(int(model.total)).cast("long").alias("train_tokens"), "base_score", "score")
