@@ -27,8 +27,6 @@ def byte_table(members: bytes) -> np.ndarray:
 
 #: The separators of words: \x20 and \x09-\x0D.
 SPACE = byte_table(b" \t\n\x0b\x0c\r")
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -114,6 +112,13 @@ def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets, "left")
 
 
+def _lowered(data: np.ndarray) -> np.ndarray:
+    """A-Z lower-cased."""
+    out = (data - np.uint8(65) < np.uint8(26)).view(np.uint8) << np.uint8(5)
+    out += data
+    return out
+
+
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
     """64-bit content hashes of disjoint ascending byte ranges; an empty range hashes to a constant."""
     out = np.zeros(len(starts), dtype=np.uint64)
@@ -123,10 +128,10 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bo
         a, b = int(starts[lo]), int(ends[hi - 1])
         if b > a:
             power, inverse = _tables(b - a + 1)
-            part = data[a:b]
-            value = ((_LOWER[part] if lower else part).astype(np.uint64) + np.uint64(1)) * power[: b - a]
+            value = _lowered(data[a:b]) if lower else data[a:b]
             total = np.zeros(b - a + 1, dtype=np.uint64)
-            np.cumsum(value, out=total[1:])
+            # No byte of UTF-8 text is 255, so one more fits.
+            np.cumsum(np.multiply(value + np.uint8(1), power[: b - a]), out=total[1:])
             s, e = starts[lo:hi] - a, ends[lo:hi] - a
             out[lo:hi] = (total[e] - total[s]) * inverse[s]
         lo = hi

@@ -309,7 +309,10 @@ class _Stream:
 
 
 def _grams(order: int, head: Head, shards: int, pairs: Pairs | None = None):
-    """Messages with a task's distinct 2- or 3-grams and their counts; pairs: the hot ones."""
+    """Messages with a task's distinct 2- or 3-grams and their counts; pairs: the hot ones.
+
+    A triple goes to the shard of its first two words, those with a hot pair there (kind 1) to its own.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = head.ready()
@@ -329,15 +332,17 @@ def _grams(order: int, head: Head, shards: int, pairs: Pairs | None = None):
             gram, n = np.unique(gram, return_counts=True)
             mask = (1 << _CODE) - 1
             words = [gram >> (_CODE * k) & mask for k in range(order - 1, -1, -1)]
-            last = pair_keys(named[words[-2]], named[words[-1]])
+            by = pair_keys(named[words[-2]], named[words[-1]])
+            hot = np.zeros(len(by), np.int64)
             if order == 3:
                 pre = pair_keys(named[words[0]], named[words[1]])
-                last = np.where(held(pre) >= 0, triple_keys(named[words[0]], last), pre)
+                hot = (held(pre) >= 0).astype(np.int64)
+                by = np.where(hot, triple_keys(named[words[0]], by), pre)
             rows = []
-            for shard, at in _by_shard((last % np.uint64(shards)).astype(np.int64), shards):
+            for k, at in _by_shard((by % np.uint64(shards)).astype(np.int64) * 2 + hot, 2 * shards):
                 sent = [own.sent(w[at], named) for w in words]
                 steps = np.diff(sent[0][0], prepend=np.uint32(0))
-                rows.append((shard, 0, len(at), b"".join(_framed(_message(n[at].astype(np.uint32), steps, *(c for c, _ in sent[1:])), *(_message(x) for _, x in sent)))))
+                rows.append((k // 2, k % 2, len(at), b"".join(_framed(_message(n[at].astype(np.uint32), steps, *(c for c, _ in sent[1:])), *(_message(x) for _, x in sent)))))
             if rows:
                 yield _sent(rows)
 
@@ -418,17 +423,21 @@ def _counted_triples(head: Head, pairs: Pairs, conf: Orders):
         own = head.ready()
         hot_pairs = pairs.ready(own)
         find = Finder(hot_pairs.keys)
-        for _, got in sorted(_held(batches).items()):
+        for (_, hot), got in sorted(_held(batches).items()):
             n, (u, v, w) = _gathered(3, own, got)
-            pre, suf = pair_keys(u, v), pair_keys(v, w)
-            hot = find(pre)
-            by = np.argsort(pre)
-            new = np.concatenate([[True], pre[by][1:] != pre[by][:-1]])[: len(by)]
-            total = np.empty(len(n), np.int64)
-            total[by] = np.add.reduceat(n[by], np.flatnonzero(new))[np.cumsum(new) - 1] if len(by) else n
-            total = np.where(hot >= 0, hot_pairs.n[hot] if len(hot_pairs.n) else 0, total)
             keep = n >= conf.least
-            u, v, w, n, pre, suf, total = (x[keep] for x in (u, v, w, n, pre, suf, total))
+            if hot:
+                u, v, w, n = u[keep], v[keep], w[keep], n[keep]
+                pre = pair_keys(u, v)
+                total = hot_pairs.n[find(pre)]
+            else:
+                pre = pair_keys(u, v)
+                by = np.argsort(pre)
+                new = np.concatenate([[True], pre[by][1:] != pre[by][:-1]])[: len(by)]
+                total = np.empty(len(n), np.int64)
+                total[by] = np.add.reduceat(n[by], np.flatnonzero(new))[np.cumsum(new) - 1] if len(by) else n
+                u, v, w, n, pre, total = (x[keep] for x in (u, v, w, n, pre, total))
+            suf = pair_keys(v, w)
             last = find(suf)
             ranks = [own.ranks(x) for x in (u, v, w)]
             inside = np.all([(r >= 0) & (r < conf.triples) for r in ranks], axis=0)
@@ -554,9 +563,7 @@ def _built(unigram: np.ndarray, two: np.ndarray, n2: np.ndarray, three: np.ndarr
 
 @dataclass
 class Model:
-    words: DataFrame  # key, n, value: every training word's count and weight, stored
-    pairs: DataFrame  # key, value: the weight that each kept 2-gram adds, stored
-    triples: DataFrame  # key, suf, value: the same of each kept 3-gram, stored
+    table: DataFrame  # messages to the shards with what each word outside the head and each kept 2- and 3-gram adds, stored
     total: int
     distinct: int
     d1: float
@@ -646,21 +653,27 @@ def fit(train: DataFrame, conf: Orders = Orders()) -> Model:
     three = first3.filter("p2 is not null").unionByName(rest)
     back2 = shared.stored(three.groupBy("pre").agg(_log_ratio("p", "p2").alias("back")), "back2")
 
-    # What a pair or triple changes against backing off at its place; a pair's backoff weight as well.
-    triples = shared.stored(three.join(back2, "pre").select("key", "suf", "n", "u", "v", "w", (F.log10("p") - col("back") - F.log10("p2")).alias("value")), "triples")
-    shared.drop(first3, rest)
+    # What a word, pair or triple adds: pairs and triples what they change against backing off at their place; words and pairs their backoff weight as well.
+    triples = three.join(back2, "pre").select("key", "suf", (F.log10("p") - col("back") - F.log10("p2")).alias("value"))
     near = F.broadcast(spark.createDataFrame(pa.table({"pre": pa.array(words.view(np.int64)), "back1": pa.array(of_head)})))
     with_back1 = two.filter("n_pre is not null").join(near, "pre", "left")
     known = with_back1.filter("back1 is not null")
     other = with_back1.filter("back1 is null").drop("back1").join(one.select(col("key").alias("pre"), col("back").alias("back1")), "pre")
-    valued = known.unionByName(other.select(*known.columns)).join(back2.withColumnRenamed("pre", "key"), "key", "left").withColumn("back", F.coalesce("back", F.lit(0.0)))
-    valued = shared.stored(valued.select("key", "u", "w", "n", "back", (F.log10("p") - col("back1") - F.log10("p1") + col("back")).alias("value")), "pairs")
-    shared.drop(first, apart, back2)
-
-    held = spark.createDataFrame(pa.table({"key": pa.array(pairs.ready(ready).keys.view(np.int64))}))
-    back_of = _columns(valued.join(F.broadcast(held), "key").select("key", "back"))["back"]
-    three_hot = _hot_triples(triples, pairs, conf)
-    return Model(one, valued, triples, total, distinct, d1, shards, head, of_head[by_rank], pairs, back_of, three_hot)
+    valued = known.unionByName(other.select(*known.columns)).join(back2.withColumnRenamed("pre", "key"), "key", "left")
+    valued = valued.select("key", (F.log10("p") - col("back1") - F.log10("p1") + F.coalesce("back", F.lit(0.0))).alias("value"))
+    outside = one.join(F.broadcast(inside), "key", "left_anti").select("key", "value", "n")
+    parts = [df.mapInArrow(_table_messages(kind, shards, *((head, pairs) if kind == _TRIPLES else (None, None))), _MESSAGE) for kind, df in ((_WORDS, outside), (_PAIRS, valued), (_TRIPLES, triples))]
+    stored = [shared.stored(p, "model") for p in parts]
+    table = stored[0].unionByName(stored[1]).unionByName(stored[2])
+
+    keys = pairs.ready(ready).keys
+    held = spark.createDataFrame(pa.table({"key": pa.array(keys.view(np.int64))}))
+    got = _columns(back2.withColumnRenamed("pre", "key").join(F.broadcast(held), "key"))
+    back_of = np.zeros(len(keys))
+    back_of[np.searchsorted(keys, got["key"].view(np.uint64))] = got["back"]
+    three_hot = _hot_triples(first3, pairs, conf)
+    shared.drop(first, apart, first3, rest, back2, one)
+    return Model(table, total, distinct, d1, shards, head, of_head[by_rank], pairs, back_of, three_hot)
 
 
 def _hot_triples(triples: DataFrame, pairs: Pairs, conf: Orders) -> dict[int, int]:
@@ -934,13 +947,10 @@ def scored(docs: DataFrame, model: Model, conf: Orders = Orders()) -> DataFrame:
     three = np.array(sorted(model.three), np.int64)
     scale, shards = _Scale(model.total, model.distinct, model.d1, conf.smoothing), model.shards
     part = _Part(model.head, model.back, model.hot, model.back2, _small(three), _small(np.array([model.three[k] for k in three.tolist()], np.int64)), scale, shards, conf)
-    tables = [table.mapInArrow(_table_messages(kind, shards, *((model.head, model.hot) if kind == _TRIPLES else (None, None))), _MESSAGE) for kind, table in ((_WORDS, model.words.select("key", "value", "n")), (_PAIRS, model.pairs.select("key", "value")), (_TRIPLES, model.triples.select("key", "suf", "value")))]
     own, out = shared.own_columns(docs, "doc_id", "text"), None
     for k in range(conf.rounds):
         some = own.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(conf.rounds)) == k)
-        messages = some.mapInArrow(_traversed(part), _MESSAGE)
-        for x in tables:
-            messages = messages.unionByName(x)
+        messages = some.mapInArrow(_traversed(part), _MESSAGE).unionByName(model.table)
         answers = _dealt(messages, shards).mapInArrow(_answers(model.head, scale), _MESSAGE)
         done = shared.stored(answers.repartition("block").mapInArrow(_summed, _RESULT), "scores")
         out = done if out is None else out.unionByName(done)

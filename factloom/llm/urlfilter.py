@@ -14,6 +14,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import shared
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (host/path, verdict)
 STATED = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
@@ -119,13 +121,17 @@ def judge(pages: DataFrame, labels: DataFrame, conf: Mining = Mining(), rules: t
     Rules are mined from the pages that a stated rule decides, with its verdict
     as label, and from others that ``labels`` (page_id, label) names.  A null
     url, or one without ``://``, has empty host and path and takes
-    ``conf.otherwise``.  Null ids match no label.  Repeated rows get equal
-    results; an empty table gives no rows.
+    ``conf.otherwise``.  Null ids match no label; of labels that disagree on a
+    page, the last by name counts, block before allow.  Repeated rows get equal
+    results, rows with one id are judged by their own url; urls of any length
+    are read whole, further columns not at all.  An empty table gives no rows.
     """
     rule, verdict = stated(rules)
     base = pages.select(pages["page_id"], pages["url"]).withColumn("host", host()).withColumn("path", path()).withColumn("rule", rule).withColumn("stated", verdict)
     base = base.withColumn("items", tokens()).withColumn("key", F.xxhash64("host", F.array_join("items", " ")))
-    named = labels.select(F.col("page_id").alias("_id"), F.col("label").alias("_label")).filter("_label is not null").dropDuplicates(["_id"])
+    # Mining, matching and the verdicts read what was made of the urls once.
+    base = shared.stored(base.drop("url"), "urls")
+    named = labels.select(F.col("page_id").alias("_id"), F.col("label").alias("_label")).filter("_label is not null").groupBy("_id").agg(F.max("_label").alias("_label"))
     known = base.join(named, F.col("page_id") == F.col("_id"), "left").select("items", F.coalesce("stated", "_label").alias("label")).filter("label is not null and size(items) > 0")
     mined = mine(known, conf)
     # Pages with the same tokens are matched once.

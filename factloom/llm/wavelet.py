@@ -2,12 +2,15 @@
 
 The bits of all ids of a shard are kept as succinct planes, the highest bit
 first; each plane's order is the stable partition of the one above by its
-bit.  Sampled ranks make access, counting and occurrence lookup work on the
-planes themselves.
+bit.  A plane is compressed in blocks.  A directory holds each block's place
+and the set bits before it, which serves rank and select: access, counting and
+occurrence lookup read the directory and the blocks that they touch, nothing
+else.
 """
 
 from __future__ import annotations
 
+import mmap
 import struct
 from collections.abc import Iterator
 
@@ -19,70 +22,128 @@ from pyspark.sql import functions as F
 
 from . import kernel, ranges, shared, tokens
 
-_MAGIC = b"FLWM0001"
-_STEP = 512  # bits between two rank samples
+_MAGIC = b"FLWM0002"
+_HEAD = struct.Struct("<8sQI")
+#: Bits of a block; decompressed blocks that a reader keeps.
+BLOCK, KEPT = 1 << 16, 256
 #: A shard is closed at this many ids.
 SHARD_TOKENS = 1 << 22
 
 
 class WaveletMatrix:
-    def __init__(self, n: int, planes: list[np.ndarray], zeros: list[int], samples: list[np.ndarray]):
-        self.n, self.planes, self.zeros, self.samples = n, planes, zeros, samples
+    """A matrix over its file's bytes (bytes or a memory map), read block by block; ``touched``: compressed bytes of blocks read so far."""
+
+    def __init__(self, raw):
+        self.raw, self.touched = raw, 0
+        magic, self.n, self.levels = _HEAD.unpack_from(raw, 0)
+        if magic != _MAGIC:
+            raise ValueError("not a wavelet shard")
+        at, m, blocks = _HEAD.size, self.levels, -(-self.n // BLOCK)
+        self.zeros = np.frombuffer(raw, np.uint64, m, at).astype(np.int64)
+        at += 8 * m
+        #: Set bits of each plane before each block; places of the blocks' bytes.
+        self.before = np.frombuffer(raw, np.uint64, m * (blocks + 1), at).reshape(m, blocks + 1).astype(np.int64)
+        at += 8 * m * (blocks + 1)
+        self.place = np.frombuffer(raw, np.uint64, m * blocks + 1, at).astype(np.int64) + at + 8 * (m * blocks + 1)
+        self.blocks = blocks
+        self._kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self._open = zstandard.ZstdDecompressor()
 
     @classmethod
     def build(cls, values: np.ndarray) -> WaveletMatrix:
         values = np.asarray(values)
-        n = len(values)
-        most = int(values.max(initial=0))
+        n, most, width = len(values), int(values.max(initial=0)), BLOCK // 8
         now = values.astype(np.uint16 if most < 1 << 16 else np.uint32)
-        planes, zeros, samples = [], [], []
+        squeeze = zstandard.ZstdCompressor(level=1)
+        zeros, before, body = [], [], []
         for level in reversed(range(max(1, most.bit_length()))):
             bit = (now >> now.dtype.type(level) & now.dtype.type(1)).astype(bool)
             low = now.compress(~bit)
-            planes.append(np.packbits(bit, bitorder="little"))
+            plane = np.packbits(bit, bitorder="little")
+            starts = range(0, len(plane), width)
+            before.append(np.concatenate([[0], np.cumsum([int(np.bitwise_count(plane[s : s + width]).sum()) for s in starts])]).astype(np.uint64))
+            body += [squeeze.compress(plane[s : s + width].tobytes()) for s in starts]
             zeros.append(len(low))
-            samples.append(cls._sampled(planes[-1], n))
             now = np.concatenate([low, now.compress(bit)])
-        return cls(n, planes, zeros, samples)
+        place = np.concatenate([[0], np.cumsum([len(x) for x in body])]).astype(np.uint64)
+        return cls(b"".join([_HEAD.pack(_MAGIC, n, len(zeros)), np.array(zeros, np.uint64).tobytes(), *(x.tobytes() for x in before), place.tobytes(), *body]))
 
-    @staticmethod
-    def _sampled(plane: np.ndarray, n: int) -> np.ndarray:
-        padded = np.zeros(-(-max(n, 1) // _STEP) * (_STEP // 8), np.uint8)
-        padded[: len(plane)] = plane
-        per = np.bitwise_count(padded).reshape(-1, _STEP // 8).sum(axis=1, dtype=np.uint32)
-        return np.concatenate([[0], np.cumsum(per)]).astype(np.uint32)
+    @classmethod
+    def from_bytes(cls, raw: bytes) -> WaveletMatrix:
+        return cls(raw)
+
+    @classmethod
+    def open(cls, path: str) -> WaveletMatrix:
+        """A file that holds :meth:`to_bytes`, mapped: only what is touched is read."""
+        with open(path, "rb") as f:
+            return cls(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
+
+    def to_bytes(self) -> bytes:
+        return bytes(self.raw)
+
+    def _block(self, level: int, block: int) -> tuple[np.ndarray, np.ndarray]:
+        """A block's bytes, and the set bits before each of them."""
+        k = level * self.blocks + block
+        held = self._kept.get(k)
+        if held is None:
+            a, b = int(self.place[k]), int(self.place[k + 1])
+            self.touched += b - a
+            bits = np.frombuffer(self._open.decompress(bytes(self.raw[a:b])), np.uint8)
+            held = bits, np.concatenate([[0], np.cumsum(np.bitwise_count(bits), dtype=np.int64)])
+            if len(self._kept) >= KEPT:
+                self._kept.pop(next(iter(self._kept)))
+            self._kept[k] = held
+        return held
+
+    def _each_block(self, of: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        order = np.argsort(of, kind="stable")
+        cuts = np.flatnonzero(np.concatenate([[True], of[order][1:] != of[order][:-1]])[: len(of)])
+        for a, b in zip(cuts, [*cuts[1:], len(of)], strict=True):
+            yield int(of[order[a]]), order[a:b]
 
     def _ones(self, level: int, at: np.ndarray) -> np.ndarray:
         """Set bits before each position of a plane."""
-        at = np.asarray(at, np.int64)
-        block = at // _STEP
-        plane, width = self.planes[level], _STEP // 8
-        column = block[:, None] * width + np.arange(width)
-        bytes_of = plane[np.minimum(column, len(plane) - 1)] if len(plane) else np.zeros(column.shape, np.uint8)
-        left = np.clip(at[:, None] - column * 8, 0, 8)
-        masked = bytes_of & ((np.uint16(1) << left.astype(np.uint16)) - 1).astype(np.uint8)
-        return self.samples[level][block].astype(np.int64) + np.bitwise_count(masked).sum(axis=1, dtype=np.int64)
+        out = np.empty(len(at), np.int64)
+        for block, which in self._each_block(at // BLOCK):
+            out[which] = self.before[level][block]
+            if block < self.blocks:
+                bits, upto = self._block(level, block)
+                inside = at[which] - block * BLOCK
+                byte = inside >> 3
+                masked = bits[np.minimum(byte, len(bits) - 1)] & ((1 << (inside & 7)) - 1).astype(np.uint8)
+                out[which] += upto[byte] + np.where(byte < len(bits), np.bitwise_count(masked), 0)
+        return out
+
+    def _places(self, level: int, one: int, k: np.ndarray) -> np.ndarray:
+        """Where a plane has its k-th (from 0) set or unset bits: the directory finds the block, the block the bit."""
+        starts = self.before[level] if one else np.minimum(np.arange(self.blocks + 1) * BLOCK, self.n) - self.before[level]
+        out = np.empty(len(k), np.int64)
+        for block, which in self._each_block(np.searchsorted(starts, k, "right") - 1):
+            bits, _ = self._block(level, block)
+            here = np.flatnonzero(np.unpackbits(bits, bitorder="little", count=min(BLOCK, self.n - block * BLOCK)) == one)
+            out[which] = block * BLOCK + here[k[which] - starts[block]]
+        return out
 
     def access(self, at) -> np.ndarray:
         """The ids at the given positions."""
         at = np.atleast_1d(np.asarray(at, np.int64))
         out = np.zeros(len(at), np.int64)
-        for level, plane in enumerate(self.planes):
-            bit = plane[at >> 3] >> (at & 7).astype(np.uint8) & 1
+        for level in range(self.levels):
             ones = self._ones(level, at)
+            bit = self._ones(level, at + 1) - ones
             at = np.where(bit == 1, self.zeros[level] + ones, at - ones)
             out = out << 1 | bit
         return out
 
     def _range(self, symbol: int, lo: int, hi: int) -> tuple[int, int]:
-        if symbol >> len(self.planes):
+        if symbol >> self.levels or not self.n:
             return 0, 0
-        for level in range(len(self.planes)):
-            a, b = self._ones(level, np.array([lo, hi]))
-            if symbol >> (len(self.planes) - 1 - level) & 1:
-                lo, hi = self.zeros[level] + int(a), self.zeros[level] + int(b)
+        for level in range(self.levels):
+            a, b = self._ones(level, np.array([lo, hi])).tolist()
+            if symbol >> (self.levels - 1 - level) & 1:
+                lo, hi = int(self.zeros[level]) + a, int(self.zeros[level]) + b
             else:
-                lo, hi = lo - int(a), hi - int(b)
+                lo, hi = lo - a, hi - b
         return lo, hi
 
     def count(self, symbol: int, lo: int = 0, hi: int | None = None) -> int:
@@ -92,56 +153,39 @@ class WaveletMatrix:
 
     rank = count
 
+    def _up(self, symbol: int, at: np.ndarray) -> np.ndarray:
+        """From places in the order below the last plane to positions in the shard, a plane at a time for all of them."""
+        for level in reversed(range(self.levels)):
+            one = symbol >> (self.levels - 1 - level) & 1
+            at = self._places(level, one, at - self.zeros[level] if one else at)
+        return at
+
     def select(self, symbol: int, k: int) -> int:
         """Position of the k-th occurrence (from 0); ValueError if there are fewer."""
         a, b = self._range(symbol, 0, self.n)
         if not 0 <= k < b - a:
             raise ValueError(f"{symbol} occurs {b - a} times")
-        at = a + k
-        for level in reversed(range(len(self.planes))):
-            one = symbol >> (len(self.planes) - 1 - level) & 1
-            wanted = at - self.zeros[level] if one else at
-            lo, hi = 0, self.n
-            while lo < hi:
-                mid = (lo + hi) // 2
-                ones = int(self._ones(level, np.array([mid + 1]))[0])
-                if (ones if one else mid + 1 - ones) > wanted:
-                    hi = mid
-                else:
-                    lo = mid + 1
-            at = lo
-        return at
+        return int(self._up(symbol, np.array([a + k]))[0])
 
     def occurrences(self, symbol: int) -> list[int]:
-        return [self.select(symbol, k) for k in range(self.count(symbol))]
+        a, b = self._range(symbol, 0, self.n)
+        return self._up(symbol, np.arange(a, b)).tolist() if b > a else []
+
+    def _plane(self, level: int) -> np.ndarray:
+        parts = [self._open.decompress(bytes(self.raw[int(self.place[k]) : int(self.place[k + 1])])) for k in range(level * self.blocks, (level + 1) * self.blocks)]
+        return np.unpackbits(np.frombuffer(b"".join(parts), np.uint8), count=self.n, bitorder="little").view(bool)
 
     def values(self) -> np.ndarray:
         """All ids in order, by undoing the partitions from the last plane up."""
         now = np.zeros(self.n, np.uint32)
-        for up, level in enumerate(reversed(range(len(self.planes)))):
-            bit = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
+        for up, level in enumerate(reversed(range(self.levels))):
+            bit, zeros = self._plane(level), int(self.zeros[level])
             above = np.empty_like(now)
-            above[np.flatnonzero(~bit)] = now[: self.zeros[level]]
-            above[np.flatnonzero(bit)] = now[self.zeros[level] :] | np.uint32(1 << up)
+            above[np.flatnonzero(~bit)] = now[:zeros]
+            above[np.flatnonzero(bit)] = now[zeros:] | np.uint32(1 << up)
             now = above
         return now
 
-    def to_bytes(self) -> bytes:
-        body = b"".join(p.tobytes() for p in self.planes) + b"".join(s.tobytes() for s in self.samples)
-        return _MAGIC + struct.pack(f"<QI{len(self.planes)}Q", self.n, len(self.planes), *self.zeros) + zstandard.ZstdCompressor(level=1).compress(body)
-
-    @classmethod
-    def from_bytes(cls, raw: bytes) -> WaveletMatrix:
-        if raw[:8] != _MAGIC:
-            raise ValueError("not a wavelet shard")
-        n, m = struct.unpack_from("<QI", raw, 8)
-        zeros = list(struct.unpack_from(f"<{m}Q", raw, 20))
-        body = zstandard.ZstdDecompressor().decompress(raw[20 + 8 * m :])
-        width, many = -(-n // 8), -(-max(n, 1) // _STEP) + 1
-        planes = [np.frombuffer(body, np.uint8, width, i * width) for i in range(m)]
-        samples = [np.frombuffer(body, np.uint32, many, m * width + 4 * i * many) for i in range(m)]
-        return cls(n, planes, zeros, samples)
-
 
 _SHARD = "range int, part int, before long, n_tokens long, doc_ids array<long>, lengths array<long>, shard binary"
 
@@ -210,12 +254,63 @@ def _read(first: dict[int, int]):
     return run
 
 
-def read(spark: SparkSession, where: str) -> DataFrame:
-    """(doc_id, start, ids) of every document in the shards of a folder: start counts the ids of all documents
-    before it, ids are little-endian unsigned 32-bit.  An empty folder of shards gives no rows."""
-    shards = spark.read.schema(_SHARD).parquet(where)
+def _starts(shards: DataFrame) -> dict[int, int]:
+    """The ids before each range."""
     per = {r["range"]: r["n"] for r in shards.groupBy("range").agg(F.sum("n_tokens").alias("n")).collect()}
     first, total = {}, 0
     for r in sorted(per):
         first[r], total = total, total + per[r]
-    return shards.select("range", "before", "doc_ids", "lengths", "shard").mapInArrow(_read(first), "doc_id long, start long, ids binary")
+    return first
+
+
+def read(spark: SparkSession, where: str) -> DataFrame:
+    """(doc_id, start, ids) of every document in the shards of a folder: start counts the ids of all documents
+    before it, ids are little-endian unsigned 32-bit.  An empty folder of shards gives no rows."""
+    shards = spark.read.schema(_SHARD).parquet(where)
+    return shards.select("range", "before", "doc_ids", "lengths", "shard").mapInArrow(_read(_starts(shards)), "doc_id long, start long, ids binary")
+
+
+def counts(spark: SparkSession, where: str, symbols: list[int]) -> DataFrame:
+    """(id, n): how often each of a few ids occurs in the shards of a folder.  A shard's directory and a few blocks are read for each id."""
+    shards = spark.read.schema(_SHARD).parquet(where).select("shard")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for raw in batch["shard"]:
+                matrix = WaveletMatrix(raw.as_buffer().to_pybytes())
+                yield pa.RecordBatch.from_arrays([pa.array(symbols, pa.int64()), pa.array([matrix.count(s) for s in symbols], pa.int64())], names=["id", "n"])
+
+    return shards.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+
+
+def occurrences(spark: SparkSession, where: str, symbols: list[int]) -> DataFrame:
+    """(id, doc_id, at): every place of a few ids, ``at`` counted from its document's first id."""
+    shards = spark.read.schema(_SHARD).parquet(where).select("doc_ids", "lengths", "shard")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for names, lengths, raw in zip(batch["doc_ids"], batch["lengths"], batch["shard"], strict=True):
+                matrix, ends = WaveletMatrix(raw.as_buffer().to_pybytes()), np.cumsum(lengths.values.to_numpy())
+                for s in symbols:
+                    at = np.array(matrix.occurrences(s), np.int64)
+                    doc = np.searchsorted(ends, at, "right")
+                    inside = at - np.where(doc > 0, ends[np.maximum(doc - 1, 0)], 0)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), s)), names.values.take(pa.array(doc)), pa.array(inside)], names=["id", "doc_id", "at"])
+
+    return shards.mapInArrow(run, "id long, doc_id long, at long")
+
+
+def at_positions(spark: SparkSession, where: str, positions: list[int]) -> DataFrame:
+    """(position, id) of a few positions, counted over all documents of a folder; those beyond the end have no row."""
+    shards = spark.read.schema(_SHARD).parquet(where)
+    first, wanted = _starts(shards), np.array(sorted(set(positions)), np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for place, before, n, raw in zip(batch["range"].to_pylist(), batch["before"].to_pylist(), batch["n_tokens"].to_pylist(), batch["shard"], strict=True):
+                lo = first[place] + before
+                mine = wanted[(wanted >= lo) & (wanted < lo + n)]
+                if len(mine):
+                    yield pa.RecordBatch.from_arrays([pa.array(mine), pa.array(WaveletMatrix(raw.as_buffer().to_pybytes()).access(mine - lo))], names=["position", "id"])
+
+    return shards.select("range", "before", "n_tokens", "shard").mapInArrow(run, "position long, id long")

@@ -568,3 +568,177 @@ def test_lines_are_removed_exactly(docs, texts):
     for r in linededup.dedup(docs).collect():
         worded = {k for k, x in enumerate(brute[r["doc_id"]][0]) if words(x)}
         assert {k for s in r["removed"] for k in range(s["lo"], s["hi"] + 1)} & worded == brute[r["doc_id"]][1]
+
+
+def test_lookups_on_shard_files(spark, docs, texts, tmp_path):
+    where = str(tmp_path / "shards")
+    wavelet.write(docs, where, queries.tokenizer("word_bpe_49k.json"))
+    t = library("word_bpe_49k.json")
+    ids = {i: [*t.encode(texts[i], add_special_tokens=False).ids, 1] for i in sorted(texts)}
+    flat = np.concatenate([ids[i] for i in sorted(ids)])
+    asked = [1, int(flat[0]), int(flat[777]), 49_000, 1 << 20]
+    assert dict(wavelet.counts(spark, where, asked).collect()) == {s: int((flat == s).sum()) for s in asked}
+    places = [0, 5, len(flat) // 2, len(flat) - 1, len(flat) + 9]
+    assert dict(wavelet.at_positions(spark, where, places).collect()) == {p: int(flat[p]) for p in places[:-1]}
+    rare = asked[2]
+    got = sorted((r["doc_id"], r["at"]) for r in wavelet.occurrences(spark, where, [rare]).collect())
+    assert got == [(i, k) for i in sorted(ids) for k, x in enumerate(ids[i]) if x == rare]
+
+
+def test_lookups_read_little_of_a_file(tmp_path):
+    rng = np.random.default_rng(0)
+    v = (rng.zipf(1.3, 3_000_000) % 49_000).astype(np.uint32)
+    (tmp_path / "s").write_bytes(wavelet.WaveletMatrix.build(v).to_bytes())
+    size = (tmp_path / "s").stat().st_size
+    m = wavelet.WaveletMatrix.open(str(tmp_path / "s"))
+    assert m.access([123_456, 2_999_999]).tolist() == v[[123_456, 2_999_999]].tolist() and m.touched < size / 10
+    m = wavelet.WaveletMatrix.open(str(tmp_path / "s"))
+    assert m.count(17) == (v == 17).sum() and m.touched < size / 10
+    rare = int(v[1_000_000])
+    assert m.occurrences(rare) == np.flatnonzero(v == rare).tolist() and m.select(rare, 0) == int(np.flatnonzero(v == rare)[0])
+    assert (m.values() == v).all()
+    with pytest.raises(ValueError):
+        m.select(rare, 1 << 40)
+
+
+def test_url_rules_against_brute_force(spark):
+    """Every mined rule, with its confidence and support, against all combinations of the tokens."""
+    import itertools
+
+    rng = np.random.default_rng(8)
+    rows = [(sorted({f"t{x}" for x in rng.integers(0, 7, 4)}), str(rng.choice(["allow", "block"], p=[0.7, 0.3]))) for _ in range(120)]
+    rows = [(i, "block" if {"t1", "t2"} <= set(i) else y) for i, y in rows]
+    conf = urlfilter.Mining(support=0.05, confidence=0.7)
+    want = {}
+    for size in range(1, 5):
+        for items in itertools.combinations([f"t{x}" for x in range(7)], size):
+            hit = [y for i, y in rows if set(items) <= set(i)]
+            for label in ("allow", "block"):
+                n = hit.count(label)
+                if hit and n / len(rows) >= conf.support and n / len(hit) >= conf.confidence and not any(set(o) < set(items) and y == label and c >= n / len(hit) - 1e-12 for (o, y), (c, _) in want.items()):
+                    want[items, label] = (n / len(hit), n / len(rows))
+    got = {(tuple(r["items"]), r["label"]): (r["confidence"], r["support"]) for r in urlfilter.mine(spark.createDataFrame(rows, "items array<string>, label string"), conf).collect()}
+    assert set(got) == set(want) and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_labels_that_disagree(spark):
+    pages = spark.createDataFrame([(i, f"http://a{i % 2}.com/x") for i in range(40)] + [(0, "http://a1.com/x"), (None, None)], "page_id bigint, url string")
+    labels = spark.createDataFrame([(i, x) for i in range(0, 40, 2) for x in ("allow", "block")] + [(i, "allow") for i in range(1, 40, 2)], "page_id bigint, label string")
+    got = urlfilter.judge(pages, labels.repartition(3)).collect()
+    assert {(r["host"], r["verdict"]) for r in got} == {("a0.com", "block"), ("a1.com", "allow"), ("", "allow")} and len(got) == 42
+
+
+def test_noisy_or_against_brute_force(spark):
+    """A document's score: one less the leak's and every sentence's chance to be clean."""
+    rng = np.random.default_rng(6)
+    made = [(i, ". ".join(" ".join(f"w{x}" for x in rng.integers(0, 60, 6)) for _ in range(5)) + ("! vile" if i % 4 == 0 else "")) for i in range(200)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in made], "doc_id bigint, toxic int")
+    frame = table(spark, [*made, (900, None), (901, "  "), (None, made[0][1]), (902, "vile. " * 400_000)])
+    model = toxicity.fit(frame, labels)
+    conf = toxicity.Bags()
+    import pyarrow as pa
+
+    def bucket(word):
+        _, _, data, offsets = next(kernel.blocks(pa.array([word])))
+        return int(kernel.Words(data, offsets, lower=True, inside=toxicity._WORD[data]).hash[0] % np.uint64(conf.buckets))
+
+    for r in toxicity.score(frame, model, carry=("doc_id", "text")).collect():
+        clean = 1 - model.leak
+        sentences = [s for s in re.split(r"[.!?\n]", r["text"] or "") if s] if r["doc_id"] != 902 else ["vile", " vile"]
+        for s in sentences:
+            z = model.bias + sum(float(model.weight[b]) for b in {bucket(w) for w in re.findall(r"[0-9A-Za-z]+", s)})
+            clean *= 1 - min(1 / (1 + math.exp(-max(-30, min(30, z)))), 1 - 1e-6)
+        if r["doc_id"] == 902:
+            assert r["score"] == 1 and r["n_sentences"] >= 400_000 and len(r["offending"]) >= 400_000
+        else:
+            assert r["score"] == pytest.approx(1 - clean, abs=1e-9)
+
+
+def test_quality_ratio_against_brute_force(spark):
+    rng = np.random.default_rng(11)
+    made = [(i, " ".join(f"w{x}" for x in rng.integers(0, 30 + 30 * (i % 2), 70))) for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 2 == 0), 0) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    conf = quality.Ratio()
+    frame = table(spark, made)
+    import pyarrow as pa
+
+    def buckets(text):
+        _, _, data, offsets = next(kernel.blocks(pa.array([text])))
+        return quality.grams(kernel.Words(data, offsets), conf.buckets)[0].tolist()
+
+    fold = {r["doc_id"]: 1 + r["f"] for r in frame.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int").alias("f")).collect() if r["doc_id"] < 40 and r["doc_id"] % 2 == 0}
+    raw, good = collections.Counter(), {1: collections.Counter(), 2: collections.Counter()}
+    for i, t in made:
+        raw.update(buckets(t))
+        if i in fold:
+            good[fold[i]].update(buckets(t))
+
+    def score(text, counts):
+        total, every = sum(counts.values()), sum(raw.values())
+        own = [math.log((counts[b] + conf.prior) / (raw[b] * total / every + conf.prior)) for b in buckets(text)]
+        return sum(own) / max(len(own), 1)
+
+    got = {r["doc_id"]: r for r in quality.judge(frame, labels).collect()}
+    assert all(got[i]["score"] == pytest.approx(score(t, good[1] + good[2]), abs=1e-9) for i, t in made)
+    known = sorted(math.floor(score(t, good[3 - fold[i]]) / conf.grain) for i, t in made if i in fold and not got[i]["base_failed"])
+    least = known[int(conf.spare * len(known))] * conf.grain
+    assert all(got[i]["kept"] == (not got[i]["base_failed"] and got[i]["score"] >= least) for i in got)
+
+
+def test_digest_against_brute_force():
+    conf = fingerprint.Digest()
+
+    def brute(data):
+        counts = [0] * 256
+        padded = data + bytes(4)
+        for at in range(len(data)):
+            for salt, (i, j, k) in enumerate(fingerprint._TRIPLETS):
+                x = padded[at + i] | padded[at + j] << 8 | padded[at + k] << 16
+                x = x * 0x9E3779B1 & 0xFFFFFFFF
+                x ^= 0x3C6EF372 * (salt + 1) & 0xFFFFFFFF
+                x ^= x >> 15
+                x = x * 0x85EBCA77 & 0xFFFFFFFF
+                counts[x >> 24] += 1
+        q = sorted(counts)
+        q1, q2, q3 = q[63], q[127], q[191]
+        codes = [sum(c > x for x in (q1, q2, q3)) for c in counts]
+        length = min(255, math.ceil(math.log(len(data)) / math.log(1.1))) if data else 0
+        body = bytes(codes[i] | codes[i + 1] << 2 | codes[i + 2] << 4 | codes[i + 3] << 6 for i in range(0, 256, 4))
+        return (bytes([length, (16 * q1 // (q3 + 1) & 15) << 4 | 16 * q2 // (q3 + 1) & 15]) + body).hex(), codes, length
+
+    texts = [b"", b"a", b"the cat sat on the mat " * 30, bytes(range(256)) * 3, "日本語 text".encode() * 50]
+    made = [brute(x) for x in texts]
+    assert [fingerprint.digest(x, conf) for x in texts] == [m[0] for m in made]
+    for a, ca, la in made:
+        for b, cb, lb in made:
+            ra, rb = int(a[2:4], 16), int(b[2:4], 16)
+            apart = sum((0, 1, 2, 6)[abs(x - y)] for x, y in zip(ca, cb)) + min(abs(la - lb), 24) + min(abs((ra >> 4) - (rb >> 4)), 4) + min(abs((ra & 15) - (rb & 15)), 4)
+            assert fingerprint.likeness([a], [b])[0] == pytest.approx(max(0, 1 - apart / (conf.far * 256)))
+
+
+def test_texts_above_a_block(spark, sf, tmp_path):
+    """Texts of more than one block, with null and repeated ids: values against the libraries and brute force."""
+    rng = np.random.default_rng(2)
+    long = " ".join(f"word{x}" for x in rng.integers(0, 4000, 300_000))
+    assert len(long) > kernel.BLOCK_BYTES
+    rows = [(1, long), (None, long), (1, "a b c"), (1, "a b c"), (2, "x " + long[:400_000]), (None, None)]
+    table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op4_minhash_neardup(spark, str(tmp_path)).collect()
+    distinct = len(set(zip(long.split(), long.split()[1:])))
+    assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got if r["n_shingles"] > 100_000) == [("1", distinct, "1"), ("None", distinct, "1")]
+    for r in queries.op7_line_dedup(spark, str(tmp_path)).collect():
+        if r["doc_id"] is None and r["text"] is not None:
+            assert r["text"] == "" and [tuple(s) for s in r["removed"]] == [(0, 299_999)]
+        elif r["doc_id"] == 2:
+            assert r["text"].split() == ["x", (r["text"].split() or [""])[-1]]
+    byte = library("byte_bpe_50k.json")
+    want = hashlib.sha256(",".join(map(str, byte.encode(long, add_special_tokens=False).ids)).encode()).hexdigest()
+    assert [r["ids_sha256"] == want for r in queries.op10_bpe(spark, str(tmp_path)).collect() if r["n_tokens"] > 100_000 and r["doc_id"] != 2] == [True, True]
+    t = library("word_bpe_49k.json")
+    ids = t.encode(long, add_special_tokens=False).ids + [1]
+    shards = queries.op3_wavelet_tokens(spark, str(tmp_path)).collect()
+    assert [(r["n_tokens"], r["ids_crc32"]) for r in shards if r["n_tokens"] > 200_000 and r["doc_id"] in (1, None)] == [(len(ids), crc(ids))] * 2
+    starts = sorted((r["start"], r["n_tokens"]) for r in shards)
+    assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:])) and starts[0][0] == 0
+    prints = [r for r in queries.op9_fingerprint(spark, str(tmp_path)).collect() if r["n_chars"] == len(long)]
+    assert [r["fingerprint"] for r in prints] == [fingerprint.digest(long.encode())] * 2
