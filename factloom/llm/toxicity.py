@@ -76,6 +76,14 @@ def _bags(conf: Bags):
     return run
 
 
+def _summed(to: np.ndarray, value: np.ndarray, of: np.ndarray, size: int) -> np.ndarray:
+    """Sums of value[of] by ``to``, a part at a time, so that no array of all words is made."""
+    out = np.zeros(size)
+    for lo in range(0, len(to), 1 << 19):
+        out += np.bincount(to[lo : lo + (1 << 19)], weights=value[of[lo : lo + (1 << 19)]], minlength=size)
+    return out
+
+
 def fit_bags(toxic: np.ndarray, bags: list[tuple[np.ndarray, np.ndarray]], conf: Bags = Bags()) -> Model:
     """Weights from documents: bags[i] are the buckets and their sentences of document i; the list is used up."""
     n = len(toxic)
@@ -88,20 +96,24 @@ def fit_bags(toxic: np.ndarray, bags: list[tuple[np.ndarray, np.ndarray]], conf:
         seen[once] += 1
         hurt[once] += y
     used = seen >= conf.least_documents
-    column, row, doc_of, at = [], [], [], 0
+    size = sum(int(used[bucket].sum()) for bucket, _ in bags)
+    if not size:
+        bags.clear()
+        return Model(weight.astype(np.float32), bias, float(np.clip(toxic.mean(), 1e-3, 0.5)))
+    column, row = np.empty(size, np.int32), np.empty(size, np.int32)
+    doc_of, at, done = [], 0, 0
     for i, (bucket, sentence) in enumerate(bags):
         keep = used[bucket]
         bucket, sentence = bucket[keep], sentence[keep]
+        bags[i] = None
         if len(sentence):
             _, dense = np.unique(sentence, return_inverse=True)
-            column.append(bucket)
-            row.append((dense + at).astype(np.int32))
+            column[done : done + len(bucket)], row[done : done + len(bucket)] = bucket, dense + at
+            done += len(bucket)
             doc_of.append(np.full(dense[-1] + 1, i, np.int32))
             at += int(dense[-1]) + 1
     bags.clear()
-    if not column:
-        return Model(weight.astype(np.float32), bias, float(np.clip(toxic.mean(), 1e-3, 0.5)))
-    column, row, doc_of = np.concatenate(column), np.concatenate(row), np.concatenate(doc_of)
+    doc_of = np.concatenate(doc_of)
     names = np.flatnonzero(np.bincount(column, minlength=conf.buckets))
     place = np.zeros(conf.buckets, np.int32)
     place[names] = np.arange(len(names))
@@ -113,13 +125,13 @@ def fit_bags(toxic: np.ndarray, bags: list[tuple[np.ndarray, np.ndarray]], conf:
     b, leak = conf.rest, 0.02
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, conf.rounds + 1):
-        z = np.bincount(row, weights=w[column], minlength=at) + b
+        z = _summed(row, w, column, at) + b
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         p = np.minimum(p, 1 - 1e-6)
         none = np.exp(np.bincount(doc_of, weights=np.log1p(-p), minlength=n)) * (1 - leak)
         whole = np.maximum(1 - none, 1e-9)
         up = np.where(y == 1, -none / whole, 1.0)
-        g = np.bincount(column, weights=(p * up[doc_of])[row], minlength=len(w)) / n + conf.decay * np.sign(w) + conf.decay * 0.1 * w
+        g = _summed(column, p * up[doc_of], row, len(w)) / n + conf.decay * np.sign(w) + conf.decay * 0.1 * w
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= conf.step * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-5)
         # The leak is what the sentences leave unexplained among documents labelled toxic.
@@ -129,16 +141,23 @@ def fit_bags(toxic: np.ndarray, bags: list[tuple[np.ndarray, np.ndarray]], conf:
 
 
 def fit(docs: DataFrame, labels: DataFrame, conf: Bags = Bags()) -> Model:
-    """Fit on a bounded sample of the labelled documents (labels: doc_id, toxic; null labels are ignored)."""
+    """Fit on a bounded sample of the labelled documents (labels: doc_id, toxic).
+
+    Null labels and null ids are ignored; of labels that disagree on an id, 1
+    counts, and every row with that id has it.  Rows are sorted by their
+    content before the fit, so their order doesn't matter.  No labels, or none
+    that is 1: every sentence is clean.  Extra columns are not read.
+    """
     known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     count = known.count()
     share = 1 << 20 if count <= conf.sample else conf.sample * (1 << 20) // count
     some = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share)
-    rows = shared.own_columns(docs, "doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "toxic").mapInArrow(_bags(conf), "toxic int, bucket binary, sentence binary").collect()
-    rows.sort(key=lambda r: (r["toxic"], bytes(r["bucket"])))
-    toxic = np.array([r["toxic"] for r in rows], dtype=np.int64)
-    bags = [(np.frombuffer(r["bucket"], np.uint32), np.frombuffer(r["sentence"], np.uint32)) for r in rows]
+    rows = shared.own_columns(docs, "doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "toxic").mapInArrow(_bags(conf), "toxic int, bucket binary, sentence binary").toArrow()
+    held = sorted(zip(rows["toxic"].to_pylist(), rows["bucket"].to_pylist(), rows["sentence"].to_pylist(), strict=True))
     del rows
+    toxic = np.array([r[0] for r in held], dtype=np.int64)
+    bags = [(np.frombuffer(r[1], np.uint32), np.frombuffer(r[2], np.uint32)) for r in held]
+    del held
     return fit_bags(toxic, bags, conf)
 
 
@@ -185,7 +204,9 @@ def score(docs: DataFrame, model: Model, conf: Bags = Bags(), carry: tuple[str,
     offending: the code point ranges of the sentences whose probability is at
     least ``conf.offends``.  Sentences end at . ! ? or a line's end.  Null or
     empty text has no sentence and scores the leak.  Ids, languages, sources
-    and labels are no inputs.  Repeated rows get equal results.
+    and labels are no inputs.  Repeated rows get equal results, rows with null or
+    equal ids are scored by their text, texts of any length whole; an empty
+    table gives no rows.  ``carry`` may name any columns but the results' own.
     """
     fields = [f"`{x}` {docs.schema[x].dataType.simpleString()}, " for x in carry]
     return docs.select("text", *(x for x in carry if x != "text")).mapInArrow(_apply(model, conf, list(carry)), "".join(fields) + _RESULT)
