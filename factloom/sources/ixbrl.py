@@ -8,7 +8,8 @@ from decimal import Decimal, InvalidOperation
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schema import CONCEPTS, PREFIX, REVENUE_ALIAS
 
@@ -156,3 +157,18 @@ def facts(docs: DataFrame, targets: tuple[str, ...] = TARGETS, segments: bool =
                 yield pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in rows], f.type) for f in _KINDS], schema=_KINDS)
 
     return docs.select("accession_number", "raw_html").mapInArrow(run, _OUT)
+
+
+def register(spark: SparkSession) -> None:
+    """The table function ixbrl_facts(accession_number, raw_html) for SQL: the facts of one document, none of one that can't be read."""
+
+    class Facts:
+        def eval(self, accession: str, html: str):
+            try:
+                rows = parse(html)
+            except Exception:  # noqa: BLE001  one bad document must not end the query
+                return
+            for r in rows:
+                yield accession, r["fact_name"], r["fact_value"], r["unit"], r["period_start"], r["period_end"], r["segment"], r["ord"]
+
+    spark.udtf.register("ixbrl_facts", F.udtf(Facts, returnType="accession_number string, fact_name string, fact_value decimal(38,10), unit string, period_start date, period_end date, segment string, ord int"))

@@ -10,7 +10,7 @@ from factloom import __main__ as cli
 from factloom import storage
 from factloom.functions import scalars as S
 from factloom.operators import alerts, answers, audit, detector, features, metrics, quality, ranks, registry, retrieve, rules, runs, serve
-from factloom.plans import batch
+from factloom.plans import batch, views
 from factloom.plans.pipeline import Run, StageFailed
 from factloom.schema import CHAIN_AUDIT, FACTS, FILINGS, MODEL_RUNS, PREFIX, STAGE_AUDIT
 from factloom.sources import payloads, synthetic, warehouse
@@ -381,6 +381,25 @@ def test_search_url():
     assert payloads.search_url("http://s", "a") == "http://s?q=%22a%22"
 
 
+def test_views_and_table_functions(spark, tmp_path):
+    facts, filings = synthetic.corpus(spark, 4, 3)
+    names = views.up(spark, {"financial_facts": facts, "filings_raw": filings})
+    got = spark.sql("select cik, fiscal_year, revenue, prior_year_revenue, revenue_yoy_growth_pct from mart_company_yoy order by cik, fiscal_year").collect()
+    assert len(got) == 12 and got[0]["prior_year_revenue"] is None and got[1]["prior_year_revenue"] == got[0]["revenue"] and -6.01 <= float(got[1]["revenue_yoy_growth_pct"]) <= 14.01
+    assert spark.sql("select * from anomaly_scores").count() == 0 and set(names) >= set(views.MARTS)
+    spark.createDataFrame([("a", DOC), ("b", None)], "accession string, html string").createOrReplaceTempView("documents_in")
+    rows = spark.sql("select f.fact_name, f.fact_value, f.period_end from documents_in d, lateral ixbrl_facts(d.accession, d.html) f order by f.ord").collect()
+    assert [(r["fact_name"], int(r["fact_value"])) for r in rows] == [("us-gaap:Revenues", 100), ("us-gaap:NetIncomeLoss", 10), ("us-gaap:Assets", 200)]
+    views.down(spark)
+    assert not spark.catalog.tableExists("mart_company_yoy")
+
+
+def test_an_answer_may_be_worded_anew(spark):
+    filings = filings_table(spark, [("a", DAY, "<p>Harbour cranes may rust in salty winter storms.</p>", "r")])
+    ask = lambda f: answers.ask(filings, "AAA", "Do harbour cranes rust in winter storms?", rephrase=f).first()["answer"]
+    assert ask(lambda t: "anew") == "anew" and "cranes" in ask(lambda t: 1 / 0)
+
+
 def test_storage(spark, tmp_path):
     to = str(tmp_path / "x.txt")
     assert storage.read_text(spark, to) is None
