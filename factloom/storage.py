@@ -46,12 +46,15 @@ def releasing(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_CLEANED, before)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: lineage is cut, and lost executors lose nothing."""
+def stored(df: DataFrame, name: str, distinct: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: lineage is cut, and lost executors lose nothing.
+
+    distinct: columns, such as hashes, that a dictionary of values doesn't help.
+    """
     spark = df.sparkSession
     to = path(spark, name)
     with releasing(spark):
-        df.write.option("compression", "zstd").parquet(to)
+        df.write.options(compression="zstd", **{f"parquet.enable.dictionary#{c}": "false" for c in distinct}).parquet(to)
     out = spark.read.schema(df.schema).parquet(to)
     out.stored_at = to
     return out
