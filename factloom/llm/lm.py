@@ -94,11 +94,6 @@ class _Counter:
         key, at, count = _grouped(np.concatenate([k for k, _ in self.parts]), np.concatenate([c for _, c in self.parts]))
         return key[at], count
 
-    def batches(self) -> Iterator[pa.RecordBatch]:
-        key, count = self.merged()
-        for lo in range(0, len(key), 1 << 17):
-            yield pa.RecordBatch.from_arrays([pa.array(key[lo : lo + (1 << 17)].view(np.int64)), pa.array(count[lo : lo + (1 << 17)])], names=["key", "n"])
-
 
 def _grouped(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(key, one place of each distinct key in ascending order, its summed n)."""
@@ -108,12 +103,31 @@ def _grouped(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return key, order[at], np.add.reduceat(n[order], at) if len(at) else n[:0]
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counter = _Counter()
-    for batch in batches:
-        for _, _, data, offsets in kernel.blocks(batch["text"]):
-            counter.add(token_stream(data, offsets)[0])
-    yield from counter.batches()
+def _words(shards: int):
+    """Messages with a task's distinct words and their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = _Counter()
+        for batch in batches:
+            for _, _, data, offsets in kernel.blocks(batch["text"]):
+                counter.add(token_stream(data, offsets)[0])
+        key, n = counter.merged()
+        rows = [(shard, 0, 0, _message(np.diff(key[at], prepend=np.uint64(0)), n[at])) for shard, at in _by_shard((key % np.uint64(shards)).astype(np.int64), shards)]
+        if rows:
+            yield _sent(rows)
+
+    return run
+
+
+def _counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, n) of the words of each shard; a task's distinct words are its counter's, so a frequent word is one entry a task."""
+    for _, got in sorted(_held(batches).items()):
+        counter = _Counter()
+        for _, raw in got:
+            step, n = _received(raw, np.uint64, np.int64)
+            counter.parts.append((np.cumsum(step, dtype=np.uint64), n))
+        key, n = counter.merged()
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
 
 
 class Finder:
@@ -332,12 +346,12 @@ def _grams(order: int, head: Head, shards: int, pairs: Pairs | None = None):
             gram, n = np.unique(gram, return_counts=True)
             mask = (1 << _CODE) - 1
             words = [gram >> (_CODE * k) & mask for k in range(order - 1, -1, -1)]
-            by = pair_keys(named[words[-2]], named[words[-1]])
+            by = pair_keys(named[words[0]], named[words[1]])
             hot = np.zeros(len(by), np.int64)
             if order == 3:
-                pre = pair_keys(named[words[0]], named[words[1]])
-                hot = (held(pre) >= 0).astype(np.int64)
-                by = np.where(hot, triple_keys(named[words[0]], by), pre)
+                at = np.flatnonzero(held(by) >= 0)
+                hot[at] = 1
+                by[at] = triple_keys(named[words[0][at]], pair_keys(named[words[1][at]], named[words[2][at]]))
             rows = []
             for k, at in _by_shard((by % np.uint64(shards)).astype(np.int64) * 2 + hot, 2 * shards):
                 sent = [own.sent(w[at], named) for w in words]
@@ -615,11 +629,12 @@ def fit(train: DataFrame, conf: Orders = Orders()) -> Model:
     Without rows the model knows no word.
     """
     spark, col, texts = train.sparkSession, F.col, train.select("text")
-    counted = shared.stored(texts.mapInArrow(_count_words, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "counted")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counted = shared.stored(_dealt(texts.mapInArrow(_words(parts), _MESSAGE), parts).mapInArrow(_counted_words, "key long, n long"), "counted", ("key",))
     s = counted.agg(F.sum("n").alias("total"), F.count("*").alias("v"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")).first()
     total, distinct = s["total"] or 0, s["v"]
     d1 = float(np.clip(s["n1"] / max(1, s["n1"] + 2 * s["n2"]), 0.1, 0.95))
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SHARD_TOKENS))
+    shards = max(parts, -(-total // SHARD_TOKENS))
     got = _columns(counted.filter((col("n") >= _cutoff(counted, conf.head)) | (col("key") == _signed(END))))
     words, count = got["key"].view(np.uint64), got["n"]
     by_rank = np.lexsort((words, -count))
@@ -628,38 +643,40 @@ def fit(train: DataFrame, conf: Orders = Orders()) -> Model:
 
     # Pairs, their probabilities p and those of their last words p1.
     counts = _dealt(texts.mapInArrow(_grams(2, head, shards), _MESSAGE), shards).mapInArrow(_counted_pairs(head, conf), _TWO)
-    first = shared.stored(counts, "two")
+    first = shared.stored(counts, "two", ("key", "pre", "suf"))
     apart = first.filter("n_pre is null or n_suf is null").drop("n_pre", "n_suf")
-    n_of = lambda c: counted.select(col("key").alias(c), col("n").alias(f"n_{c}"))
+    # Sides with one row a key are hashed, a partition at a time, instead of sorting both.
+    n_of = lambda c: counted.select(col("key").alias(c), col("n").alias(f"n_{c}")).hint("shuffle_hash")
     apart = shared.stored(apart.join(n_of("pre"), "pre").join(n_of("suf"), "suf").select(*first.columns), "apart")
-    two = first.filter("n_pre is not null and n_suf is not null").unionByName(apart)
-    two = two.select("*", ((col("n") - conf.discount) / col("n_pre")).alias("p"), ((col("n_suf") - d1) / float(max(total, 1))).alias("p1"))
+    shares = lambda df: df.select("*", ((col("n") - conf.discount) / col("n_pre")).alias("p"), ((col("n_suf") - d1) / float(max(total, 1))).alias("p1"))
+    beside, apart_two = shares(first.filter("n_pre is not null and n_suf is not null")), shares(apart)
+    two = beside.unionByName(apart_two)
     hot = two.filter("u is not null").select("key", "u", "w", "n")
     got = _columns(hot.filter(col("n") >= _cutoff(hot, conf.grams)))
     pairs = Pairs(conf.pairs, got["u"].astype(np.int64) * conf.pairs + got["w"], got["n"])
 
     # Words: their weight and their backoff weight.
     back1 = two.groupBy("pre").agg(_log_ratio("p", "p1").alias("back"))
-    one = counted.join(back1.withColumnRenamed("pre", "key"), "key", "left").withColumn("back", F.coalesce("back", F.lit(0.0)))
-    one = shared.stored(one.select("key", "n", "back", (F.log10((col("n") - d1) / float(max(total, 1))) + col("back")).alias("value")), "words")
+    one = counted.join(back1.withColumnRenamed("pre", "key").hint("shuffle_hash"), "key", "left").withColumn("back", F.coalesce("back", F.lit(0.0)))
+    one = shared.stored(one.select("key", "n", "back", (F.log10((col("n") - d1) / float(max(total, 1))) + col("back")).alias("value")), "words", ("key",))
     shared.drop(counted)
     inside = spark.createDataFrame(pa.table({"key": pa.array(words.view(np.int64))}))
     of_head = _columns(one.join(F.broadcast(inside), "key").select("key", "back"))["back"]
 
     # Triples, and the backoff weights of pairs.
     counts = _dealt(texts.mapInArrow(_grams(3, head, shards, pairs), _MESSAGE), shards).mapInArrow(_counted_triples(head, pairs, conf), _THREE)
-    first3 = shared.stored(counts, "three")
-    rest = shared.stored(first3.filter("p2 is null").drop("p2").join(two.select(col("key").alias("suf"), col("p").alias("p2")), "suf").select(*first3.columns), "rest")
-    three = first3.filter("p2 is not null").unionByName(rest)
-    back2 = shared.stored(three.groupBy("pre").agg(_log_ratio("p", "p2").alias("back")), "back2")
+    first3 = shared.stored(counts, "three", ("key", "pre", "suf"))
+    cold = first3.filter("p2 is null").select("key", "pre", "suf", "p")
+    rest = shared.stored(cold.join(two.select(col("key").alias("suf"), col("p").alias("p2")).hint("shuffle_hash"), "suf").select("key", "pre", "suf", "p", "p2"), "rest", ("key", "pre", "suf"))
+    three = first3.filter("p2 is not null").select("key", "pre", "suf", "p", "p2").unionByName(rest)
+    back2 = shared.stored(three.groupBy("pre").agg(_log_ratio("p", "p2").alias("back")), "back2", ("pre", "back"))
 
     # What a word, pair or triple adds: pairs and triples what they change against backing off at their place; words and pairs their backoff weight as well.
-    triples = three.join(back2, "pre").select("key", "suf", (F.log10("p") - col("back") - F.log10("p2")).alias("value"))
+    triples = three.join(back2.hint("shuffle_hash"), "pre").select("key", "suf", (F.log10("p") - col("back") - F.log10("p2")).alias("value"))
     near = F.broadcast(spark.createDataFrame(pa.table({"pre": pa.array(words.view(np.int64)), "back1": pa.array(of_head)})))
-    with_back1 = two.filter("n_pre is not null").join(near, "pre", "left")
-    known = with_back1.filter("back1 is not null")
-    other = with_back1.filter("back1 is null").drop("back1").join(one.select(col("key").alias("pre"), col("back").alias("back1")), "pre")
-    valued = known.unionByName(other.select(*known.columns)).join(back2.withColumnRenamed("pre", "key"), "key", "left")
+    own = ("key", "p", "p1", "back1")
+    other = apart_two.join(one.select(col("key").alias("pre"), col("back").alias("back1")).hint("shuffle_hash"), "pre")
+    valued = beside.join(near, "pre").select(*own).unionByName(other.select(*own)).join(back2.withColumnRenamed("pre", "key").hint("shuffle_hash"), "key", "left")
     valued = valued.select("key", (F.log10("p") - col("back1") - F.log10("p1") + F.coalesce("back", F.lit(0.0))).alias("value"))
     outside = one.join(F.broadcast(inside), "key", "left_anti").select("key", "value", "n")
     parts = [df.mapInArrow(_table_messages(kind, shards, *((head, pairs) if kind == _TRIPLES else (None, None))), _MESSAGE) for kind, df in ((_WORDS, outside), (_PAIRS, valued), (_TRIPLES, triples))]
