@@ -172,6 +172,8 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
 
     ``path``: a byte-level BPE tokenizer.json that every executor can open.
     Null or empty text has no ids and decodes to the empty text.  Null ids are
-    kept, repeated rows get equal results, an empty table gives no rows.
+    kept, repeated rows and rows with equal ids get results of their own text,
+    texts of any length are encoded whole, further columns are not read, an
+    empty table gives no rows.
     """
     return docs.select(docs["doc_id"], docs["text"]).mapInArrow(_round_trip(path), "doc_id long, ids array<int>, decoded string")

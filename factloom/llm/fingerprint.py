@@ -138,7 +138,8 @@ def neighbours(docs: DataFrame, conf: Digest = Digest()) -> DataFrame:
     Documents follow each other by descending doc_id, null ids last, ties by
     text; after the last comes the first.  Null text is empty.  Repeated rows
     are documents of their own, one after the other.  A single document is its
-    own next one.  An empty table gives no rows.
+    own next one.  A text of any length is digested whole, a part at a time;
+    further columns are not read.  An empty table gives no rows.
     """
     base = shared.own_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
     placed, cuts = ranges.ringed(base)

@@ -175,14 +175,21 @@ def pieces(docs: DataFrame, path: str, capacity: int = 4096, end: int = 1) -> Da
     """A stored table of every document's pieces with their ids: whole documents, longer ones cut at ``capacity``.
 
     rank counts equal lengths in a task's part.  Null text is the ``end`` id
-    alone; null ids are kept; repeated rows are documents of their own.
+    alone; null ids are kept; repeated rows and rows with equal ids are
+    documents of their own.  A text of any length is cut whole; further columns
+    are not read.  An empty table gives no rows.
     """
     base = shared.own_columns(docs, "doc_id", "text")
     return shared.stored(base.mapInArrow(_cut(path, capacity, end, False), _PIECE), "pieces")
 
 
 def placed(table: DataFrame, capacity: int = 4096) -> tuple[DataFrame, Plan]:
-    """``table`` (part, length, rank, more columns) with sequence_id and offset, and the plan behind them."""
+    """``table`` (part, length, rank, more columns) with sequence_id and offset, and the plan behind them.
+
+    Pieces of one length change places without changing the packing: they are
+    dealt by part, then rank.  The driver holds a count for each length.  An
+    empty table gives no rows.
+    """
     per = table.groupBy("length", "part").agg(F.count("*").alias("n"))
     per = shared.stored(per, "lengths")
     counts = {r["length"]: r["n"] for r in per.groupBy("length").agg(F.sum("n").alias("n")).collect()}

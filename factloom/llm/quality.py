@@ -179,7 +179,10 @@ def judge(docs: DataFrame, labels: DataFrame, conf: Ratio = Ratio(), carry: tupl
     text: no words.  A row is kept unless it fails the base rules (fewer than
     ``least_words`` words, or over ``repeat_percent`` % of them in repeated
     three-word windows) or scores below the threshold.  Null ids match no
-    label.  Repeated rows get equal results; an empty table gives no rows.
+    label; of labels that disagree on an id the lower one counts, and every row
+    with that id has it.  Repeated rows get equal results, texts of any length
+    are counted whole; ``carry`` may name any columns but the results' own.  An
+    empty table gives no rows.
     """
     good = labels.select(F.col("doc_id").alias("_id"), "quality").groupBy("_id").agg((F.min("quality") == 1).alias("trusted"))
     base = shared.own_columns(docs, "doc_id", "text")
