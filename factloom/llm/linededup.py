@@ -46,7 +46,7 @@ class Runs:
 BROADCAST_BYTES, ROW_BYTES, RANGE_BYTES = 32_000_000, 96, 40
 
 #: Positions that a task holds before it combines them.
-HELD = 1 << 20
+HELD = 1 << 18
 
 _BASE = kernel.mix_int(0x6C696E65) | 1
 _RANGES = "array<struct<lo:int,hi:int>>"
@@ -249,16 +249,16 @@ def repeated(docs: DataFrame, units: Units, conf: Runs = Runs()) -> DataFrame:
     Earlier is by (doc_id, row, unit), null ids last; a run may repeat inside one text.
     """
     base = shared.own_columns(docs, "doc_id", "text").select(_row_id().alias("rid"), F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("ord"), "text")
-    own = shared.stored(base.mapInArrow(_positions(units, conf, False), _ROWS), "positions")
-    firsts = shared.stored(own.filter("not later").repartition("h").mapInArrow(_first_of_each, _ROWS), "firsts")
+    own = shared.stored(base.mapInArrow(kernel.tidy(_positions(units, conf, False)), _ROWS), "positions")
+    firsts = shared.stored(own.filter("not later").repartition("h").mapInArrow(kernel.tidy(_first_of_each), _ROWS), "firsts")
     heads = firsts.filter("not later")
     several = heads.groupBy("s").agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a <> b").select("s")
     places = shared.stored(heads.join(several, "s", "left_semi").groupBy("rid").agg(F.collect_set("lo").alias("places")), "places")
-    fine = shared.stored(base.join(_beside(places, "places"), "rid").mapInArrow(_positions(units, conf, True), _ROWS), "windows")
-    ends = fine.filter("not later").repartition("h").mapInArrow(_first_of_each, _ROWS)
+    fine = shared.stored(base.join(_beside(places, "places"), "rid").mapInArrow(kernel.tidy(_positions(units, conf, True)), _ROWS), "windows")
+    ends = fine.filter("not later").repartition("h").mapInArrow(kernel.tidy(_first_of_each), _ROWS)
     late = [x.filter("later").select("rid", "lo", "hi") for x in (own, firsts, fine, ends)]
     every = late[0].unionByName(late[1]).unionByName(late[2]).unionByName(late[3])
-    out = shared.stored(every.groupBy("rid").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")).mapInArrow(_merged, f"rid long, removed {_RANGES}"), "removed")
+    out = shared.stored(every.groupBy("rid").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")).mapInArrow(kernel.tidy(_merged), f"rid long, removed {_RANGES}"), "removed")
     shared.drop(own, firsts, places, fine)
     return out
 

@@ -630,7 +630,7 @@ def fit(train: DataFrame, conf: Orders = Orders()) -> Model:
     """
     spark, col, texts = train.sparkSession, F.col, train.select("text")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counted = shared.stored(_dealt(texts.mapInArrow(_words(parts), _MESSAGE), parts).mapInArrow(_counted_words, "key long, n long"), "counted", ("key",))
+    counted = shared.stored(_dealt(texts.mapInArrow(kernel.tidy(_words(parts)), _MESSAGE), parts).mapInArrow(kernel.tidy(_counted_words), "key long, n long"), "counted", ("key",))
     s = counted.agg(F.sum("n").alias("total"), F.count("*").alias("v"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")).first()
     total, distinct = s["total"] or 0, s["v"]
     d1 = float(np.clip(s["n1"] / max(1, s["n1"] + 2 * s["n2"]), 0.1, 0.95))
@@ -642,7 +642,7 @@ def fit(train: DataFrame, conf: Orders = Orders()) -> Model:
     ready = head.ready()
 
     # Pairs, their probabilities p and those of their last words p1.
-    counts = _dealt(texts.mapInArrow(_grams(2, head, shards), _MESSAGE), shards).mapInArrow(_counted_pairs(head, conf), _TWO)
+    counts = _dealt(texts.mapInArrow(kernel.tidy(_grams(2, head, shards)), _MESSAGE), shards).mapInArrow(kernel.tidy(_counted_pairs(head, conf)), _TWO)
     first = shared.stored(counts, "two", ("key", "pre", "suf"))
     apart = first.filter("n_pre is null or n_suf is null").drop("n_pre", "n_suf")
     # Sides with one row a key are hashed, a partition at a time, instead of sorting both.
@@ -664,7 +664,7 @@ def fit(train: DataFrame, conf: Orders = Orders()) -> Model:
     of_head = _columns(one.join(F.broadcast(inside), "key").select("key", "back"))["back"]
 
     # Triples, and the backoff weights of pairs.
-    counts = _dealt(texts.mapInArrow(_grams(3, head, shards, pairs), _MESSAGE), shards).mapInArrow(_counted_triples(head, pairs, conf), _THREE)
+    counts = _dealt(texts.mapInArrow(kernel.tidy(_grams(3, head, shards, pairs)), _MESSAGE), shards).mapInArrow(kernel.tidy(_counted_triples(head, pairs, conf)), _THREE)
     first3 = shared.stored(counts, "three", ("key", "pre", "suf"))
     cold = first3.filter("p2 is null").select("key", "pre", "suf", "p")
     rest = shared.stored(cold.join(two.select(col("key").alias("suf"), col("p").alias("p2")).hint("shuffle_hash"), "suf").select("key", "pre", "suf", "p", "p2"), "rest", ("key", "pre", "suf"))
@@ -679,7 +679,7 @@ def fit(train: DataFrame, conf: Orders = Orders()) -> Model:
     valued = beside.join(near, "pre").select(*own).unionByName(other.select(*own)).join(back2.withColumnRenamed("pre", "key").hint("shuffle_hash"), "key", "left")
     valued = valued.select("key", (F.log10("p") - col("back1") - F.log10("p1") + F.coalesce("back", F.lit(0.0))).alias("value"))
     outside = one.join(F.broadcast(inside), "key", "left_anti").select("key", "value", "n")
-    parts = [df.mapInArrow(_table_messages(kind, shards, *((head, pairs) if kind == _TRIPLES else (None, None))), _MESSAGE) for kind, df in ((_WORDS, outside), (_PAIRS, valued), (_TRIPLES, triples))]
+    parts = [df.mapInArrow(kernel.tidy(_table_messages(kind, shards, *((head, pairs) if kind == _TRIPLES else (None, None)))), _MESSAGE) for kind, df in ((_WORDS, outside), (_PAIRS, valued), (_TRIPLES, triples))]
     stored = [shared.stored(p, "model") for p in parts]
     table = stored[0].unionByName(stored[1]).unionByName(stored[2])
 
@@ -967,8 +967,8 @@ def scored(docs: DataFrame, model: Model, conf: Orders = Orders()) -> DataFrame:
     own, out = shared.own_columns(docs, "doc_id", "text"), None
     for k in range(conf.rounds):
         some = own.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(conf.rounds)) == k)
-        messages = some.mapInArrow(_traversed(part), _MESSAGE).unionByName(model.table)
-        answers = _dealt(messages, shards).mapInArrow(_answers(model.head, scale), _MESSAGE)
-        done = shared.stored(answers.repartition("block").mapInArrow(_summed, _RESULT), "scores")
+        messages = some.mapInArrow(kernel.tidy(_traversed(part)), _MESSAGE).unionByName(model.table)
+        answers = _dealt(messages, shards).mapInArrow(kernel.tidy(_answers(model.head, scale)), _MESSAGE)
+        done = shared.stored(answers.repartition("block").mapInArrow(kernel.tidy(_summed), _RESULT), "scores")
         out = done if out is None else out.unionByName(done)
     return out.select("doc_id", "n_tokens", "n_known", F.lit(int(model.total)).cast("long").alias("train_tokens"), "base_score", "score")

@@ -302,10 +302,10 @@ BROADCAST_ROWS = 500_000
 def _confirmed(pairs: DataFrame, texts: DataFrame, conf: Join) -> DataFrame:
     """Stored edges (a, b) of the stored distinct candidates whose full sets are similar enough."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
-    sets = shared.stored(_of_ids(texts, ids).mapInArrow(_full_sets(conf), "rid long, members binary"), "sets")
+    sets = shared.stored(_of_ids(texts, ids).mapInArrow(kernel.tidy(_full_sets(conf)), "rid long, members binary"), "sets")
     x = sets.select(F.col("rid").alias("a"), F.col("members").alias("x"))
     y = sets.select(F.col("rid").alias("b"), F.col("members").alias("y"))
-    out = shared.stored(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_confirm(conf), "a long, b long"), "links")
+    out = shared.stored(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(kernel.tidy(_confirm(conf)), "a long, b long"), "links")
     shared.drop(sets)
     return out
 
@@ -366,11 +366,11 @@ def one_of_each(docs: DataFrame, conf: Join = Join()) -> DataFrame:
 def _classes(docs: DataFrame, conf: Join) -> tuple[DataFrame, DataFrame]:
     """(doc_id, rid, n_shingles, d1, d2, low) of every row, and (d1, d2, component, component_id) of each set with shingles; both stored."""
     base = shared.own_columns(docs, "doc_id", "text").withColumn("rid", _row_id())
-    every = shared.stored(base.select("doc_id", "rid", "text").mapInArrow(_with_id(conf), "doc_id long, rid long, n_shingles long, d1 long, d2 long, low binary"), "summaries")
+    every = shared.stored(base.select("doc_id", "rid", "text").mapInArrow(kernel.tidy(_with_id(conf)), "doc_id long, rid long, n_shingles long, d1 long, d2 long, low binary"), "summaries")
     classes = every.filter("n_shingles > 0").groupBy("d1", "d2").agg(F.min("rid").alias("cid"), F.min("doc_id").alias("least"))
     classes = shared.stored(classes, "classes")
     heads = every.join(classes.select(F.col("cid").alias("rid")), "rid", "left_semi").select("rid", "low").dropDuplicates(["rid"])
-    rows = shared.stored(heads.mapInArrow(_branches(conf), "rid long, s0 long, s1 long, s2 long, s3 long, " + ", ".join(f"p{v} long" for v in range(conf.levels))), "branches")
+    rows = shared.stored(heads.mapInArrow(kernel.tidy(_branches(conf)), "rid long, s0 long, s1 long, s2 long, s3 long, " + ", ".join(f"p{v} long" for v in range(conf.levels))), "branches")
 
     candidates, stay, made, small, now = None, None, [rows], [], rows
     for level in range(conf.levels):
@@ -379,7 +379,7 @@ def _classes(docs: DataFrame, conf: Join) -> tuple[DataFrame, DataFrame]:
         joined = shared.stored(now.withColumn("node", node).join(sizes, "node"), f"level{level}")
         made.append(joined)
         small.append(joined.filter(F.col("n") <= conf.small).select("node", "rid", *SKETCH))
-        found = small[-1].groupBy("node").agg(F.collect_list(F.struct("rid", *SKETCH)).alias("members")).select("members").mapInArrow(_spanning(conf), "a long, b long")
+        found = small[-1].groupBy("node").agg(F.collect_list(F.struct("rid", *SKETCH)).alias("members")).select("members").mapInArrow(kernel.tidy(_spanning(conf)), "a long, b long")
         candidates = found if candidates is None else candidates.unionByName(found)
         stay = joined.filter(F.col("n") > conf.small)
         now = stay.drop("node", "n")
@@ -393,7 +393,7 @@ def _classes(docs: DataFrame, conf: Join) -> tuple[DataFrame, DataFrame]:
         slices = stay.select("node", "rid", *SKETCH).join(middle, "node").withColumn("far", F.bit_count(F.col("s0").bitwiseXOR(F.col("middle")))).withColumn("slice", F.pmod(F.xxhash64("rid"), F.lit(conf.pivots)))
         pivots = slices.groupBy("node", "slice").agg(F.min(F.struct("far", "rid", *SKETCH)).alias("pivot"))
         pivots = pivots.groupBy("node").agg(F.collect_list("pivot").alias("pivots"))
-        near = stay.join(pivots, "node").select("rid", *SKETCH, "pivots").mapInArrow(_near_pivots(conf), "a long, b long")
+        near = stay.join(pivots, "node").select("rid", *SKETCH, "pivots").mapInArrow(kernel.tidy(_near_pivots(conf)), "a long, b long")
         candidates = candidates.unionByName(near)
 
     texts = base.select("rid", "text")
@@ -447,7 +447,7 @@ def _left(small: list[DataFrame], stay: DataFrame | None, labels: DataFrame, tex
     for x in small[1:]:
         leaves = leaves.unionByName(x)
     nodes = tag(leaves).groupBy("node").agg(F.collect_list(F.struct("rid", *SKETCH, "component")).alias("members")).select("members")
-    pairs = nodes.mapInArrow(_across(conf), "a long, b long")
+    pairs = nodes.mapInArrow(kernel.tidy(_across(conf)), "a long, b long")
     if stay is None:
         return pairs
     tagged = tag(stay.select("node", "rid", *SKETCH))
@@ -458,7 +458,7 @@ def _left(small: list[DataFrame], stay: DataFrame | None, labels: DataFrame, tex
     if mixed.isEmpty():
         return pairs
     words = [f"f{i}" for i in range(FINE // 64)]
-    fine = shared.stored(_of_ids(texts, mixed.select("rid").distinct()).mapInArrow(_fine_sketches(conf), "rid long, " + ", ".join(f"{w} long" for w in words)), "fine")
+    fine = shared.stored(_of_ids(texts, mixed.select("rid").distinct()).mapInArrow(kernel.tidy(_fine_sketches(conf)), "rid long, " + ", ".join(f"{w} long" for w in words)), "fine")
     made.append(fine)
     # A pair that shares nodes in several trees comes out of one of them.
     nodes = mixed.groupBy("rid").agg(F.collect_set("node").alias("nodes"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import shared, tokens
+from . import kernel, shared, tokens
 
 
 @dataclass
@@ -180,7 +180,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = 4096, end: int = 1) -> Da
     are not read.  An empty table gives no rows.
     """
     base = shared.own_columns(docs, "doc_id", "text")
-    return shared.stored(base.mapInArrow(_cut(path, capacity, end, False), _PIECE), "pieces")
+    return shared.stored(base.mapInArrow(kernel.tidy(_cut(path, capacity, end, False)), _PIECE), "pieces")
 
 
 def placed(table: DataFrame, capacity: int = 4096) -> tuple[DataFrame, Plan]:

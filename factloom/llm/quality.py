@@ -76,7 +76,7 @@ def weights(docs: DataFrame, conf: Ratio = Ratio()) -> np.ndarray:
     ``conf.buckets`` numbers, whatever the input's size.  Without a trusted
     row, or without rows, all weights are 0.
     """
-    counted = docs.select("text", "fold").mapInArrow(_count(conf), "bucket long, n0 long, n1 long, n2 long")
+    counted = docs.select("text", "fold").mapInArrow(kernel.tidy(_count(conf)), "bucket long, n0 long, n1 long, n2 long")
     count = np.zeros((3, conf.buckets))
     for r in counted.groupBy("bucket").agg(*[F.sum(f"n{k}").alias(f"n{k}") for k in range(3)]).collect():
         count[:, r["bucket"]] = r["n0"], r["n1"], r["n2"]
@@ -152,7 +152,7 @@ def _score(conf: Ratio, weight: np.ndarray, names: list[str]):
 def scored(docs: DataFrame, weight: np.ndarray, carry: list[str], conf: Ratio = Ratio()) -> DataFrame:
     """The carried columns with the base figures and the ratio score of every whole text."""
     fields = [f"`{x}` {docs.schema[x].dataType.simpleString()}, " for x in carry]
-    return docs.select("text", *(x for x in carry if x != "text")).mapInArrow(_score(conf, weight, carry), "".join(fields) + _FIGURES)
+    return docs.select("text", *(x for x in carry if x != "text")).mapInArrow(kernel.tidy(_score(conf, weight, carry)), "".join(fields) + _FIGURES)
 
 
 def threshold(trusted_scores: DataFrame, conf: Ratio = Ratio()) -> float:

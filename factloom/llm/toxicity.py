@@ -152,7 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, conf: Bags = Bags()) -> Model:
     count = known.count()
     share = 1 << 20 if count <= conf.sample else conf.sample * (1 << 20) // count
     some = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share)
-    rows = shared.own_columns(docs, "doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "toxic").mapInArrow(_bags(conf), "toxic int, bucket binary, sentence binary").toArrow()
+    rows = shared.own_columns(docs, "doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "toxic").mapInArrow(kernel.tidy(_bags(conf)), "toxic int, bucket binary, sentence binary").toArrow()
     held = sorted(zip(rows["toxic"].to_pylist(), rows["bucket"].to_pylist(), rows["sentence"].to_pylist(), strict=True))
     del rows
     toxic = np.array([r[0] for r in held], dtype=np.int64)
@@ -209,4 +209,4 @@ def score(docs: DataFrame, model: Model, conf: Bags = Bags(), carry: tuple[str,
     table gives no rows.  ``carry`` may name any columns but the results' own.
     """
     fields = [f"`{x}` {docs.schema[x].dataType.simpleString()}, " for x in carry]
-    return docs.select("text", *(x for x in carry if x != "text")).mapInArrow(_apply(model, conf, list(carry)), "".join(fields) + _RESULT)
+    return docs.select("text", *(x for x in carry if x != "text")).mapInArrow(kernel.tidy(_apply(model, conf, list(carry))), "".join(fields) + _RESULT)
