@@ -21,7 +21,7 @@ whole n-gram, as tasks hold their counts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -224,6 +224,21 @@ def _held(batches: Iterator[pa.RecordBatch]) -> dict[tuple[int, int], list[tuple
     return out
 
 
+#: What a worker has made of the model's arrays, for the next task in it; at most so many things.
+_MADE: dict[tuple, object] = {}
+_MOST_MADE = 6
+
+
+def _made(make: Callable[[], object], *arrays: np.ndarray):
+    """``make()``, or what it gave for equal arrays before in this worker."""
+    key = (make.__qualname__, *((len(x), hash(x.tobytes())) for x in arrays))
+    if key not in _MADE:
+        while len(_MADE) >= _MOST_MADE:
+            _MADE.pop(next(iter(_MADE)))
+        _MADE[key] = make()
+    return _MADE[key]
+
+
 def _small(x: np.ndarray) -> np.ndarray:
     """Whole numbers in the narrowest type that holds them: what goes to tasks is kept small."""
     return x.astype(np.min_scalar_type(int(x.max()))) if len(x) else x.astype(np.uint8)
@@ -244,11 +259,15 @@ class Head:
 
     def ready(self) -> Head:
         """With its finder, which a task makes for itself."""
-        out = Head(self.words, self.small)
-        out.order = np.argsort(self.words)
-        out.find = Finder(self.words[out.order])
-        out.named = np.concatenate([self.words, np.zeros(1, np.uint64)])
-        return out
+
+        def make() -> Head:
+            out = Head(self.words, self.small)
+            out.order = np.argsort(self.words)
+            out.find = Finder(self.words[out.order])
+            out.named = np.concatenate([self.words, np.zeros(1, np.uint64)])
+            return out
+
+        return _made(make, self.words, self.small)
 
     def ranks(self, stream: np.ndarray) -> np.ndarray:
         """The rank of each word, or -1."""
@@ -286,11 +305,16 @@ class Pairs:
 
     def ready(self, head: Head) -> Pairs:
         """By ascending key, with the keys, which a task makes for itself."""
-        keys = pair_keys(head.named[self.u], head.named[self.w])
-        order = np.argsort(keys)
-        out = Pairs(self.width, self.small[order], self.small_n[order])
-        out.keys = keys[order]
-        return out
+
+        def make() -> Pairs:
+            keys = pair_keys(head.named[self.u], head.named[self.w])
+            order = np.argsort(keys)
+            out = Pairs(self.width, self.small[order], self.small_n[order])
+            out.keys = keys[order]
+            out.find = Finder(out.keys)
+            return out
+
+        return _made(make, np.array([self.width]), self.small, self.small_n, head.words)
 
 
 #: Bits of a word's number in one task's stream: the head's ranks and the words outside it.
@@ -330,7 +354,7 @@ def _grams(order: int, head: Head, shards: int, pairs: Pairs | None = None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = head.ready()
-        held = Finder(pairs.ready(own).keys) if pairs else None
+        held = pairs.ready(own).find if pairs else None
         tokens = _Stream(own)
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -436,7 +460,7 @@ def _counted_triples(head: Head, pairs: Pairs, conf: Orders):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = head.ready()
         hot_pairs = pairs.ready(own)
-        find = Finder(hot_pairs.keys)
+        find = hot_pairs.find
         for (_, hot), got in sorted(_held(batches).items()):
             n, (u, v, w) = _gathered(3, own, got)
             keep = n >= conf.least
@@ -630,7 +654,7 @@ def fit(train: DataFrame, conf: Orders = Orders()) -> Model:
     """
     spark, col, texts = train.sparkSession, F.col, train.select("text")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counted = shared.stored(_dealt(texts.mapInArrow(kernel.tidy(_words(parts)), _MESSAGE), parts).mapInArrow(kernel.tidy(_counted_words), "key long, n long"), "counted", ("key",))
+    counted = shared.stored(_dealt(texts.mapInArrow(_words(parts), _MESSAGE), parts).mapInArrow(_counted_words, "key long, n long"), "counted", ("key",))
     s = counted.agg(F.sum("n").alias("total"), F.count("*").alias("v"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")).first()
     total, distinct = s["total"] or 0, s["v"]
     d1 = float(np.clip(s["n1"] / max(1, s["n1"] + 2 * s["n2"]), 0.1, 0.95))
@@ -642,7 +666,7 @@ def fit(train: DataFrame, conf: Orders = Orders()) -> Model:
     ready = head.ready()
 
     # Pairs, their probabilities p and those of their last words p1.
-    counts = _dealt(texts.mapInArrow(kernel.tidy(_grams(2, head, shards)), _MESSAGE), shards).mapInArrow(kernel.tidy(_counted_pairs(head, conf)), _TWO)
+    counts = _dealt(texts.mapInArrow(_grams(2, head, shards), _MESSAGE), shards).mapInArrow(_counted_pairs(head, conf), _TWO)
     first = shared.stored(counts, "two", ("key", "pre", "suf"))
     apart = first.filter("n_pre is null or n_suf is null").drop("n_pre", "n_suf")
     # Sides with one row a key are hashed, a partition at a time, instead of sorting both.
@@ -651,8 +675,9 @@ def fit(train: DataFrame, conf: Orders = Orders()) -> Model:
     shares = lambda df: df.select("*", ((col("n") - conf.discount) / col("n_pre")).alias("p"), ((col("n_suf") - d1) / float(max(total, 1))).alias("p1"))
     beside, apart_two = shares(first.filter("n_pre is not null and n_suf is not null")), shares(apart)
     two = beside.unionByName(apart_two)
-    hot = two.filter("u is not null").select("key", "u", "w", "n")
+    hot = shared.stored(two.filter("u is not null").select("key", "u", "w", "n"), "hot")
     got = _columns(hot.filter(col("n") >= _cutoff(hot, conf.grams)))
+    shared.drop(hot)
     pairs = Pairs(conf.pairs, got["u"].astype(np.int64) * conf.pairs + got["w"], got["n"])
 
     # Words: their weight and their backoff weight.
@@ -664,7 +689,7 @@ def fit(train: DataFrame, conf: Orders = Orders()) -> Model:
     of_head = _columns(one.join(F.broadcast(inside), "key").select("key", "back"))["back"]
 
     # Triples, and the backoff weights of pairs.
-    counts = _dealt(texts.mapInArrow(kernel.tidy(_grams(3, head, shards, pairs)), _MESSAGE), shards).mapInArrow(kernel.tidy(_counted_triples(head, pairs, conf)), _THREE)
+    counts = _dealt(texts.mapInArrow(_grams(3, head, shards, pairs), _MESSAGE), shards).mapInArrow(_counted_triples(head, pairs, conf), _THREE)
     first3 = shared.stored(counts, "three", ("key", "pre", "suf"))
     cold = first3.filter("p2 is null").select("key", "pre", "suf", "p")
     rest = shared.stored(cold.join(two.select(col("key").alias("suf"), col("p").alias("p2")).hint("shuffle_hash"), "suf").select("key", "pre", "suf", "p", "p2"), "rest", ("key", "pre", "suf"))
@@ -679,7 +704,7 @@ def fit(train: DataFrame, conf: Orders = Orders()) -> Model:
     valued = beside.join(near, "pre").select(*own).unionByName(other.select(*own)).join(back2.withColumnRenamed("pre", "key").hint("shuffle_hash"), "key", "left")
     valued = valued.select("key", (F.log10("p") - col("back1") - F.log10("p1") + F.coalesce("back", F.lit(0.0))).alias("value"))
     outside = one.join(F.broadcast(inside), "key", "left_anti").select("key", "value", "n")
-    parts = [df.mapInArrow(kernel.tidy(_table_messages(kind, shards, *((head, pairs) if kind == _TRIPLES else (None, None)))), _MESSAGE) for kind, df in ((_WORDS, outside), (_PAIRS, valued), (_TRIPLES, triples))]
+    parts = [df.mapInArrow(_table_messages(kind, shards, *((head, pairs) if kind == _TRIPLES else (None, None))), _MESSAGE) for kind, df in ((_WORDS, outside), (_PAIRS, valued), (_TRIPLES, triples))]
     stored = [shared.stored(p, "model") for p in parts]
     table = stored[0].unionByName(stored[1]).unionByName(stored[2])
 
@@ -700,7 +725,9 @@ def _hot_triples(triples: DataFrame, pairs: Pairs, conf: Orders) -> dict[int, in
     table = pa.table({"u": pa.array(u[near].astype(np.int32)), "v": pa.array(w[near].astype(np.int32))})
     known = F.broadcast(triples.sparkSession.createDataFrame(table))
     both = triples.filter("u is not null").join(known, ["u", "v"]).join(known.select(F.col("u").alias("v"), F.col("v").alias("w")), ["v", "w"]).select("u", "v", "w", "n")
+    both = shared.stored(both, "hot")
     got = both.filter(F.col("n") >= _cutoff(both, conf.grams)).toArrow()
+    shared.drop(both)
     u, v, w = (got[c].to_numpy().astype(np.int64) for c in "uvw")
     return dict(zip(((u * conf.triples + v) * conf.triples + w).tolist(), got["n"].to_pylist(), strict=True))
 
@@ -713,7 +740,7 @@ def _table_messages(kind: int, shards: int, head: Head | None, pairs: Pairs | No
     """The model's rows to their shards: words and pairs by their key, triples by their last two words, or by themselves where these are hot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Finder(pairs.ready(head.ready()).keys) if pairs else None
+        held = pairs.ready(head.ready()).find if pairs else None
         parts, size = [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -778,12 +805,17 @@ class _Part:
 
     def automaton(self) -> Automaton:
         """Of the hot part; its words are those of the least ranks, its pairs in the order of their ranks."""
-        n = min(self.conf.pairs, len(self.head))
-        unigram = self.head.count[:n].astype(float)
-        hot = self.hot.ready(self.head.ready())
-        key = hot.code
-        order = np.argsort(key)
-        return _built(unigram, key[order], hot.n[order].astype(float), self.three.astype(np.int64), self.n3.astype(float), max(self.scale.total, 1), self.scale.d1, self.conf, (self.back, self.back2[order]))
+
+        def make() -> Automaton:
+            n = min(self.conf.pairs, len(self.head))
+            unigram = self.head.count[:n].astype(float)
+            hot = self.hot.ready(self.head.ready())
+            key = hot.code
+            order = np.argsort(key)
+            return _built(unigram, key[order], hot.n[order].astype(float), self.three.astype(np.int64), self.n3.astype(float), max(self.scale.total, 1), self.scale.d1, self.conf, (self.back, self.back2[order]))
+
+        figures = np.array([self.scale.total, self.scale.d1, self.conf.pairs, self.conf.triples, self.conf.discount])
+        return _made(make, figures, self.head.words, self.head.small, self.hot.small, self.hot.small_n, self.back, self.back2, self.three, self.n3)
 
 
 def _traversed(part: _Part):
@@ -967,8 +999,8 @@ def scored(docs: DataFrame, model: Model, conf: Orders = Orders()) -> DataFrame:
     own, out = shared.own_columns(docs, "doc_id", "text"), None
     for k in range(conf.rounds):
         some = own.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(conf.rounds)) == k)
-        messages = some.mapInArrow(kernel.tidy(_traversed(part)), _MESSAGE).unionByName(model.table)
-        answers = _dealt(messages, shards).mapInArrow(kernel.tidy(_answers(model.head, scale)), _MESSAGE)
-        done = shared.stored(answers.repartition("block").mapInArrow(kernel.tidy(_summed), _RESULT), "scores")
+        messages = some.mapInArrow(_traversed(part), _MESSAGE).unionByName(model.table)
+        answers = _dealt(messages, shards).mapInArrow(_answers(model.head, scale), _MESSAGE)
+        done = shared.stored(answers.repartition("block").mapInArrow(_summed, _RESULT), "scores")
         out = done if out is None else out.unionByName(done)
     return out.select("doc_id", "n_tokens", "n_known", F.lit(int(model.total)).cast("long").alias("train_tokens"), "base_score", "score")
