@@ -58,7 +58,9 @@ def sections(text: Column) -> Column:
     parts = F.split(marked, _MARK)
     found = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda p, i: F.struct(i.alias("pos"), F.regexp_replace(F.regexp_extract(p, "(?iU)^" + HEADING, 1), r"(?U)\s+", " ").alias("section"), F.trim(p).alias("body")))
     whole = F.array(F.struct(F.lit(0).alias("pos"), F.lit("Document").alias("section"), F.trim(text).alias("body")))
-    return F.when(F.size(parts) > 1, found).otherwise(whole)
+    # No pattern is searched in texts without a heading's letters, as most are; a dotted capital and a dotless i count as an i.
+    may = F.contains(F.lower(text), F.lit("item")) | F.contains(text, F.lit("\u0130")) | F.contains(text, F.lit("\u0131")) | F.contains(text, F.lit(_MARK))
+    return F.when(~may, whole).otherwise(F.when(F.size(parts) > 1, found).otherwise(whole))
 
 
 def windows(body: Column, most: int = CHUNK_CHARS, overlap: int = CHUNK_OVERLAP) -> Column:
