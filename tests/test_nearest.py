@@ -57,7 +57,7 @@ def stored_bytes(spark):
     return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(root) for f in files)
 
 
-@pytest.mark.parametrize("name", ["grounded_answers"])
+@pytest.mark.parametrize("name", ["grounded_answers", "rag_eval"])
 def test_stores_less_than_the_documents(spark, name):
     sf = "/root/testdata/sf0.01"
     before = stored_bytes(spark)
